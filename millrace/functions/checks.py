@@ -27,6 +27,52 @@ def type_check(value: Column, schema: dict) -> Column:
     return value.isNull() | reduce(lambda a, b: a | b, (V.is_kind(value, k) for k in kinds))
 
 
+def type_ok(value: Column, schema: dict) -> Column:
+    """Whether a value and everything below it has the types of the JSON Schema."""
+    conditions = [type_check(value, schema)]
+    if is_object(schema):
+        for key, node in schema.get("properties", {}).items():
+            if type_list(node):
+                conditions.append(type_ok(V.child(value, key), node))
+    if is_array(schema) and type_list(schema.get("items", {})):
+        inner = F.forall(V.elements(value), lambda x: type_ok(x, schema["items"]))
+        conditions.append(F.coalesce(inner, F.lit(True)))
+    return all_of(conditions)
+
+
+def value_ok(value: Column, data_type: T.DataType, nullable: bool) -> Column:
+    """Whether a value can be decoded to a column."""
+    if isinstance(data_type, T.NullType):
+        return F.lit(True)
+    fits = [V.is_kind(value, json_type(data_type))]
+    if isinstance(data_type, (T.IntegerType, T.LongType)):
+        fits.append(F.try_variant_get(value, "$", data_type.simpleString()).isNotNull())
+    elif V.is_format(data_type):
+        fits.append(V.parse_format(V.text(value), data_type).isNotNull())
+    elif isinstance(data_type, T.StructType):
+        fits.append(object_ok(value, data_type))
+    elif isinstance(data_type, T.ArrayType):
+        fits.append(
+            F.forall(
+                V.elements(value), lambda x: value_ok(x, data_type.elementType, data_type.containsNull)
+            )
+        )
+    good = fits[0] if len(fits) == 1 else fits[0] & fits[1]
+    return F.coalesce((V.is_null(value) | good) if nullable else good, F.lit(False))
+
+
+def object_ok(value: Column, struct: T.StructType) -> Column:
+    return all_of(
+        [value_ok(V.child(value, raw_key(f)), f.dataType, f.nullable) for f in struct]
+    )
+
+
+def all_of(conditions: list[Column]) -> Column:
+    """True when every condition is. Unlike a chain of ANDs its generated code is split for wide rows."""
+    known = [F.coalesce(c, F.lit(False)) for c in conditions]
+    return known[0] if len(known) == 1 else F.least(*known)
+
+
 def type_errors(value: Column, schema: dict, path: Column | None = None) -> Column:
     """Array of errors of a value and everything below it against the JSON Schema."""
     path = F.lit("$") if path is None else path
@@ -53,7 +99,7 @@ def decode_errors(value: Column, struct: T.StructType, path: Column | None = Non
     """Array of reasons why an object cannot be decoded to the columns of ``struct``."""
     path = F.lit("$") if path is None else path
     nested = [
-        _value_errors(
+        value_errors(
             V.child(value, raw_key(field)), field.dataType, field.nullable, _below(path, raw_key(field))
         )
         for field in struct
@@ -61,7 +107,7 @@ def decode_errors(value: Column, struct: T.StructType, path: Column | None = Non
     return _join([], nested)
 
 
-def _value_errors(value: Column, data_type: T.DataType, nullable: bool, path: Column) -> Column:
+def value_errors(value: Column, data_type: T.DataType, nullable: bool, path: Column) -> Column:
     if isinstance(data_type, T.NullType):
         return _none()
     present = ~V.is_null(value)
@@ -95,7 +141,7 @@ def _value_errors(value: Column, data_type: T.DataType, nullable: bool, path: Co
         nested.append(
             _each(
                 value,
-                lambda x, i: _value_errors(x, data_type.elementType, data_type.containsNull, _element(path, i)),
+                lambda x, i: value_errors(x, data_type.elementType, data_type.containsNull, _element(path, i)),
             )
         )
     return _join(found, nested)

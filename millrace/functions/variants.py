@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 DATE_TIME_PATTERN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"
 TIME_PATTERN = r"^\d{2}:\d{2}:\d{2}(\.\d+)?$"
-OFFSET_PATTERN = r"(Z|[+-]\d{2}:?\d{2})$"
 
 LARGEST_DOUBLE = 1.7976931348623157e308
 
@@ -101,7 +100,9 @@ def parse_date_time(string: Column) -> Column:
     The value does not depend on the session time zone: a text without an offset counts as UTC, and
     the microseconds since the epoch are added to a zone-less epoch.
     """
-    zoned = F.when(string.rlike(OFFSET_PATTERN), string).otherwise(F.concat(string, F.lit("Z")))
+    tail = F.substring(string, 20, 20)
+    has_offset = tail.contains("Z") | tail.contains("+") | tail.contains("-")
+    zoned = F.when(has_offset, string).otherwise(F.concat(string, F.lit("Z")))
     instant = F.when(string.rlike(DATE_TIME_PATTERN), zoned.try_cast("timestamp"))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)

@@ -1,13 +1,13 @@
-"""Checks of one record, compiled once per stream to Column expressions.
+"""Checks of one record, compiled once per stream to SQL expressions.
 
 Two sources of errors: the JSON Schema of the catalog (kinds), and the table schema that the record
-has to be decoded to (required values, 32-bit range, date and time formats).
+has to be decoded to (required values, 32-bit range, date and time formats). Each check comes in two
+forms: a cheap condition that good records pass, and the list of errors for those that do not.
 """
 
 from __future__ import annotations
 
 import json
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,133 +17,149 @@ from millrace.functions import variants as V
 from millrace.functions.jsonschema import is_array, is_object, raw_key, type_list
 
 ERROR_TYPE = "struct<path:string,rule:string,message:string>"
+NO_ERRORS = f"cast(array() AS array<{ERROR_TYPE}>)"
 
 
-def type_check(value: Column, schema: dict) -> Column:
-    """True when the value is missing or has one of the types its schema node allows."""
+def type_check(column: str, schema: dict) -> Column:
+    """True when a VARIANT column is missing or has one of the types its schema node allows."""
+    return F.expr(type_condition(V.name(*column.split(".")), schema))
+
+
+def type_condition(value: str, schema: dict) -> str:
     kinds = type_list(schema)
     if not kinds:
-        return F.lit(True)
-    return value.isNull() | reduce(lambda a, b: a | b, (V.is_kind(value, k) for k in kinds))
+        return "true"
+    return "(" + " OR ".join([f"{value} IS NULL", *(V.is_kind(value, k) for k in kinds)]) + ")"
 
 
-def type_ok(value: Column, schema: dict) -> Column:
+def type_ok(value: str, schema: dict, depth: int = 0) -> str:
     """Whether a value and everything below it has the types of the JSON Schema."""
-    conditions = [type_check(value, schema)]
+    conditions = [type_condition(value, schema)]
     if is_object(schema):
         for key, node in schema.get("properties", {}).items():
             if type_list(node):
-                conditions.append(type_ok(V.child(value, key), node))
+                conditions.append(type_ok(V.child(value, key), node, depth))
     if is_array(schema) and type_list(schema.get("items", {})):
-        inner = F.forall(V.elements(value), lambda x: type_ok(x, schema["items"]))
-        conditions.append(F.coalesce(inner, F.lit(True)))
+        x = f"x{depth}"
+        inner = type_ok(x, schema["items"], depth + 1)
+        conditions.append(f"coalesce(forall({V.elements(value)}, {x} -> {inner}), true)")
     return all_of(conditions)
 
 
-def value_ok(value: Column, data_type: T.DataType, nullable: bool) -> Column:
+def value_ok(value: str, data_type: T.DataType, nullable: bool, depth: int = 0) -> str:
     """Whether a value can be decoded to a column."""
     if isinstance(data_type, T.NullType):
-        return F.lit(True)
-    fits = [V.is_kind(value, json_type(data_type))]
+        return "true"
+    good = V.is_kind(value, json_type(data_type))
     if isinstance(data_type, (T.IntegerType, T.LongType)):
-        fits.append(F.try_variant_get(value, "$", data_type.simpleString()).isNotNull())
+        good += f" AND try_variant_get({value}, '$', '{data_type.simpleString()}') IS NOT NULL"
     elif V.is_format(data_type):
-        fits.append(V.parse_format(V.text(value), data_type).isNotNull())
+        good += f" AND {V.parse_format(V.text(value), data_type)} IS NOT NULL"
     elif isinstance(data_type, T.StructType):
-        fits.append(object_ok(value, data_type))
+        good += f" AND {object_ok(value, data_type, depth)}"
     elif isinstance(data_type, T.ArrayType):
-        fits.append(
-            F.forall(
-                V.elements(value), lambda x: value_ok(x, data_type.elementType, data_type.containsNull)
-            )
-        )
-    good = fits[0] if len(fits) == 1 else fits[0] & fits[1]
-    return F.coalesce((V.is_null(value) | good) if nullable else good, F.lit(False))
+        x = f"x{depth}"
+        inner = value_ok(x, data_type.elementType, data_type.containsNull, depth + 1)
+        good += f" AND forall({V.elements(value)}, {x} -> {inner})"
+    if nullable:
+        good = f"{V.is_null(value)} OR ({good})"
+    return f"coalesce({good}, false)"
 
 
-def object_ok(value: Column, struct: T.StructType) -> Column:
+def object_ok(value: str, struct: T.StructType, depth: int = 0) -> str:
     return all_of(
-        [value_ok(V.child(value, raw_key(f)), f.dataType, f.nullable) for f in struct]
+        [value_ok(V.child(value, raw_key(f)), f.dataType, f.nullable, depth) for f in struct]
     )
 
 
-def all_of(conditions: list[Column]) -> Column:
+def all_of(conditions: list[str]) -> str:
     """True when every condition is. Unlike a chain of ANDs its generated code is split for wide rows."""
-    known = [F.coalesce(c, F.lit(False)) for c in conditions]
-    return known[0] if len(known) == 1 else F.least(*known)
+    conditions = [c for c in conditions if c != "true"]
+    if not conditions:
+        return "true"
+    known = [c if c.startswith("coalesce(") else f"coalesce({c}, false)" for c in conditions]
+    return known[0] if len(known) == 1 else f"least({', '.join(known)})"
 
 
-def type_errors(value: Column, schema: dict, path: Column | None = None) -> Column:
+def type_errors(value: str, schema: dict, path: str = "'$'", depth: int = 0) -> str:
     """Array of errors of a value and everything below it against the JSON Schema."""
-    path = F.lit("$") if path is None else path
     kinds = type_list(schema)
     if not kinds:
-        return _none()
+        return NO_ERRORS
     names = ", ".join(json.dumps(k) for k in kinds)
     label = f" is not of type {names}" if len(kinds) == 1 else f" is not of types {names}"
-    found = [_error(~type_check(value, schema), path, "type", F.concat(F.to_json(value), F.lit(label)))]
+    message = f"concat(to_json({value}), {V.literal(label)})"
+    found = [_error(f"NOT {type_condition(value, schema)}", path, "type", message)]
     nested = []
     if is_object(schema):
         for key, node in schema.get("properties", {}).items():
             if type_list(node):
-                nested.append(type_errors(V.child(value, key), node, _below(path, key)))
+                nested.append(type_errors(V.child(value, key), node, _below(path, key), depth))
     if is_array(schema) and type_list(schema.get("items", {})):
-        items = schema["items"]
-        nested.append(
-            _each(value, lambda x, i: type_errors(x, items, _element(path, i)))
-        )
+        inner = type_errors(f"x{depth}", schema["items"], _element(path, depth), depth + 1)
+        nested.append(_each(value, inner, depth))
     return _join(found, nested)
 
 
-def decode_errors(value: Column, struct: T.StructType, path: Column | None = None) -> Column:
+def decode_errors(value: str, struct: T.StructType, path: str = "'$'", depth: int = 0) -> str:
     """Array of reasons why an object cannot be decoded to the columns of ``struct``."""
-    path = F.lit("$") if path is None else path
-    nested = [
-        value_errors(
-            V.child(value, raw_key(field)), field.dataType, field.nullable, _below(path, raw_key(field))
-        )
-        for field in struct
-    ]
-    return _join([], nested)
+    return _join(
+        [],
+        [
+            value_errors(
+                V.child(value, raw_key(f)), f.dataType, f.nullable, _below(path, raw_key(f)), depth
+            )
+            for f in struct
+        ],
+    )
 
 
-def value_errors(value: Column, data_type: T.DataType, nullable: bool, path: Column) -> Column:
+def value_errors(
+    value: str, data_type: T.DataType, nullable: bool, path: str, depth: int = 0
+) -> str:
     if isinstance(data_type, T.NullType):
-        return _none()
-    present = ~V.is_null(value)
-    found = []
-    if not nullable:
-        found.append(_error(V.is_null(value), path, "required", F.lit("a value is required")))
-    wrong = ~V.is_kind(value, json_type(data_type))
-    shown = F.to_json(value)
-    found.append(
-        _error(present & wrong, path, "type", F.concat(shown, F.lit(f" does not fit a {data_type.simpleString()} column")))
-    )
+        return NO_ERRORS
+    fits = V.is_kind(value, json_type(data_type))
+    shown = f"to_json({value})"
+    type_name = data_type.simpleString()
+    right_kind = f"NOT {V.is_null(value)} AND {fits}"
+    found = [
+        _error(
+            f"NOT {V.is_null(value)} AND NOT {fits}",
+            path,
+            "type",
+            f"concat({shown}, {V.literal(f' does not fit a {type_name} column')})",
+        )
+    ]
     nested = []
+    if not nullable:
+        found.append(_error(V.is_null(value), path, "required", "'a value is required'"))
     if isinstance(data_type, (T.IntegerType, T.LongType)):
         found.append(
             _error(
-                present & ~wrong & F.try_variant_get(value, "$", data_type.simpleString()).isNull(),
-                path, "range", F.concat(shown, F.lit(f" is outside the range of {data_type.simpleString()}")),
+                f"{right_kind} AND try_variant_get({value}, '$', '{type_name}') IS NULL",
+                path,
+                "range",
+                f"concat({shown}, ' is outside the range of {type_name}')",
             )
         )
     elif V.is_format(data_type):
         found.append(
             _error(
-                present & ~wrong & V.parse_format(V.text(value), data_type).isNull(),
-                path, "format", F.concat(shown, F.lit(f" is not a {data_type.simpleString()}")),
+                f"{right_kind} AND {V.parse_format(V.text(value), data_type)} IS NULL",
+                path,
+                "format",
+                f"concat({shown}, ' is not a {type_name}')",
             )
         )
     elif isinstance(data_type, T.StructType):
-        below = decode_errors(value, data_type, path)
-        nested.append(F.when(present & ~wrong, below).otherwise(_none()))
+        below = decode_errors(value, data_type, path, depth)
+        nested.append(f"if({right_kind}, {below}, {NO_ERRORS})")
     elif isinstance(data_type, T.ArrayType):
-        nested.append(
-            _each(
-                value,
-                lambda x, i: value_errors(x, data_type.elementType, data_type.containsNull, _element(path, i)),
-            )
+        inner = value_errors(
+            f"x{depth}", data_type.elementType, data_type.containsNull, _element(path, depth), depth + 1
         )
+        nested.append(_each(value, inner, depth))
     return _join(found, nested)
 
 
@@ -162,44 +178,37 @@ def json_type(data_type: T.DataType) -> str:
     return "null" if isinstance(data_type, T.NullType) else "string"
 
 
-def record_errors(data: Column, schema: dict, struct: T.StructType) -> Column:
+def record_errors(data: str, schema: dict, struct: T.StructType) -> str:
     """All errors of a record, one per path: kinds first, then what decoding would refuse."""
     kinds = type_errors(data, schema)
     others = decode_errors(data, struct)
-    return F.concat(
-        kinds,
-        F.filter(others, lambda e: ~F.exists(kinds, lambda k: k["path"] == e["path"])),
+    return (
+        f"aggregate(concat({kinds}, {others}), {NO_ERRORS}, "
+        "(found, e) -> if(exists(found, f -> f.path = e.path), found, array_append(found, e)))"
     )
 
 
-def _none() -> Column:
-    return F.array().cast(f"array<{ERROR_TYPE}>")
-
-
-def _error(bad: Column, path: Column, rule: str, message: Column) -> Column:
-    return F.when(
-        bad,
-        F.struct(path.alias("path"), F.lit(rule).alias("rule"), message.alias("message")),
-    ).otherwise(F.lit(None).cast(ERROR_TYPE))
+def _error(bad: str, path: str, rule: str, message: str) -> str:
+    return f"if({bad}, named_struct('path', {path}, 'rule', '{rule}', 'message', {message}), NULL)"
 
 
-def _join(found: list[Column], nested: list[Column]) -> Column:
-    parts = []
-    if found:
-        parts.append(F.filter(F.array(*found), lambda e: e.isNotNull()))
-    parts.extend(nested)
-    return F.concat(*parts) if parts else _none()
+def _join(found: list[str], nested: list[str]) -> str:
+    parts = [f"filter(array({', '.join(found)}), e -> e IS NOT NULL)"] if found else []
+    parts += [part for part in nested if part != NO_ERRORS]
+    if not parts:
+        return NO_ERRORS
+    return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
 
 
-def _each(value: Column, errors) -> Column:
+def _each(value: str, inner: str, depth: int) -> str:
     """Errors of all elements of an array value; none for other kinds."""
-    per_element = F.transform(V.elements(value), lambda x, i: errors(x, i))
-    return F.coalesce(F.flatten(per_element), _none())
+    each = f"transform({V.elements(value)}, (x{depth}, i{depth}) -> {inner})"
+    return f"coalesce(flatten({each}), {NO_ERRORS})"
 
 
-def _below(path: Column, key: str) -> Column:
-    return F.concat(path, F.lit(f".{key}"))
+def _below(path: str, key: str) -> str:
+    return f"concat({path}, {V.literal('.' + key)})"
 
 
-def _element(path: Column, index: Column) -> Column:
-    return F.concat(path, F.lit("["), index.cast("string"), F.lit("]"))
+def _element(path: str, depth: int) -> str:
+    return f"concat({path}, '[', i{depth}, ']')"

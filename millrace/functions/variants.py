@@ -1,21 +1,34 @@
 """Reading typed values out of VARIANT columns.
 
-``variant_get`` is lenient across kinds (the text "1" reads as the integer 1), so every read here
-comes with a check of the kind the JSON value really had.
+``variant_get`` is lenient across kinds (the text "1" reads as the integer 1), so every read comes
+with a check of the kind the JSON value really had.
+
+The functions take and give SQL expression text. A stream can have hundreds of columns with several
+checks each; as text they reach Spark as one expression instead of thousands of calls.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Accepted spellings of dates, date-times and times.
-DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
-DATE_TIME_PATTERN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"
-TIME_PATTERN = r"^\d{2}:\d{2}:\d{2}(\.\d+)?$"
+DATE_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+DATE_TIME_PATTERN = (
+    "^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?"
+    "(Z|[+-][0-9]{2}:?[0-9]{2})?$"
+)
+TIME_PATTERN = "^[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?$"
+
+LARGEST_DOUBLE = "1.7976931348623157E308D"
+
 
-LARGEST_DOUBLE = 1.7976931348623157e308
+def name(*parts: str) -> str:
+    """A column reference; every part is quoted."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
+
+
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def child_path(key: str) -> str:
@@ -27,93 +40,91 @@ def child_path(key: str) -> str:
     raise ValueError(f"The property name {key} mixes both kinds of quotes.")
 
 
-def child(value: Column, key: str) -> Column:
+def child(value: str, key: str) -> str:
     """The value under a key as a variant; SQL NULL when the key is missing or value is no object."""
-    return F.try_variant_get(value, child_path(key), "variant")
+    return f"try_variant_get({value}, {literal(child_path(key))}, 'variant')"
 
 
-def elements(value: Column) -> Column:
+def elements(value: str) -> str:
     """The elements of a JSON array; SQL NULL for every other kind."""
-    return F.try_variant_get(value, "$", "array<variant>")
+    return f"try_variant_get({value}, '$', 'array<variant>')"
 
 
-def kind(value: Column) -> Column:
+def kind(value: str) -> str:
     """SQL type name of the JSON value: VOID for a JSON null, SQL NULL when missing."""
-    return F.schema_of_variant(value)
+    return f"schema_of_variant({value})"
 
 
-def is_null(value: Column) -> Column:
+def is_null(value: str) -> str:
     """Missing or JSON null."""
-    return value.isNull() | F.is_variant_null(value)
+    return f"({value} IS NULL OR is_variant_null({value}))"
+
 
+def is_finite(number: str) -> str:
+    return f"({number} BETWEEN -{LARGEST_DOUBLE} AND {LARGEST_DOUBLE})"
 
-def is_number(value: Column) -> Column:
-    found = kind(value)
+
+def is_number(value: str) -> str:
+    found, number = kind(value), f"try_variant_get({value}, '$', 'double')"
     return (
-        (found == "BIGINT")
-        | found.startswith("DECIMAL(")
-        | ((found == "DOUBLE") & is_finite(F.try_variant_get(value, "$", "double")))
+        f"({found} = 'BIGINT' OR startswith({found}, 'DECIMAL(')"
+        f" OR ({found} = 'DOUBLE' AND {is_finite(number)}))"
     )
 
 
-def is_integer(value: Column) -> Column:
+def is_integer(value: str) -> str:
     """An integral number; 1.0 counts as one."""
-    found = kind(value)
-    number = F.try_variant_get(value, "$", "double")
+    found, number = kind(value), f"try_variant_get({value}, '$', 'double')"
     return (
-        (found == "BIGINT")
-        | (found.startswith("DECIMAL(") & found.endswith(",0)"))
-        | ((found == "DOUBLE") & is_finite(number) & (number == F.floor(number)))
+        f"({found} = 'BIGINT' OR (startswith({found}, 'DECIMAL(') AND endswith({found}, ',0)'))"
+        f" OR ({found} = 'DOUBLE' AND {is_finite(number)} AND {number} = floor({number})))"
     )
 
 
-def is_finite(number: Column) -> Column:
-    return number.between(-LARGEST_DOUBLE, LARGEST_DOUBLE)
-
-
-def is_kind(value: Column, json_type: str) -> Column:
+def is_kind(value: str, json_type: str) -> str:
     """Whether a present value has one of the JSON Schema types."""
     if json_type == "integer":
         return is_integer(value)
     if json_type == "number":
         return is_number(value)
-    found = kind(value)
     if json_type == "object":
-        return found.startswith("OBJECT<")
+        return f"startswith({kind(value)}, 'OBJECT<')"
     if json_type == "array":
-        return found.startswith("ARRAY<")
-    return found == {"null": "VOID", "boolean": "BOOLEAN", "string": "STRING"}[json_type]
+        return f"startswith({kind(value)}, 'ARRAY<')"
+    name_of = {"null": "VOID", "boolean": "BOOLEAN", "string": "STRING"}[json_type]
+    return f"({kind(value)} = '{name_of}')"
 
 
-def text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+def text(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'string')"
 
 
-def parse_date(string: Column) -> Column:
+def parse_date(string: str) -> str:
     """Date of an ISO text; NULL when it is none."""
-    return F.when(string.rlike(DATE_PATTERN), string.try_cast("date"))
+    return f"if({string} RLIKE '{DATE_PATTERN}', try_cast({string} AS date), NULL)"
 
 
-def parse_date_time(string: Column) -> Column:
+def parse_date_time(string: str) -> str:
     """Zone-less UTC timestamp of an ISO text; NULL when it is none.
 
     The value does not depend on the session time zone: a text without an offset counts as UTC, and
     the microseconds since the epoch are added to a zone-less epoch.
     """
-    tail = F.substring(string, 20, 20)
-    has_offset = tail.contains("Z") | tail.contains("+") | tail.contains("-")
-    zoned = F.when(has_offset, string).otherwise(F.concat(string, F.lit("Z")))
-    instant = F.when(string.rlike(DATE_TIME_PATTERN), zoned.try_cast("timestamp"))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+    tail = f"substring({string}, 20)"
+    has_offset = f"(contains({tail}, 'Z') OR contains({tail}, '+') OR contains({tail}, '-'))"
+    zoned = f"if({has_offset}, {string}, concat({string}, 'Z'))"
+    instant = f"if({string} RLIKE '{DATE_TIME_PATTERN}', try_cast({zoned} AS timestamp), NULL)"
+    return f"timestampadd(MICROSECOND, unix_micros({instant}), TIMESTAMP_NTZ'1970-01-01 00:00:00')"
 
 
-def parse_time(string: Column) -> Column:
+def parse_time(string: str) -> str:
     """Time of day cut to milliseconds; NULL when the text is none."""
-    return F.when(string.rlike(TIME_PATTERN), F.substring(string, 1, 12).try_cast("time(3)"))
+    return (
+        f"if({string} RLIKE '{TIME_PATTERN}', try_cast(substring({string}, 1, 12) AS time(3)), NULL)"
+    )
 
 
-def parse_format(string: Column, data_type: T.DataType) -> Column:
+def parse_format(string: str, data_type: T.DataType) -> str:
     if isinstance(data_type, T.DateType):
         return parse_date(string)
     if isinstance(data_type, T.TimestampNTZType):

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions import variants as V
 from millrace.session import BROADCAST_ROWS
 from millrace.sources.messages import number_lines
 
@@ -37,6 +38,15 @@ PARSE_OPTIONS = {
     "columnNameOfCorruptRecord": CORRUPT,
 }
 
+# Messages that have to name a stream of the catalog, and the ones a sync uses at all.
+NAMES_STREAM = "(kind = 'RECORD' OR coalesce(state_kind = 'STREAM', false))"
+IS_USED = "(kind = 'RECORD' OR coalesce(state_kind IN ('GLOBAL', 'STREAM'), false))"
+
+# Place of a line, for error messages.
+PLACE = "concat('line ', _pos.line, ' of split ', _pos.block, ' of ', _pos.file)"
+MALFORMED = f"concat('Malformed message, ', {PLACE}, ': ', value)"
+NOT_FOUND = "concat('Stream ', coalesce(stream, ''), ' not found.')"
+
 
 @dataclass(frozen=True)
 class Descriptor:
@@ -46,23 +56,31 @@ class Descriptor:
     namespace: str | None = None
 
 
-def message_lines(df: DataFrame) -> DataFrame:
-    """Lines with the shape of a message; all else is dropped silently. No trimming."""
-    line = F.col("value")
-    return number_lines(df).where(line.startswith("{") & line.endswith("}"))
-
-
-def once(column: Column) -> Column:
+def once(column: Column | str) -> Column:
     """Evaluate a costly column where it stands.
 
     A filter is not pushed through a projection that holds a non-deterministic expression, and such a
     projection is not merged into others. The condition is always true.
     """
-    return F.when(F.monotonically_increasing_id() >= 0, column)
+    column = F.expr(column) if isinstance(column, str) else column
+    return F.when(F.expr("monotonically_increasing_id() >= 0"), column)
 
 
-def parse_json(line: Column, data_type: T.DataType | None) -> Column:
-    """Parse a line to ``struct<m: envelope, _corrupt>``.
+def require(good: str, message: str) -> Column:
+    """Filter condition that ends the job with ``message`` on the first row that is not good.
+
+    As a filter it also fires when no column of the row is asked for.
+    """
+    return F.expr(f"CASE WHEN {good} THEN true ELSE cast(raise_error({message}) AS boolean) END")
+
+
+def message_lines(df: DataFrame) -> DataFrame:
+    """Lines with the shape of a message; all else is dropped silently. No trimming."""
+    return number_lines(df).where("startswith(value, '{') AND endswith(value, '}')")
+
+
+def parse_json(data_type: T.DataType | None) -> Column:
+    """Parse ``value`` to ``struct<m: envelope, _corrupt>``.
 
     ``data_type`` is what the payload is read as; None skips it. The line is wrapped in one more
     object: Spark's parser stops after the first JSON value, and inside the wrapper whatever
@@ -80,95 +98,69 @@ def parse_json(line: Column, data_type: T.DataType | None) -> Column:
     )
     envelope = T.StructType().add("type", string).add("record", record).add("state", state)
     schema = T.StructType().add("m", envelope).add(CORRUPT, string)
-    return F.from_json(F.concat(F.lit('{"m":'), line, F.lit("}")), schema, PARSE_OPTIONS)
+    return F.from_json(F.expr("concat('{\"m\":', value, '}')"), schema, PARSE_OPTIONS)
 
 
-def envelope_columns(parsed: Column) -> dict[str, Column]:
+def envelope_columns(parsed: str) -> dict[str, str]:
     """Kind, descriptor and state kind of a parsed line."""
-    message = parsed["m"]
-    is_state = message["type"] == "STATE"
-    descriptor = message["state"]["stream"]["stream_descriptor"]
+    message = f"{parsed}.m"
+    is_state = f"{message}.type = 'STATE'"
+    descriptor = f"{message}.state.stream.stream_descriptor"
     return {
-        "kind": message["type"],
-        "stream": F.when(is_state, descriptor["name"]).otherwise(message["record"]["stream"]),
-        "namespace": F.when(is_state, descriptor["namespace"]).otherwise(
-            message["record"]["namespace"]
-        ),
-        "state_kind": F.when(is_state, message["state"]["type"]),
+        "kind": f"{message}.type",
+        "stream": f"if({is_state}, {descriptor}.name, {message}.record.stream)",
+        "namespace": f"if({is_state}, {descriptor}.namespace, {message}.record.namespace)",
+        "state_kind": f"if({is_state}, {message}.state.type, NULL)",
     }
 
 
-def is_malformed(line: Column, parsed: Column, has_data: bool = True) -> Column:
-    """A line that looks like a message but is not a valid one."""
-    message = parsed["m"]
-    record = message["record"]
-    missing_record = record["stream"].isNull()
+def well_formed(parsed: str, has_data: bool = True) -> str:
+    """Whether a line that looks like a message is a valid one."""
+    message = f"{parsed}.m"
+    record = f"{message}.record.stream IS NOT NULL"
     if has_data:
-        missing_record = missing_record | record["data"].isNull()
-    state = message["state"]
-    missing_state = state.isNull() | (
-        (state["type"] == "STREAM") & state["stream"]["stream_descriptor"]["name"].isNull()
-    )
-    invalid = (
-        parsed[CORRUPT].isNotNull()
-        | message["type"].isNull()
-        | ~message["type"].isin(MESSAGE_TYPES)
-        | ((message["type"] == "RECORD") & missing_record)
-        | ((message["type"] == "STATE") & missing_state)
-        | ~F.is_valid_utf8(line)
+        record += f" AND {message}.record.data IS NOT NULL"
+    state = (
+        f"{message}.state IS NOT NULL AND (NOT {message}.state.type <=> 'STREAM'"
+        f" OR {message}.state.stream.stream_descriptor.name IS NOT NULL)"
     )
-    return F.coalesce(invalid, F.lit(True))
-
-
-def require(good: Column, message: Column) -> Column:
-    """Filter condition that ends the job with ``message`` on the first row that is not good.
-
-    As a filter it also fires when no column of the row is asked for.
-    """
-    return F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-
-
-def place(pos: Column) -> Column:
-    """Place of a line, for error messages."""
-    return F.concat(
-        F.lit("line "), pos["line"].cast("string"), F.lit(" of split "), pos["block"].cast("string"),
-        F.lit(" of "), pos["file"],
+    types = ", ".join(V.literal(t) for t in MESSAGE_TYPES)
+    return (
+        f"coalesce({parsed}.{CORRUPT} IS NULL AND is_valid_utf8(value) AND CASE {message}.type"
+        f" WHEN 'RECORD' THEN {record} WHEN 'STATE' THEN {state}"
+        f" ELSE {message}.type IN ({types}) END, false)"
     )
 
 
 def parse_envelope(df: DataFrame) -> DataFrame:
     """Message lines split into kind, descriptor and payload; a malformed line ends the job."""
     parsed = message_lines(df).select(
-        "value", "_pos", once(parse_json(F.col("value"), T.VariantType())).alias("_parsed")
+        "value", "_pos", once(parse_json(T.VariantType())).alias("_parsed")
     )
-    bad = is_malformed(F.col("value"), F.col("_parsed"))
-    message = F.concat(F.lit("Malformed message, "), place(F.col("_pos")), F.lit(": "), F.col("value"))
-    columns = envelope_columns(F.col("_parsed"))
-    return parsed.where(require(~bad, message)).select(
-        "value",
-        "_pos",
-        *(column.alias(name) for name, column in columns.items()),
-        F.col("_parsed.m.record.data").alias("data"),
+    columns = [f"{text} AS {name}" for name, text in envelope_columns("_parsed").items()]
+    return parsed.where(require(well_formed("_parsed"), MALFORMED)).selectExpr(
+        "value", "_pos", *columns, "_parsed.m.record.data AS data"
     )
 
 
 def records(df: DataFrame) -> DataFrame:
     """The RECORD messages of a parsed envelope."""
-    return df.where(F.col("kind") == "RECORD")
+    return df.where("kind = 'RECORD'")
 
 
 def states(df: DataFrame) -> DataFrame:
     """The STATE messages of a parsed envelope."""
-    return df.where(F.col("kind") == "STATE")
+    return df.where("kind = 'STATE'")
 
 
-def matches(name: Column, namespace: Column, descriptor: Descriptor) -> Column:
-    return (name == descriptor.name) & namespace.eqNullSafe(F.lit(descriptor.namespace).cast("string"))
+def matches(descriptor: Descriptor) -> str:
+    space = "NULL" if descriptor.namespace is None else V.literal(descriptor.namespace)
+    return f"(stream <=> {V.literal(descriptor.name)} AND namespace <=> {space})"
 
 
 def route(df: DataFrame, descriptor: Descriptor) -> DataFrame:
     """The messages of one stream."""
-    return df.where(matches(F.col("stream"), F.col("namespace"), descriptor))
+    return df.where(matches(descriptor))
 
 
 def descriptor_table(spark: SparkSession, descriptors: list[Descriptor]) -> DataFrame:
@@ -178,15 +170,14 @@ def descriptor_table(spark: SparkSession, descriptors: list[Descriptor]) -> Data
     return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
 
 
+SAME_STREAM = "stream = _name AND namespace <=> _space"
+
+
 def unknown_streams(df: DataFrame, descriptors: list[Descriptor]) -> DataFrame:
     """Streams that records or STREAM states name but the catalog does not, with message counts.
 
     Messages are counted per stream first, so that only one row per stream meets the catalog.
     """
-    routed = df.where(
-        (F.col("kind") == "RECORD") | ((F.col("kind") == "STATE") & (F.col("state_kind") == "STREAM"))
-    )
-    counts = routed.groupBy("stream", "namespace").agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(NAMES_STREAM).groupBy("stream", "namespace").agg(F.count(F.lit(1)).alias("n"))
     known = descriptor_table(df.sparkSession, descriptors)
-    same = (F.col("stream") == F.col("_name")) & F.col("namespace").eqNullSafe(F.col("_space"))
-    return counts.join(known, same, "left_anti")
+    return counts.join(known, F.expr(SAME_STREAM), "left_anti")

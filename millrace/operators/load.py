@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 
 from millrace.functions import variants as V
 from millrace.functions.checks import all_of, json_type, record_errors, type_ok, value_ok
-from millrace.functions.decoding import decode_columns, decode_value
+from millrace.functions.decoding import decode_object, decode_value
 from millrace.functions.jsonschema import raw_key, type_list
-from millrace.operators.envelope import CORRUPT, once, parse_json, place, require
+from millrace.operators.envelope import CORRUPT, PLACE, once, parse_json, require
 from millrace.operators.records import error_message
 
 
@@ -56,39 +56,30 @@ def payload_type(schema: dict, struct: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(key, data_type) for key, data_type in columns.items()])
 
 
-def all_good(data: Column, payload: T.StructType, schema: dict, struct: T.StructType) -> Column:
-    """Whether a record parsed to ``payload`` has no error, up to the format of text carriers."""
+def all_good(payload: T.StructType, schema: dict, struct: T.StructType) -> str:
+    """Whether a parsed payload has no error, up to the format of text carriers."""
     nodes = schema.get("properties", {})
     fields = {raw_key(field): field for field in struct}
     conditions = []
     for carrier in payload:
-        value = data.getField(carrier.name)
+        value = _parsed(carrier.name)
         field, node = fields.get(carrier.name), nodes.get(carrier.name)
         if isinstance(carrier.dataType, T.DoubleType):
             finite = V.is_finite(value)
-            conditions.append((value.isNull() | finite) if field.nullable else finite)
+            conditions.append(f"({value} IS NULL OR {finite})" if field.nullable else finite)
         elif isinstance(carrier.dataType, T.VariantType):
             if field is not None:
                 conditions.append(value_ok(value, field.dataType, field.nullable))
             if node is not None and (field is None or not is_plain(field, node)):
                 conditions.append(type_ok(value, node))
         elif not field.nullable:
-            conditions.append(value.isNotNull())
-    return all_of(conditions or [F.lit(True)])
+            conditions.append(f"({value} IS NOT NULL)")
+    return all_of(conditions)
 
 
-def _value(value: Column, carrier: T.DataType, field: T.StructField) -> Column:
-    """Column of a carrier; a text of the wrong format gives NULL."""
-    if isinstance(carrier, T.StringType):
-        return V.parse_format(value, field.dataType)
-    if isinstance(carrier, T.VariantType):
-        value = decode_value(value, field.dataType)
-    return value.cast(field.dataType)
-
-
-def parse_payload(line: Column, schema: dict, struct: T.StructType) -> Column:
+def parse_payload(schema: dict, struct: T.StructType) -> Column:
     """The one parse of a stream's lines."""
-    return once(parse_json(line, payload_type(schema, struct)))
+    return once(parse_json(payload_type(schema, struct)))
 
 
 def load_records(df: DataFrame, schema: dict, struct: T.StructType) -> DataFrame:
@@ -97,32 +88,27 @@ def load_records(df: DataFrame, schema: dict, struct: T.StructType) -> DataFrame
     ``df`` has the lines of well-formed RECORD messages in ``value``, their ``_pos``, and the result
     of ``parse_payload`` in ``_parsed``.
     """
-    parsed = F.col("_parsed")
-    payload = payload_type(schema, struct)
-    typed = _typed(df, parsed["m"]["record"]["data"], parsed[CORRUPT].isNull(), payload, schema, struct)
-    whole = parse_json(F.col("value"), T.VariantType())["m"]["record"]["data"]
-    unsure = ~F.col("_sure")
     names = _names(struct)
-    exact_row = F.struct(
-        *(c.alias(n) for n, c in zip(names, decode_columns(F.col("_whole"), struct)))
-    )
+    whole = parse_json(T.VariantType())["m"]["record"]["data"]
+    exact = T.StructType([T.StructField(n, f.dataType, True, f.metadata) for n, f in zip(names, struct)])
+    for field, original in zip(exact, struct):
+        field.metadata = {"key": raw_key(original)}
     return (
-        typed.withColumn("_whole", once(F.when(unsure, whole)))
-        .withColumn(
-            "_errors", once(F.when(unsure, record_errors(F.col("_whole"), schema, struct)))
-        )
+        _typed(df, schema, struct)
+        .withColumn("_whole", once(F.when(F.expr("NOT _sure"), whole)))
+        .withColumn("_errors", once(f"if(_sure, NULL, {record_errors('_whole', schema, struct)})"))
         .where(
             require(
-                F.col("_sure") | (F.col("_whole").isNotNull() & (F.size("_errors") == 0)),
-                F.concat(
-                    error_message(F.col("_errors"), F.col("_whole")), F.lit(", "), place(F.col("_pos"))
-                ),
+                "_sure OR (_whole IS NOT NULL AND size(_errors) = 0)",
+                f"concat({error_message('_errors', '_whole')}, ', ', {PLACE})",
             )
         )
-        .select("_sure", *names, once(F.when(unsure, exact_row)).alias("_exact"))
+        .select(
+            "_sure", *names, once(f"if(_sure, NULL, {decode_object('_whole', exact)})").alias("_exact")
+        )
         .select(
             *(
-                F.when(F.col("_sure"), F.col(n)).otherwise(F.col("_exact")[n]).alias(field.name)
+                F.expr(f"if(_sure, {n}, _exact.{n})").alias(field.name)
                 for n, field in zip(names, struct)
             )
         )
@@ -134,36 +120,32 @@ def _names(struct: T.StructType) -> list[str]:
     return [f"_c{i}" for i in range(len(struct))]
 
 
-def _typed(
-    df: DataFrame,
-    data: Column,
-    parsed_well: Column,
-    payload: T.StructType,
-    schema: dict,
-    struct: T.StructType,
-) -> DataFrame:
+def _parsed(key: str) -> str:
+    return "_parsed.m.record.data." + V.name(key)
+
+
+def _typed(df: DataFrame, schema: dict, struct: T.StructType) -> DataFrame:
     """Typed columns and ``_sure``: whether they are surely free of errors."""
-    names = _names(struct)
+    payload = payload_type(schema, struct)
     carriers = {field.name: field.dataType for field in payload}
-    formats = [
-        (name, data.getField(raw_key(field)), field.nullable)
-        for name, field in zip(names, struct)
-        if isinstance(carriers[raw_key(field)], T.StringType)
-    ]
-    typed = df.select(
+    columns, absent, parses = [], [], []
+    for name, field in zip(_names(struct), struct):
+        value, carrier = _parsed(raw_key(field)), carriers[raw_key(field)]
+        if isinstance(carrier, T.StringType):
+            columns.append(f"{V.parse_format(value, field.dataType)} AS {name}")
+            if field.nullable:
+                absent.append(f"{value} IS NULL AS {name}_absent")
+                parses.append(f"({name} IS NOT NULL OR {name}_absent)")
+            else:
+                parses.append(f"({name} IS NOT NULL)")
+        elif isinstance(carrier, T.VariantType):
+            columns.append(f"{decode_value(value, field.dataType)} AS {name}")
+        else:
+            columns.append(f"cast({value} AS {field.dataType.simpleString()}) AS {name}")
+    clean = f"_parsed.{CORRUPT} IS NULL AND _parsed.m.record.data IS NOT NULL"
+    return df.select(
         "value",
         "_pos",
-        once(parsed_well & data.isNotNull() & all_good(data, payload, schema, struct)).alias("_good"),
-        *(
-            _value(data.getField(raw_key(field)), carriers[raw_key(field)], field).alias(name)
-            for name, field in zip(names, struct)
-        ),
-        *(value.isNull().alias(f"{name}_absent") for name, value, nullable in formats if nullable),
-    )
-    parses = [
-        (F.col(name).isNotNull() | F.col(f"{name}_absent")) if nullable else F.col(name).isNotNull()
-        for name, _, nullable in formats
-    ]
-    return typed.select(
-        "value", "_pos", once(all_of([F.col("_good"), *parses])).alias("_sure"), *names
-    )
+        once(f"{clean} AND {all_good(payload, schema, struct)}").alias("_good"),
+        *(F.expr(c) for c in columns + absent),
+    ).select("value", "_pos", once(all_of(["_good", *parses])).alias("_sure"), *_names(struct))

@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions import variants as V
 from millrace.functions.checks import all_of, decode_errors, record_errors, type_ok, value_ok
 from millrace.functions.decoding import decode_value
 from millrace.functions.jsonschema import raw_key, to_struct
-from millrace.functions.variants import child
 from millrace.operators.envelope import once, require
 from millrace.session import enable_time_type
 
 
-def error_message(errors: Column, data: Column) -> Column:
+def error_message(errors: str, data: str) -> str:
     """Text of the first error of a record."""
-    first = F.get(errors, 0)
-    return F.concat(
-        F.coalesce(first["message"], F.lit("invalid record")),
-        F.lit(" at "),
-        F.coalesce(first["path"], F.lit("$")),
-        F.lit(" in data "),
-        F.coalesce(F.to_json(data), F.lit("null")),
+    first = f"get({errors}, 0)"
+    return (
+        f"concat(coalesce({first}.message, 'invalid record'), ' at ', coalesce({first}.path, '$'), "
+        f"' in data ', coalesce(to_json({data}), 'null'))"
     )
 
 
@@ -34,44 +31,24 @@ def validate(
     ``struct`` is the table schema the records go to; without it the one of the JSON Schema.
     """
     struct = struct or to_struct(schema, wide_numbers)
-    enable_time_type(df.sparkSession, struct)
-    data = F.col("data")
-    errors = record_errors(data, schema, struct)
-    good = all_of([type_ok(data, schema), *_columns_ok(struct)])
     return (
-        _with_values(df, struct)
-        .withColumn("_good", once(good))
-        .where(require(F.col("_good"), error_message(errors, data)))
-        .drop("_good", "_values")
+        _judge(df, schema, struct)
+        .withColumn("_errors", once(f"if(_good, NULL, {record_errors('data', schema, struct)})"))
+        .where(require("_good", error_message("_errors", "data")))
+        .drop("_good", "_errors")
     )
 
 
-def _with_values(df: DataFrame, struct: T.StructType) -> DataFrame:
-    """Take the declared values out of the payload once, for the checks and the decode."""
-    values = (child(F.col("data"), raw_key(f)).alias(f"v{i}") for i, f in enumerate(struct))
-    return df.withColumn("_values", once(F.struct(*values)))
-
-
-def _columns_ok(struct: T.StructType) -> list[Column]:
-    return [
-        value_ok(F.col(f"_values.v{i}"), field.dataType, field.nullable)
-        for i, field in enumerate(struct)
-    ]
-
-
 def validation_report(
     df: DataFrame, schema: dict, wide_numbers: bool = False, struct: T.StructType | None = None
 ) -> DataFrame:
     """The same check with the errors as rows: one row per error, next to the record's columns."""
     struct = struct or to_struct(schema, wide_numbers)
-    enable_time_type(df.sparkSession, struct)
-    good = all_of([type_ok(F.col("data"), schema), *_columns_ok(struct)])
     return (
-        _with_values(df, struct)
-        .withColumn("_good", once(good))
-        .where(~F.col("_good"))
-        .drop("_good", "_values")
-        .withColumn("_error", F.explode(record_errors(F.col("data"), schema, struct)))
+        _judge(df, schema, struct)
+        .where("NOT _good")
+        .drop("_good")
+        .withColumn("_error", F.explode(F.expr(record_errors("data", schema, struct))))
         .select("*", "_error.path", "_error.rule", "_error.message")
         .drop("_error")
     )
@@ -79,17 +56,33 @@ def validation_report(
 
 def decode(df: DataFrame, struct: T.StructType) -> DataFrame:
     """The declared columns of each record, typed; a record that does not fit ends the job."""
-    enable_time_type(df.sparkSession, struct)
-    data = F.col("data")
-    message = error_message(decode_errors(data, struct), data)
+    checked = _with_values(df, struct).withColumn("_good", once(all_of(_values_ok(struct))))
+    columns = (
+        F.expr(decode_value(V.name("_values", f"v{i}"), field.dataType)).alias(field.name)
+        for i, field in enumerate(struct)
+    )
     return (
-        _with_values(df, struct)
-        .withColumn("_good", once(all_of(_columns_ok(struct))))
-        .where(require(F.col("_good"), message))
-        .select(
-            *(
-                decode_value(F.col(f"_values.v{i}"), field.dataType).alias(field.name)
-                for i, field in enumerate(struct)
-            )
-        )
+        checked.withColumn("_errors", once(f"if(_good, NULL, {decode_errors('data', struct)})"))
+        .where(require("_good", error_message("_errors", "data")))
+        .select(*columns)
     )
+
+
+def _judge(df: DataFrame, schema: dict, struct: T.StructType) -> DataFrame:
+    """Add ``_good``: whether a record has no error."""
+    good = all_of([type_ok("data", schema), *_values_ok(struct)])
+    return _with_values(df, struct).withColumn("_good", once(good)).drop("_values")
+
+
+def _with_values(df: DataFrame, struct: T.StructType) -> DataFrame:
+    """Take the declared values out of the payload once, for the checks and the decode."""
+    enable_time_type(df.sparkSession, struct)
+    values = (f"'v{i}', {V.child('data', raw_key(f))}" for i, f in enumerate(struct))
+    return df.withColumn("_values", once(f"named_struct({', '.join(values)})"))
+
+
+def _values_ok(struct: T.StructType) -> list[str]:
+    return [
+        value_ok(V.name("_values", f"v{i}"), field.dataType, field.nullable)
+        for i, field in enumerate(struct)
+    ]

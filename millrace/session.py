@@ -31,8 +31,17 @@ def scratch_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="millrace-")
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    file_system, hadoop_path = _file_system(spark, path)
+    return file_system.exists(hadoop_path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder a job made itself, on whatever file system it lies."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system, hadoop_path = _file_system(spark, path)
     file_system.delete(hadoop_path, True)

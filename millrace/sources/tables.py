@@ -14,13 +14,12 @@ import json
 from dataclasses import dataclass, field
 from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.transforms import partition_types
-from millrace.session import enable_time_type
+from millrace.session import enable_time_type, path_exists
 
 MAIN = "main"
 SYNC_ID = "_sync_id"
@@ -79,14 +78,13 @@ def _segment(name: str) -> str:
 
 def read_commits(spark: SparkSession, warehouse: str, idents: list[Identifier]) -> DataFrame:
     """The commit rows of some tables; a table that does not exist is an error."""
-    paths = [f"{table_path(warehouse, ident)}/commits" for ident in idents]
-    try:
-        return spark.read.schema(COMMIT_SCHEMA).json(paths)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        names = ", ".join(str(ident) for ident in idents)
-        raise LookupError(f"Table {names} could not be found.") from error
+    paths = []
+    for ident in idents:
+        path = f"{table_path(warehouse, ident)}/commits"
+        if not path_exists(spark, path):
+            raise LookupError(f"Table {ident} could not be found.")
+        paths.append(path)
+    return spark.read.schema(COMMIT_SCHEMA).json(paths)
 
 
 def last_known(column: str) -> Column:

@@ -134,3 +134,14 @@ def uses_time(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.ArrayType):
         return uses_time(data_type.elementType)
     return isinstance(data_type, T.TimeType)
+
+
+def nullable_type(data_type: T.DataType) -> T.DataType:
+    """The type with every nested value nullable, as Spark reads files."""
+    if isinstance(data_type, T.StructType):
+        return T.StructType(
+            [T.StructField(f.name, nullable_type(f.dataType), True) for f in data_type]
+        )
+    if isinstance(data_type, T.ArrayType):
+        return T.ArrayType(nullable_type(data_type.elementType), True)
+    return data_type

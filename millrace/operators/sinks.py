@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions import variants as V
+from millrace.functions.jsonschema import nullable_type
 from millrace.functions.transforms import partition_columns
+from millrace.operators.envelope import require
 from millrace.session import delete_path, enable_time_type
 from millrace.sources.tables import (
     COMMIT_SCHEMA,
@@ -102,6 +105,11 @@ def overwrite(
 
 def _sink(df, warehouse, ident, branch, mode, shared_state, stream_state) -> Commit | None:
     head = load_head(df.sparkSession, warehouse, ident, branch, missing_branch_ok=True)
+    for field in head.schema:
+        if not field.nullable:
+            name = V.name(field.name)
+            message = V.literal(f"Column {field.name} of table {head.ident} needs a value.")
+            df = df.where(require(f"{name} IS NOT NULL", message))
     written = write_files(df, warehouse, head, branch, mode)
     return commit(df.sparkSession, warehouse, written, shared_state, stream_state)
 
@@ -117,11 +125,13 @@ def write_files(df: DataFrame, warehouse: str, head: Head, branch: str, mode: st
         raise ValueError(f"Sync mode {mode} is invalid.")
     sync_id = uuid.uuid4().hex
     path = f"{table_path(warehouse, head.ident)}/data/{SYNC_ID}={sync_id}"
-    rows = df.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in head.schema))
+    rows = df.select(
+        *(F.col(V.name(f.name)).cast(nullable_type(f.dataType)).alias(f.name) for f in head.schema)
+    )
     partitions = partition_columns(head.schema, head.partition_by)
     if partitions:
         rows = rows.withColumns(partitions)
-        rows = rows.hint("rebalance", *(F.col(f"`{name}`") for name in partitions))
+        rows = rows.hint("rebalance", *(F.col(V.name(name)) for name in partitions))
     counted = Observation()
     try:
         (

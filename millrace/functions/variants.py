@@ -31,6 +31,15 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def bind(value: str, variable: str, body: str) -> str:
+    """``body`` with a variable standing for ``value``.
+
+    For large expressions few rows need: a lambda body is not put into the generated code, where it
+    would make the method too large for the JVM to compile and slow down every row.
+    """
+    return f"get(transform(array({value}), {variable} -> {body}), 0)"
+
+
 def child_path(key: str) -> str:
     """Variant path of one key, whatever characters it has."""
     if "'" not in key:

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import variants as V
-from millrace.functions.checks import all_of, json_type, record_errors, type_ok, value_ok
+from millrace.functions.checks import all_of, json_type, object_ok, record_errors, type_ok, value_ok
 from millrace.functions.decoding import decode_object, decode_value
-from millrace.functions.jsonschema import raw_key, type_list
+from millrace.functions.jsonschema import RAW_KEY, raw_key, type_list
 from millrace.operators.envelope import CORRUPT, PLACE, once, parse_json, require
 from millrace.operators.records import error_message
 
@@ -90,22 +90,24 @@ def load_records(df: DataFrame, schema: dict, struct: T.StructType) -> DataFrame
     """
     names = _names(struct)
     whole = parse_json(T.VariantType())["m"]["record"]["data"]
-    exact = T.StructType([T.StructField(n, f.dataType, True, f.metadata) for n, f in zip(names, struct)])
-    for field, original in zip(exact, struct):
-        field.metadata = {"key": raw_key(original)}
+    exact = T.StructType(
+        [T.StructField(n, f.dataType, True, {RAW_KEY: raw_key(f)}) for n, f in zip(names, struct)]
+    )
+    fits = V.bind("_whole", "w", all_of([type_ok("w", schema), object_ok("w", struct)]))
+    errors = V.bind("_whole", "w", record_errors("w", schema, struct))
+    row = V.bind("_whole", "w", decode_object("w", exact))
     return (
         _typed(df, schema, struct)
         .withColumn("_whole", once(F.when(F.expr("NOT _sure"), whole)))
-        .withColumn("_errors", once(f"if(_sure, NULL, {record_errors('_whole', schema, struct)})"))
+        .withColumn("_fits", once(f"_sure OR (_whole IS NOT NULL AND {fits})"))
+        .withColumn("_errors", once(f"if(_fits, NULL, {errors})"))
         .where(
             require(
-                "_sure OR (_whole IS NOT NULL AND size(_errors) = 0)",
+                "_fits",
                 f"concat({error_message('_errors', '_whole')}, ', ', {PLACE})",
             )
         )
-        .select(
-            "_sure", *names, once(f"if(_sure, NULL, {decode_object('_whole', exact)})").alias("_exact")
-        )
+        .select("_sure", *names, once(f"if(_sure, NULL, {row})").alias("_exact"))
         .select(
             *(
                 F.expr(f"if(_sure, {n}, _exact.{n})").alias(field.name)

@@ -33,7 +33,7 @@ def validate(
     struct = struct or to_struct(schema, wide_numbers)
     return (
         _judge(df, schema, struct)
-        .withColumn("_errors", once(f"if(_good, NULL, {record_errors('data', schema, struct)})"))
+        .withColumn("_errors", once(f"if(_good, NULL, {V.bind('data', 'd', record_errors('d', schema, struct))})"))
         .where(require("_good", error_message("_errors", "data")))
         .drop("_good", "_errors")
     )
@@ -62,7 +62,7 @@ def decode(df: DataFrame, struct: T.StructType) -> DataFrame:
         for i, field in enumerate(struct)
     )
     return (
-        checked.withColumn("_errors", once(f"if(_good, NULL, {decode_errors('data', struct)})"))
+        checked.withColumn("_errors", once(f"if(_good, NULL, {V.bind('data', 'd', decode_errors('d', struct))})"))
         .where(require("_good", error_message("_errors", "data")))
         .select(*columns)
     )

@@ -9,7 +9,10 @@ from millrace.functions.jsonschema import raw_key
 
 
 def decode_value(value: str, data_type: T.DataType, depth: int = 0) -> str:
-    """The column of one value. It has to have passed the checks; a null or missing value is NULL."""
+    """The column of one value; a null or missing value is NULL.
+
+    Nothing is raised here, since decoding may run ahead of the checks, which see every row.
+    """
     if isinstance(data_type, T.NullType):
         return "NULL"
     if isinstance(data_type, T.StructType):
@@ -22,8 +25,8 @@ def decode_value(value: str, data_type: T.DataType, depth: int = 0) -> str:
         return V.parse_format(V.text(value), data_type)
     if isinstance(data_type, T.FloatType):
         # By way of double, so that a decimal is rounded the same way as a double.
-        return f"cast(variant_get({value}, '$', 'double') AS float)"
-    return f"variant_get({value}, '$', '{data_type.simpleString()}')"
+        return f"cast(try_variant_get({value}, '$', 'double') AS float)"
+    return f"try_variant_get({value}, '$', '{data_type.simpleString()}')"
 
 
 def decode_object(value: str, struct: T.StructType, depth: int = 0) -> str:

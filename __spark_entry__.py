@@ -353,7 +353,7 @@ def decode_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_array_of_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrays of objects with null elements, one array per customer of a nation's suppliers' size."""
+    """Arrays of objects with null elements, one array per customer."""
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.array(

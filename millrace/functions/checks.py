@@ -72,6 +72,19 @@ def object_ok(value: str, struct: T.StructType, depth: int = 0) -> str:
     )
 
 
+def is_plain(field: T.StructField, node: dict | None) -> bool:
+    """A scalar whose schema node allows just the type, and null only if, its column does."""
+    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.NullType)):
+        return False
+    if node is None:
+        return True
+    kinds = type_list(node)
+    return (
+        [k for k in kinds if k != "null"] == [json_type(field.dataType)]
+        and ("null" in kinds) == field.nullable
+    )
+
+
 def all_of(conditions: list[str]) -> str:
     """True when every condition is. Unlike a chain of ANDs its generated code is split for wide rows."""
     conditions = [c for c in conditions if c != "true"]

@@ -75,9 +75,9 @@ def is_finite(number: str) -> str:
 
 def is_number(value: str) -> str:
     found, number = kind(value), f"try_variant_get({value}, '$', 'double')"
+    # The first test settles BIGINT and every DECIMAL(p,s) with one look at the value.
     return (
-        f"({found} = 'BIGINT' OR startswith({found}, 'DECIMAL(')"
-        f" OR ({found} = 'DOUBLE' AND {is_finite(number)}))"
+        f"(left({found}, 3) IN ('BIG', 'DEC') OR ({found} = 'DOUBLE' AND {is_finite(number)}))"
     )
 
 

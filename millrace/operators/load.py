@@ -14,26 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import variants as V
-from millrace.functions.checks import all_of, json_type, object_ok, record_errors, type_ok, value_ok
+from millrace.functions.checks import all_of, is_plain, object_ok, record_errors, type_ok, value_ok
 from millrace.functions.decoding import decode_object, decode_value
 from millrace.functions.jsonschema import RAW_KEY, raw_key, type_list
 from millrace.operators.envelope import CORRUPT, PLACE, once, parse_json, require
 from millrace.operators.records import error_message
 
 
-def is_plain(field: T.StructField, node: dict | None) -> bool:
-    """A scalar whose schema node allows just the type, and null only if, its column does."""
-    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.NullType)):
-        return False
-    if node is None:
-        return True
-    kinds = type_list(node)
-    return (
-        [k for k in kinds if k != "null"] == [json_type(field.dataType)]
-        and ("null" in kinds) == field.nullable
-    )
-
-
 def carrier_type(field: T.StructField, node: dict | None) -> T.DataType:
     """What a column's value is parsed as."""
     if is_plain(field, node):

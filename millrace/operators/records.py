@@ -7,9 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import variants as V
-from millrace.functions.checks import all_of, decode_errors, record_errors, type_ok, value_ok
+from millrace.functions.checks import (
+    all_of,
+    decode_errors,
+    is_plain,
+    record_errors,
+    type_condition,
+    type_ok,
+    value_ok,
+)
 from millrace.functions.decoding import decode_value
-from millrace.functions.jsonschema import raw_key, to_struct
+from millrace.functions.jsonschema import raw_key, to_struct, type_list
 from millrace.operators.envelope import once, require
 from millrace.session import enable_time_type
 
@@ -56,7 +64,7 @@ def validation_report(
 
 def decode(df: DataFrame, struct: T.StructType) -> DataFrame:
     """The declared columns of each record, typed; a record that does not fit ends the job."""
-    checked = _with_values(df, struct).withColumn("_good", once(all_of(_values_ok(struct))))
+    checked = _with_values(df, struct).withColumn("_good", once(_values_ok(struct)))
     columns = (
         F.expr(decode_value(V.name("_values", f"v{i}"), field.dataType)).alias(field.name)
         for i, field in enumerate(struct)
@@ -70,7 +78,16 @@ def decode(df: DataFrame, struct: T.StructType) -> DataFrame:
 
 def _judge(df: DataFrame, schema: dict, struct: T.StructType) -> DataFrame:
     """Add ``_good``: whether a record has no error."""
-    good = all_of([type_ok("data", schema), *_values_ok(struct)])
+    nodes = schema.get("properties", {})
+    keys = {raw_key(field) for field in struct}
+    # What the table's columns do not vouch for: that it is an object, and laxer or further properties.
+    rest = [type_condition("d", schema)]
+    for field in struct:
+        node = nodes.get(raw_key(field))
+        if node is not None and not is_plain(field, node):
+            rest.append(type_ok(V.child("d", raw_key(field)), node))
+    rest += [type_ok(V.child("d", k), n) for k, n in nodes.items() if k not in keys and type_list(n)]
+    good = all_of([V.bind("data", "d", all_of(rest)), _values_ok(struct)])
     return _with_values(df, struct).withColumn("_good", once(good)).drop("_values")
 
 
@@ -81,8 +98,8 @@ def _with_values(df: DataFrame, struct: T.StructType) -> DataFrame:
     return df.withColumn("_values", once(f"named_struct({', '.join(values)})"))
 
 
-def _values_ok(struct: T.StructType) -> list[str]:
-    return [
-        value_ok(V.name("_values", f"v{i}"), field.dataType, field.nullable)
-        for i, field in enumerate(struct)
+def _values_ok(struct: T.StructType) -> str:
+    conditions = [
+        value_ok(f"v.v{i}", field.dataType, field.nullable) for i, field in enumerate(struct)
     ]
+    return V.bind("_values", "v", all_of(conditions))

@@ -79,7 +79,11 @@ def resolve_states(
     The GLOBAL shared state goes to every stream. A stream's own state comes from its last STREAM
     message, or from its part of the GLOBAL one if that message had none or never came.
     """
-    body = json.loads(global_line)["state"]["global"] if global_line else {}
+    body = {}
+    if global_line:
+        body = json.loads(global_line)["state"].get("global")
+        if not isinstance(body, dict):
+            raise ValueError(f"Malformed GLOBAL state: {global_line}")
     shared = canonical(body.get("shared_state"))
     parts: dict[Descriptor, object] = {}
     for part in body.get("stream_states") or []:

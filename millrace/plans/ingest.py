@@ -185,7 +185,11 @@ def _load_one(
     written = write_files(rows, warehouse, head, config.branch, stream.mode)
     last = seen.get
     own_lines = {stream.descriptor: last["stream"]} if last["stream"] is not None else {}
-    resolved = resolve_states(last["global"], own_lines, [stream.descriptor])
+    try:
+        resolved = resolve_states(last["global"], own_lines, [stream.descriptor])
+    except ValueError:
+        discard(lines.sparkSession, warehouse, written)
+        raise
     return [written], {stream.ident: resolved[stream.descriptor]}
 
 

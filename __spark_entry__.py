@@ -16,6 +16,19 @@ from pyspark.sql import types as T
 import millrace as m
 from millrace.session import scratch_dir
 
+try:
+    import corpus_pipeline
+    from millrace.llm.queries import QUERIES as LLM_QUERIES
+    from millrace.llm.queries import SQL as LLM_SQL
+except ModuleNotFoundError as missing:
+    # The subpackage and its pipeline are optional; nothing else may be missing.
+    if missing.name not in ("corpus_pipeline", "millrace.llm"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    LLM_SQL = LLM_SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
 INT, INT_OR_NULL = {"type": "integer"}, {"type": ["null", "integer"]}
 NUM, NUM_OR_NULL = {"type": "number"}, {"type": ["number", "null"]}
 TEXT, TEXT_OR_NULL = {"type": "string"}, {"type": ["null", "string"]}
@@ -676,6 +689,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator."""
+    return core_queries() | LLM_QUERIES
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The operators of the loader, all with SQL."""
     functions = [
         append_orders, scan_order, message_kinds, records_and_states, route_streams, load_streams,
         select_streams, unknown_streams, prune_change_columns, keep_change_columns, clean_names,
@@ -738,6 +756,10 @@ def type_counts() -> str:
 
 def oracle_sql() -> dict[str, str]:
     """The SQL each query has to agree with."""
+    return core_sql() | LLM_SQL
+
+
+def core_sql() -> dict[str, str]:
     return {
         "append_orders": ORDERS,
         "append_twice": ORDERS,

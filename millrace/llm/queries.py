@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontamination, ngram_join, packing, secret_scan
+from millrace.llm import chat, decontamination, ngram_join, packing, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontamination.digest(report)
@@ -38,6 +42,6 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op5_decontamination, op7_secret_scan, op9_best_fit_packing, op10_chat_formatting)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op4_toxicity, op5_decontamination, op7_secret_scan, op9_best_fit_packing, op10_chat_formatting)
 }
 SQL: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontamination, ngram_join, packing, secret_scan, toxicity
+from millrace.llm import chat, decontamination, line_dedup, ngram_join, packing, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(report)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -42,6 +46,6 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op4_toxicity, op5_decontamination, op7_secret_scan, op9_best_fit_packing, op10_chat_formatting)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op4_toxicity, op5_decontamination, op6_line_dedup, op7_secret_scan, op9_best_fit_packing, op10_chat_formatting)
 }
 SQL: dict[str, str] = {}

@@ -14,6 +14,7 @@ are hit. Repeated rows are judged each on its own. Columns besides id and text p
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections import defaultdict
 
 import ahocorasick
@@ -28,7 +29,7 @@ from millrace.llm.common import record_batch
 _TABLE = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
-_automata: dict[int, tuple] = {}
+_automata: dict[tuple, tuple] = {}
 
 
 def normalise(text: str | None) -> list[bytes]:
@@ -52,17 +53,18 @@ def _slices(benchmark: DataFrame, id_col: str, text_col: str, window: int, max_p
     context = benchmark.sparkSession.sparkContext
     for part in range(parts):
         own = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).collect()
-        yield context.broadcast([(row.id, row.text) for row in own])
+        yield context.broadcast((uuid.uuid4().hex, [(row.id, row.text) for row in own]))
 
 
 def _automaton(items, window: int) -> tuple[ahocorasick.Automaton, list[str]]:
     """Built once in each Python worker; a window carries its number of words and the places of its items."""
-    key = (items.id if hasattr(items, "id") else id(items), window)
+    name, rows = items.value
+    key = (name, window)
     if key not in _automata:
         owners: dict[bytes, set[int]] = defaultdict(set)
-        ids = sorted({i for i, _ in items.value if i is not None})
+        ids = sorted({i for i, _ in rows if i is not None})
         place = {i: n for n, i in enumerate(ids)}
-        for item, text in items.value:
+        for item, text in rows:
             for words in item_windows(text, window):
                 owners[words].update([place[item]] if item is not None else [])
         automaton = ahocorasick.Automaton()

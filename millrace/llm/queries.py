@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontamination, line_dedup, ngram_join, packing, secret_scan, toxicity
+from millrace.llm import chat, decontamination, line_dedup, lm_scoring, ngram_join, packing, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,6 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op4_toxicity, op5_decontamination, op6_line_dedup, op7_secret_scan, op9_best_fit_packing, op10_chat_formatting)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op4_toxicity, op5_decontamination, op6_line_dedup, op7_secret_scan, op8_lm_scoring, op9_best_fit_packing, op10_chat_formatting)
 }
 SQL: dict[str, str] = {}

@@ -3,12 +3,13 @@
 **Lattice.** A word is a path of pieces of the vocabulary, the first with the word-start mark. All segmentations count:
 a forward recursion in log space sums them to the word's marginal probability. The vocabulary's scores are
 those of the file; as a byte-pair file scores a piece by its rank, a rank becomes the Zipf weight 1 / (rank + 10), and
-the weights are normalised over first and over later pieces. After each piece the word ends with probability
-``STOP``. Characters without a piece are spelled by byte pieces.
+the weights are normalised over first and over later pieces. From these scores, ``ROUNDS`` steps of expectation
+maximisation over all distinct training words weigh the pieces for the corpus; the scores stay as a prior of
+``PRIOR`` pieces. Characters without a piece are spelled by byte pieces.
 
 **Document.** Its tokens are its words (A-Z lower-cased) and one end. The lattice is the base of an absolute-discounted
 unigram model: P(t) = (max(c - D, 0) + D * V * B(t)) / N, with the counts of the training documents, V distinct
-tokens and B the lattice (for the end: ``END``). It sums to one over all token strings. Counts cover all training
+tokens, D from the tokens seen once and twice, and B the lattice (for the end: ``END``). It sums to one over all token strings. Counts cover all training
 rows, crc32(doc_id as text) mod 7 other than 2, and are a table that grows with the corpus.
 
 **Joins.** Words are counted per task before the shuffle. Words with more than N / ``HEAVY`` occurrences, ``HEAVY`` at most,
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -31,29 +32,35 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import LOWER, Scratch, record_batch
 
-DISCOUNT, STOP, END, HEAVY = 0.75, 0.5, 0.002, 1 << 18
+STOP, END, HEAVY = 0.5, 0.002, 1 << 18
+PRIOR, ROUNDS = 1000.0, 2
 FLUSH = 250_000
 MARK = "▁"
-_lattices: dict[str, "Lattice"] = {}
 
 
 def held_out(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 7 == 2
 
 
-class Lattice:
-    """Log weights of first and later pieces, and the marginal probability of a word."""
+class Weights:
+    """Piece weights: of first pieces (without the mark), later pieces and bytes, and the chance that a word ends."""
+
+    def __init__(self, first: dict[str, float], later: dict[str, float], spelled: dict[int, float], stop: float):
+        self.first, self.later, self.spelled, self.stop = first, later, spelled, stop
+        self.key = uuid.uuid4().hex
 
-    def __init__(self, path: str):
+    @classmethod
+    def read(cls, path: str) -> Weights:
+        """The scores of the vocabulary's file."""
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        first, later, self.bytes = {}, {}, {}
+        first, later, spelled = {}, {}, {}
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
             weight = 1 / (10 + max(0.0, -model.get_score(i)))
             if model.is_byte(i):
-                self.bytes[int(piece[3:5], 16)] = weight
+                spelled[int(piece[3:5], 16)] = weight
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 if piece.startswith(MARK):
                     first[piece[1:]] = weight
@@ -61,46 +68,122 @@ class Lattice:
                     later[piece] = weight
         first.setdefault("", 1 / 10)
         for b in range(256):
-            self.bytes.setdefault(b, 1e-6)
-        own, rest = sum(first.values()), sum(later.values()) + sum(self.bytes.values())
-        go, stop = math.log(1 - STOP), math.log(STOP)
-        self.first = {p: math.log(w / own) for p, w in first.items()}
-        self.later = {p: math.log(w / rest) + go for p, w in later.items()}
-        self.bytes = {b: math.log(w / rest) + go for b, w in self.bytes.items()}
-        self.stop = stop
-        self.longest = max(map(len, [*first, *later]))
+            spelled.setdefault(b, 1e-6)
+        return cls(first, later, spelled, STOP)
+
+    def updated(self, counts: dict[str, float], words: float) -> Weights:
+        """The mean of the scores, as ``PRIOR`` pieces of each kind, and expected counts of pieces."""
+        own, rest = sum(self.first.values()), sum(self.later.values()) + sum(self.spelled.values())
+        first = {p: PRIOR * w / own + counts.get(MARK + p, 0.0) for p, w in self.first.items()}
+        later = {p: PRIOR * w / rest + counts.get(p, 0.0) for p, w in self.later.items()}
+        spelled = {b: PRIOR * w / rest + counts.get(f"{MARK * 2}{b}", 0.0) for b, w in self.spelled.items()}
+        more = sum(later.values()) + sum(spelled.values())
+        return Weights(first, later, spelled, (words + PRIOR) / (words + more + PRIOR))
+
+
+class Lattice:
+    """Log probabilities of pieces; marginal probability of a word, and the expected pieces of its segmentations."""
+
+    def __init__(self, weights: Weights):
+        own = sum(weights.first.values())
+        rest = sum(weights.later.values()) + sum(weights.spelled.values())
+        go = math.log(1 - weights.stop)
+        self.first = {p: math.log(w / own) for p, w in weights.first.items()}
+        self.later = {p: math.log(w / rest) + go for p, w in weights.later.items()}
+        self.bytes = {b: math.log(w / rest) + go for b, w in weights.spelled.items()}
+        self.stop = math.log(weights.stop)
+        self.longest = max(map(len, [*self.first, *self.later]))
 
     def spelled(self, char: str) -> float:
         return sum(self.bytes[b] for b in char.encode("utf-8", "surrogatepass"))
 
-    def log_probability(self, word: str) -> float:
-        """Natural log of the sum over all segmentations."""
-        n, first, later, longest = len(word), self.first, self.later, self.longest
-        alpha: list[float] = []
-        for end in range(n + 1):
-            terms = [first[word[:end]]] if end <= longest and word[:end] in first else []
+    def edges(self, word: str) -> list[list[tuple[int, float]]]:
+        """For each end, the (begin, weight) of its pieces; begin -1 is a first piece."""
+        first, later, longest = self.first, self.later, self.longest
+        out = []
+        for end in range(len(word) + 1):
+            own = []
+            if end <= longest and word[:end] in first:
+                own.append((-1, first[word[:end]]))
             for begin in range(max(0, end - longest), end):
                 weight = later.get(word[begin:end])
-                if weight is None:
-                    if begin + 1 < end:
-                        continue
-                    weight = self.spelled(word[begin])  # no piece for this character
-                if alpha[begin] > -math.inf:
-                    terms.append(alpha[begin] + weight)
-            if not terms:
-                alpha.append(-math.inf)
-            elif len(terms) == 1:
-                alpha.append(terms[0])
+                if weight is not None:
+                    own.append((begin, weight))
+                elif begin + 1 == end:
+                    own.append((begin, self.spelled(word[begin])))  # no piece for this character
+            out.append(own)
+        return out
+
+    @staticmethod
+    def forward(edges) -> list[float]:
+        """Log of the summed probability of all ways to each place."""
+        alpha: list[float] = []
+        for own in edges:
+            terms = [w if b < 0 else alpha[b] + w for b, w in own if b < 0 or alpha[b] > -math.inf]
+            if len(terms) < 2:
+                alpha.append(terms[0] if terms else -math.inf)
             else:
                 top = max(terms)
                 alpha.append(top + math.log(sum([math.exp(t - top) for t in terms])))
-        return alpha[n] + self.stop
+        return alpha
 
+    def log_probability(self, word: str) -> float:
+        """Natural log of the sum over all segmentations."""
+        return self.forward(self.edges(word))[-1] + self.stop
+
+    def expect(self, word: str, counts: dict[str, float]) -> None:
+        """Add the word's expected pieces, by a backward pass over the same lattice."""
+        edges = self.edges(word)
+        alpha = self.forward(edges)
+        share = [0.0] * len(edges)  # of the paths through each place
+        share[-1] = 1.0
+        for end in range(len(edges) - 1, -1, -1):
+            if not share[end]:
+                continue
+            for begin, weight in edges[end]:
+                if begin < 0:
+                    counts[MARK + word[:end]] += share[end] * math.exp(weight - alpha[end])
+                elif alpha[begin] > -math.inf:
+                    part = share[end] * math.exp(alpha[begin] + weight - alpha[end])
+                    share[begin] += part
+                    if word[begin:end] in self.later:
+                        counts[word[begin:end]] += part
+                    else:
+                        for b in word[begin].encode("utf-8", "surrogatepass"):
+                            counts[f"{MARK * 2}{b}"] += part
 
-def lattice(path: str) -> Lattice:
-    if path not in _lattices:
-        _lattices[path] = Lattice(path)
-    return _lattices[path]
+
+_lattices: dict[str, Lattice] = {}
+
+
+def lattice(weights: Weights) -> Lattice:
+    """Built once in each worker."""
+    if weights.key not in _lattices:
+        _lattices.clear()
+        _lattices[weights.key] = Lattice(weights)
+    return _lattices[weights.key]
+
+
+def reweighed(counted: DataFrame, weights: Weights) -> Weights:
+    """One step of expectation maximisation over all distinct training words.
+
+    Tasks send a row for each piece of the vocabulary at most, and so does the sum to the driver.
+    """
+    shared = counted.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches):
+        own, counts, words = lattice(shared.value), defaultdict(float), 0
+        for batch in batches:
+            for word in batch.column(0).to_pylist():
+                own.expect(word.decode("utf-8", "surrogatepass"), counts)
+                words += 1
+        counts["\n"] = float(words)
+        yield record_batch(piece=pa.array(list(counts), pa.string()), n=pa.array(list(counts.values()), pa.float64()))
+
+    sums = counted.where("c > 0").select("word").mapInArrow(run, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+    found = {row.piece: row.n for row in sums.collect()}
+    words = found.pop("\n", 0.0)
+    return weights.updated(found, words)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -137,8 +220,9 @@ def word_counts(df: DataFrame) -> DataFrame:
 class Totals:
     """What the formulas need besides a token's count."""
 
-    def __init__(self, tokens: int, kinds: int, ends: int):
-        self.tokens, self.kinds, self.ends = tokens, kinds, ends
+    def __init__(self, tokens: int, kinds: int, once: int, twice: int):
+        self.tokens, self.kinds = tokens, kinds
+        self.discount = once / (once + 2 * twice) if once and twice else 0.75
 
     def base(self, c: float) -> float:
         return math.log10((c + 1) / (self.tokens + self.kinds + 1))
@@ -147,15 +231,20 @@ class Totals:
         """log10 of the discounted probability; the base's natural log may lie below what a double can hold."""
         if not self.tokens:
             return base_probability_log / math.log(10)
-        rest = base_probability_log + math.log(DISCOUNT * self.kinds / self.tokens)
-        if c > DISCOUNT:
-            own = math.log((c - DISCOUNT) / self.tokens)
+        rest = base_probability_log + math.log(self.discount * self.kinds / self.tokens)
+        if c > self.discount:
+            own = math.log((c - self.discount) / self.tokens)
             rest = max(own, rest) + math.log1p(math.exp(-abs(own - rest)))
         return rest / math.log(10)
 
 
 def score(
-    docs: DataFrame, vocabulary: str | None = None, heavy: int = HEAVY, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    vocabulary: str | None = None,
+    heavy: int = HEAVY,
+    rounds: int = ROUNDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score). The vocabulary's path is a parameter."""
     vocabulary = vocabulary or public_tokenizers.path("piece_bpe_32k.model")
@@ -163,11 +252,17 @@ def score(
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(id_col).alias("held"))
     counted = scratch.keep(word_counts(df))
     ends = df.where("NOT held").count()
-    sums = counted.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    totals = Totals((sums.n or 0) + ends, sums.v + (ends > 0), ends)
+    kinds = [F.count_if(F.col("c") > 0).alias("v"), *[F.count_if(F.col("c") == k).alias(f"v{k}") for k in (1, 2)]]
+    sums = counted.agg(F.sum("c").alias("n"), *kinds).first()
+    totals = Totals((sums.n or 0) + ends, sums.v + (ends > 0), sums.v1, sums.v2)
+
+    weights = Weights.read(vocabulary)
+    for _ in range(rounds):
+        weights = reweighed(counted, weights)
+    pieces = context.broadcast(weights)
 
     def weigh(batches):
-        own = lattice(vocabulary)
+        own = lattice(pieces.value)
         for batch in batches:
             base, model = [], []
             for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

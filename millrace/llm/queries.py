@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat, decontamination, line_dedup, lm_scoring, nearest, ngram_join, packing, secret_scan, toxicity
+from millrace.llm import chat, decontamination, line_dedup, lm_scoring, nearest, ngram_join, packing, pii, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -55,6 +59,6 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op2_nearest_neighbours, op4_toxicity, op5_decontamination, op6_line_dedup, op7_secret_scan, op8_lm_scoring, op9_best_fit_packing, op10_chat_formatting)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op2_nearest_neighbours, op3_pii, op4_toxicity, op5_decontamination, op6_line_dedup, op7_secret_scan, op8_lm_scoring, op9_best_fit_packing, op10_chat_formatting)
 }
 SQL: dict[str, str] = {}

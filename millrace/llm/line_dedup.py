@@ -272,3 +272,9 @@ def digest(deduped: DataFrame) -> DataFrame:
     """Per document: lines removed, lines left and a checksum of the text that is left."""
     text = F.coalesce("text", F.lit(""))
     return deduped.select("doc_id", F.col("_removed").alias("n_removed"), F.length(text).cast("long").alias("n_chars_left"), F.sha2(text, 256).alias("text_sha256"))
+
+
+def with_lengths(deduped: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``length_col`` set to the text's length in the rows that lost lines; other rows keep theirs."""
+    changed = F.when(F.col("_removed") > 0, F.length(text_col)).otherwise(F.col(length_col))
+    return deduped.withColumn(length_col, changed.cast(deduped.schema[length_col].dataType))

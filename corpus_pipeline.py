@@ -8,11 +8,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, packing
+from millrace.llm import decontamination, line_dedup, ngram_join, packing, toxicity
 from millrace.llm.common import Scratch
 
 
-def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored as toxic go. The network learns from labelled rows of the documents given."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, labels))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that match an earlier line go; documents stay, and ``n_chars`` follows the text."""
+    return line_dedup.with_lengths(line_dedup.dedup_lines(docs)).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents stays."""
+    return ngram_join.drop_near_copies(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a word inside any window of a test item go."""
     return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -23,7 +39,10 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
-    ("benchmark decontamination", benchmark_decontamination),
+    ("toxicity", drop_toxic),
+    ("line dedup", dedup_lines),
+    ("n-gram jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
     ("best-fit packing", best_fit_packing),
 ]
 # Tokenizers and a trained network are no SQL; tests hold the stages against brute force.

@@ -7,6 +7,7 @@ from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,6 +161,33 @@ def list_array(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat).cast(kind))
 
 
+BUCKET_BITS = 18
+
+
+def bucket_of(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes >> np.uint64(24)) & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
+
+
+def bucket_counts(df: DataFrame, hashes_of) -> np.ndarray:
+    """Occurrences of all hashes by bucket: a table of 2^18 numbers, whatever the input's size.
+
+    ``hashes_of`` gives the hashes of a record batch. Each task sends a row for each bucket at most.
+    """
+
+    def run(batches):
+        table = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+        for batch in batches:
+            for hashes in hashes_of(batch):
+                table += np.bincount(bucket_of(hashes), minlength=len(table))
+        full = np.flatnonzero(table)
+        yield record_batch(bucket=pa.array(full.astype(np.int32)), n=pa.array(table[full]))
+
+    table = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+    for row in df.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        table[row.bucket] = row.n
+    return table
+
+
 class IdFilter:
     """A bit map of ids, of fixed size: it lets every given id pass, and few others while they are few.
 
@@ -180,32 +208,35 @@ class IdFilter:
             table[word.w] = word.b
         self.bits, self.table = bits, ids.sparkSession.sparkContext.broadcast(table)
 
-    def places(self, df: DataFrame, column: str, name: str) -> DataFrame:
-        return df.withColumn(name, F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << self.bits)))
-
-    def split(self, df: DataFrame, column: str) -> DataFrame:
-        """Add ``_hit``: false only for ids that are surely not among the given ones."""
+    def parts(self, df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+        """The rows that may have a given id, and those that surely have none."""
         table = self.table
 
         @F.pandas_udf("boolean")
         def hit(places):
-            p = places.to_numpy()
-            import pandas as pd
-
-            return pd.Series((table.value[p >> 5] >> (p & 31)) & 1 == 1)
+            place = places.to_numpy()
+            return pd.Series((table.value[place >> 5] >> (place & 31)) & 1 == 1)
 
         place = F.pmod(F.xxhash64(F.coalesce(F.col(column).cast("long"), F.lit(0))), F.lit(1 << self.bits))
-        return df.withColumn("_hit", hit(place))
+        return df.where(hit(place)), df.where(~hit(place))
+
+
+def free_name(name: str, *frames: DataFrame) -> str:
+    """The name, with underscores as long as some frame has it."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """Connected components of ``edges`` (u, v): rows (id, component), the component being its smallest id.
+    """Connected components of ``edges`` (u, v), a kept table: rows (id, component), the component being its smallest id.
 
     Each round every node hooks to its smallest neighbour, chains are shortened by pointer jumping, and
     the edges are contracted to the roots, so the nodes left are at least halved per round.
     """
     spark = edges.sparkSession
-    edges = scratch.keep(edges.where("u <> v").select("u", "v").distinct())
+    edges = edges.where("u <> v").select("u", "v")
     labels = None
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    IdFilter, Scratch, bucket_counts, bucket_of, hash_words, mix, record_batch, signed, text_chunks,
+    IdFilter, Scratch, bucket_counts, bucket_of, free_name, hash_words, mix, record_batch, signed, text_chunks,
 )
 
 NUM, DEN, LEAST = 80, 100, 8
+REMOVED = "_removed"
 FIRST = 3  # candidates of a line and token in the first round
 SKETCH_BITS = 48
 
@@ -221,8 +222,8 @@ def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, num: int, den
     ends = [pairs.select(F.col(f"doc_{k}").alias("doc_id"), F.col(f"line_{k}").alias("line")) for k in "xy"]
     wanted = ends[0].unionByName(ends[1])
     wanted = scratch.keep(wanted.groupBy("doc_id").agg(F.collect_set("line").alias("wanted")))
-    hit = IdFilter(wanted, "doc_id").split(docs, "doc_id").where("_hit").select("doc_id", "text")
-    own = hit.join(wanted, "doc_id")
+    hit, _ = IdFilter(wanted, "doc_id").parts(docs, "doc_id")
+    own = hit.select("doc_id", "text").join(wanted, "doc_id")
 
     def run(batches):
         for batch in batches:
@@ -254,18 +255,20 @@ def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, num: int, den
 
 
 def dedup_lines(docs: DataFrame, num: int = NUM, den: int = DEN, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the later matches taken out of the text; all rows and columns stay, and ``_removed`` counts the lines."""
+    """``docs`` with the later matches taken out of the text; all rows and columns stay, and ``_removed`` counts the lines
+    (``_removed_`` where the input has that name)."""
     scratch = Scratch(docs.sparkSession)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    gone = removed_lines(named, num, den, least).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("_gone"))
-    gone = scratch.keep(gone.withColumnRenamed("doc_id", "_id"))
-    marked = IdFilter(gone, "_id").split(docs, id_col)
-    kept = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    hit = marked.where("_hit").join(gone, F.col(id_col) == F.col("_id"), "left")
-    hit = hit.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("_removed"))
-    rest = marked.where("NOT _hit").select(*docs.columns, F.lit(0).cast("long").alias("_removed"))
-    return rest.unionByName(hit)
+    gone = removed_lines(named, num, den, least).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+    name, lines, removed = (free_name(n, docs) for n in ("_id", "_lines", REMOVED))
+    gone = scratch.keep(gone.select(F.col("doc_id").alias(name), F.col("lines").alias(lines)))
+    maybe, rest = IdFilter(gone, name).parts(docs, id_col)
+    kept = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.array_contains(lines, i))
+    text = F.when(F.col(lines).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    hit = maybe.join(gone, F.col(id_col) == F.col(name), "left")
+    count = F.when(F.col(lines).isNull(), 0).otherwise(F.size(F.col(lines))).cast("long")
+    hit = hit.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], count.alias(removed))
+    return rest.withColumn(removed, F.lit(0).cast("long")).unionByName(hit)
 
 
 def digest(deduped: DataFrame) -> DataFrame:

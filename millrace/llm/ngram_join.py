@@ -12,10 +12,15 @@ unless both have more empty blocks than the slack, not empty. So a linked pair m
 block's value of set bits). The few sets beyond the slack, mostly tiny ones, also have the shingles of their
 prefix as keys: of two such sets that are linked, the prefixes meet.
 
+**Frequent shingles.** A block with a single shingle that thousands of documents hold is a poor key. Occurrences are
+counted over all documents in a table of fixed size, and shingles of far too full buckets are left out of the
+blocks. That keeps the bound, as the difference of the smaller sets is no larger; a prefix takes them last.
+
 **Verify.** Sets that are equal are one class first, so copies never meet under a key. Under a key, members are held
-against one pivot, the member that shares most keys with others, and the pairs' exact similarity is computed. Found
+against one pivot, the member that shares most keys with others. A pair whose small parity sketches (2 to 4 bits
+for each shingle) are too far apart is no link; of the others the exact similarity is computed. Found
 links are contracted to components. Keys whose members are all in one component are done; under others,
-1, 2, 4, ... further pivots are held against the members of other components, until none are left. Nothing is
+7, 56, ... further pivots are held against the members of other components, until none are left. Nothing is
 capped; pairs within a component already known are never formed.
 
 Defined results: null and empty texts have no shingles and are linked with nothing. Repeated rows (also with equal
@@ -31,9 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import IdFilter, Scratch, components, list_array, mix, record_batch, shingle_sets, signed
+from millrace.llm.common import (
+    IdFilter, Scratch, bucket_counts, bucket_of, components, free_name, list_array, mix, record_batch, shingle_sets, signed,
+)
 
 NUM, DEN = 80, 100
+GROWTH = 8  # of the number of pivots per key, round by round
 
 
 @lru_cache(maxsize=8)
@@ -62,6 +70,8 @@ def bands(num: int = NUM, den: int = DEN, largest: int = 1 << 34) -> list[tuple[
 
 def band_keys(shingles: np.ndarray, band: int, blocks: int, slack: int) -> tuple[np.ndarray, bool]:
     """The keys of a set in a band, and whether it has more empty blocks than the slack."""
+    if not len(shingles):
+        return shingles, blocks > slack
     block = (shingles >> np.uint64(20)) % np.uint64(blocks)
     order = np.argsort(block, kind="stable")
     block, places = block[order], mix(shingles[order] ^ np.uint64(0x9E3779B97F4A7C15))
@@ -71,43 +81,64 @@ def band_keys(shingles: np.ndarray, band: int, blocks: int, slack: int) -> tuple
     return mix(values ^ mix(full + np.uint64(band << 40))), blocks - len(full) > slack
 
 
-def set_keys(shingles: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
+def set_keys(shingles: np.ndarray, num: int = NUM, den: int = DEN, frequent: np.ndarray | None = None) -> np.ndarray:
+    often = frequent[bucket_of(shingles)] if frequent is not None else np.zeros(len(shingles), dtype=bool)
+    rare = shingles[~often]
     n, keys, sparse = len(shingles), [], False
     for i, (low, high, blocks, slack) in enumerate(bands(num, den)):
         if low <= n <= high:
-            own, beyond = band_keys(shingles, i, blocks, slack)
+            own, beyond = band_keys(rare, i, blocks, slack)
             keys.append(own)
             sparse |= beyond
     if sparse:
         prefix = n - -(-n * num // den) + 1
-        keys.append(mix(shingles[:prefix] ^ np.uint64(0xD1B54A32D192ED03)))
+        keys.append(mix(np.concatenate([rare, shingles[often]])[:prefix] ^ np.uint64(0xD1B54A32D192ED03)))
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
-SKETCH = "doc_id {id}, n_shingles long, h1 long, h2 long, keys array<long>"
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Sketch of 2 to 4 bits for each shingle, a power of two of 64-bit words; halves XOR to the smaller sketch."""
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    place = ((shingles >> np.uint64(7)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
+def _apart(u: str, v: str) -> str:
+    """SQL for the Hamming distance of two sketches; of two sizes, the larger is folded."""
+    fold = "zip_with(slice({0}, 1, shiftright(size({0}), 1)), slice({0}, shiftright(size({0}), 1) + 1, shiftright(size({0}), 1)), (a, b) -> a ^ b)"
+    one = lambda x, y: f"IF(size({x}) > size({y}), {fold.format(x)}, {x})"
+    return f"aggregate(zip_with({one(u, v)}, {one(v, u)}, (a, b) -> bit_count(a ^ b)), 0, (s, n) -> s + n)"
+
+
+SKETCH = "doc_id {id}, n_shingles long, h1 long, h2 long, bits array<long>, keys array<long>"
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int) -> DataFrame:
-    """Size, two digests of the set, and its keys; a class met before in the same batch leaves its keys out."""
+    """Size, two digests of the set, its small sketch and its keys; a class met before in the same batch leaves its keys out."""
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    counts = bucket_counts(df.select("text"), lambda batch: (s for _, s in shingle_sets(batch.column(0), size)))
+    frequent = df.sparkSession.sparkContext.broadcast(counts > 2 * counts.mean() + 1000)
 
     def run(batches):
         for batch in batches:
-            n, h1, h2, keys, seen = [], [], [], [], set()
+            n, h1, h2, bits, keys, seen = [], [], [], [], [], set()
             for _, shingles in shingle_sets(batch.column(1), size):
                 a = int(mix(shingles).sum(dtype=np.uint64))
                 b = int(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
                 n.append(len(shingles))
+                bits.append(parities(shingles))
                 h1.append(a)
                 h2.append(b)
                 new = (a, b) not in seen
                 seen.add((a, b))
-                keys.append(set_keys(shingles, num, den) if new else np.zeros(0, np.uint64))
+                keys.append(set_keys(shingles, num, den, frequent.value) if new else np.zeros(0, np.uint64))
             yield record_batch(
                 doc_id=batch.column(0),
                 n_shingles=pa.array(n, pa.int64()),
                 h1=pa.array(np.array(h1, dtype=np.uint64).view(np.int64)),
                 h2=pa.array(np.array(h2, dtype=np.uint64).view(np.int64)),
+                bits=list_array(bits, pa.int64()),
                 keys=list_array([signed(k) for k in keys], pa.int64()),
             )
 
@@ -149,14 +180,14 @@ def ngram_components(
     """Rows (doc_id, n_shingles, component_id): sets are linked when den * |A & B| >= num * |A | B|."""
     scratch = Scratch(docs.sparkSession)
     sketched = scratch.keep(sketches(docs, id_col, text_col, size, num, den))
-    digests = sketched.select("doc_id", "n_shingles", "h1", "h2")
-    classes = (
-        digests.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    )
-    shared = scratch.keep(shared_keys(sketched.where("size(keys) > 0").select(F.explode("keys").alias("key"), "h1")))
+    digests = scratch.keep(sketched.select("doc_id", "n_shingles", "h1", "h2"))
+    owners = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    classes = owners.groupBy("h1", "h2", "n_shingles").agg(F.min_by("bits", "doc_id").alias("bits"), F.min("doc_id").alias("rep"))
     classes = scratch.keep(classes)
+    shared = scratch.keep(shared_keys(sketched.where("size(keys) > 0").select(F.explode("keys").alias("key"), "h1")))
+    scratch.drop(sketched)
     links = class_links(docs, scratch, classes, shared, size, num, den, id_col, text_col)
-    found = digests.join(classes.join(links, F.col("rep") == F.col("id"), "left"), ["h1", "h2", "n_shingles"], "left")
+    found = digests.join(classes.drop("bits").join(links, F.col("rep") == F.col("id"), "left"), ["h1", "h2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "rep", "doc_id"))
     return found.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"))
 
@@ -168,34 +199,45 @@ def class_links(docs, scratch, classes, shared, size, num, den, id_col, text_col
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     weights = members.join(sizes, "key").groupBy("rep").agg(F.sum("n").alias("weight"))
     members = scratch.keep(members.join(weights, "rep"))
-    ids = members.select("rep").distinct()
-    near = IdFilter(ids, "rep").split(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id")
-    near = near.where("_hit").join(ids, F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
-
-    def sets(batches):
-        for batch in batches:
-            found = [signed(s) for _, s in shingle_sets(batch.column(1), size)]
-            yield record_batch(rep=batch.column(0), shingles=list_array(found, pa.int64()))
+    bits_of = classes.select("rep", F.col("n_shingles").alias("n"), "bits")
 
-    kind = near.schema["doc_id"].dataType.simpleString()
-    sets_of = scratch.keep(near.select("doc_id", "text").mapInArrow(sets, f"rep {kind}, shingles array<long>"))
+    def near(pairs: DataFrame) -> DataFrame:
+        """The pairs whose sketches are near enough."""
+        left, right = (bits_of.select(*[F.col(c).alias(f"{c}_{s}") for c in bits_of.columns]) for s in "uv")
+        found = pairs.join(left, F.col("u") == F.col("rep_u")).join(right, F.col("v") == F.col("rep_v"))
+        most = (F.col("n_u") + F.col("n_v")) * (den - num)
+        return found.where(F.expr(_apart("bits_u", "bits_v")) * (den + num) <= most).select("u", "v")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        pairs = scratch.keep(near(pairs))
+        ids = pairs.select(F.explode(F.array("u", "v")).alias("rep")).distinct()
+        texts, _ = IdFilter(ids, "rep").parts(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id")
+        texts = texts.join(ids, F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
+
+        def sets(batches):
+            for batch in batches:
+                found = [signed(s) for _, s in shingle_sets(batch.column(1), size)]
+                yield record_batch(rep=batch.column(0), shingles=list_array(found, pa.int64()))
+
+        kind = texts.schema["doc_id"].dataType.simpleString()
+        sets_of = scratch.keep(texts.select("doc_id", "text").mapInArrow(sets, f"rep {kind}, shingles array<long>"))
         left = sets_of.select(F.col("rep").alias("u"), F.col("shingles").alias("su"))
         right = sets_of.select(F.col("rep").alias("v"), F.col("shingles").alias("sv"))
         both = F.size(F.array_intersect("su", "sv"))
         either = F.size("su") + F.size("sv") - F.col("both")
         found = pairs.join(left, "u").join(right, "v").withColumn("both", both)
-        return found.where(F.col("both") * den >= either * num).select("u", "v")
+        found = scratch.keep(found.where(F.col("both") * den >= either * num).select("u", "v"))
+        scratch.drop(sets_of)
+        return found
 
     fits = (F.col("a") * den >= F.col("b") * num) & (F.col("b") * den >= F.col("a") * num)
     pivots = members.groupBy("key").agg(F.max(F.struct("weight", -F.col("rep"), "n_shingles")).alias("p"))
     pivots = pivots.select("key", (-F.col("p")["col2"]).alias("pivot"), F.col("p.n_shingles").alias("a"))
     star = members.join(pivots, "key").where("rep <> pivot").withColumn("b", F.col("n_shingles")).where(fits)
-    pairs = star.select(F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v")).distinct()
-    links = scratch.keep(verified(pairs))
+    pairs = scratch.keep(star.select(F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v")).distinct())
+    links = verified(pairs)
     linked = components(links, scratch)
-    tested = scratch.keep(pairs)
+    tested = pairs
     per_key = Window.partitionBy("key").orderBy(F.desc("weight"), "rep")
     open_members, done = members, 1  # members before ``done`` in weight order have been pivots
     while True:
@@ -207,16 +249,16 @@ def class_links(docs, scratch, classes, shared, size, num, den, id_col, text_col
         if open_members.isEmpty():
             return linked
         ranked = open_members.withColumn("rank", F.row_number().over(per_key))
-        pivots = ranked.where((F.col("rank") > done) & (F.col("rank") <= 2 * done)).select(
+        pivots = ranked.where((F.col("rank") > done) & (F.col("rank") <= GROWTH * done)).select(
             "key", F.col("rep").alias("pivot"), F.col("rank").alias("at"), F.col("n_shingles").alias("a"), F.col("component").alias("c")
         )
         held = ranked.withColumn("b", F.col("n_shingles")).join(pivots, "key")
         held = held.where((F.col("rank") > F.col("at")) & (F.col("component") != F.col("c")) & fits)
         pairs = held.select(F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v")).distinct()
         pairs = scratch.keep(pairs.join(tested, ["u", "v"], "left_anti"))
-        done *= 2
+        done *= GROWTH
         if not pairs.isEmpty():
-            found = scratch.keep(verified(pairs))
+            found = verified(pairs)
             if not found.isEmpty():
                 links = scratch.keep(links.unionByName(found))
                 linked = components(links, scratch)
@@ -227,7 +269,8 @@ def drop_near_copies(docs: DataFrame, size: int = 5, id_col: str = "doc_id", tex
     """One document of each group of near copies stays: the one with the smallest id. Columns as they are."""
     scratch = Scratch(docs.sparkSession)
     found = ngram_components(docs, size, id_col=id_col, text_col=text_col)
-    later = scratch.keep(found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_id")).distinct())
-    marked = IdFilter(later, "_id").split(docs, id_col)
-    maybe = marked.where("_hit").drop("_hit").join(later, F.col(id_col) == F.col("_id"), "left_anti")
-    return marked.where("NOT _hit").drop("_hit").unionByName(maybe)
+    name = free_name("_id", docs)
+    later = found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias(name)).distinct()
+    later = scratch.keep(later)
+    maybe, rest = IdFilter(later, name).parts(docs, id_col)
+    return rest.unionByName(maybe.join(later, F.col(id_col) == F.col(name), "left_anti"))

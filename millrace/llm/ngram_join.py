@@ -209,7 +209,6 @@ def class_links(docs, scratch, classes, shared, size, num, den, id_col, text_col
         return found.where(F.expr(_apart("bits_u", "bits_v")) * (den + num) <= most).select("u", "v")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = scratch.keep(near(pairs))
         ids = pairs.select(F.explode(F.array("u", "v")).alias("rep")).distinct()
         texts, _ = IdFilter(ids, "rep").parts(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id")
         texts = texts.join(ids, F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
@@ -235,7 +234,7 @@ def class_links(docs, scratch, classes, shared, size, num, den, id_col, text_col
     pivots = pivots.select("key", (-F.col("p")["col2"]).alias("pivot"), F.col("p.n_shingles").alias("a"))
     star = members.join(pivots, "key").where("rep <> pivot").withColumn("b", F.col("n_shingles")).where(fits)
     pairs = scratch.keep(star.select(F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v")).distinct())
-    links = verified(pairs)
+    links = verified(scratch.keep(near(pairs)))
     linked = components(links, scratch)
     tested = pairs
     per_key = Window.partitionBy("key").orderBy(F.desc("weight"), "rep")
@@ -248,12 +247,15 @@ def class_links(docs, scratch, classes, shared, size, num, den, id_col, text_col
         open_members = scratch.keep(labelled.join(mixed, "key"))
         if open_members.isEmpty():
             return linked
-        ranked = open_members.withColumn("rank", F.row_number().over(per_key))
+        ranked = open_members.withColumn("rank", F.row_number().over(per_key)).join(bits_of.select("rep", "bits"), "rep")
         pivots = ranked.where((F.col("rank") > done) & (F.col("rank") <= GROWTH * done)).select(
-            "key", F.col("rep").alias("pivot"), F.col("rank").alias("at"), F.col("n_shingles").alias("a"), F.col("component").alias("c")
+            "key", F.col("rep").alias("pivot"), F.col("rank").alias("at"), F.col("n_shingles").alias("a"), F.col("component").alias("c"),
+            F.col("bits").alias("bits_p"),
         )
         held = ranked.withColumn("b", F.col("n_shingles")).join(pivots, "key")
-        held = held.where((F.col("rank") > F.col("at")) & (F.col("component") != F.col("c")) & fits)
+        other = (F.col("rank") > F.col("at")) & (F.col("component") != F.col("c"))
+        far = F.expr(_apart("bits", "bits_p")) * (den + num) > (F.col("a") + F.col("b")) * (den - num)
+        held = held.where(other & fits & ~far)
         pairs = held.select(F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v")).distinct()
         pairs = scratch.keep(pairs.join(tested, ["u", "v"], "left_anti"))
         done *= GROWTH

@@ -541,8 +541,12 @@ def partition_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partition_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = partitioned(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"], {"o_custkey": "bucket[4]"})
-    return rows.select(
-        "o_orderkey", "o_custkey", F.col("_p_o_custkey_bucket").between(0, 3).alias("in_range")
+    bucket = F.col("_p_o_custkey_bucket")
+    return rows.where(bucket.between(0, 3)).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("o_custkey").alias("n_keys"),
+        F.countDistinct("o_custkey", bucket).alias("n_key_buckets"),
+        F.countDistinct(bucket).alias("n_buckets"),
     )
 
 
@@ -682,6 +686,59 @@ def streaming_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(m.read_table(spark, f"{root}/warehouse", "default.events"))
 
 
+def streaming_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States come in files of their own, after the records; the size of micro-batches makes no difference."""
+    events, root, source = table(spark, sf_dir, "events"), scratch_dir(spark), catalog(stream("events"))
+    for k in range(3):
+        part = events.where(F.col("event_id") % 3 == k)
+        m.to_messages(part, "events").coalesce(1).write.mode("append").text(f"{root}/in")
+        last = part.agg(F.max("event_id").alias("event_id"), F.count(F.lit(1)).alias("n")).coalesce(1)
+        m.to_stream_states(last, F.struct("event_id", "n"), "events").write.mode("append").text(f"{root}/in")
+    rows = []
+    for batch, files in (("one file", 1), ("all files", None)):
+        warehouse = f"{root}/{files}"
+        m.ingest_stream(
+            spark, f"{root}/in", warehouse, source, f"{warehouse}-checkpoint", max_files_per_trigger=files
+        ).awaitTermination()
+        state = m.generate_state(spark, warehouse, source)[0]["stream"]["stream_state"]
+        loaded_rows = m.read_table(spark, warehouse, "default.events").count()
+        rows.append((state["event_id"], state["n"], loaded_rows, batch))
+    return spark.createDataFrame(rows, "event_id long, n long, loaded long, batch string")
+
+
+def append_null_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table may have a column of the null type."""
+    warehouse = scratch_dir(spark)
+    df = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int"), "c_name", F.lit(None).alias("nothing"))
+    required = T.StructType([T.StructField(f.name, f.dataType, False) for f in df.schema])
+    m.create_table(spark, warehouse, "shop.customer", required)
+    m.append(df, warehouse, "shop.customer")
+    return m.read_table(spark, warehouse, "shop.customer").withColumn("nothing", F.col("nothing").cast("string"))
+
+
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of equal keys the last one counts, at the top and nested."""
+    line = (
+        '{"type":"RECORD","record":{"stream":"part","data":{"p_partkey":0,"p_partkey":%d,"o":{"s":-1,"s":%d}},"emitted_at":0}}'
+    )
+    lines = table(spark, sf_dir, "part").select(F.format_string(line, "p_partkey", "p_size").alias("value"))
+    warehouse = scratch_dir(spark)
+    m.ingest(spark, lines, warehouse, catalog(stream("part", {"p_partkey": INT, "o": obj({"s": INT})})))
+    return m.read_table(spark, warehouse, "default.part").select("p_partkey", "o.s")
+
+
+def partition_empty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty text is a partition of its own, and a property may have the name of a helper column."""
+    segment = F.when(F.col("c_acctbal") < 0, "").when(F.col("c_custkey") % 10 != 0, F.col("c_mktsegment"))
+    df = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("_sync_id"), segment.alias("segment"))
+    warehouse = scratch_dir(spark)
+    source = catalog(stream("customer", {"c_custkey": INT, "_sync_id": TEXT, "segment": TEXT_OR_NULL}))
+    config = m.SyncConfig(streams={"customer": m.StreamConfig(partition_by={"segment": "identity"})})
+    m.ingest(spark, m.to_messages(df, "customer"), warehouse, source, config)
+    found = m.read_table(spark, warehouse, "default.customer", with_partitions=True)
+    return found.where("_p_segment = ''").select("c_custkey", "_sync_id")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: orders as messages, loaded to a table and read back."""
     return append_orders(spark, "/root/testdata/sf0.001")
@@ -703,6 +760,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         overwrite_twice, overwrite_empty_keeps, sinks, create_table, partition_identity,
         partition_truncate, partition_bucket, partition_void, branch_write, commit_history,
         last_global_state, last_stream_state, resolved_state, generate_state, streaming_append,
+        streaming_states, append_null_column, duplicate_keys, partition_empty_text,
     ]
     named = {f.__name__: f for f in functions}
     for transform in ("year", "month", "day", "hour"):
@@ -823,7 +881,13 @@ def core_sql() -> dict[str, str]:
         "partition_truncate": f"SELECT {integer('o_orderkey')}, substr(o_orderpriority, 1, 1) "
         "AS _p_o_orderpriority_truncate, CAST(o_custkey - o_custkey % 500 AS INTEGER) "
         "AS _p_o_custkey_truncate FROM orders",
-        "partition_bucket": f"SELECT {integer('o_orderkey', 'o_custkey')}, true AS in_range FROM orders",
+        "partition_bucket": "SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS n_keys, "
+        "count(DISTINCT o_custkey) AS n_key_buckets, CAST(4 AS BIGINT) AS n_buckets FROM orders",
+        "streaming_states": "SELECT max(event_id) AS event_id, count(*) AS n, (SELECT count(*) FROM events) AS loaded, "
+        "unnest(['one file', 'all files']) AS batch FROM events WHERE event_id % 3 = 2",
+        "append_null_column": f"SELECT {integer('c_custkey')}, c_name, CAST(NULL AS VARCHAR) AS nothing FROM customer",
+        "duplicate_keys": f"SELECT {integer('p_partkey')}, p_size AS s FROM part",
+        "partition_empty_text": f"SELECT {integer('c_custkey')}, c_name AS _sync_id FROM customer WHERE c_acctbal < 0",
         "partition_void": "SELECT n_nationkey FROM nation",
         "partition_year": event_partition("CAST(year(ts) AS INTEGER)", "year"),
         "partition_month": event_partition("CAST(date_trunc('month', ts) AS DATE)", "month"),

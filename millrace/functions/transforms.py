@@ -28,18 +28,38 @@ def parse_transform(text: str) -> tuple[str, int | None]:
     return name, width
 
 
+def free_label(label: str, struct: T.StructType) -> str:
+    """The label, with underscores as long as a column of the table has it; names don't tell cases apart."""
+    taken = {field.name.lower() for field in struct}
+    while label.lower() in taken:
+        label += "_"
+    return label
+
+
+def partition_label(struct: T.StructType, column: str, transform: str) -> str:
+    return free_label(f"_p_{column}" if transform == "identity" else f"_p_{column}_{transform}", struct)
+
+
+def to_folder(value: Column, data_type: T.DataType) -> Column:
+    """What a partition value is stored as: texts get a mark, as an empty folder name would read as null."""
+    return F.concat(F.lit("="), value) if isinstance(data_type, T.StringType) else value
+
+
+def from_folder(value: Column, data_type: T.DataType) -> Column:
+    return F.substring(value, 2, 2**31 - 1) if isinstance(data_type, T.StringType) else value
+
+
 def partition_columns(struct: T.StructType, partition_by: dict[str, str]) -> dict[str, Column]:
     """Partition columns by name, in the order of ``partition_by``."""
     columns: dict[str, Column] = {}
     fields = {field.name: field for field in struct}
     for column, text in partition_by.items():
         if column not in fields:
-            raise ValueError(f"Field {column} doesn't exist in schema.")
+            raise ValueError(f"There is no column {column} to partition by.")
         name, width = parse_transform(text)
         if name == "void":
             continue
-        label = f"_p_{column}" if name == "identity" else f"_p_{column}_{name}"
-        columns[label] = _derive(F.col(f"`{column}`"), fields[column].dataType, name, width)
+        columns[partition_label(struct, column, name)] = _derive(F.col(f"`{column}`"), fields[column].dataType, name, width)
     return columns
 
 
@@ -50,7 +70,7 @@ def partition_types(struct: T.StructType, partition_by: dict[str, str]) -> T.Str
         name, _ = parse_transform(text)
         source = struct[column].dataType
         if name == "identity":
-            result = result.add(f"_p_{column}", source)
+            result = result.add(partition_label(struct, column, name), source)
         elif name != "void":
             fixed = {
                 "year": T.IntegerType(),
@@ -59,7 +79,7 @@ def partition_types(struct: T.StructType, partition_by: dict[str, str]) -> T.Str
                 "hour": T.TimestampNTZType(),
                 "bucket": T.IntegerType(),
             }
-            result = result.add(f"_p_{column}_{name}", fixed.get(name, source))
+            result = result.add(partition_label(struct, column, name), fixed.get(name, source))
     return result
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import variants as V
-from millrace.session import BROADCAST_ROWS
+from millrace.session import allow_duplicate_keys
 from millrace.sources.messages import number_lines
 
 # Message types of the public connector protocol.
@@ -45,7 +45,11 @@ IS_USED = "(kind = 'RECORD' OR coalesce(state_kind IN ('GLOBAL', 'STREAM'), fals
 # Place of a line, for error messages.
 PLACE = "concat('line ', _pos.line, ' of split ', _pos.block, ' of ', _pos.file)"
 MALFORMED = f"concat('Malformed message, ', {PLACE}, ': ', value)"
-NOT_FOUND = "concat('Stream ', coalesce(stream, ''), ' not found.')"
+NOT_FOUND = "concat('The catalog has no stream ', coalesce(stream, ''))"
+
+
+# A line that closes its object early and goes on would be one more key of the wrapper.
+ONE_VALUE = "size(json_object_keys(concat('{\"m\":', value, '}'))) = 1"
 
 
 @dataclass(frozen=True)
@@ -84,17 +88,19 @@ def parse_json(data_type: T.DataType | None) -> Column:
 
     ``data_type`` is what the payload is read as; None skips it. The line is wrapped in one more
     object: Spark's parser stops after the first JSON value, and inside the wrapper whatever
-    follows that value is a syntax error.
+    follows that value is a syntax error or one more key, which ``well_formed`` refuses.
     """
     string = T.StringType()
     descriptor = T.StructType().add("name", string).add("namespace", string)
     record = T.StructType().add("stream", string).add("namespace", string)
     if data_type is not None:
         record = record.add("data", data_type)
+    part = T.StructType().add("stream_descriptor", descriptor)
     state = (
         T.StructType()
         .add("type", string)
         .add("stream", T.StructType().add("stream_descriptor", descriptor))
+        .add("global", T.StructType().add("stream_states", T.ArrayType(part)))
     )
     envelope = T.StructType().add("type", string).add("record", record).add("state", state)
     schema = T.StructType().add("m", envelope).add(CORRUPT, string)
@@ -121,12 +127,14 @@ def well_formed(parsed: str, has_data: bool = True) -> str:
     if has_data:
         record += f" AND {message}.record.data IS NOT NULL"
     state = (
-        f"{message}.state IS NOT NULL AND (NOT {message}.state.type <=> 'STREAM'"
-        f" OR {message}.state.stream.stream_descriptor.name IS NOT NULL)"
+        f"{message}.state IS NOT NULL AND CASE {message}.state.type"
+        f" WHEN 'STREAM' THEN {message}.state.stream.stream_descriptor.name IS NOT NULL"
+        f" WHEN 'GLOBAL' THEN {message}.state.global IS NOT NULL AND coalesce(forall("
+        f"{message}.state.global.stream_states, s -> s.stream_descriptor.name IS NOT NULL), true) ELSE true END"
     )
     types = ", ".join(V.literal(t) for t in MESSAGE_TYPES)
     return (
-        f"coalesce({parsed}.{CORRUPT} IS NULL AND is_valid_utf8(value) AND CASE {message}.type"
+        f"coalesce({parsed}.{CORRUPT} IS NULL AND is_valid_utf8(value) AND {ONE_VALUE} AND CASE {message}.type"
         f" WHEN 'RECORD' THEN {record} WHEN 'STATE' THEN {state}"
         f" ELSE {message}.type IN ({types}) END, false)"
     )
@@ -134,6 +142,7 @@ def well_formed(parsed: str, has_data: bool = True) -> str:
 
 def parse_envelope(df: DataFrame) -> DataFrame:
     """Message lines split into kind, descriptor and payload; a malformed line ends the job."""
+    allow_duplicate_keys(df.sparkSession)
     parsed = message_lines(df).select(
         "value", "_pos", once(parse_json(T.VariantType())).alias("_parsed")
     )
@@ -164,10 +173,13 @@ def route(df: DataFrame, descriptor: Descriptor) -> DataFrame:
 
 
 def descriptor_table(spark: SparkSession, descriptors: list[Descriptor]) -> DataFrame:
-    """The streams of a catalog as rows, with their place in it. Broadcast only when small."""
+    """The streams of a catalog as rows, with their place in it.
+
+    Always broadcast: the driver holds the catalog with a schema for each, and a row here is its name only.
+    """
     rows = [(i, d.name, d.namespace) for i, d in enumerate(descriptors)]
     table = spark.createDataFrame(rows, "_route int, _name string, _space string")
-    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
+    return F.broadcast(table)
 
 
 SAME_STREAM = "stream = _name AND namespace <=> _space"

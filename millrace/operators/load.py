@@ -17,7 +17,7 @@ from millrace.functions import variants as V
 from millrace.functions.checks import all_of, is_plain, object_ok, record_errors, type_ok, value_ok
 from millrace.functions.decoding import decode_object, decode_value
 from millrace.functions.jsonschema import RAW_KEY, raw_key, type_list
-from millrace.operators.envelope import CORRUPT, PLACE, once, parse_json, require
+from millrace.operators.envelope import CORRUPT, MALFORMED, PLACE, once, parse_json, require
 from millrace.operators.records import error_message
 
 
@@ -91,7 +91,7 @@ def load_records(df: DataFrame, schema: dict, struct: T.StructType) -> DataFrame
         .where(
             require(
                 "_fits",
-                f"concat({error_message('_errors', '_whole')}, ', ', {PLACE})",
+                f"if(_whole IS NULL, {MALFORMED}, concat({error_message('_errors', '_whole')}, ', ', {PLACE}))",
             )
         )
         .select("_sure", *names, once(f"if(_sure, NULL, {row})").alias("_exact"))

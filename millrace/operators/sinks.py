@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,15 +13,14 @@ from pyspark.sql import types as T
 
 from millrace.functions import variants as V
 from millrace.functions.jsonschema import nullable_type
-from millrace.functions.transforms import partition_columns
+from millrace.functions.transforms import partition_columns, partition_types, to_folder
 from millrace.operators.envelope import require
-from millrace.session import delete_path, enable_time_type
+from millrace.session import create_file, delete_path, enable_time_type
 from millrace.sources.tables import (
-    COMMIT_SCHEMA,
     MAIN,
-    SYNC_ID,
     Head,
     Identifier,
+    data_path,
     load_head,
     table_exists,
     table_path,
@@ -63,7 +63,7 @@ def create_table(
     enable_time_type(spark, schema)
     if table_exists(spark, warehouse, ident):
         return False
-    _write_commit(
+    return _write_commit(
         spark,
         warehouse,
         ident,
@@ -76,7 +76,6 @@ def create_table(
             "partition_by": json.dumps(partition_by),
         },
     )
-    return True
 
 
 def append(
@@ -106,14 +105,31 @@ def overwrite(
 def _sink(df, warehouse, ident, branch, mode, shared_state, stream_state) -> Commit | None:
     head = load_head(df.sparkSession, warehouse, ident, branch, missing_branch_ok=True)
     for field in head.schema:
-        if not field.nullable:
-            name = V.name(field.name)
+        good = _has_values(V.name(field.name), field.dataType, field.nullable)
+        if good:
             message = V.literal(f"Column {field.name} of table {head.ident} needs a value.")
-            df = df.where(require(f"{name} IS NOT NULL", message))
+            df = df.where(require(good, message))
     written = write_files(df, warehouse, head, branch, mode)
     return commit(df.sparkSession, warehouse, written, shared_state, stream_state)
 
 
+def _has_values(value: str, data_type: T.DataType, nullable: bool, depth: int = 0) -> str:
+    """Whether required values are there, at every level; empty if nothing is required. A null column has none."""
+    inner = ""
+    if isinstance(data_type, T.StructType):
+        parts = [_has_values(f"{value}.{V.name(f.name)}", f.dataType, f.nullable, depth) for f in data_type]
+        inner = " AND ".join(part for part in parts if part)
+    elif isinstance(data_type, T.ArrayType):
+        element = f"e{depth}"
+        part = _has_values(element, data_type.elementType, data_type.containsNull, depth + 1)
+        inner = f"forall({value}, {element} -> {part})" if part else ""
+    if isinstance(data_type, T.NullType) or (nullable and not inner):
+        return ""
+    if nullable:
+        return f"({value} IS NULL OR ({inner}))"
+    return f"({value} IS NOT NULL AND {inner})" if inner else f"({value} IS NOT NULL)"
+
+
 def write_files(df: DataFrame, warehouse: str, head: Head, branch: str, mode: str) -> Written:
     """Write the rows as Parquet files of a new sync, counting them on the way.
 
@@ -124,11 +140,15 @@ def write_files(df: DataFrame, warehouse: str, head: Head, branch: str, mode: st
     if mode not in MODES:
         raise ValueError(f"Sync mode {mode} is invalid.")
     sync_id = uuid.uuid4().hex
-    path = f"{table_path(warehouse, head.ident)}/data/{SYNC_ID}={sync_id}"
+    path = data_path(warehouse, head, sync_id)
     rows = df.select(
         *(F.col(V.name(f.name)).cast(nullable_type(f.dataType)).alias(f.name) for f in head.schema)
     )
-    partitions = partition_columns(head.schema, head.partition_by)
+    types = {f.name: f.dataType for f in partition_types(head.schema, head.partition_by)}
+    partitions = {
+        name: to_folder(value, types[name])
+        for name, value in partition_columns(head.schema, head.partition_by).items()
+    }
     if partitions:
         rows = rows.withColumns(partitions)
         rows = rows.hint("rebalance", *(F.col(V.name(name)) for name in partitions))
@@ -148,8 +168,7 @@ def write_files(df: DataFrame, warehouse: str, head: Head, branch: str, mode: st
 
 def discard(spark: SparkSession, warehouse: str, written: Written) -> None:
     """Delete files that will not be committed."""
-    table = table_path(warehouse, written.head.ident)
-    delete_path(spark, f"{table}/data/{SYNC_ID}={written.sync_id}")
+    delete_path(spark, data_path(warehouse, written.head, written.sync_id))
 
 
 def commit(
@@ -159,14 +178,22 @@ def commit(
     shared_state: str | None = None,
     stream_state: str | None = None,
     batch_key: str | None = None,
+    keep_states: bool = False,
 ) -> Commit | None:
-    """Show written files and the new states together; states left None stay as they were."""
+    """Show written files and the new states together; states left None stay as they were.
+
+    Without rows there is no commit, unless ``keep_states``: then there is one of states only, if any is given.
+    Fails if someone else has committed to the table since its head was read.
+    """
+    mode = written.mode
     if not written.rows:
         discard(spark, warehouse, written)
-        return None
+        if not keep_states or (shared_state is None and stream_state is None):
+            return None
+        mode = "state"
     head = written.head
     seq = head.last_seq + 1
-    _write_commit(
+    made = _write_commit(
         spark,
         warehouse,
         head.ident,
@@ -175,23 +202,22 @@ def commit(
             "parent": head.seq,
             "branch": written.branch,
             "sync_id": written.sync_id,
-            "mode": written.mode,
+            "mode": mode,
             "added_rows": written.rows,
             "shared_state": shared_state,
             "stream_state": stream_state,
             "batch_key": batch_key,
         },
     )
-    return Commit(head.ident, seq, written.branch, written.mode, written.rows)
+    if not made:
+        discard(spark, warehouse, written)
+        raise RuntimeError(f"Table {head.ident} has got another commit {seq} meanwhile; this one is not made.")
+    return Commit(head.ident, seq, written.branch, mode, written.rows)
 
 
-def _write_commit(spark: SparkSession, warehouse: str, ident: Identifier, values: dict) -> None:
+def _write_commit(spark: SparkSession, warehouse: str, ident: Identifier, values: dict) -> bool:
+    """Make the commit's file, named by its number; false if there is one already."""
     values = {"namespace": ident.namespace, "name": ident.name, **values}
-    columns = [
-        (F.current_timestamp() if field.name == "committed_at" else F.lit(values.get(field.name)))
-        .cast(field.dataType)
-        .alias(field.name)
-        for field in T.StructType.fromDDL(COMMIT_SCHEMA)
-    ]
-    row = spark.range(0, 1, 1, 1).select(*columns)
-    row.write.mode("append").json(f"{table_path(warehouse, ident)}/commits")
+    values["committed_at"] = datetime.now(timezone.utc).isoformat(timespec="milliseconds")
+    line = json.dumps({k: v for k, v in values.items() if v is not None}) + "\n"
+    return create_file(spark, f"{table_path(warehouse, ident)}/commits/{values['seq']:020d}.json", line)

@@ -71,7 +71,7 @@ def configure_catalog(catalog: dict | str, config: SyncConfig | None = None) ->
     config = config or SyncConfig()
     message = json.loads(catalog) if isinstance(catalog, str) else catalog
     if message.get("type") != "CATALOG":
-        raise ValueError("Not a catalog message.")
+        raise ValueError("The message holds no catalog.")
     streams = []
     for stream in message["catalog"]["streams"]:
         name, namespace = stream["name"], stream.get("namespace")

@@ -5,7 +5,8 @@ last states being picked up on the way. With several, the lines are first split
 staging table next to the warehouse, so that each stream's own job reads its lines and no others;
 splitting parses the envelope only. No step shuffles records, except for partitioned tables.
 
-All streams are written before any is committed, and a failure anywhere commits none.
+All streams are written before any is committed, and a failure until then commits none. A failure while
+committing leaves the tables committed by then as they are; what the others wrote is deleted.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ from millrace.operators.state import (
     table_states,
 )
 from millrace.plans.catalog import SyncConfig, Stream, known_descriptors, selected_streams
-from millrace.session import delete_path
+from millrace.session import allow_duplicate_keys, delete_path
 from millrace.sources.messages import scan_messages
 from millrace.sources.tables import Head, load_head
 
@@ -61,7 +62,7 @@ Out = TypeVar("Out")
 STATE_ROUTE = -1
 
 STAGED_SCHEMA = (
-    "value string, _pos struct<file:string,block:bigint,line:bigint>, state_kind string, "
+    "value string, _pos struct<time:timestamp,file:string,block:bigint,line:bigint>, state_kind string, "
     "stream string, namespace string, _route int"
 )
 
@@ -90,15 +91,18 @@ def ingest(
     catalog: dict | str,
     config: SyncConfig | None = None,
     batch_key: str | None = None,
+    keep_states: bool = False,
 ) -> list[Commit]:
     """Load messages into tables.
 
     ``source`` is a path or a DataFrame of lines in ``value``. ``catalog`` is a configured catalog, or
-    a discovered one, which is configured first. A stream with no records makes no commit. A table
-    that has a commit with this ``batch_key`` already is left alone.
+    a discovered one, which is configured first. A stream with no records makes no commit, unless
+    ``keep_states`` and there is a state for it. A table that has a commit with this ``batch_key`` already is
+    left alone.
     """
     config = config or SyncConfig()
     catalog = json.loads(catalog) if isinstance(catalog, str) else catalog
+    allow_duplicate_keys(spark)
     known = known_descriptors(catalog)
     streams = selected_streams(catalog, config)
     lines = source if isinstance(source, DataFrame) else scan_messages(spark, source)
@@ -115,11 +119,18 @@ def ingest(
 
     def finish(item: Written) -> Commit | None:
         state = states[item.head.ident]
+        open_items.remove(item)
         return commit(
-            spark, warehouse, item, state.shared_state, state.stream_state, batch_key
+            spark, warehouse, item, state.shared_state, state.stream_state, batch_key, keep_states
         )
 
-    return [c for c in _in_parallel(spark, config, written, finish) if c is not None]
+    open_items = list(written)
+    try:
+        return [c for c in _in_parallel(spark, config, written, finish) if c is not None]
+    except Exception:
+        for item in list(open_items):
+            discard(spark, warehouse, item)
+        raise
 
 
 def generate_state(
@@ -187,7 +198,7 @@ def _load_one(
     own_lines = {stream.descriptor: last["stream"]} if last["stream"] is not None else {}
     try:
         resolved = resolve_states(last["global"], own_lines, [stream.descriptor])
-    except ValueError:
+    except Exception:
         discard(lines.sparkSession, warehouse, written)
         raise
     return [written], {stream.ident: resolved[stream.descriptor]}

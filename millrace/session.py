@@ -5,15 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from millrace.functions.jsonschema import uses_time
 
-# Rows of driver-side parameter tables (stream descriptors) up to which a join may broadcast them.
-BROADCAST_ROWS = 50_000
-
-
 def enable_time_type(spark: SparkSession, struct: T.StructType) -> None:
     """TIME columns are behind a session flag; turn it on where a schema has one."""
     if uses_time(struct):
@@ -23,11 +20,13 @@ def enable_time_type(spark: SparkSession, struct: T.StructType) -> None:
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder for intermediate tables in the shared folder the cluster names.
 
-    Only where ``spark.checkpoint.dir`` is unset, as in tests, a local temporary folder is used.
+    Only a local master may do without ``spark.checkpoint.dir``: a cluster's executors don't share local folders.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/millrace-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
     return tempfile.mkdtemp(prefix="millrace-")
 
 
@@ -41,6 +40,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file unless it is there already; tells whether it was made."""
+    file_system, hadoop_path = _file_system(spark, path)
+    try:
+        out = file_system.create(hadoop_path, False)
+    except Py4JJavaError as error:
+        if file_system.exists(hadoop_path):
+            return False
+        raise error
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def allow_duplicate_keys(spark: SparkSession) -> None:
+    """The last of several equal keys counts, at every level, as in typed parses."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder a job made itself, on whatever file system it lies."""
     file_system, hadoop_path = _file_system(spark, path)

@@ -1,8 +1,8 @@
 """Message lines as DataFrames.
 
 A message DataFrame has the raw line in ``value`` and its place in the input in ``_pos``. Input order
-is file path, then split, then line; ``monotonically_increasing_id`` alone is not enough, since Spark
-packs splits into tasks by size.
+is file path, then split, then line; in streams, files come by the time they were last written before their
+path. ``monotonically_increasing_id`` alone is not enough, since Spark packs splits into tasks by size.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def stream_messages(
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _with_splits(reader.text(path))
+    return _with_splits(reader.text(path), F.col("_metadata.file_modification_time"))
 
 
 def number_lines(df: DataFrame) -> DataFrame:
@@ -35,9 +35,11 @@ def number_lines(df: DataFrame) -> DataFrame:
         return df.select("value", "_pos")
     file = F.col("_file") if "_file" in df.columns else F.lit("")
     block = F.col("_block") if "_block" in df.columns else F.lit(0).cast("long")
+    time = F.col("_time") if "_time" in df.columns else F.lit(None).cast("timestamp")
     return df.select(
         "value",
         F.struct(
+            time.alias("time"),
             file.alias("file"),
             block.alias("block"),
             F.monotonically_increasing_id().alias("line"),
@@ -45,9 +47,11 @@ def number_lines(df: DataFrame) -> DataFrame:
     )
 
 
-def _with_splits(df: DataFrame) -> DataFrame:
+def _with_splits(df: DataFrame, time: Column | None = None) -> DataFrame:
+    arrival = [] if time is None else [time.alias("_time")]
     return df.select(
         "value",
+        *arrival,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     )

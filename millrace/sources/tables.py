@@ -5,7 +5,9 @@
 
 Data is written first and its commit row last, so a data folder without a commit row is invisible. The
 rows a branch shows are those of the commits since its last overwrite. A commit row has a fixed size,
-whatever the number of commits before it. One writer per table is assumed.
+whatever the number of commits before it. Commit files are named by their number and made only if they are
+not there, so of two writers from one head the second fails. The label ``_sync_id`` and those of partitions get
+underscores where a column of the table has that name.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.transforms import partition_types
+from millrace.functions.transforms import free_label, from_folder, partition_types
 from millrace.session import enable_time_type, path_exists
 
 MAIN = "main"
@@ -71,6 +73,10 @@ def table_path(warehouse: str, ident: str | Identifier) -> str:
     return "/".join([warehouse.rstrip("/"), _segment(ident.namespace), _segment(ident.name)])
 
 
+def data_path(warehouse: str, head: "Head", sync_id: str) -> str:
+    return f"{table_path(warehouse, head.ident)}/data/{free_label(SYNC_ID, head.schema)}={sync_id}"
+
+
 def _segment(name: str) -> str:
     """A path segment free of separators and glob characters."""
     return quote(name, safe=" _-").replace(".", "%2E")
@@ -161,17 +167,17 @@ def read_table(
     """
     head = load_head(spark, warehouse, ident, branch)
     partitions = partition_types(head.schema, head.partition_by)
-    columns = [f"`{f.name}`" for f in head.schema]
+    columns = [F.col(f"`{f.name}`") for f in head.schema]
     if with_partitions:
-        columns += [f"`{f.name}`" for f in partitions]
-    full = T.StructType(head.schema.fields + partitions.fields).add(SYNC_ID, T.StringType())
+        columns += [from_folder(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in partitions]
+    full = T.StructType(head.schema.fields + partitions.fields).add(free_label(SYNC_ID, head.schema), T.StringType())
     if not head.live:
         return spark.createDataFrame([], full).select(*columns)
     data = f"{table_path(warehouse, ident)}/data"
     return (
         spark.read.schema(full)
         .option("basePath", data)
-        .parquet(*(f"{data}/{SYNC_ID}={sync_id}" for sync_id in head.live))
+        .parquet(*(data_path(warehouse, head, sync_id) for sync_id in head.live))
         .select(*columns)
     )
 

@@ -25,8 +25,10 @@ def ingest_stream(
     """Load each new file once, one sync per micro-batch.
 
     Without ``processing_time`` the query takes what is there and stops. A batch that is run again
-    after a failure is skipped by the tables that have it: their commit rows hold the checkpoint's
-    path and the batch number. Overwrite streams are refused, since only the last batch would stay.
+    after a failure is skipped by the tables that have it: their commit rows hold the id of the query, which
+    lives in its checkpoint, and the batch number. A batch with a state but no records of a stream stores the
+    state all the same, so the size of batches makes no difference. Overwrite streams are refused, since only
+    the last batch would stay.
     """
     config = config or SyncConfig()
     catalog = json.loads(catalog) if isinstance(catalog, str) else catalog
@@ -35,7 +37,9 @@ def ingest_stream(
             raise ValueError(f"Stream {stream.descriptor.name} overwrites and cannot be streamed.")
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        ingest(batch.sparkSession, batch, warehouse, catalog, config, f"{checkpoint}#{batch_id}")
+        session = batch.sparkSession
+        query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        ingest(session, batch, warehouse, catalog, config, f"{query}#{batch_id}", keep_states=True)
 
     writer = (
         stream_messages(spark, path, max_files_per_trigger)

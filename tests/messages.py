@@ -48,3 +48,26 @@ def catalog(*streams):
 
 def rows(df):
     return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+# Lines with the shape of a message that are none.
+MALFORMED = [
+    '{"type":"RECORD","record":{"stream":"a","data":{"id":1}}',
+    '{"type":"RECORD","record":{"stream":"a","data":{"id":1}}} {"x":1}',
+    '{"type":"RECORD","record":{"stream":"a","data":{"id":1}}}{"type":"LOG"}',
+    '{"type":"RECORD","record":{"stream":"a"}}',
+    '{"type":"RECORD","record":{"data":{}}}',
+    '{"type":"RECORD"}',
+    '{"type":"STATE"}',
+    '{"type":"STATE","state":{"type":"STREAM","stream":{}}}',
+    '{"type":"OTHER"}',
+    "{}",
+    "{'type':'LOG'}",
+    '{"type":"LOG","log":{"x":NaN}}',
+    '{"type":"LOG","log":tru}',
+    '{"type":"LOG"},"m":{"type":"RECORD","record":{"stream":"a","data":{"id":1}}}',
+    '{"type":"LOG"},"x":{"y":1}',
+    '{"type":"LOG"}],"m":[{"type":"LOG"}',
+    '{"type":"STATE","state":{"type":"GLOBAL"}}',
+    '{"type":"STATE","state":{"type":"GLOBAL","global":{"stream_states":[{"stream_state":{}}]}}}',
+]

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from messages import global_state, log, record, rows, stream_state
+from messages import MALFORMED, global_state, log, record, rows, stream_state
 
 import millrace as m
 from millrace.plans.ingest import split_lines
@@ -41,23 +41,6 @@ def test_shape_filter_and_kinds(spark):
     assert m.states(parsed).count() == 2
 
 
-MALFORMED = [
-    '{"type":"RECORD","record":{"stream":"a","data":{"id":1}}',
-    '{"type":"RECORD","record":{"stream":"a","data":{"id":1}}} {"x":1}',
-    '{"type":"RECORD","record":{"stream":"a","data":{"id":1}}}{"type":"LOG"}',
-    '{"type":"RECORD","record":{"stream":"a"}}',
-    '{"type":"RECORD","record":{"data":{}}}',
-    '{"type":"RECORD"}',
-    '{"type":"STATE"}',
-    '{"type":"STATE","state":{"type":"STREAM","stream":{}}}',
-    '{"type":"OTHER"}',
-    "{}",
-    "{'type':'LOG'}",
-    '{"type":"LOG","log":{"x":NaN}}',
-    '{"type":"LOG","log":tru}',
-]
-
-
 @pytest.mark.parametrize("line", MALFORMED)
 def test_malformed_lines_end_the_job(spark, line):
     closed = line if line.endswith("}") else line + "}"

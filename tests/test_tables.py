@@ -127,7 +127,7 @@ def test_partition_values(spark, warehouse):
     cases = {
         ("i", "truncate[10]"): (-10, 1000, None),
         ("i", "identity"): (-1, 1003, None),
-        ("s", "truncate[2]"): ("ün", None, None),
+        ("s", "truncate[2]"): ("ün", "", None),
         ("d", "year"): (2024, None, None),
         ("d", "month"): (datetime.date(2024, 11, 1), None, None),
         ("d", "day"): (datetime.date(2024, 11, 3), None, None),
@@ -194,3 +194,49 @@ def test_time_and_null_columns_round_trip(spark, warehouse):
     m.create_table(spark, warehouse, "n.t", struct)
     m.append(spark.sql("SELECT cast('10:11:12.5' AS time(3)) t, NULL n"), warehouse, "n.t")
     assert rows(m.read_table(spark, warehouse, "n.t")) == [(datetime.time(10, 11, 12, 500000), None)]
+
+
+def test_helper_columns_keep_clear_of_the_names_of_a_table(spark, warehouse):
+    df = spark.createDataFrame([(1, "q", "r", ""), (2, "s", "t", None)], "id int, _sync_id string, _P_S string, s string")
+    m.create_table(spark, warehouse, "n.t", df.schema, {"s": "identity", "id": "bucket[2]"})
+    m.append(df, warehouse, "n.t")
+    assert rows(m.read_table(spark, warehouse, "n.t")) == rows(df)
+    found = m.read_table(spark, warehouse, "n.t", with_partitions=True)
+    assert found.columns == [*df.columns, "_p_s_", "_p_id_bucket"]
+    assert [r.id for r in found.where("_p_s_ = ''").collect()] == [1]
+    assert [r.id for r in found.where("_p_s_ IS NULL").collect()] == [2]
+    plan = found.where("_p_s_ = ''")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "substring(_p_s_" in plan.split("PartitionFilters: [")[1]
+
+
+def test_of_two_writers_the_second_fails(spark, warehouse):
+    df = spark.createDataFrame([(1,)], "id int")
+    m.create_table(spark, warehouse, "n.t", df.schema)
+    from millrace.operators.sinks import commit, write_files
+    from millrace.sources.tables import load_head
+
+    head = load_head(spark, warehouse, "n.t")
+    first, second = (write_files(df, warehouse, head, "main", "append") for _ in range(2))
+    assert commit(spark, warehouse, first).seq == 2
+    with pytest.raises(RuntimeError, match="another commit 2"):
+        commit(spark, warehouse, second)
+    assert m.read_table(spark, warehouse, "n.t").count() == 1
+    assert commit(spark, warehouse, write_files(df, warehouse, load_head(spark, warehouse, "n.t"), "main", "append")).seq == 3
+    assert not m.create_table(spark, warehouse, "n.t", df.schema)
+
+
+def test_append_checks_nested_values_and_lets_null_columns_be(spark, warehouse):
+    part = T.StructType([T.StructField("x", T.IntegerType(), False)])
+    schema = T.StructType([
+        T.StructField("id", T.IntegerType(), False), T.StructField("z", T.NullType(), False),
+        T.StructField("o", part), T.StructField("l", T.ArrayType(part, False)),
+    ])
+    m.create_table(spark, warehouse, "n.t", schema)
+    lax = "id int, z void, o struct<x:int>, l array<struct<x:int>>"
+    good = [(1, None, (1,), [(2,)]), (2, None, None, None), (3, None, (1,), [])]
+    m.append(spark.createDataFrame(good, lax), warehouse, "n.t")
+    assert m.read_table(spark, warehouse, "n.t").count() == 3
+    for bad in ((4, None, (None,), None), (4, None, None, [None]), (4, None, None, [(None,)]), (None, None, None, None)):
+        with pytest.raises(Exception, match="needs a value"):
+            m.append(spark.createDataFrame([bad], lax), warehouse, "n.t")
+    assert m.read_table(spark, warehouse, "n.t").count() == 3

@@ -194,7 +194,6 @@ def digest(report: DataFrame) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
-        F.col("spans"),
     )
 
 

@@ -61,4 +61,72 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_jaccard_join, op2_nearest_neighbours, op3_pii, op4_toxicity, op5_decontamination, op6_line_dedup, op7_secret_scan, op8_lm_scoring, op9_best_fit_packing, op10_chat_formatting)
 }
-SQL: dict[str, str] = {}
+# A-Z only: lower() would also change other letters.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1 = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+    FROM w
+),
+n AS (SELECT w.doc_id, count(s.g) AS n FROM w LEFT JOIN s ON w.doc_id = s.doc_id GROUP BY w.doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (
+    SELECT u, v FROM p JOIN n a ON u = a.doc_id JOIN n b ON v = b.doc_id WHERE 100 * c >= 80 * (a.n + b.n - c)
+),
+r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT r.doc_id, e.v FROM r JOIN e ON r.c = e.u)
+SELECT n.doc_id, any_value(n.n) AS n_shingles, min(r.c) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY n.doc_id
+"""
+
+_NORMAL = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP5 = rf"""
+WITH d AS (SELECT doc_id, {_NORMAL} AS w FROM documents),
+b AS (SELECT item_id, {_NORMAL} AS w FROM benchmark),
+i AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[p:p + 9], ' ') AS g
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM b WHERE len(w) > 0)
+),
+k AS (SELECT DISTINCT k FROM i),
+x AS (
+    SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS g
+    FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, k WHERE len(w) >= k)
+),
+h AS (SELECT x.doc_id, x.p, x.k, i.item_id FROM x JOIN i ON x.k = i.k AND x.g = i.g),
+c AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM h) GROUP BY doc_id),
+t AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
+
+def _escaped_length(column: str, escaped: str) -> str:
+    """Each character that is escaped takes one more."""
+    bare = column
+    for character in escaped:
+        bare = f"replace({bare}, {'chr(10)' if character == chr(10) else repr(character).replace(chr(92) * 2, chr(92))}, '')"
+    return f"(2 * length({column}) - length({bare}))"
+
+
+_ORDER = "ORDER BY turn NULLS FIRST, role, text"
+OP10 = rf"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' {_ORDER})) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' {_ORDER}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum({len(chat.OPEN) + 1 + len(chat.CLOSE)} + {_escaped_length("role", chr(92) + "#<" + chr(10))}
+        + {_escaped_length("text", chr(92) + "#<")}) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+SQL: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op5_decontamination": OP5, "op10_chat_formatting": OP10}

@@ -3,7 +3,7 @@
 Numbers and booleans are parsed straight to their type; the JSON parser itself refuses any other kind.
 Dates and times are parsed as text, whose format no other kind of value has. Other texts and nested
 values are parsed to VARIANT and checked. A record the typed parse cannot vouch for (a wrong value, or a rare spelling such as 1.0 for
-an integer) is parsed again as a whole VARIANT and judged by the same checks as ``validate``, so both
+a 64-bit integer) is parsed again as a whole VARIANT and judged by the same checks as ``validate``, so both
 paths accept the same records and raise the same errors.
 """
 
@@ -24,9 +24,10 @@ from millrace.operators.records import error_message
 def carrier_type(field: T.StructField, node: dict | None) -> T.DataType:
     """What a column's value is parsed as."""
     if is_plain(field, node):
-        if isinstance(field.dataType, (T.BooleanType, T.IntegerType, T.LongType)):
+        if isinstance(field.dataType, (T.BooleanType, T.LongType)):
             return field.dataType
-        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        # A double holds every 32-bit integer, and sources that print integers as 1.0 need no second parse.
+        if isinstance(field.dataType, (T.IntegerType, T.FloatType, T.DoubleType)):
             return T.DoubleType()
         if V.is_format(field.dataType):
             return T.StringType()
@@ -52,8 +53,10 @@ def all_good(payload: T.StructType, schema: dict, struct: T.StructType) -> str:
         value = _parsed(carrier.name)
         field, node = fields.get(carrier.name), nodes.get(carrier.name)
         if isinstance(carrier.dataType, T.DoubleType):
-            finite = V.is_finite(value)
-            conditions.append(f"({value} IS NULL OR {finite})" if field.nullable else finite)
+            good = V.is_finite(value)
+            if isinstance(field.dataType, T.IntegerType):
+                good = f"coalesce({value} BETWEEN -2147483648 AND 2147483647 AND rint({value}) = {value}, false)"
+            conditions.append(f"({value} IS NULL OR {good})" if field.nullable else good)
         elif isinstance(carrier.dataType, T.VariantType):
             if field is not None:
                 conditions.append(value_ok(value, field.dataType, field.nullable))
@@ -130,7 +133,8 @@ def _typed(df: DataFrame, schema: dict, struct: T.StructType) -> DataFrame:
         elif isinstance(carrier, T.VariantType):
             columns.append(f"{decode_value(value, field.dataType)} AS {name}")
         else:
-            columns.append(f"cast({value} AS {field.dataType.simpleString()}) AS {name}")
+            cast = "try_cast" if isinstance(field.dataType, T.IntegerType) else "cast"
+            columns.append(f"{cast}({value} AS {field.dataType.simpleString()}) AS {name}")
     clean = f"_parsed.{CORRUPT} IS NULL AND _parsed.m.record.data IS NOT NULL"
     return df.select(
         "value",

@@ -7,7 +7,7 @@ line matches it, earlier by document id, then by place; other lines are left as
 **Classes.** Lines with equal token sets are one class, and only its first line can stay.
 **Prefix.** Tokens are ordered by rarity, by counts over all documents in a table of fixed size, and the hash among equals.
 Sets that match share one of their first ``n - ceil(n * num / den) + 1`` tokens. Each is a posting: (token, line, size,
-place, a 48-bit parity sketch of the set).
+place, a parity sketch of the set of 176 bits).
 **Candidates.** Postings stream through partitions sorted by token and order of lines. A line is held against the
 earlier ones of its token by size, by what the places leave to share and by the sketch; the first few that
 pass are candidates, and a mark says whether there were more. Exact Jaccard decides. Only lines with a mark and no
@@ -31,7 +31,7 @@ from millrace.llm.common import (
 NUM, DEN, LEAST = 80, 100, 8
 REMOVED = "_removed"
 FIRST = 3  # candidates of a line and token in the first round
-SKETCH_BITS = 48
+SKETCH_BITS = 48  # in the number that also holds the place; two more of 64 bits follow
 
 
 class Lines:
@@ -85,6 +85,17 @@ def classes_of(docs: DataFrame, least: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, n int, h1 long, h2 long")
 
 
+def parities(tokens: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Of each set, the parities of its tokens in 176 buckets, as words of 48, 64 and 64 bits."""
+    place = (tokens >> np.uint64(9)) % np.uint64(SKETCH_BITS + 128)
+    out = []
+    for begin, size in ((0, SKETCH_BITS), (SKETCH_BITS, 64), (SKETCH_BITS + 64, 64)):
+        inside = (place >= begin) & (place < begin + size)
+        bit = np.where(inside, np.uint64(1) << ((place - np.uint64(begin)) & np.uint64(63)), np.uint64(0))
+        out.append(np.bitwise_xor.reduceat(bit, first))
+    return out
+
+
 def postings(docs: DataFrame, counts: np.ndarray, least: int, num: int, den: int) -> DataFrame:
     """(token, doc_id, line, n, place, sketch) of the prefixes; of equal sets in a chunk the first line only."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
@@ -101,8 +112,7 @@ def postings(docs: DataFrame, counts: np.ndarray, least: int, num: int, den: int
                 tokens = lines.tokens[order]
                 place = np.arange(len(tokens)) - np.repeat(lines.first, lines.sizes)
                 prefix = lines.sizes - -(-lines.sizes * num // den) + 1
-                bit = np.uint64(1) << (lines.tokens >> np.uint64(9)) % np.uint64(SKETCH_BITS)
-                sketch = np.bitwise_xor.reduceat(bit, lines.first)
+                sketch, more, rest = parities(lines.tokens, lines.first)
                 text = lines.text[lines.taken] + at
                 new = np.zeros(len(lines.taken), dtype=bool)
                 order = np.lexsort((lines.line[lines.taken], ids[text], h2, h1))
@@ -113,10 +123,11 @@ def postings(docs: DataFrame, counts: np.ndarray, least: int, num: int, den: int
                 yield record_batch(
                     token=pa.array(signed(tokens[rows])), doc_id=pa.array(ids[text[own]]),
                     at=pa.array((lines.line[lines.taken][own].astype(np.int64) << 32) | lines.sizes[own]),
-                    sketch=pa.array((np.minimum(place[rows], 65535).astype(np.int64) << SKETCH_BITS) | sketch[own].astype(np.int64)),
+                    sketch=pa.array((np.minimum(place[rows], 65535).astype(np.int64) << SKETCH_BITS) | signed(sketch)[own]),
+                    sketch2=pa.array(signed(more)[own]), sketch3=pa.array(signed(rest)[own]),
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "token long, doc_id long, at long, sketch long")
+    return docs.select("doc_id", "text").mapInArrow(run, "token long, doc_id long, at long, sketch long, sketch2 long, sketch3 long")
 
 
 _MASK = (1 << SKETCH_BITS) - 1
@@ -126,13 +137,13 @@ def candidates(sorted_postings: DataFrame, num: int, den: int, most: int | None)
     """Pairs (later line, earlier line) of a token that pass the filters; rows come sorted by token and line.
 
     With ``most``, the first so many of each line and token, and ``more`` if there are others. The earlier lines of a
-    token are kept in blocks, in memory as four numbers each.
+    token are kept in blocks, in memory as six numbers each.
     """
 
     def run(batches):
         token, earlier = None, []  # the open token and its postings so far
         for batch in batches:
-            columns = [batch.column(i).to_numpy() for i in range(4)]
+            columns = [batch.column(i).to_numpy() for i in range(6)]
             edges = np.flatnonzero(np.concatenate([[True], columns[0][1:] != columns[0][:-1]]))
             ends = np.append(edges[1:], len(columns[0]))
             if token is not None and columns[0][0] == token:
@@ -161,16 +172,20 @@ def candidates(sorted_postings: DataFrame, num: int, den: int, most: int | None)
                 need = -(-(a + b) * num // (num + den))
                 left = 1 + np.minimum(a - place[active] - 1, b - place[other] - 1) + np.minimum(place[active], place[other])
                 near = (a * den >= b * num) & (b * den >= a * num) & (left >= need)
-                near &= np.bitwise_count(bits[active] ^ bits[other]) <= a + b - 2 * need
-                near &= (columns[1][active] != columns[1][other]) | (columns[2][active] != columns[2][other])
-                hit = active[near]
+                late, early, allowed = active[near], other[near], (a + b - 2 * need)[near]
+                apart = np.bitwise_count(bits[late] ^ bits[early]).astype(np.int64)
+                for word in columns[4:]:
+                    apart += np.bitwise_count((word[late] ^ word[early]).view(np.uint64))
+                near = apart <= allowed
+                near &= (columns[1][late] != columns[1][early]) | (columns[2][late] != columns[2][early])
+                hit = late[near]
                 count[hit] += 1
                 if most is None:
                     taken = near
                 else:
-                    taken = near & (count[active] <= most)
-                out[0].append(active[taken])
-                out[1].append(other[taken])
+                    taken = near & (count[late] <= most)
+                out[0].append(late[taken])
+                out[1].append(early[taken])
                 out[2].append(np.zeros(int(taken.sum()), dtype=bool))
                 if most is not None:
                     over = hit[count[hit] > most]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TREES, BITS, TARGET = 24, 32, 0.97
-SHARD_ROWS, BLOCK_ROWS = 8192, 4096
+SHARD_ROWS, BLOCK_ROWS = 16384, 4096
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -50,7 +50,7 @@ class Forest:
         return signs @ (1 << np.arange(self.bits - 1, -1, -1, dtype=np.int64))
 
     def search(self, queries: np.ndarray, k: int, target: float) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query, places and scores of what it met, k at least where there are so many."""
+        """For each query, places and scores of the k best it met, and of all that tie with the last."""
         n, levels = len(self.vectors), self.bits + 1
         codes = self._codes(np.column_stack([queries, np.zeros(len(queries))]))
         low = np.zeros((levels, len(queries), self.trees), dtype=np.int32)
@@ -64,28 +64,35 @@ class Forest:
         out = []
         for q, query in enumerate(queries):
             seen = np.zeros(n, dtype=bool)
-            scores = np.full(n, -np.inf)
+            scores, count, top = np.full(n, -np.inf), 0, np.zeros(0)
             size = self.longest * float(np.sqrt(query @ query))
-            start = int(np.flatnonzero(met[:, q] >= min(k, n))[-1])
+            start, enough, whole = int(np.flatnonzero(met[:, q] >= min(k, n))[-1]), min(k, n), None
             for depth in range(start, -1, -1):
                 fresh = np.zeros(n, dtype=bool)
                 if depth:
-                    for t in range(self.trees):
-                        fresh[self.order[low[depth, q, t] : high[depth, q, t], t]] = True
+                    parts = [self.order[low[depth, q, t] : high[depth, q, t], t] for t in range(self.trees)]
+                    fresh[np.concatenate(parts)] = True
                 else:
                     fresh[:] = True
                 fresh &= ~seen
                 new = np.flatnonzero(fresh)
                 if len(new):
                     seen |= fresh
-                    scores[new] = self.vectors[new] @ query
-                if not depth or seen.sum() < min(k, n):
+                    # Many rows are scored faster all together than gathered.
+                    if whole is None and len(new) > n // 16:
+                        whole = self.vectors @ query
+                    scores[new] = self.vectors[new] @ query if whole is None else whole[new]
+                    count += len(new)
+                    top = np.concatenate([top, scores[new]])
+                    if len(top) > enough:
+                        top = np.partition(top, len(top) - enough)[len(top) - enough :]
+                if not depth or count < enough:
                     continue
-                least = np.partition(scores, n - min(k, n))[n - min(k, n)]
-                agree = 1 - np.arccos(np.clip(least / size, -1, 1)) / np.pi
+                agree = 1 - np.arccos(np.clip(top.min() / size, -1, 1)) / np.pi
                 if 1 - (1 - agree**depth) ** self.trees >= target:
                     break
-            places = np.flatnonzero(seen)
+            # The best and all that tie with the last of them.
+            places = np.flatnonzero(scores >= top.min())
             out.append((places, scores[places]))
         return out
 

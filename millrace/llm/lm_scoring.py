@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import LOWER, Scratch, record_batch
 
 STOP, END, HEAVY = 0.5, 0.002, 1 << 18
-PRIOR, ROUNDS = 1000.0, 2
+PRIOR, ROUNDS = 1000.0, 1
 FLUSH = 250_000
 MARK = "▁"
 
@@ -92,26 +92,33 @@ class Lattice:
         self.later = {p: math.log(w / rest) + go for p, w in weights.later.items()}
         self.bytes = {b: math.log(w / rest) + go for b, w in weights.spelled.items()}
         self.stop = math.log(weights.stop)
-        self.longest = max(map(len, [*self.first, *self.later]))
+        # Pieces with their weights and the beginnings of longer pieces with None; no log weight is 1.
+        self.walk_first, self.walk_later = (
+            {p[:i]: None for p in pieces for i in range(len(p))} | pieces for pieces in (self.first, self.later)
+        )
 
     def spelled(self, char: str) -> float:
         return sum(self.bytes[b] for b in char.encode("utf-8", "surrogatepass"))
 
     def edges(self, word: str) -> list[list[tuple[int, float]]]:
         """For each end, the (begin, weight) of its pieces; begin -1 is a first piece."""
-        first, later, longest = self.first, self.later, self.longest
-        out = []
-        for end in range(len(word) + 1):
-            own = []
-            if end <= longest and word[:end] in first:
-                own.append((-1, first[word[:end]]))
-            for begin in range(max(0, end - longest), end):
-                weight = later.get(word[begin:end])
-                if weight is not None:
-                    own.append((begin, weight))
-                elif begin + 1 == end:
-                    own.append((begin, self.spelled(word[begin])))  # no piece for this character
-            out.append(own)
+        n, walk = len(word), self.walk_later
+        out: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+        for end in range(n + 1):
+            weight = self.walk_first.get(word[:end], 1.0)
+            if weight == 1.0:
+                break
+            if weight is not None:
+                out[end].append((-1, weight))
+        for begin in range(n):
+            for end in range(begin + 1, n + 1):
+                weight = walk.get(word[begin:end], 1.0)
+                if weight is not None and weight != 1.0:
+                    out[end].append((begin, weight))
+                elif end == begin + 1:
+                    out[end].append((begin, self.spelled(word[begin])))  # no piece for this character
+                if weight == 1.0:
+                    break
         return out
 
     @staticmethod

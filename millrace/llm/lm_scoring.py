@@ -4,7 +4,7 @@
 a forward recursion in log space sums them to the word's marginal probability. The vocabulary's scores are
 those of the file; as a byte-pair file scores a piece by its rank, a rank becomes the Zipf weight 1 / (rank + 10), and
 the weights are normalised over first and over later pieces. From these scores, ``ROUNDS`` steps of expectation
-maximisation over all distinct training words weigh the pieces for the corpus; the scores stay as a prior of
+maximisation over the distinct training words seen more than once weigh the pieces for the corpus; the scores stay as a prior of
 ``PRIOR`` pieces. Characters without a piece are spelled by byte pieces.
 
 **Document.** Its tokens are its words (A-Z lower-cased) and one end. The lattice is the base of an absolute-discounted
@@ -172,7 +172,9 @@ def lattice(weights: Weights) -> Lattice:
 
 
 def reweighed(counted: DataFrame, weights: Weights) -> Weights:
-    """One step of expectation maximisation over all distinct training words.
+    """One step of expectation maximisation over the distinct training words seen more than once.
+
+    Words seen once are half of all and mostly noise; they count in the model, not in the weights of pieces.
 
     Tasks send a row for each piece of the vocabulary at most, and so does the sum to the driver.
     """
@@ -187,7 +189,7 @@ def reweighed(counted: DataFrame, weights: Weights) -> Weights:
         counts["\n"] = float(words)
         yield record_batch(piece=pa.array(list(counts), pa.string()), n=pa.array(list(counts.values()), pa.float64()))
 
-    sums = counted.where("c > 0").select("word").mapInArrow(run, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+    sums = counted.where("c > 1").select("word").mapInArrow(run, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
     found = {row.piece: row.n for row in sums.collect()}
     words = found.pop("\n", 0.0)
     return weights.updated(found, words)

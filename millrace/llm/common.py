@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -260,7 +259,3 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     if labels is None:
         return spark.createDataFrame([], "id long, component long")
     return labels
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

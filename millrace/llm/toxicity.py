@@ -27,7 +27,6 @@ WINDOW, STEP = 32, 16
 SAMPLE = 1000
 WORD_BUCKETS, CHAR_BUCKETS, WIDTH, HIDDEN = 1 << 16, 1 << 12, 8, 6
 THRESHOLD = 0.3
-CUTS = 256  # windows in a training step
 
 
 def held_out(id_col: str = "doc_id"):
@@ -211,7 +210,7 @@ def train(texts: list[str | None], labels: list[int], steps: int = 200, rate: fl
                 best = top[np.concatenate([[True], np.diff(owner[top]) != 0])]
                 others = np.flatnonzero(truth[owner] == 0)
                 others = r.choice(others, min(len(others), 3 * len(truth)), replace=False) if len(others) else others
-                chosen = np.unique(np.concatenate([best, others]))[: 4 * CUTS]
+                chosen = np.unique(np.concatenate([best, others]))
                 kept = model.forward(model.project(inputs), windows[chosen], keep=True)
                 weight = np.isin(chosen, best) * 1.0 + (~np.isin(chosen, best)) * 0.3
                 d = ((_sigmoid(kept[0]) - truth[owner[chosen]]) * weight / len(truth)).astype(np.float32)

@@ -224,6 +224,24 @@ def test_secrets_false_discoveries(spark):
     assert len(hits & odd) >= 120 and len(hits - odd) <= 5
 
 
+def test_secrets_among_prose_without_long_words(spark):
+    """Keys of every class from 24 characters are found though no word is that long, in a large table and in a single text."""
+    r = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    common = "the of and to in is that for it was with as on be at by had not are but from or have an they which one you were her".split()
+    prose = lambda n: " ".join(r.choice(common) for _ in range(n))
+    sizes = (24, 32, 40, 64, 128)
+    keys = ["".join(r.choice(letters) for _ in range(sizes[i // 2 % 5])) + "a1" if i % 2 else "some_name_for_a_thing_2/" * 6 for i in range(200)]
+    rows = [(i, f"{prose(80)} {key} {prose(80)}") for i, key in enumerate(keys)]
+    found = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).where("size(spans) > 0").collect()
+    hits = {row.doc_id for row in found}
+    for size in range(5):
+        assert sum(i % 2 and i // 2 % 5 == size for i in hits) >= 16
+    assert not any(i % 2 == 0 for i in hits)
+    one = secret_scan.find_secrets(spark.createDataFrame([(1, f"see {''.join(r.choice(letters) for _ in range(39))}7 {prose(5)}")], "doc_id long, text string"))
+    assert [(s.kind, s.start, s.end) for s in one.first().spans] == [("random", 4, 44)]
+
+
 PERSONAL = [
     None, "", "mail a.b+c@d-e.co.uk, x@y, _p@q.rs@t.uv", "a@b.c_d@e.f", "ip 1.2.3.4 999.1.1.1 1.2.3.4.5.6.7.8 00255.0.0.1 é 8.8.8.8",
     "card 4111 1111 1111 1111, 4111-1111-1111-1112 4111111111111111", "1--2 4111  1111 1111 1111", "phone +1 (456) 555-2186 +12 +4930123456789012345 ++4912345678",

@@ -242,6 +242,24 @@ def test_secrets_among_prose_without_long_words(spark):
     assert [(s.kind, s.start, s.end) for s in one.first().spans] == [("random", 4, 44)]
 
 
+def test_secrets_of_letters_only(spark):
+    """They are found, long words are not, and many of them take no other key's place."""
+    r = random.Random(6)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    key = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    lower = lambda n: key(upper.lower(), n)
+    common = "anna esse testa tessera estate seta nata stessa tenna sette".split()
+    prose = lambda n: " ".join(r.choice(common) for _ in range(n))
+    kinds = [lambda: lower(16), lambda: key(upper + upper.lower(), 40), lambda: key(upper.lower() + "0123456789", 39) + "7", lambda: "".join(r.choice(common) for _ in range(20))[:40]]
+    rows = [(i, f"{prose(80)} {kinds[i % 4]()} {prose(80)}") for i in range(400)]
+    rows += [(1000 + i, lower(40)) for i in range(600)] + [(-1 - i, prose(80)) for i in range(2000)]
+    found = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).where("size(spans) > 0").collect()
+    hits = {row.doc_id for row in found}
+    by_kind = [sum(0 <= i < 400 and i % 4 == k for i in hits) for k in range(4)]
+    assert min(by_kind[:3]) >= 80 and sum(i >= 1000 for i in hits) >= 480
+    assert by_kind[3] <= 2 and min(hits) >= 0
+
+
 PERSONAL = [
     None, "", "mail a.b+c@d-e.co.uk, x@y, _p@q.rs@t.uv", "a@b.c_d@e.f", "ip 1.2.3.4 999.1.1.1 1.2.3.4.5.6.7.8 00255.0.0.1 é 8.8.8.8",
     "card 4111 1111 1111 1111, 4111-1111-1111-1112 4111111111111111", "1--2 4111  1111 1111 1111", "phone +1 (456) 555-2186 +12 +4930123456789012345 ++4912345678",

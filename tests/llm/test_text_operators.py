@@ -356,6 +356,18 @@ def test_lattice_sums_all_segmentations():
     assert letters == pytest.approx(4) and sum(n for p, n in counts.items() if p.startswith(lm_scoring.MARK)) == pytest.approx(1)
 
 
+def test_pieces_are_weighed_by_all_training_words(spark):
+    """Words seen once count as those seen more often; words of held-out rows do not."""
+    counted = spark.createDataFrame([(bytearray(b"abab"), 1), (bytearray(b"aab"), 3), (bytearray(b"bbb"), 0)], "word binary, c long")
+    weights = lm_scoring.Weights({"": 1.0, "a": 2.0, "ab": 1.0}, {"b": 1.0, "a": 1.0, "ba": 2.0}, {b: 0.01 for b in range(256)}, 0.5)
+    counts = Counter()
+    for word in ("abab", "aab"):
+        lm_scoring.Lattice(weights).expect(word, counts)
+    expected, got = weights.updated(counts, 2.0), lm_scoring.reweighed(counted, weights)
+    assert got.first == pytest.approx(expected.first) and got.later == pytest.approx(expected.later)
+    assert got.stop == pytest.approx(expected.stop) and lm_scoring.ROUNDS == 2
+
+
 def test_packing(docs, rows):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -1,7 +1,7 @@
 """Line dedup: exact set-similarity join of lines, by prefix, positional and length filters.
 
-A line's tokens are its distinct words (A-Z lower-cased); lines of at least ``least`` of them take part. Two lines
-match when the Jaccard similarity of their token sets is ``num/den`` or more. A line is removed when any earlier
+A line's tokens are its distinct words (A-Z lower-cased); lines of at least ``least`` of them take part, by default
+all that have a word. Two lines match when the Jaccard similarity of their token sets is ``num/den`` or more. A line is removed when any earlier
 line matches it, earlier by document id, then by place; other lines are left as they are.
 
 **Classes.** Lines with equal token sets are one class, and only its first line can stay.
@@ -28,7 +28,7 @@ from millrace.llm.common import (
     IdFilter, Scratch, bucket_counts, bucket_of, free_name, hash_words, mix, record_batch, signed, text_chunks,
 )
 
-NUM, DEN, LEAST = 80, 100, 8
+NUM, DEN, LEAST = 80, 100, 1
 REMOVED = "_removed"
 FIRST = 3  # candidates of a line and token in the first round
 SKETCH_BITS = 48  # in the number that also holds the place; two more of 64 bits follow

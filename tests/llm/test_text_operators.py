@@ -151,6 +151,16 @@ def test_line_dedup_second_round(spark):
     assert {r.doc_id: r.text for r in got.collect()} == lines_left_by_force(rows)
 
 
+def test_line_dedup_of_short_lines(spark):
+    """Lines of one to seven distinct words are judged too, also those that repeat their words."""
+    lines = ["MIT", "see the menu", "a b c d", "a b c d e", "Nicht aulich fur sch eruver enau sch der.", "", " ", "one two three four five six seven"]
+    rows = [(i, "\n".join(lines[i % 3 :])) for i in range(5)] + [(9, "mit\nmenu\none two three four five six eight")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.doc_id: r.text for r in got.collect()}
+    assert found == lines_left_by_force(rows, 1)
+    assert found[3] == "\n " and found[9] == "menu\none two three four five six eight"
+
+
 ITEMS = [(1, "alpha beta gamma"), (2, None), (3, "..."), (4, " ".join(f"item{i}" for i in range(14))), (4, "beta gamma"), (10, "été à Paris")]
 
 

@@ -85,10 +85,11 @@ class Words(NamedTuple):
     counts: np.ndarray
 
 
-def hash_words(data: np.ndarray, bounds: np.ndarray) -> Words:
+def hash_words(data: np.ndarray, bounds: np.ndarray, longest: int = 0, overlap: int = 0) -> Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 texts that lie one after another, A-Z lower-cased.
 
     ``bounds`` has the start of each text and the end of the last one. No word spans two texts.
+    With ``longest``, longer words are cut to pieces of that many bytes which overlap, each a word of its own.
     """
     data = np.frombuffer(data.tobytes().translate(LOWER), dtype=np.uint8)
     n = len(data)
@@ -101,6 +102,12 @@ def hash_words(data: np.ndarray, bounds: np.ndarray) -> Words:
     first[edges] = solid[edges]
     last[edges - 1] = solid[edges - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    if longest:
+        step = longest - overlap
+        pieces = 1 + np.maximum(0, -(-(ends - starts - longest) // step))
+        within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        starts = np.repeat(starts, pieces) + within * step
+        ends = np.minimum(starts + longest, np.repeat(ends, pieces))
     up, down = _power_tables(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * up[:n], out=sums[1:])

@@ -1,7 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 **Inputs.** A word is given by its own (hashed) vector and by its characters: the mean of the vectors of its
-hashed character trigrams. Both pass one layer to the network's input, once for each distinct word of a batch.
+hashed character trigrams. Words of more than ``LONGEST`` bytes, as in texts without white space, are cut to pieces that
+overlap by two bytes and are words of their own, so every trigram is read. Both pass one layer to the network's input, once for each distinct word of a batch.
 **Network.** Windows of ``WINDOW`` words overlap by half. Each is read forwards and backwards by a gated recurrent
 unit; attention pools the states to one logit. A text's score is that of its highest window: every window of
 the whole text is scored. A text without words is one empty window of padding.
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import PLACE, hash_words, map_batches, mix, record_batch, text_chunks
 
 WINDOW, STEP = 32, 16
+LONGEST = 64
 SAMPLE = 1000
 WORD_BUCKETS, CHAR_BUCKETS, WIDTH, HIDDEN = 1 << 16, 1 << 12, 8, 6
 THRESHOLD = 0.3
@@ -46,13 +48,18 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
 
+def words_of(data: np.ndarray, bounds: np.ndarray):
+    return hash_words(data, bounds, LONGEST, 2)
+
+
 class Vocabulary:
     """Distinct words of some texts: bucket of each, and the buckets of its character trigrams."""
 
     def __init__(self, data: np.ndarray, words):
         hashes, first, self.inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
         self.buckets = (hashes % np.uint64(WORD_BUCKETS)).astype(np.int64)
-        starts, lengths = words.starts[first], np.minimum(words.ends[first] - words.starts[first], 64)
+        starts = words.starts[first]
+        lengths = words.ends[first] - starts
         owner = np.repeat(np.arange(len(first)), lengths)
         at = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(starts, lengths)
         lower = lambda b: np.where((b >= 65) & (b <= 90), b + 32, b).astype(np.uint64)
@@ -180,7 +187,7 @@ def windows_of(counts: np.ndarray, inverse: np.ndarray, pad: int) -> tuple[np.nd
 def prepare(texts: list[str | None]):
     """Vocabulary, windows and owners of a chunk of texts."""
     for at, data, bounds in text_chunks(pa.array(texts, pa.string())):
-        words = hash_words(data, bounds)
+        words = words_of(data, bounds)
         vocabulary = Vocabulary(data, words)
         windows, owner = windows_of(words.counts, vocabulary.inverse, len(vocabulary.buckets))
         yield at, vocabulary, windows, owner
@@ -223,7 +230,7 @@ def _start_words(model: Model, texts, labels) -> None:
     """Word vectors start with the log odds of the word's texts being of class 1."""
     counts = np.zeros((2, WORD_BUCKETS))
     for at, data, bounds in text_chunks(pa.array(texts, pa.string())):
-        words = hash_words(data, bounds)
+        words = words_of(data, bounds)
         owner = np.repeat(np.arange(len(words.counts)), words.counts)
         pairs = np.unique(owner * WORD_BUCKETS + (words.hashes % np.uint64(WORD_BUCKETS)).astype(np.int64))
         kind = labels[at + pairs // WORD_BUCKETS].astype(int)
@@ -250,7 +257,7 @@ def _adam(model: Model, gradients: dict, moments: dict, step: int, rate: float)
 def score_texts(model: Model, texts: pa.Array) -> np.ndarray:
     out = np.zeros(len(texts))
     for at, data, bounds in text_chunks(texts):
-        words = hash_words(data, bounds)
+        words = words_of(data, bounds)
         vocabulary = Vocabulary(data, words)
         projected = model.project(model.word_inputs(vocabulary))
         windows, owner = windows_of(words.counts, vocabulary.inverse, len(vocabulary.buckets))

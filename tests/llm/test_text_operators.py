@@ -88,6 +88,7 @@ def test_ngram_components(docs, rows):
 def test_linked_sets_share_a_key(edits):
     """Pairs just inside the threshold always meet, also tiny ones."""
     import numpy as np
+    import pyarrow as pa
 
     r = np.random.default_rng(edits)
     for n in [*range(1, 60), 100, 333, 1000, 5000]:
@@ -384,6 +385,7 @@ def test_packing(docs, rows):
     import zlib
 
     import numpy as np
+    import pyarrow as pa
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     got = packing.best_fit_packing(docs, group_rows=20).collect()
@@ -414,6 +416,7 @@ def test_encoder_agrees_with_the_tokenizer(text):
 
 def test_lower_bound_is_reached_or_below():
     import numpy as np
+    import pyarrow as pa
 
     r = np.random.default_rng(2)
     for _ in range(20):
@@ -427,6 +430,7 @@ def test_lower_bound_is_reached_or_below():
 
 def test_toxicity_gradient():
     import numpy as np
+    import pyarrow as pa
 
     model = toxicity.Model()
     model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
@@ -469,6 +473,24 @@ def test_toxicity_learns_and_generalises(spark):
     assert kept.schema == docs.schema and kept.count() == sum(1 for r in got.values() if r.score < toxicity.THRESHOLD)
 
 
+def test_toxicity_reads_all_of_a_long_word():
+    """Every byte trigram of a word of any length is one of a piece, and what comes late changes the score."""
+    import numpy as np
+    import pyarrow as pa
+
+    word = "".join(chr(0x4E00 + i * 7 % 5000) for i in range(700))
+    data = np.frombuffer(word.encode(), dtype=np.uint8)
+    words = toxicity.words_of(data, np.array([0, len(data)]))
+    assert words.counts.tolist() == [len(words.starts)] and (words.ends - words.starts).max() <= 64
+    assert {i for s, e in zip(words.starts, words.ends) for i in range(s, e - 2)} == set(range(len(data) - 2))
+    short = toxicity.words_of(np.frombuffer(b"a bb " + b"c" * 64, dtype=np.uint8), np.array([0, 69]))
+    assert short.counts.tolist() == [3]
+    model = toxicity.Model()
+    model.p["word"][:] = 0  # characters only
+    a, b = toxicity.score_texts(model, pa.array([word, word[:400] + "abc" * 50 + word[450:]]))
+    assert a != b
+
+
 def test_toxicity_of_a_long_text_is_its_worst_window(spark):
     model = toxicity.Model()
     import pyarrow as pa

@@ -235,6 +235,23 @@ def free_name(name: str, *frames: DataFrame) -> str:
     return name
 
 
+def one_of_each(docs: DataFrame, gone: DataFrame, counted: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows whose id is in ``gone``; of the ids that ``counted`` has more than once, equal texts stay once.
+
+    Columns as they are. Only rows that may be among either are shuffled.
+    """
+    name, often = free_name("_id", docs), free_name("_often", docs)
+    own = lambda df: df.select(F.col(id_col).alias(name))
+    repeated = own(counted.where(F.col(id_col).isNotNull())).groupBy(name).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(name)
+    marks = own(gone).distinct().withColumn(often, F.lit(False)).unionByName(repeated.withColumn(often, F.lit(True)))
+    marks = scratch.keep(marks.groupBy(name).agg(F.min(often).alias(often)))
+    maybe, rest = IdFilter(marks, name).parts(docs, id_col)
+    maybe = maybe.join(marks, F.col(id_col) == F.col(name), "left")
+    single = maybe.where(F.col(often).isNull()).drop(name, often)
+    double = maybe.where(F.col(often)).drop(name, often).dropDuplicates([id_col, text_col])
+    return rest.unionByName(single).unionByName(double)
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Connected components of ``edges`` (u, v), a kept table: rows (id, component), the component being its smallest id.
 

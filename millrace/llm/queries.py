@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontamination, line_dedup, lm_scoring, nearest, ngram_join, packing, pii, secret_scan, toxicity
+from millrace.llm import (
+    chat, decontamination, hard_negatives, line_dedup, lm_scoring, nearest, ngram_join, packing, pii, secret_scan, superminhash,
+    toxicity, whitening,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,13 +62,35 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(chat.canonical_turns(rows, "conv_id")))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.expr("pmod(vec_id, 7) = 0"), (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label)).drop("anchor_no")
+
+
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op2_nearest_neighbours, op3_pii, op4_toxicity, op5_decontamination, op6_line_dedup, op7_secret_scan, op8_lm_scoring, op9_best_fit_packing, op10_chat_formatting)
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard_join, op2_nearest_neighbours, op3_pii, op4_toxicity, op5_decontamination, op6_line_dedup, op7_secret_scan,
+        op8_lm_scoring, op9_best_fit_packing, op10_chat_formatting, op11_embedding_whitening, op12_hard_negative_mining,
+        op13_minhash_near_dedup,
+    )
 }
 # A-Z only: lower() would also change other letters.
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-OP1 = rf"""
+
+def _components(share: int, columns: str = "") -> str:
+    """Groups of documents linked by the Jaccard similarity of their 5-word shingles, by brute force."""
+    return rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (
     SELECT DISTINCT doc_id, unnest(CASE
@@ -75,12 +101,16 @@ s AS (
 n AS (SELECT w.doc_id, count(s.g) AS n FROM w LEFT JOIN s ON w.doc_id = s.doc_id GROUP BY w.doc_id),
 p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 e AS (
-    SELECT u, v FROM p JOIN n a ON u = a.doc_id JOIN n b ON v = b.doc_id WHERE 100 * c >= 80 * (a.n + b.n - c)
+    SELECT u, v FROM p JOIN n a ON u = a.doc_id JOIN n b ON v = b.doc_id WHERE 100 * c >= {share} * (a.n + b.n - c)
 ),
 r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT r.doc_id, e.v FROM r JOIN e ON r.c = e.u)
-SELECT n.doc_id, any_value(n.n) AS n_shingles, min(r.c) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY n.doc_id
+SELECT n.doc_id, any_value(n.n) AS n_shingles, min(r.c) AS component_id{columns} FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY n.doc_id
 """
 
+
+OP1 = _components(80)
+OP13 = _components(85, ", n.doc_id = min(r.c) AS kept")
+
 _NORMAL = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 OP5 = rf"""
 WITH d AS (SELECT doc_id, {_NORMAL} AS w FROM documents),
@@ -129,4 +159,33 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op5_decontamination": OP5, "op10_chat_formatting": OP10}
+OP12 = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+        CAST(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) AS BIGINT) AS s
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+),
+p AS (
+    SELECT anchor_id, vec_id AS positive_id, s AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, vec_id) <= 5
+),
+n AS (
+    SELECT p.*, s.vec_id AS negative_id, s.s AS negative_score,
+        CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.s DESC, s.vec_id) AS INTEGER) AS rank
+    FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+    WHERE 80 * positive_score <= 100 * s.s AND 100 * s.s <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+SQL: dict[str, str] = {
+    "op1_ngram_jaccard_join": OP1, "op5_decontamination": OP5, "op10_chat_formatting": OP10, "op12_hard_negative_mining": OP12,
+    "op13_minhash_near_dedup": OP13,
+}

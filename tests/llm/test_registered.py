@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 

@@ -216,8 +216,15 @@ def commit(
 
 
 def _write_commit(spark: SparkSession, warehouse: str, ident: Identifier, values: dict) -> bool:
-    """Make the commit's file, named by its number; false if there is one already."""
+    """Make the commit's file, named by its number; false if there is a whole one already."""
     values = {"namespace": ident.namespace, "name": ident.name, **values}
     values["committed_at"] = datetime.now(timezone.utc).isoformat(timespec="milliseconds")
     line = json.dumps({k: v for k, v in values.items() if v is not None}) + "\n"
-    return create_file(spark, f"{table_path(warehouse, ident)}/commits/{values['seq']:020d}.json", line)
+
+    def whole(text: str) -> bool:
+        try:
+            return json.loads(text).get("seq") == values["seq"]
+        except (ValueError, AttributeError):
+            return False
+
+    return create_file(spark, f"{table_path(warehouse, ident)}/commits/{values['seq']:020d}.json", line, whole)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -40,20 +41,54 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
-def create_file(spark: SparkSession, path: str, text: str) -> bool:
-    """Make a file unless it is there already; tells whether it was made."""
-    file_system, hadoop_path = _file_system(spark, path)
-    try:
-        out = file_system.create(hadoop_path, False)
-    except Py4JJavaError as error:
-        if file_system.exists(hadoop_path):
-            return False
-        raise error
+def create_file(spark: SparkSession, path: str, text: str, whole: Callable[[str], bool] = lambda text: True) -> bool:
+    """Make a file unless it is there already; tells whether it was made.
+
+    The text is written under another name first and renamed, so no reader and no crash ever leaves a part of it under
+    ``path``. A file that is there but not ``whole`` is what an interrupted writer left, and is replaced.
+    """
+    file_system, target = _file_system(spark, path)
+    part = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}.part"
+    _, source = _file_system(spark, part)
+    out = file_system.create(source, False)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    return True
+    try:
+        while not _rename_new(spark, source, target):
+            if whole(read_file(spark, path)):
+                return False
+            file_system.delete(target, False)
+        return True
+    finally:
+        file_system.delete(source, False)
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    file_system, hadoop_path = _file_system(spark, path)
+    stream = file_system.open(hadoop_path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8", "replace")
+    finally:
+        stream.close()
+
+
+def _rename_new(spark: SparkSession, source, target) -> bool:
+    """Rename unless the target exists; tells whether it was renamed."""
+    jvm = spark._jvm
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(source, target, options)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
 
 
 def allow_duplicate_keys(spark: SparkSession) -> None:

@@ -5,8 +5,8 @@
 
 Data is written first and its commit row last, so a data folder without a commit row is invisible. The
 rows a branch shows are those of the commits since its last overwrite. A commit row has a fixed size,
-whatever the number of commits before it. Commit files are named by their number and made only if they are
-not there, so of two writers from one head the second fails. The label ``_sync_id`` and those of partitions get
+whatever the number of commits before it. Commit files are named by their number and renamed into place only if they are
+not there, so of two writers from one head the second fails, and a crash leaves no part of one. The label ``_sync_id`` and those of partitions get
 underscores where a column of the table has that name.
 """
 
@@ -90,7 +90,8 @@ def read_commits(spark: SparkSession, warehouse: str, idents: list[Identifier])
         if not path_exists(spark, path):
             raise LookupError(f"Table {ident} could not be found.")
         paths.append(path)
-    return spark.read.schema(COMMIT_SCHEMA).json(paths)
+    # A line that is cut off is no commit.
+    return spark.read.schema(COMMIT_SCHEMA).option("mode", "DROPMALFORMED").json(paths).where("seq IS NOT NULL")
 
 
 def last_known(column: str) -> Column:

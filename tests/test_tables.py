@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 import millrace as m
 from millrace.functions.transforms import parse_transform
+from millrace.session import create_file
 from millrace.sources.tables import table_path
 
 STRUCT = T.StructType().add("id", T.IntegerType(), False).add("name", T.StringType())
@@ -147,7 +148,7 @@ def test_partition_values(spark, warehouse):
 
 def test_partition_errors(spark, warehouse):
     for column, transform, message in (
-        ("nope", "identity", "doesn't exist"),
+        ("nope", "identity", "There is no column nope"),
         ("i", "year", "no year"),
         ("d", "hour", "no hour"),
         ("d", "truncate[2]", "truncated"),
@@ -184,7 +185,7 @@ def test_one_hot_partition_is_split(spark, warehouse):
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     base = f"{table_path(warehouse, 'n.t')}/data/*"
-    assert len(glob.glob(f"{base}/_p_name=hot/*.parquet")) > 1
+    assert len(glob.glob(f"{base}/_p_name=*hot/*.parquet")) > 1
     assert m.read_table(spark, warehouse, "n.t").count() == 200_000
 
 
@@ -240,3 +241,41 @@ def test_append_checks_nested_values_and_lets_null_columns_be(spark, warehouse):
         with pytest.raises(Exception, match="needs a value"):
             m.append(spark.createDataFrame([bad], lax), warehouse, "n.t")
     assert m.read_table(spark, warehouse, "n.t").count() == 3
+
+
+@pytest.mark.parametrize("torn", ["", '{"namespace":"n","name":"t","seq":3,"branch":"ma', "null\n"])
+def test_a_torn_commit_is_replaced(spark, warehouse, torn):
+    """A crash left a part of a commit's file: the table reads as before it, and the next commit takes its place."""
+    m.create_table(spark, warehouse, "n.t", STRUCT)
+    rows = spark.range(5).selectExpr("cast(id as int) id", "'x' name")
+    m.append(rows, warehouse, "n.t")
+    path = f"{table_path(warehouse, 'n.t')}/commits/{3:020d}.json"
+    with open(path, "w") as file:
+        file.write(torn)
+    assert m.read_table(spark, warehouse, "n.t").count() == 5
+    assert m.append(rows, warehouse, "n.t").seq == 3 and m.append(rows, warehouse, "n.t").seq == 4
+    assert m.read_table(spark, warehouse, "n.t").count() == 15
+    assert not glob.glob(f"{table_path(warehouse, 'n.t')}/commits/.*.part")
+
+
+@pytest.mark.parametrize("torn", ["", '{"namespace":"n","na'])
+def test_a_torn_creation_is_made_again(spark, warehouse, torn):
+    folder = f"{table_path(warehouse, 'n.t')}/commits"
+    os.makedirs(folder)
+    with open(f"{folder}/{1:020d}.json", "w") as file:
+        file.write(torn)
+    with pytest.raises(LookupError):
+        m.append(spark.range(0).selectExpr("cast(id as int) id", "'x' name"), warehouse, "n.t")
+    assert m.create_table(spark, warehouse, "n.t", STRUCT)
+    assert not m.create_table(spark, warehouse, "n.t", STRUCT)
+    m.append(spark.range(2).selectExpr("cast(id as int) id", "'x' name"), warehouse, "n.t")
+    assert m.read_table(spark, warehouse, "n.t").count() == 2
+
+
+def test_a_whole_commit_is_never_replaced(spark, warehouse):
+    m.create_table(spark, warehouse, "n.t", STRUCT)
+    path = f"{table_path(warehouse, 'n.t')}/commits/{1:020d}.json"
+    before = open(path).read()
+    assert not create_file(spark, path, "other", lambda text: text == before) and open(path).read() == before
+    assert create_file(spark, f"{path}.new", "first") and not create_file(spark, f"{path}.new", "second")
+    assert open(f"{path}.new").read() == "first"

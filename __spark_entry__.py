@@ -20,10 +20,8 @@ try:
     import corpus_pipeline
     from millrace.llm.queries import QUERIES as LLM_QUERIES
     from millrace.llm.queries import SQL as LLM_SQL
-except ModuleNotFoundError as missing:
-    # The subpackage and its pipeline are optional; nothing else may be missing.
-    if missing.name not in ("corpus_pipeline", "millrace.llm"):
-        raise
+except ImportError:
+    # The subpackage, its pipeline and the libraries that only they need are optional.
     LLM_QUERIES, LLM_SQL = {}, {}
 else:
     LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
@@ -472,6 +470,139 @@ def validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select(F.expr("variant_get(data, '$.c_custkey', 'int')").alias("c_custkey"))
 
 
+KEYWORDS = {
+    "type": "object",
+    "required": ["o_orderkey", "clerk"],
+    "additionalProperties": False,
+    "minProperties": 10,
+    "maxProperties": 11,
+    "patternProperties": {"^x_": {"type": "integer", "minimum": 0}},
+    "$defs": {"price": {"type": "number", "exclusiveMinimum": 1000, "maximum": 200000.5}},
+    "properties": {
+        "o_orderkey": {"type": "integer", "multipleOf": 3, "minimum": 100, "exclusiveMaximum": 14000},
+        "o_custkey": {
+            "type": "integer",
+            "anyOf": [{"maximum": 100}, {"multipleOf": 10}],
+            "oneOf": [{"multipleOf": 2}, {"multipleOf": 3}],
+            "not": {"const": 7},
+            "allOf": [{"minimum": 5}],
+            "if": {"maximum": 50},
+            "then": {"multipleOf": 5},
+            "else": {"multipleOf": 4},
+        },
+        "o_orderstatus": {"type": "string", "enum": ["F", "O"]},
+        "o_totalprice": {"$ref": "#/$defs/price"},
+        "o_orderpriority": {"type": "string", "pattern": "^[1-3]-", "minLength": 6, "maxLength": 10},
+        "kind": {"type": "string", "const": "order"},
+        "clerk": {"type": "integer"},
+        "tags": {
+            "type": "array",
+            "minItems": 2,
+            "maxItems": 3,
+            "uniqueItems": True,
+            "contains": {"const": "F"},
+            "items": {"type": "string", "minLength": 1},
+        },
+        "meta": {"type": "object", "properties": {"k": {"type": "integer", "maximum": 9}}, "maxProperties": 1},
+    },
+}
+
+
+def odd_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as messages with fields that come and go; nulls are left out."""
+    key, customer, status = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
+    first = F.substring("o_orderpriority", 1, 1)
+    data = F.struct(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
+        F.when(customer % 7 == 0, "x").otherwise("order").alias("kind"),
+        F.when(customer % 5 != 0, customer).alias("clerk"),
+        F.when(key % 4 == 0, F.array(status)).when(key % 4 == 1, F.array(status, first, status, first))
+        .when(key % 4 == 2, F.array(status, F.lit(""))).otherwise(F.array(status, first)).alias("tags"),
+        F.struct((key % 12).alias("k"), F.when(key % 9 == 0, first).alias("note")).alias("meta"),
+        (customer % 13 - 1).alias("x_a"),
+        F.when(customer % 11 == 0, F.struct((customer % 2 == 0).alias("flag"), F.lit("n").alias("text"))).alias("note"),
+    )
+    record = F.struct(F.lit("RECORD").alias("type"), F.struct(F.lit("orders").alias("stream"), data.alias("data")).alias("record"))
+    return table(spark, sf_dir, "orders").select(F.to_json(record).alias("value"))
+
+
+def keyword_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many orders violate each keyword of the schema, by path."""
+    parsed = m.records(m.parse_envelope(odd_orders(spark, sf_dir)))
+    return m.keyword_report(parsed, KEYWORDS).groupBy("path", "rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+def undeclared_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the schema's columns leave out of the orders: at the top, in an object, and objects within arrays."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_linenumber") < 3, F.col("l_returnflag")).alias("flag"),
+        F.struct("l_suppkey", F.struct("l_linestatus", (F.col("l_quantity") > 10).alias("many")).alias("more")).alias("part"),
+        F.array(F.struct("l_partkey", "l_linenumber"), F.struct(F.lit(1).alias("l_partkey"), F.lit(None).cast("int").alias("l_linenumber"))).alias("list"),
+        F.when(F.col("l_linenumber") == 1, "1").otherwise("[]").alias("mixed"),
+    )
+    # The mixed field is a number in some records and a list in others.
+    text = F.regexp_replace(F.to_json(F.struct("*")), '"mixed":"([^"]*)"', '"mixed":$1')
+    messages = lines.select(F.concat(F.lit('{"type":"RECORD","record":{"stream":"l","data":'), text, F.lit("}}")).alias("value"))
+    schema = obj({
+        "l_orderkey": INT, "l_linenumber": INT, "part": obj({"l_suppkey": INT, "more": obj({"l_linestatus": TEXT})}),
+        "list": {"type": "array", "items": obj({"l_partkey": INT})},
+    })
+    return m.undeclared_fields(m.records(m.parse_envelope(messages)), schema)
+
+
+def mixed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as lines of which some are no good messages, of a kind that their key tells."""
+    good = F.to_json(F.struct(F.lit("RECORD").alias("type"), F.struct(F.lit("orders").alias("stream"), F.struct("o_orderkey", "o_totalprice").alias("data")).alias("record")))
+    key = F.col("o_orderkey").cast("string")
+    bad = {
+        1: F.concat(F.lit('{"type":"RECORD","record":{"stream":"orders","data":{"o_orderkey":'), key, F.lit("}")),
+        2: F.concat(good, F.lit(" "), good),
+        3: F.concat(F.lit('{"type":"RECRD","n":'), key, F.lit("}")),
+        4: F.concat(F.lit('{"type":"RECORD","record":{"data":{"o_orderkey":'), key, F.lit("}}}")),
+        5: F.concat(F.lit('{"type":"RECORD","record":{"stream":"orders","at":'), key, F.lit("}}")),
+        6: F.concat(F.lit('{"type":"STATE","state":{"type":"STREAM","stream":{"stream_state":{"at":'), key, F.lit("}}}}")),
+        7: F.concat(F.lit('{"type":"STATE","state":{"type":"GLOBAL","at":'), key, F.lit("}}")),
+        8: F.concat(F.lit("reading order "), key),
+    }
+    line = good
+    for rest, text in bad.items():
+        line = F.when(F.col("o_orderkey") % 20 == rest, text).otherwise(line)
+    return table(spark, sf_dir, "orders").select(line.alias("value"))
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed lines as rows with their reason; the good ones of the same input are loaded in the same run."""
+    root = scratch_dir(spark)
+    mixed_orders(spark, sf_dir).write.text(f"{root}/in")
+    source = catalog(stream("orders", {"o_orderkey": INT, "o_totalprice": NUM}))
+    m.ingest(spark, f"{root}/in", f"{root}/warehouse", source, m.SyncConfig(rejects=f"{root}/rejects"))
+    kept = spark.read.parquet(f"{root}/rejects").groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("file", "block", "line").alias("places"))
+    alone = m.rejected_lines(m.scan_messages(spark, f"{root}/in")).groupBy("reason").agg(F.count(F.lit(1)).alias("alone"))
+    loaded_rows = m.read_table(spark, f"{root}/warehouse", "default.orders").agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("n"))
+    return kept.join(alone, "reason").unionByName(loaded_rows.withColumns({"places": F.col("n"), "alone": F.col("n")}))
+
+
+def checked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A configured catalog with keywords, loaded to a table whose schema is not the stream's: columns left out, others optional."""
+    part, warehouse = table(spark, sf_dir, "part"), scratch_dir(spark)
+    properties = {
+        "p_partkey": {"type": "integer", "minimum": 0},
+        "p_name": {"type": "string", "minLength": 1},
+        "p_size": {"type": "integer", "maximum": 1000},
+        "box": {"type": "object", "properties": {"p_type": TEXT, "p_brand": {"type": "string", "pattern": "^Brand"}}, "required": ["p_type"]},
+    }
+    own = T.StructType().add("p_partkey", "long").add("box", T.StructType().add("p_type", "string")).add("absent", "string")
+    m.create_table(spark, warehouse, "shop.part", own)
+    entry_of = {
+        "stream": {"name": "part", "namespace": "shop", "json_schema": obj(properties), "supported_sync_modes": ["full_refresh", "incremental"]},
+        "sync_mode": "incremental", "destination_sync_mode": "append", "cursor_field": [], "primary_key": [["p_partkey"]],
+    }
+    rows = part.select("p_partkey", "p_name", "p_size", F.struct("p_type", "p_brand").alias("box"))
+    m.ingest(spark, m.to_messages(rows, "part", "shop"), warehouse, {"streams": [entry_of]}, m.SyncConfig(check_keywords=True))
+    return m.read_table(spark, warehouse, "shop.part").select("p_partkey", "box.p_type", "absent")
+
+
 # --- tables --------------------------------------------------------------------------------------
 
 
@@ -706,6 +837,17 @@ def streaming_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "event_id long, n long, loaded long, batch string")
 
 
+def streaming_last_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query is stopped between files and goes on from its state store; streams of later files only are added."""
+    events, root = ordered_events(spark, sf_dir), scratch_dir(spark)
+    for k in range(3):
+        part = events.where(F.col("event_id") % 3 == k).where((F.col("event_type") != "view") | (F.col("event_id") % 3 < 2))
+        m.to_stream_states(part, F.struct("event_id"), F.col("event_type")).coalesce(1).write.mode("append").text(f"{root}/in")
+        m.last_states_stream(spark, f"{root}/in", f"{root}/states", f"{root}/checkpoint").awaitTermination()
+    path = "$.state.stream.stream_state.event_id"
+    return m.read_last_states(spark, f"{root}/states").select("stream", F.get_json_object("line", path).cast("long").alias("event_id"))
+
+
 def append_null_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table may have a column of the null type."""
     warehouse = scratch_dir(spark)
@@ -760,7 +902,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         overwrite_twice, overwrite_empty_keeps, sinks, create_table, partition_identity,
         partition_truncate, partition_bucket, partition_void, branch_write, commit_history,
         last_global_state, last_stream_state, resolved_state, generate_state, streaming_append,
-        streaming_states, append_null_column, duplicate_keys, partition_empty_text,
+        streaming_states, append_null_column, duplicate_keys, partition_empty_text, keyword_report, undeclared_fields,
+        rejected_lines, checked_load, streaming_last_states,
     ]
     named = {f.__name__: f for f in functions}
     for transform in ("year", "month", "day", "hour"):
@@ -812,6 +955,61 @@ def type_counts() -> str:
     return f"SELECT {', '.join(counts)}, count(*) AS value_number FROM events"
 
 
+def keyword_counts() -> str:
+    """One row for each rule and path that some order violates."""
+    k, c = "o_orderkey", "o_custkey"
+    has_note, has_clerk = f"({c} % 11 = 0)", f"({c} % 5 <> 0)"
+    size = f"(9 + CAST({has_clerk} AS INTEGER) + CAST({has_note} AS INTEGER))"
+    rules = {
+        ("$", "minProperties"): f"{size} < 10",
+        ("$", "maxProperties"): f"{size} > 11",
+        ("$", "additionalProperties"): has_note,
+        ("$", "patternProperties"): f"{c} % 13 = 0",
+        ("$.clerk", "required"): f"NOT {has_clerk}",
+        ("$.o_orderkey", "multipleOf"): f"{k} % 3 <> 0",
+        ("$.o_orderkey", "minimum"): f"{k} < 100",
+        ("$.o_orderkey", "exclusiveMaximum"): f"{k} >= 14000",
+        ("$.o_custkey", "anyOf"): f"{c} > 100 AND {c} % 10 <> 0",
+        ("$.o_custkey", "oneOf"): f"({c} % 2 = 0) = ({c} % 3 = 0)",
+        ("$.o_custkey", "not"): f"{c} = 7",
+        ("$.o_custkey", "minimum"): f"{c} < 5",
+        ("$.o_custkey", "then"): f"{c} <= 50 AND {c} % 5 <> 0",
+        ("$.o_custkey", "else"): f"{c} > 50 AND {c} % 4 <> 0",
+        ("$.o_orderstatus", "enum"): "o_orderstatus NOT IN ('F', 'O')",
+        ("$.o_totalprice", "exclusiveMinimum"): "o_totalprice <= 1000",
+        ("$.o_totalprice", "maximum"): "o_totalprice > 200000.5",
+        ("$.o_orderpriority", "pattern"): "substr(o_orderpriority, 1, 2) NOT IN ('1-', '2-', '3-')",
+        ("$.o_orderpriority", "minLength"): "length(o_orderpriority) < 6",
+        ("$.o_orderpriority", "maxLength"): "length(o_orderpriority) > 10",
+        ("$.kind", "const"): f"{c} % 7 = 0",
+        ("$.tags", "minItems"): f"{k} % 4 = 0",
+        ("$.tags", "maxItems"): f"{k} % 4 = 1",
+        ("$.tags", "uniqueItems"): f"{k} % 4 = 1",
+        ("$.tags", "contains"): "o_orderstatus <> 'F'",
+        ("$.tags[1]", "minLength"): f"{k} % 4 = 2",
+        ("$.meta.k", "maximum"): f"{k} % 12 > 9",
+        ("$.meta", "maxProperties"): f"{k} % 9 = 0",
+    }
+    counts = [f"SELECT '{path}' AS path, '{rule}' AS rule, count(*) AS n FROM orders WHERE {bad}" for (path, rule), bad in rules.items()]
+    return f"SELECT * FROM ({' UNION ALL '.join(counts)}) WHERE n > 0"
+
+
+UNDECLARED = (
+    "SELECT '$.flag' AS path, count(*) FILTER (l_linenumber < 3) AS n, 'STRING' AS kind FROM lineitem "
+    "UNION ALL SELECT '$.mixed', count(*), 'VARIANT' FROM lineitem "
+    "UNION ALL SELECT '$.part.more.many', count(*), 'BOOLEAN' FROM lineitem "
+    "UNION ALL SELECT '$.list[].l_linenumber', count(*), 'BIGINT' FROM lineitem"
+)
+REASONS = {
+    1: "not JSON", 2: "two values", 3: "unknown kind", 4: "no stream", 5: "no data", 6: "state without a stream", 7: "malformed state",
+}
+
+
+def reason_counts() -> str:
+    kind = "CASE o_orderkey % 20 " + " ".join(f"WHEN {k} THEN '{reason}'" for k, reason in REASONS.items()) + " ELSE 'loaded' END"
+    return f"SELECT {kind} AS reason, count(*) AS n, count(*) AS places, count(*) AS alone FROM orders WHERE o_orderkey % 20 <> 8 GROUP BY 1"
+
+
 def oracle_sql() -> dict[str, str]:
     """The SQL each query has to agree with."""
     return core_sql() | LLM_SQL
@@ -904,6 +1102,12 @@ def core_sql() -> dict[str, str]:
         "GROUP BY event_type",
         "resolved_state": STATES,
         "generate_state": f"SELECT 'GLOBAL' AS type, 'default' AS namespace, stream, total, cursor_at FROM ({STATES})",
+        "keyword_report": keyword_counts(),
+        "undeclared_fields": UNDECLARED,
+        "rejected_lines": reason_counts(),
+        "checked_load": "SELECT p_partkey, p_type, CAST(NULL AS VARCHAR) AS absent FROM part",
+        "streaming_last_states": "SELECT event_type AS stream, arg_max(event_id, (event_id % 3, ts, event_id)) AS event_id "
+        "FROM events WHERE event_type <> 'view' OR event_id % 3 < 2 GROUP BY event_type",
         "streaming_append": f"SELECT {integer('event_id')}, ts, {integer('user_id')}, event_type, "
         f"{real('value')}, props FROM events",
     }

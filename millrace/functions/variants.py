@@ -96,11 +96,14 @@ def is_kind(value: str, json_type: str) -> str:
         return is_integer(value)
     if json_type == "number":
         return is_number(value)
+    # One look at the value itself: neither test reads what lies below it, as a printed schema would.
     if json_type == "object":
-        return f"startswith({kind(value)}, 'OBJECT<')"
+        return f"(try_variant_get({value}, '$', 'struct<>') IS NOT NULL)"
     if json_type == "array":
-        return f"startswith({kind(value)}, 'ARRAY<')"
-    name_of = {"null": "VOID", "boolean": "BOOLEAN", "string": "STRING"}[json_type]
+        return f"(try_variant_get({value}, '$', 'array<boolean>') IS NOT NULL)"
+    if json_type == "null":
+        return f"coalesce(is_variant_null({value}), false)"
+    name_of = {"boolean": "BOOLEAN", "string": "STRING"}[json_type]
     return f"({kind(value)} = '{name_of}')"
 
 

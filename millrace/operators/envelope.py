@@ -140,6 +140,40 @@ def well_formed(parsed: str, has_data: bool = True) -> str:
     )
 
 
+def reason(parsed: str, has_data: bool = True) -> str:
+    """Why a line that looks like a message is none; NULL for a valid one."""
+    message = f"{parsed}.m"
+    types = ", ".join(V.literal(t) for t in MESSAGE_TYPES)
+    descriptor = f"{message}.state.stream.stream_descriptor.name"
+    data = f" WHEN {message}.type = 'RECORD' AND {message}.record.data IS NULL THEN 'no data'" if has_data else ""
+    return (
+        f"CASE WHEN {well_formed(parsed, has_data)} THEN NULL"
+        f" WHEN NOT is_valid_utf8(value) THEN 'not UTF-8'"
+        f" WHEN NOT coalesce({ONE_VALUE}, json_object_keys(value) IS NULL) THEN 'two values'"
+        f" WHEN try_parse_json(concat('{{\"m\":', value, '}}')) IS NULL THEN 'not JSON'"
+        f" WHEN {parsed}.{CORRUPT} IS NOT NULL OR {message} IS NULL THEN 'wrong shape'"
+        f" WHEN {message}.type IS NULL OR {message}.type NOT IN ({types}) THEN 'unknown kind'"
+        f" WHEN {message}.type = 'RECORD' AND {message}.record.stream IS NULL THEN 'no stream'{data}"
+        f" WHEN {message}.state.type = 'STREAM' AND {descriptor} IS NULL THEN 'state without a stream'"
+        f" ELSE 'malformed state' END"
+    )
+
+
+def judge_lines(df: DataFrame) -> DataFrame:
+    """Lines that look like messages, with ``reason``: why one is none, NULL for valid ones. One parse of each line."""
+    allow_duplicate_keys(df.sparkSession)
+    parsed = message_lines(df).select("value", "_pos", once(parse_json(T.VariantType())).alias("_parsed"))
+    columns = [f"{text} AS {name}" for name, text in envelope_columns("_parsed").items()]
+    return parsed.select("*", once(reason("_parsed")).alias("reason")).selectExpr(
+        "value", "_pos", *columns, "_parsed.m.record.data AS data", "reason"
+    )
+
+
+def rejected_lines(df: DataFrame) -> DataFrame:
+    """Malformed lines as rows: where they are (file, block, line), what they are, and why."""
+    return judge_lines(df).where("reason IS NOT NULL").select("_pos.file", "_pos.block", "_pos.line", "value", "reason")
+
+
 def parse_envelope(df: DataFrame) -> DataFrame:
     """Message lines split into kind, descriptor and payload; a malformed line ends the job."""
     allow_duplicate_keys(df.sparkSession)

@@ -17,6 +17,7 @@ from millrace.functions import variants as V
 from millrace.functions.checks import all_of, is_plain, object_ok, record_errors, type_ok, value_ok
 from millrace.functions.decoding import decode_object, decode_value
 from millrace.functions.jsonschema import RAW_KEY, raw_key, type_list
+from millrace.functions.keywords import NONE, compile_keywords
 from millrace.operators.envelope import CORRUPT, MALFORMED, PLACE, once, parse_json, require
 from millrace.operators.records import error_message
 
@@ -72,11 +73,12 @@ def parse_payload(schema: dict, struct: T.StructType) -> Column:
     return once(parse_json(payload_type(schema, struct)))
 
 
-def load_records(df: DataFrame, schema: dict, struct: T.StructType) -> DataFrame:
+def load_records(df: DataFrame, schema: dict, struct: T.StructType, keywords: tuple[str, ...] | None = None) -> DataFrame:
     """Checked, typed columns of one stream's records.
 
     ``df`` has the lines of well-formed RECORD messages in ``value``, their ``_pos``, and the result
-    of ``parse_payload`` in ``_parsed``.
+    of ``parse_payload`` in ``_parsed``. ``keywords``: check the schema's other keywords too, but for the ones given; then
+    every record is parsed as a whole once more.
     """
     names = _names(struct)
     whole = parse_json(T.VariantType())["m"]["record"]["data"]
@@ -84,12 +86,16 @@ def load_records(df: DataFrame, schema: dict, struct: T.StructType) -> DataFrame
         [T.StructField(n, f.dataType, True, {RAW_KEY: raw_key(f)}) for n, f in zip(names, struct)]
     )
     fits = V.bind("_whole", "w", all_of([type_ok("w", schema), object_ok("w", struct)]))
-    errors = V.bind("_whole", "w", record_errors("w", schema, struct))
+    passes, violations = compile_keywords(schema, keywords, "w") if keywords is not None else ("true", NONE)
+    all_errors = record_errors("w", schema, struct)
+    if passes != "true":
+        all_errors = f"concat({all_errors}, {violations})"
+    errors = V.bind("_whole", "w", all_errors)
     row = V.bind("_whole", "w", decode_object("w", exact))
     return (
         _typed(df, schema, struct)
-        .withColumn("_whole", once(F.when(F.expr("NOT _sure"), whole)))
-        .withColumn("_fits", once(f"_sure OR (_whole IS NOT NULL AND {fits})"))
+        .withColumn("_whole", once(F.when(F.expr("NOT _sure"), whole) if passes == "true" else whole))
+        .withColumn("_fits", once(f"(_sure OR (_whole IS NOT NULL AND {fits}))" + ("" if passes == "true" else f" AND {V.bind('_whole', 'w', passes)}")))
         .withColumn("_errors", once(f"if(_fits, NULL, {errors})"))
         .where(
             require(

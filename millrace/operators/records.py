@@ -18,6 +18,7 @@ from millrace.functions.checks import (
 )
 from millrace.functions.decoding import decode_value
 from millrace.functions.jsonschema import raw_key, to_struct, type_list
+from millrace.functions.keywords import compile_keywords
 from millrace.operators.envelope import once, require
 from millrace.session import enable_time_type
 
@@ -32,13 +33,15 @@ def error_message(errors: str, data: str) -> str:
 
 
 def validate(
-    df: DataFrame, schema: dict, wide_numbers: bool = False, struct: T.StructType | None = None
+    df: DataFrame, schema: dict, wide_numbers: bool = False, struct: T.StructType | None = None, keywords: bool = False
 ) -> DataFrame:
     """Check every record against the stream's JSON Schema; the first error ends the job.
 
-    ``struct`` is the table schema the records go to; without it the one of the JSON Schema.
+    ``struct`` is the table schema the records go to; without it the one of the JSON Schema. ``keywords`` checks
+    the schema's other keywords too.
     """
     struct = struct or to_struct(schema, wide_numbers)
+    df = check_keywords(df, schema) if keywords else df
     return (
         _judge(df, schema, struct)
         .withColumn("_errors", once(f"if(_good, NULL, {V.bind('data', 'd', record_errors('d', schema, struct))})"))
@@ -62,6 +65,77 @@ def validation_report(
     )
 
 
+def keyword_report(df: DataFrame, schema: dict, ignored: tuple[str, ...] = ()) -> DataFrame:
+    """Violations of the schema's other keywords (bounds, patterns, choices and the like), a row each, next to the record's columns.
+
+    Keywords that are not known, and those not in ``ignored``, are an error before any job.
+    """
+    good, errors = compile_keywords(schema, ignored)
+    # In a lambda: hundreds of checks in the generated code would keep it from being compiled.
+    passes = once(V.bind("data", "d", compile_keywords(schema, ignored, "d")[0])) if good != "true" else F.lit(True)
+    return (
+        df.withColumn("_passes", passes)
+        .where("NOT _passes")
+        .withColumn("_error", F.explode(F.expr(errors)))
+        .select(*df.columns, "_error.path", "_error.rule", "_error.message")
+    )
+
+
+def check_keywords(df: DataFrame, schema: dict, ignored: tuple[str, ...] = ()) -> DataFrame:
+    """The records; the first that violates a keyword ends the job."""
+    good, errors = compile_keywords(schema, ignored, "d")
+    if good == "true":
+        return df
+    return (
+        df.withColumn("_passes", once(V.bind("data", "d", good)))
+        .withColumn("_errors", once(f"if(_passes, NULL, {V.bind('data', 'd', errors)})"))
+        .where(require("_passes", error_message("_errors", "data")))
+        .drop("_passes", "_errors")
+    )
+
+
+def undeclared_fields(df: DataFrame, schema: dict) -> DataFrame:
+    """What the columns of the schema leave out: (path, n, kind) of each field that records have and the schema does not.
+
+    ``kind`` is the type that all values of the path have in common, with everything below it. Fields of declared
+    objects and of objects in declared arrays are told one by one. Counts are added up before the one shuffle, whose
+    size is that of the list of paths.
+    """
+    nodes = ", ".join(_object_nodes("data", schema, "'$'", 0))
+    objects = df.select(F.expr(f"explode(concat({nodes}))").alias("o")).select("o.path", "o.known", "o.value")
+    fields = objects.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("value").outer()))
+    found = fields.where(F.col("key").isNotNull() & ~F.array_contains("known", F.col("key")))
+    # variant_explode names its columns pos, key and value; the object's own value is the first of that name.
+    return (
+        found.toDF("path", "known", "object", "pos", "key", "field")
+        .groupBy(F.concat("path", F.lit("."), "key").alias("path"))
+        .agg(F.count(F.lit(1)).alias("n"), F.expr("schema_of_variant_agg(field)").alias("kind"))
+    )
+
+
+def _object_nodes(value: str, schema: dict, path: str, depth: int) -> list[str]:
+    """SQL arrays of (path, known keys, value) of the declared objects of a record."""
+    properties = schema.get("properties", {})
+    known = ", ".join(V.literal(key) for key in properties)
+    keys = f"array({known})" if known else "cast(array() AS array<string>)"
+    own = f"array(named_struct('path', {path}, 'known', {keys}, 'value', {value}))"
+    found = [f"if(coalesce({V.is_kind(value, 'object')}, false), {own}, array())"]
+    for key, node in properties.items():
+        found += _nodes_below(V.child(value, key), node, f"concat({path}, {V.literal('.' + key)})", depth)
+    return found
+
+
+def _nodes_below(value: str, node: dict, path: str, depth: int) -> list[str]:
+    if "properties" in node:
+        return _object_nodes(value, node, path, depth)
+    if isinstance(node.get("items"), dict):
+        x = f"x{depth}"
+        inner = _nodes_below(x, node["items"], f"concat({path}, '[]')", depth + 1)
+        if inner:
+            return [f"coalesce(flatten(transform({V.elements(value)}, {x} -> concat({', '.join(inner)}))), array())"]
+    return []
+
+
 def decode(df: DataFrame, struct: T.StructType) -> DataFrame:
     """The declared columns of each record, typed; a record that does not fit ends the job."""
     checked = _with_values(df, struct).withColumn("_good", once(_values_ok(struct)))

@@ -9,10 +9,10 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.envelope import Descriptor
+from millrace.operators.envelope import Descriptor, envelope_columns, message_lines, once, parse_json
 from millrace.sources.tables import Identifier, last_known, read_commits
 
 
@@ -30,6 +30,20 @@ def last_line(state_kind: str) -> Column:
     return F.expr(f"max_by(if({found}, value, NULL), if({found}, _pos, NULL))")
 
 
+def fetch_state(lines: DataFrame, state_kind: str, place: Row) -> str | None:
+    """The last STATE line of a kind, of which only the place is known: one split of one file is read for it.
+
+    Lines of a frame without files are read once more; only its lines of that kind are looked at.
+    """
+    if "_file" in lines.columns:
+        lines = lines.where((F.col("_file") == place["file"]) & (F.col("_block") == place["block"]))
+    elif "_pos" in lines.columns:
+        lines = lines.where((F.col("_pos.file") == place["file"]) & (F.col("_pos.block") == place["block"]))
+    parsed = message_lines(lines).where(F.contains("value", F.lit("STATE"))).select("value", "_pos", once(parse_json(None)).alias("_parsed"))
+    kind = envelope_columns("_parsed")["state_kind"]
+    return parsed.selectExpr("value", "_pos", f"{kind} AS state_kind").agg(last_line(state_kind).alias("line")).first()["line"]
+
+
 def last_global_state(df: DataFrame) -> DataFrame:
     """The last GLOBAL state line, as one row with ``line``; NULL when there is none."""
     return df.agg(last_line("GLOBAL").alias("line"))

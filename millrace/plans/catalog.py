@@ -29,7 +29,9 @@ class SyncConfig:
     """Overrides for a sync.
 
     ``streams`` is keyed by stream name or ``namespace.name``; when it is not empty, only the streams
-    it names are loaded. ``wide_numbers`` makes integers and numbers 64 bit.
+    it names are loaded. ``wide_numbers`` makes integers and numbers 64 bit. ``check_keywords`` holds records to all
+    keywords of their schema, not the types only; one that is not known is an error unless ``ignored_keywords`` names it.
+    ``rejects`` is a folder to which malformed lines go with their reason, instead of ending the job.
     """
 
     namespace: str | None = None
@@ -37,6 +39,14 @@ class SyncConfig:
     branch: str = MAIN
     wide_numbers: bool = False
     parallel_streams: int = 8
+    check_keywords: bool = False
+    ignored_keywords: tuple[str, ...] = ()
+    rejects: str | None = None
+
+    @property
+    def keywords(self) -> tuple[str, ...] | None:
+        """What ``load_records`` is told: None checks no keywords."""
+        return self.ignored_keywords if self.check_keywords else None
 
     def identifier(self, name: str, namespace: str | None) -> Identifier:
         return Identifier(self.namespace or namespace or DEFAULT_NAMESPACE, name)

@@ -1,7 +1,7 @@
 """The sync job: message lines in, one commit per stream out.
 
 With a single stream the lines are read once: parsed, checked, decoded and written in one pass, the
-last states being picked up on the way. With several, the lines are first split by stream into a
+places of the last states being picked up on the way; their lines are then fetched from the files they are in. With several, the lines are first split by stream into a
 staging table next to the warehouse, so that each stream's own job reads its lines and no others;
 splitting parses the envelope only. No step shuffles records, except for partitioned tables.
 
@@ -37,6 +37,7 @@ from millrace.operators.envelope import (
     message_lines,
     once,
     parse_json,
+    reason,
     require,
     well_formed,
 )
@@ -45,14 +46,14 @@ from millrace.operators.sinks import Commit, Written, commit, create_table, disc
 from millrace.operators.state import (
     ResolvedState,
     collect_states,
-    last_line,
+    fetch_state,
     resolve_states,
     state_messages,
     table_states,
 )
 from millrace.plans.catalog import SyncConfig, Stream, known_descriptors, selected_streams
 from millrace.session import allow_duplicate_keys, delete_path
-from millrace.sources.messages import scan_messages
+from millrace.sources.messages import scan_splits
 from millrace.sources.tables import Head, load_head
 
 In = TypeVar("In")
@@ -60,6 +61,8 @@ Out = TypeVar("Out")
 
 # Route of STATE lines in the staging table; records have their stream's place in the catalog.
 STATE_ROUTE = -1
+# Route of malformed lines where they are kept; ``state_kind`` has the reason.
+REJECT_ROUTE = -2
 
 STAGED_SCHEMA = (
     "value string, _pos struct<time:timestamp,file:string,block:bigint,line:bigint>, state_kind string, "
@@ -105,14 +108,14 @@ def ingest(
     allow_duplicate_keys(spark)
     known = known_descriptors(catalog)
     streams = selected_streams(catalog, config)
-    lines = source if isinstance(source, DataFrame) else scan_messages(spark, source)
+    lines = source if isinstance(source, DataFrame) else scan_splits(spark, source)
     heads = _in_parallel(
         spark, config, streams, lambda s: _ensure_table(spark, warehouse, s, config, batch_key)
     )
     work = [(s, h) for s, h in zip(streams, heads) if not h.has_batch]
     if not work:
         return []
-    if len(known) == 1:
+    if len(known) == 1 and not config.rejects:
         written, states = _load_one(lines, warehouse, *work[0], config)
     else:
         written, states = _load_many(spark, lines, warehouse, work, known, config)
@@ -189,15 +192,14 @@ def _load_one(
     seen = Observation()
     messages = messages.observe(
         seen,
-        last_line("GLOBAL").alias("global"),
-        last_line("STREAM").alias("stream"),
+        *(F.expr(f"max(if(state_kind = '{kind}', _pos, NULL))").alias(kind) for kind in ("GLOBAL", "STREAM")),
     )
-    rows = load_records(messages.where("kind = 'RECORD'"), stream.json_schema, head.schema)
+    rows = load_records(messages.where("kind = 'RECORD'"), stream.json_schema, head.schema, config.keywords)
     written = write_files(rows, warehouse, head, config.branch, stream.mode)
-    last = seen.get
-    own_lines = {stream.descriptor: last["stream"]} if last["stream"] is not None else {}
     try:
-        resolved = resolve_states(last["global"], own_lines, [stream.descriptor])
+        last = {kind: fetch_state(lines, kind, place) for kind, place in seen.get.items() if place is not None}
+        own_lines = {stream.descriptor: last["STREAM"]} if "STREAM" in last else {}
+        resolved = resolve_states(last.get("GLOBAL"), own_lines, [stream.descriptor])
     except Exception:
         discard(lines.sparkSession, warehouse, written)
         raise
@@ -217,7 +219,7 @@ def _load_many(
     routes = {stream.descriptor: known.index(stream.descriptor) for stream, _ in work}
     written: list[Written] = []
     try:
-        split_lines(lines, known, list(routes.values())).write.partitionBy("_route").option(
+        split_lines(lines, known, list(routes.values()), config.rejects is not None).write.partitionBy("_route").option(
             "compression", "zstd"
         ).parquet(staging)
         staged = spark.read.schema(STAGED_SCHEMA).parquet(staging)
@@ -229,7 +231,7 @@ def _load_many(
                 "_pos",
                 parse_payload(stream.json_schema, head.schema).alias("_parsed"),
             )
-            rows = load_records(own, stream.json_schema, head.schema)
+            rows = load_records(own, stream.json_schema, head.schema, config.keywords)
             done = write_files(rows, warehouse, head, config.branch, stream.mode)
             written.append(done)
             return done
@@ -237,6 +239,11 @@ def _load_many(
         _in_parallel(spark, config, work, write)
         winners = collect_states(staged.where(F.col("_route") == STATE_ROUTE))
         resolved = resolve_states(*winners, [stream.descriptor for stream, _ in work])
+        if config.rejects:
+            # A copy of the staged rows, so the input is read and judged once.
+            bad = staged.where(F.col("_route") == REJECT_ROUTE)
+            place = [F.col(f"_pos.{c}").alias(c) for c in ("file", "block", "line")]
+            bad.select(*place, "value", F.col("state_kind").alias("reason")).write.mode("append").parquet(config.rejects)
     except Exception:
         for done in written:
             discard(spark, warehouse, done)
@@ -249,30 +256,35 @@ def _load_many(
     return written, states
 
 
-def split_lines(lines: DataFrame, known: list[Descriptor], wanted: list[int]) -> DataFrame:
+def split_lines(lines: DataFrame, known: list[Descriptor], wanted: list[int], keep_malformed: bool = False) -> DataFrame:
     """Lines with the route they go to: STATE lines and the records of wanted streams.
 
-    A malformed line or a stream the catalog does not have ends the job.
+    A stream the catalog does not have ends the job, and so does a malformed line unless they are kept: then it has a route of its own.
     """
-    parsed = message_lines(lines).select("value", "_pos", once(parse_json(None)).alias("_parsed"))
-    columns = [f"{text} AS {name}" for name, text in envelope_columns("_parsed").items()]
-    messages = parsed.where(require(well_formed("_parsed", has_data=False), MALFORMED)).selectExpr(
-        "value", "_pos", *columns
+    parsed = message_lines(lines).select(
+        "value", "_pos", once(parse_json(T.VariantType() if keep_malformed else None)).alias("_parsed")
     )
+    columns = [f"{text} AS {name}" for name, text in envelope_columns("_parsed").items()]
+    if keep_malformed:
+        parsed = parsed.withColumn("_reason", once(reason("_parsed")))
+    else:
+        parsed = parsed.where(require(well_formed("_parsed", has_data=False), MALFORMED)).withColumn("_reason", F.lit(None).cast("string"))
+    messages = parsed.selectExpr("value", "_pos", "_reason", *columns)
     table = descriptor_table(lines.sparkSession, known)
     routes = ", ".join(str(route) for route in wanted)
+    is_state = "_reason IS NULL AND kind = 'STATE'"
     return (
-        messages.where(IS_USED)
+        messages.where(f"_reason IS NOT NULL OR {IS_USED}")
         .join(table, F.expr(SAME_STREAM), "left")
-        .where(require(f"NOT {NAMES_STREAM} OR _route IS NOT NULL", NOT_FOUND))
-        .where(f"kind = 'STATE' OR _route IN ({routes})")
+        .where(require(f"_reason IS NOT NULL OR NOT {NAMES_STREAM} OR _route IS NOT NULL", NOT_FOUND))
+        .where(f"_reason IS NOT NULL OR kind = 'STATE' OR _route IN ({routes})")
         .selectExpr(
             "value",
             "_pos",
-            "state_kind",
-            "if(kind = 'STATE', stream, NULL) AS stream",
-            "if(kind = 'STATE', namespace, NULL) AS namespace",
-            f"if(kind = 'STATE', {STATE_ROUTE}, _route) AS _route",
+            "coalesce(_reason, state_kind) AS state_kind",
+            f"if({is_state}, stream, NULL) AS stream",
+            f"if({is_state}, namespace, NULL) AS namespace",
+            f"CASE WHEN _reason IS NOT NULL THEN {REJECT_ROUTE} WHEN kind = 'STATE' THEN {STATE_ROUTE} ELSE _route END AS _route",
         )
     )
 

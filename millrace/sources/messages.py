@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 def scan_messages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Batch scan of JSON-lines files."""
-    return number_lines(_with_splits(spark.read.text(path)))
+    return number_lines(scan_splits(spark, path))
+
+
+def scan_splits(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The same without numbers: filters on ``_file`` and ``_block`` keep other files from being read."""
+    return _with_splits(spark.read.text(path))
 
 
 def stream_messages(

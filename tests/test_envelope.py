@@ -112,3 +112,52 @@ def test_positions_follow_the_input(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert [json.loads(r["value"])["n"] for r in found] == list(range(3000))
+
+
+def test_reasons_of_malformed_lines(spark, write_lines):
+    good = '{"type":"RECORD","record":{"stream":"a","data":{"id":1}}}'
+    cases = {
+        good: None,
+        '{"type":"LOG","log":{}}': None,
+        '{"type":"STATE","state":{"type":"LEGACY"}}': None,
+        '{"type":"RECORD"': "",  # no shape of a message
+        '{"type":"RECORD","record":{"stream":"a","data":{"id":1}}': "not JSON",
+        "{'type':'LOG'}": "not JSON",
+        good + " " + good: "two values",
+        '{"type":"LOG"},"x":{"type":"LOG"}': "two values",
+        '{"type":"RECORD","record":5}': "wrong shape",
+        '{"type":"RECRD"}': "unknown kind",
+        '{"record":{"stream":"a","data":{}}}': "unknown kind",
+        '{"type":"RECORD","record":{"data":{}}}': "no stream",
+        '{"type":"RECORD","record":{"stream":"a"}}': "no data",
+        '{"type":"STATE","state":{"type":"STREAM","stream":{}}}': "state without a stream",
+        '{"type":"STATE","state":{"type":"GLOBAL"}}': "malformed state",
+        '{"type":"STATE"}': "malformed state",
+        '{"type":"STATE","state":{"type":"GLOBAL","global":{"stream_states":[{"stream_state":{}}]}}}': "malformed state",
+    }
+    lines = m.scan_messages(spark, write_lines(list(cases)))
+    found = {r.value: r.reason for r in m.judge_lines(lines).collect()}
+    assert found == {line: reason for line, reason in cases.items() if reason != ""}
+    bad = m.rejected_lines(lines).orderBy("line").collect()
+    assert [(r.value, r.reason) for r in bad] == [(k, v) for k, v in cases.items() if v]
+    assert all(r.file.endswith("input.txt") and r.block == 0 for r in bad)
+
+
+def test_rejects_are_kept_and_the_rest_is_loaded(spark, warehouse, write_lines, tmp_path):
+    schema = {"type": "object", "properties": {"id": {"type": "integer"}}}
+    streams = [{"name": n, "json_schema": schema, "supported_sync_modes": ["incremental"]} for n in "ab"]
+    good = [f'{{"type":"RECORD","record":{{"stream":"{n}","data":{{"id":{i}}}}}}}' for i in range(3) for n in "ab"]
+    state = '{"type":"STATE","state":{"type":"STREAM","stream":{"stream_descriptor":{"name":"a"},"stream_state":{"at":2}}}}'
+    bad = ['{"type":"RECORD","record":{"stream":"a"}}', good[0][:-1] + ',"}', '{"type":"X"}']
+    path = write_lines([good[0], bad[0], *good[1:], bad[1], state, bad[2]])
+    for k, wanted in enumerate((streams, streams[:1])):
+        lines = path if len(wanted) == 2 else write_lines([line for line in [good[0], bad[0], state, bad[2]]], "one.txt")
+        rejects = str(tmp_path / f"rejects{k}")
+        base = f"{warehouse}{k}"
+        m.ingest(spark, lines, base, {"type": "CATALOG", "catalog": {"streams": wanted}}, m.SyncConfig(rejects=rejects))
+        kept = spark.read.parquet(rejects).orderBy("line").collect()
+        assert [(r.value, r.reason) for r in kept] == list(zip(bad, ["no data", "not JSON", "unknown kind"])) if k == 0 else len(kept) == 2
+        assert m.read_table(spark, base, "default.a").count() == (3 if k == 0 else 1)
+        assert m.table_states(spark, base, ["default.a"]).first()["stream_state"] == '{"at":2}'
+    with pytest.raises(Exception, match="no stream b"):
+        m.ingest(spark, path, f"{warehouse}x", {"type": "CATALOG", "catalog": {"streams": streams[:1]}}, m.SyncConfig(rejects=str(tmp_path / "r")))

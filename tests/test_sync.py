@@ -348,3 +348,45 @@ def test_a_configured_catalog_and_nested_records(spark, warehouse, write_lines):
     assert [(r.id, str(r.seen_at), tuple(r.address)) for r in found] == [
         (7.0, "2031-07-05 06:07:08", ("Elm 1", "00100")), (8.5, "None", ("Oak 2", ""))
     ]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_states_are_fetched_late(spark, warehouse, write_lines, files, monkeypatch):
+    """Only places are observed, whatever the size of the states; the lines come from their files."""
+    from millrace.plans import ingest as plan
+
+    seen = []
+    fetch = plan.fetch_state
+    monkeypatch.setattr(plan, "fetch_state", lambda lines, kind, place: seen.append((kind, place)) or fetch(lines, kind, place))
+    large = "x" * 1_000_000
+    for k in range(files):
+        lines = [record("a", {"id": k}), stream_state("a", {"at": k, "s": large}), record("a", {"id": k}), stream_state("a", {"at": 10 + k, "s": large}), record("a", {"id": -k})]
+        path = write_lines(lines, f"{k}.txt")
+    folder = os.path.dirname(path)
+    m.ingest(spark, folder, warehouse, catalog(stream("a", ID)))
+    state = json.loads(m.table_states(spark, warehouse, ["default.a"]).first()["stream_state"])
+    assert state == {"at": 9 + files, "s": large} and m.read_table(spark, warehouse, "default.a").count() == 3 * files
+    assert [kind for kind, _ in seen] == ["STREAM"] and len(str(seen[0][1])) < 1000
+    assert seen[0][1]["file"].endswith(f"{files - 1}.txt")
+    # A frame without files.
+    m.ingest(spark, spark.read.text(path), f"{warehouse}2", catalog(stream("a", ID)))
+    assert json.loads(m.table_states(spark, f"{warehouse}2", ["default.a"]).first()["stream_state"])["at"] == 9 + files
+
+
+def test_streaming_last_states_survive_a_restart(spark, write_lines, tmp_path):
+    target, checkpoint = str(tmp_path / "target"), str(tmp_path / "checkpoint")
+    assert m.read_last_states(spark, target).count() == 0
+
+    def follow(lines, name):
+        folder = os.path.dirname(write_lines(lines, name))
+        m.last_states_stream(spark, folder, target, checkpoint).awaitTermination()
+        return {(r.state_kind, r.stream): json.loads(r.line)["state"] for r in m.read_last_states(spark, target).collect()}
+
+    first = follow([stream_state("a", {"n": 1}), record("a", {"id": 1}), stream_state("b", {"n": 2}), stream_state("a", {"n": 3}), global_state({"g": 1}, {})], "z.txt")
+    assert first["STREAM", "a"]["stream"]["stream_state"] == {"n": 3} and first["GLOBAL", None]["global"]["shared_state"] == {"g": 1}
+    second = follow([stream_state("b", {"n": 9}), stream_state("c", {"n": 4}), "syncing"], "a.txt")
+    assert {k[1]: v["stream"]["stream_state"]["n"] for k, v in second.items() if k[0] == "STREAM"} == {"a": 3, "b": 9, "c": 4}
+    third = follow([record("a", {"id": 2})], "b.txt")
+    assert third == second
+    with pytest.raises(Exception, match="Malformed"):
+        follow(['{"type":"STATE","state":{"type":"GLOBAL"}}'], "c.txt")

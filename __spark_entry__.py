@@ -681,6 +681,12 @@ def partition_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def partition_bucket_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets by the public hash: of keys, days and times."""
+    rows = partitioned(spark, sf_dir, "orders", ["o_orderkey"], {"o_custkey": "bucket[16]", "o_orderdate": "bucket[7]"})
+    return rows.withColumnsRenamed({"_p_o_custkey_bucket": "by_key", "_p_o_orderdate_bucket": "by_date"})
+
+
 def partition_void(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partitioned(spark, sf_dir, "nation", ["n_nationkey"], {"n_name": "void"})
 
@@ -900,7 +906,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         decode_array_of_objects, decode_optional, decode_empty, decode_wide_numbers,
         decode_integral_numbers, validation_report, type_check, validate, append_twice,
         overwrite_twice, overwrite_empty_keeps, sinks, create_table, partition_identity,
-        partition_truncate, partition_bucket, partition_void, branch_write, commit_history,
+        partition_truncate, partition_bucket, partition_bucket_spec, partition_void, branch_write, commit_history,
         last_global_state, last_stream_state, resolved_state, generate_state, streaming_append,
         streaming_states, append_null_column, duplicate_keys, partition_empty_text, keyword_report, undeclared_fields,
         rejected_lines, checked_load, streaming_last_states,
@@ -936,6 +942,23 @@ def event_partition(value: str, name: str) -> str:
     return f"SELECT CAST(event_id AS INTEGER) AS event_id, {value} AS _p_ts_{name} FROM events"
 
 
+def murmur_sql(value: str, buckets: int) -> str:
+    """Bucket of an 8-byte integer, written out step by step."""
+    word = "4294967296"
+    turn = lambda x, r: f"((({x}) * {1 << r}) % {word} + (({x}) // {1 << (32 - r)}))"
+    wide = f"CASE WHEN {value} < 0 THEN {value}::HUGEINT + 18446744073709551616 ELSE {value}::HUGEINT END"
+    steps = [("k0", f"({wide}) % {word}"), ("k1", f"({wide}) // {word}"), ("h0", "0::HUGEINT")]
+    for i in (0, 1):
+        steps += [(f"a{i}", f"(k{i} * {0xCC9E2D51}) % {word}"), (f"b{i}", turn(f"a{i}", 15)), (f"c{i}", f"(b{i} * {0x1B873593}) % {word}")]
+        steps += [(f"d{i}", f"xor(h{i}, c{i})"), (f"e{i}", turn(f"d{i}", 13)), (f"h{i + 1}", f"(e{i} * 5 + {0xE6546B64}) % {word}")]
+    steps += [("f0", "xor(h2, 8::HUGEINT)"), ("f1", "xor(f0, f0 // 65536)"), ("f2", f"(f1 * {0x85EBCA6B}) % {word}"), ("f3", "xor(f2, f2 // 8192)")]
+    steps += [("f4", f"(f3 * {0xC2B2AE35}) % {word}"), ("f5", "xor(f4, f4 // 65536)")]
+    inner = "SELECT 1 AS one"
+    for name, expression in steps:
+        inner = f"SELECT *, {expression} AS {name} FROM ({inner})"
+    return f"(SELECT CAST((f5 % 2147483648) % {buckets} AS INTEGER) FROM ({inner}))"
+
+
 def type_counts() -> str:
     """Every present value has one JSON type; an integer is a number too."""
     kinds = ("null", "boolean", "integer", "number", "string", "object", "array")
@@ -1081,6 +1104,8 @@ def core_sql() -> dict[str, str]:
         "AS _p_o_custkey_truncate FROM orders",
         "partition_bucket": "SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS n_keys, "
         "count(DISTINCT o_custkey) AS n_key_buckets, CAST(4 AS BIGINT) AS n_buckets FROM orders",
+        "partition_bucket_spec": f"SELECT {integer('o_orderkey')}, {murmur_sql('o_custkey', 16)} AS by_key, "
+        f"{murmur_sql('epoch_us(o_orderdate)', 7)} AS by_date FROM orders",
         "streaming_states": "SELECT max(event_id) AS event_id, count(*) AS n, (SELECT count(*) FROM events) AS loaded, "
         "unnest(['one file', 'all files']) AS batch FROM events WHERE event_id % 3 = 2",
         "append_null_column": f"SELECT {integer('c_custkey')}, c_name, CAST(NULL AS VARCHAR) AS nothing FROM customer",

@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.murmur import bucket
+
 # Spellings of the transforms.
 TRANSFORM_PATTERN = re.compile(r"^(identity|year|month|day|hour|void|(bucket|truncate)\[(\d+)\])$")
 
@@ -89,7 +91,7 @@ def _derive(value: Column, data_type: T.DataType, name: str, width: int | None)
     if name == "identity":
         return value
     if name == "bucket":
-        return F.pmod(F.hash(value), F.lit(width))
+        return bucket(value, data_type, width)
     if name == "truncate":
         if isinstance(data_type, T.StringType):
             return F.substring(value, 1, width)

@@ -4,7 +4,8 @@
 places come from splitting the text at the same pattern: lengths of pieces and matches add up to code points.
 **Candidates.** Looser patterns find strings of the same shapes that the fixed ones leave out: an address without
 a top domain or spelled with [at], dotted numbers beyond the range, card-like numbers that fail the check digit,
-phone numbers without a plus. Each comes with its context: the word before and the word after.
+phone numbers without a plus. Each comes with its context: the whole word before and the whole word after. No pattern
+and no context has a length limit.
 **Bootstrapping.** Contexts and instances are a bipartite graph, kept for each kind and aggregated by Spark. A context scores
 by the share of its instances that are believed, smoothed by its support; an instance by the best of its contexts, given
 enough of them. ``ROUNDS`` times the scores go from seeds to contexts to instances and back. Candidates whose instance
@@ -23,17 +24,23 @@ from millrace.llm.common import Scratch
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, ACCEPT, SUPPORT, SMOOTH = 3, 0.8, 5, 1.0
 
-# Fixed patterns. \\G and the look-behind keep a search from starting again inside a run it has failed on; possessive
-# counts do the same within a match. Neither changes what is found.
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,800}+"
+# Fixed patterns. \G and the look-behind keep a search from starting again inside a run it has failed on; possessive
+# counts do the same within a match. Neither changes what is found. In texts searched for emails the dots that join two
+# labels have been replaced by JOINT, so one class does for domains of any length.
+JOINT = "\u0001"
+_LABEL = "[A-Za-z0-9-]"
+_LOCAL = rf"[A-Za-z0-9._%+{JOINT}-]"
+_DOMAIN = rf"[A-Za-z0-9{JOINT}-]"
+EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_LABEL}++{JOINT}{_DOMAIN}++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 # Separators between digits only; others have been replaced, so one class does for a run of any length.
 CARD = r"[0-9][0-9 -]*+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+# A number is a whole run of digits and separators; what kind it may be is told by its digits.
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@| ?[\[(]at[\])] ?)[A-Za-z0-9-]++(?:(?:\.| ?[\[(]dot[\])] ?)[A-Za-z0-9-]++){0,20}+",
-    "number": r"(?<![0-9A-Za-z+])[0-9(][0-9() .-]{7,30}[0-9](?![0-9A-Za-z])",
+    "email": rf"(?<!{_LOCAL}){_LOCAL}++(?:@| ?[\[(]at[\])] ?){_DOMAIN}++(?: ?[\[(]dot[\])] ?{_DOMAIN}++)*+",
+    "number": r"(?<![0-9A-Za-z+])[0-9(][0-9() .-]{8,}+",
 }
 
 
@@ -85,6 +92,18 @@ def number_of_digits(hit: Column) -> Column:
     return F.length(digits_of(hit))
 
 
+def joined_labels(text: Column) -> Column:
+    """The text with JOINT for dots between two characters of labels, and another character for what JOINT is in it."""
+    free = F.regexp_replace(text, JOINT, "\u0002")
+    return F.regexp_replace(free, rf"(?<={_LABEL})\.(?={_LABEL})", JOINT)
+
+
+def email_matches(text: Column, pattern: str) -> Column:
+    """Matches in a text with joined labels; the hits have their dots again."""
+    found = matches(joined_labels(text), pattern)
+    return F.transform(found, lambda x: F.struct(F.translate(x["hit"], JOINT, ".").alias("hit"), x["start"].alias("start"), x["end"].alias("end")))
+
+
 def base(text: Column) -> dict[str, Column]:
     """The arrays of base matches by kind. Texts without a needed character are not searched."""
     none = F.array().cast(EMPTY)
@@ -92,7 +111,7 @@ def base(text: Column) -> dict[str, Column]:
     joined = F.regexp_replace(text, r"(?<![0-9])[ -]|[ -](?![0-9])", "\u0001")
     card = lambda x: F.length(x["hit"]) >= 13
     return {
-        "email": F.when(F.contains(text, F.lit("@")), matches(text, EMAIL)).otherwise(none),
+        "email": F.when(F.contains(text, F.lit("@")), email_matches(text, EMAIL)).otherwise(none),
         "ip": F.when(
             F.rlike(text, F.lit(r"[0-9]\.[0-9]")),
             F.filter(matches(text, IP), lambda x: F.rlike(x["hit"], F.lit(rf"^{OCTET}\.{OCTET}\.{OCTET}\.{OCTET}$"))),
@@ -115,11 +134,21 @@ def _named(kind: Column):
     return lambda x: F.struct(kind.alias("kind"), x["hit"].alias("hit"), x["start"].alias("start"), x["end"].alias("end"))
 
 
+def _trimmed(hit: Column, start: Column) -> Column:
+    own = F.regexp_replace(hit, "[^0-9]++$", "")
+    return F.struct(own.alias("hit"), start.alias("start"), (start + F.length(own)).alias("end"))
+
+
 def loose(text: Column) -> Column:
     """Candidates of all kinds; which kind a number may be is told by its digits and dots."""
     none = F.array().cast(EMPTY)
-    emails = F.when(F.rlike(text, F.lit(r"@|[\[(]at[\])]")), matches(text, LOOSE["email"])).otherwise(none)
-    numbers = F.when(F.rlike(text, F.lit(r"[0-9(][0-9() .-]{7}")), matches(text, LOOSE["number"])).otherwise(none)
+    emails = F.when(F.rlike(text, F.lit(r"@|[\[(]at[\])]")), email_matches(text, LOOSE["email"])).otherwise(none)
+    runs = F.when(F.rlike(text, F.lit(r"[0-9(][0-9() .-]{7}")), matches(text, LOOSE["number"])).otherwise(none)
+    # Separators at the end are no part of the number; a run that goes on with a letter is none.
+    numbers = F.transform(
+        F.filter(runs, lambda x: ~F.rlike(F.substring(text, x["end"], F.lit(2)), F.lit("^[0-9][A-Za-z]"))),
+        lambda x: _trimmed(x["hit"], x["start"]),
+    )
 
     def kind(x):
         n = number_of_digits(x["hit"])
@@ -141,13 +170,24 @@ def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     found = found.select("doc_id", "text", F.concat(*named).alias("base"), "loose")
     added = F.filter("loose", lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"])))
 
+    # Places where a word can end; the word next to a mention is found in a short piece of the text, or else in all of it.
+    spaces = "\t\n\u000b\u000c\r"
+    plain = lambda c: F.translate(c, spaces, " " * len(spaces))
+
+    def last_word(x):
+        near = F.rtrim(plain(F.substring(F.col("text"), F.greatest(x["start"] - 39, F.lit(1)), F.least(x["start"], F.lit(40)))))
+        whole = F.rtrim(plain(F.substring(F.col("text"), F.lit(1), x["start"])))
+        return F.substring_index(F.when(F.contains(near, F.lit(" ")) | (x["start"] <= 40), near).otherwise(whole), " ", -1)
+
+    def first_word(x):
+        near = F.ltrim(plain(F.substring(F.col("text"), x["end"] + 1, F.lit(40))))
+        whole = F.ltrim(plain(F.substring(F.col("text"), x["end"] + 1, F.length("text"))))
+        return F.substring_index(F.when(F.contains(near, F.lit(" ")) | (x["end"] + 40 >= F.length("text")), near).otherwise(whole), " ", 1)
+
     def context(x, is_base):
-        before = F.substring(F.col("text"), F.greatest(x["start"] - 39, F.lit(1)), F.least(x["start"], F.lit(40)))
-        after = F.substring(F.col("text"), x["end"] + 1, F.lit(40))
-        word = lambda s, at: F.lower(F.element_at(F.split(F.trim(F.regexp_replace(s, r"[\x09-\x0D]", " ")), " +"), at))
         return F.struct(
             x["kind"].alias("kind"), F.lower(x["hit"]).alias("instance"), x["start"].alias("start"), x["end"].alias("end"),
-            F.lit(is_base).alias("base"), word(before, -1).alias("before"), word(after, 1).alias("after"),
+            F.lit(is_base).alias("base"), F.lower(last_word(x)).alias("before"), F.lower(first_word(x)).alias("after"),
         )
 
     return found.select(

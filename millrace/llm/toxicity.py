@@ -9,8 +9,8 @@ the whole text is scored. A text without words is one empty window of padding.
 **Training.** On at most ``SAMPLE`` labelled texts of each class, whose ids hash lowest, by the driver; a text counts
 by its highest window (several windows of clean texts). The sample's bound is a parameter; scoring covers all.
 
-Rows whose crc32(doc_id as text) mod 4 is 2 are never learned from. Null labels are not learned from; null texts
-are empty. Repeated rows are scored each. Only the text is an input of a score.
+Rows whose crc32(doc_id as text) mod 4 is 2 are never learned from, nor are null labels and ids labelled both ways; of a
+repeated id one text is. Null texts are empty. Repeated rows are scored each. Only the text is an input of a score.
 """
 
 from __future__ import annotations
@@ -269,12 +269,17 @@ def score_texts(model: Model, texts: pa.Array) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list, list]:
-    """At most ``sample`` texts of each class, by the lowest hash of the id: 2 * sample rows reach the driver."""
-    wanted = labels.where(~held_out()).where("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "toxic").distinct()
-    wanted = wanted.withColumn("h", F.xxhash64("doc_id"))
-    chosen = [wanted.where(F.col("toxic") == k).orderBy("h", "doc_id").limit(sample) for k in (0, 1)]
+    """At most ``sample`` texts of each class, by the lowest hash of the id: 2 * sample rows reach the driver.
+
+    An id counts once, with the least of its texts; ids that are labelled both ways are not learned from.
+    """
+    known = labels.where(~held_out()).where("toxic IN (0, 1) AND doc_id IS NOT NULL")
+    known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most")
+    known = known.select("doc_id", "toxic", F.xxhash64("doc_id").alias("h"))
+    chosen = [known.where(F.col("toxic") == k).orderBy("h", "doc_id").limit(sample) for k in (0, 1)]
     ids = chosen[0].unionByName(chosen[1]).drop("h")
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").orderBy("doc_id", "text", "toxic").collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = rows.orderBy("doc_id").collect()
     return [row.text for row in rows], [row.toxic for row in rows]
 
 

@@ -108,9 +108,21 @@ def test_drop_near_copies_keeps_columns_and_firsts(docs, rows):
     assert kept.schema == docs.schema
     expected = components_by_force(rows)
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted(
-        i for i, *_ in rows if i is not None and expected[i][1] == i
-    )
+    # Row 9 comes twice and stays once.
+    assert sorted(i for i in ids if i is not None) == sorted({i for i, *_ in rows if i is not None and expected[i][1] == i})
+
+
+def test_texts_under_one_id_keep_their_links(spark):
+    a, b = "a b c d e f g h i j k l m n o p q r s t u v w x", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22 23 24"
+    rows = [(5, a), (5, b), (7, a + " y"), (9, b + " 25"), (5, a), (6, "short text")]
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(5, 5), (5, 5), (5, 5), (6, 6), (7, 5), (9, 5)]
+
+
+def test_drop_near_copies_keeps_one_of_exact_repeats(spark):
+    text = "a b c d e f g h i j k l m n o p"
+    kept = ngram_join.drop_near_copies(spark.createDataFrame([(1, text), (1, text), (2, text), (3, None), (3, None)], "doc_id long, text string"))
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(1, text), (3, ""), (3, "")]
 
 
 def lines_left_by_force(rows, least=line_dedup.LEAST):
@@ -152,6 +164,32 @@ def test_line_dedup_second_round(spark):
     assert {r.doc_id: r.text for r in got.collect()} == lines_left_by_force(rows)
 
 
+def test_line_dedup_of_hot_lines(spark, monkeypatch):
+    """Groups of near copies and frequent tokens far beyond the window and over the split, against force."""
+    monkeypatch.setattr(line_dedup, "SPLIT_ROWS", 150)
+    r = random.Random(11)
+    base = [f"t{i}" for i in range(14)]
+    lines = []
+    for i in range(300):
+        own = [w if r.random() > 0.12 else f"u{r.randrange(60)}" for w in base]
+        lines.append(" ".join(own))
+    lines += [" ".join(r.sample(base, 5) + [f"v{r.randrange(40)}" for _ in range(3)]) for _ in range(150)]
+    lines += [f"{r.choice(base)} {r.choice(base)}" for _ in range(80)]
+    r.shuffle(lines)
+    rows = [(1000 - i, "\n".join(lines[i * 5 : i * 5 + 5])) for i in range(106)]
+    rows += [rows[3], rows[4], (900, "t0 t1 t2 t3 t4 t5 t6 t7 t8 t9 other")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    named = frame.where("doc_id <> 900")
+    gone = line_dedup.removed_lines(named, window=8)
+    got: dict = {}
+    for row in gone.distinct().collect():
+        got.setdefault(row.doc_id, set()).add(row.line)
+    expected = lines_left_by_force([x for x in rows if x[0] != 900])
+    for i, text in rows:
+        if i != 900:
+            assert expected[i] == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in got.get(i, ()))
+
+
 def test_line_dedup_of_short_lines(spark):
     """Lines of one to seven distinct words are judged too, also those that repeat their words."""
     lines = ["MIT", "see the menu", "a b c d", "a b c d e", "Nicht aulich fur sch eruver enau sch der.", "", " ", "one two three four five six seven"]
@@ -275,6 +313,7 @@ PERSONAL = [
     None, "", "mail a.b+c@d-e.co.uk, x@y, _p@q.rs@t.uv", "a@b.c_d@e.f", "ip 1.2.3.4 999.1.1.1 1.2.3.4.5.6.7.8 00255.0.0.1 é 8.8.8.8",
     "card 4111 1111 1111 1111, 4111-1111-1111-1112 4111111111111111", "1--2 4111  1111 1111 1111", "phone +1 (456) 555-2186 +12 +4930123456789012345 ++4912345678",
     "9" * 3000, "1 " * 3000, "a.b." * 2000 + "@x.y", "+1 (2) " * 500, "4111\t1111 1111 1111", "x@" + "a." * 300 + "b",
+    "x@" + "a." * 900 + "b", "y@" + "ab-c." * 5000 + "d_z@q..r x@q.\u0001r", "x\u0001y@a\u0001b.c", "a@b.c.-d@e..f.g@h.i", "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1 x",
 ]
 
 
@@ -316,6 +355,75 @@ def test_pii_learns_contexts(spark):
     assert found[61] == [] and all(found[i] == [] for i in range(30, 60)) and all(found[i][0].base for i in range(30))
 
 
+LABELS = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"
+LOOSE_EMAIL = rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:@| ?[\[(]at[\])] ?){LABELS}(?: ?[\[(]dot[\])] ?{LABELS})*"
+
+
+def pii_by_force(rows):
+    """All spans of each row, with the graph scored in plain Python."""
+    mentions = []  # row, kind, instance, start, end, base, before, after
+    for n, (_, text) in enumerate(rows):
+        text = text or ""
+        own = [(pii.KINDS[k], s, e, True) for k, s, e in base_pii(text)]
+        loose = [("email", *m.span()) for m in re.finditer(LOOSE_EMAIL, text)]
+        for m in re.finditer(r"(?<![0-9A-Za-z+])[0-9(][0-9() .-]{8,}", text):
+            start, end = m.span()
+            if re.match("[0-9][A-Za-z]", text[end - 1 : end + 1]):
+                continue
+            end = start + len(m[0].rstrip("() .-"))
+            digits = len(re.sub("[^0-9]", "", text[start:end]))
+            dotted = re.fullmatch(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", text[start:end])
+            kind = "ip" if dotted else "card" if 13 <= digits <= 19 else "phone" if 9 <= digits <= 12 else None
+            if kind:
+                loose.append((kind, start, end))
+        own += [(k, s, e, False) for k, s, e in loose if not any(a < e and b > s for _, a, b, _ in own)]
+        for kind, s, e, is_base in own:
+            before, after = re.split(r"[ \t-\r]+", text[:s].rstrip(" \t\n\x0b\x0c\r")), re.split(r"[ \t-\r]+", text[e:].lstrip(" \t\n\x0b\x0c\r"))
+            mentions.append((n, kind, text[s:e].lower(), s, e, is_base, before[-1].lower(), after[0].lower()))
+    edges: dict = {}
+    for _, kind, instance, _, _, is_base, before, after in mentions:
+        both = " ".join((before, after))
+        for pattern in [p for w, p in ((before, "< " + before), (after, "> " + after), (both, "<> " + both)) if w]:
+            edges[kind, pattern, instance] = edges.get((kind, pattern, instance), False) or is_base
+    useful = {(k, p) for (k, p, _), b in edges.items() if not b}
+    edges = {x: b for x, b in edges.items() if x[:2] in useful}
+    seeds = {(k, i) for (k, _, i), b in edges.items() if b}
+    scores = {(k, i): float((k, i) in seeds) for k, _, i in edges}
+    for _ in range(pii.ROUNDS):
+        sure = {}
+        for kind, pattern in useful:
+            held = [scores[kind, i] for k, p, i in edges if (k, p) == (kind, pattern)]
+            sure[kind, pattern] = sum(held) / (len(held) + pii.SMOOTH) if sum(held) >= pii.SUPPORT else 0.0
+        scores = {x: 1.0 if x in seeds else max(sure[k, p] for k, p, i in edges if (k, i) == x) for x in scores}
+    good = {x for x, v in scores.items() if v >= pii.ACCEPT and x not in seeds}
+    spans: list[list] = [[] for _ in rows]
+    for n, kind, instance, s, e, is_base, _, _ in mentions:
+        if is_base or (kind, instance) in good:
+            spans[n].append((pii.KINDS.index(kind), s, e, is_base))
+    return [sorted(own) for own in spans]
+
+
+def test_pii_added_spans_by_force(spark):
+    r = random.Random(8)
+    long_word = "q" * 10_000
+    phone = lambda: f"{r.randint(100, 999)} {r.randint(100, 999)} {r.randint(1000, 9999)}"
+    card = lambda: "-".join(str(r.randint(1000, 9999)) for _ in range(4))
+    texts = [f"x\tcall me\non +1 {phone()}  now, from 10.0.{i}.7 to (555) {phone()}abc" for i in range(30)]
+    texts += [f"{'w ' * i}call me on {phone()} now" for i in range(25)] + [f"{long_word} +1 {phone()} {long_word}" for _ in range(8)]
+    texts += [f"{long_word} {phone()} {long_word}", f"{long_word}x {phone()} y{long_word}", f"a {phone()}" + " " * 50 + "now"]
+    texts += [f"mail to ann{i}@ex{i}.org please" for i in range(12)] + ["mail to bob[at]ex[dot]org please", "mail to b@ex please", "mail to c (at) d.e.f (dot) g.h please", "or z [at] y"]
+    texts += [f"server 10.1.{i}.3 is up" for i in range(9)] + ["server 10.1.999.3 is up", "pay " + " ".join("1234567890123456789") + " soon", "pay " + "7 " * 25 + "soon"]
+    texts += [t for t in (f"pay {card()} soon" for _ in range(300)) if base_pii(t)] + [f"pay {card()} soon", "", None, texts[40]]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])]
+    expected = pii_by_force(rows)
+    frame = spark.createDataFrame([(n, i, t) for n, (i, t) in enumerate(rows)], "n long, doc_id long, text string")
+    got = pii.find_pii(frame, id_col="n").collect()
+    assert len(got) == len(rows)
+    for row in got:
+        assert [(pii.KINDS.index(s.kind), s.start, s.end, s.base) for s in row.spans] == expected[row.n], rows[row.n]
+    assert {k for own in expected for k, _, _, is_base in own if not is_base} == {0, 1, 2, 3}
+
+
 def lm_by_force(rows):
     train = [words_of(t) for i, t, *_ in rows if not held(i)]
     counts = Counter(w for ws in train for w in ws)
@@ -379,6 +487,84 @@ def test_pieces_are_weighed_by_all_training_words(spark):
     assert got.stop == pytest.approx(expected.stop) and lm_scoring.ROUNDS == 2
 
 
+def segmentations(word, at=0):
+    """All ways to cut the rest of a word to later pieces, as lists."""
+    if at == len(word):
+        yield []
+    for to in range(at + 1, len(word) + 1):
+        for rest in segmentations(word, to):
+            yield [word[at:to], *rest]
+
+
+def paths_by_force(word, weights):
+    """(probability, pieces as counted) of every path of a word."""
+    own, more = sum(weights.first.values()), sum(weights.later.values()) + sum(weights.spelled.values())
+    out = []
+    for begin in range(len(word) + 1):
+        if word[:begin] not in weights.first:
+            continue
+        for rest in segmentations(word, begin):
+            p, used = weights.first[word[:begin]] / own * weights.stop, [lm_scoring.MARK + word[:begin]]
+            for piece in rest:
+                if piece in weights.later:
+                    p *= weights.later[piece] / more * (1 - weights.stop)
+                    used.append(piece)
+                elif len(piece) == 1:
+                    for b in piece.encode():
+                        p *= weights.spelled[b] / more * (1 - weights.stop)
+                        used.append(f"{lm_scoring.MARK * 2}{b}")
+                else:
+                    p = 0.0
+            if p:
+                out.append((p, used))
+    return out
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+def test_lm_score_sums_all_segmentations(spark, rounds):
+    """The whole query on short words: pieces weighed and texts scored over every segmentation, one by one."""
+    import math
+
+    import public_tokenizers
+
+    r = random.Random(6)
+    words = ["the", "naïve", "token", "xqj", "東京", "a", "ing", "zzz", "e", "Ünder", "😀k"]
+    rows = [(i, " ".join(r.choice(words) for _ in range(r.randint(0, 9)))) for i in range(40)] + [(50, None), (51, ""), (3, "THE unseen q")]
+    weights = lm_scoring.Weights.read(public_tokenizers.path("piece_bpe_32k.model"))
+    train = {w.decode() for i, t in rows if not held(i) for w in lm_scoring.words_of(t)}
+    for _ in range(rounds):
+        counts: Counter = Counter()
+        for word in train:
+            paths = paths_by_force(word, weights)
+            for p, used in paths:
+                for piece in used:
+                    counts[piece] += p / sum(q for q, _ in paths)
+        weights = weights.updated(counts, len(train))
+    got = lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string"), rounds=rounds).collect()
+    found = sorted((row.doc_id, row.n_tokens, row.score) for row in got)
+    expected = []
+    for i, text in rows:
+        own = [w.decode() for w in lm_scoring.words_of(text)]
+        logs = [math.log10(sum(p for p, _ in paths_by_force(w, weights)) * (1 - lm_scoring.END)) for w in own]
+        expected.append((i, len(own) + 1, sum(logs) + math.log10(lm_scoring.END)))
+    for a, b in zip(found, sorted(expected)):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=1e-8)
+
+
+def test_lattice_side_by_side_equals_the_plain_recursion():
+    import public_tokenizers
+
+    own = lm_scoring.Lattice(lm_scoring.Weights.read(public_tokenizers.path("piece_bpe_32k.model")))
+    r = random.Random(2)
+    words = ["".join(r.choice("abcdeéß東😀-'") for _ in range(r.choice([1, 2, 3, 5, 5, 8, 8, 8, 30]))) for _ in range(400)]
+    assert own.log_probabilities(words) == pytest.approx([own.log_probability(w) for w in words], abs=1e-10)
+    plain, many = Counter(), Counter()
+    for w in words:
+        own.expect(w, plain)
+    own.expect_all(words, many)
+    assert {k: v for k, v in many.items() if v > 1e-9} == pytest.approx({k: v for k, v in plain.items() if v > 1e-9}, abs=1e-8)
+
+
 def test_packing(docs, rows):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -449,6 +635,73 @@ def test_toxicity_gradient():
         assert g[name][place] == pytest.approx((values[0] - values[1]) / (2 * step), rel=2e-2, abs=2e-3)
 
 
+def test_toxicity_scores_by_force():
+    """Every window word by word, unit by unit, against the scores of texts."""
+    import math
+
+    import numpy as np
+
+    from millrace.llm.common import PLACE, mix
+
+    model = toxicity.Model(3)
+    noise = np.random.default_rng(1)
+    model.p = {k: (v + 0.3 * noise.standard_normal(v.shape)).astype(np.float32) for k, v in model.p.items()}
+    p = {k: v.astype(float) for k, v in model.p.items()}
+    h, width = toxicity.HIDDEN, toxicity.WIDTH
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+
+    def vector(word: bytes):
+        bucket = int(toxicity.words_of(np.frombuffer(word, np.uint8), np.array([0, len(word)])).hashes[0]) % toxicity.WORD_BUCKETS
+        total = [0.0] * width
+        for i in range(len(word)):
+            code = word[i]
+            for k in (1, 2):
+                code = (code * 257 + (word[i + k] + 1 if i + k < len(word) else 0)) % 2**64
+            row = (int(mix(np.array([code], np.uint64) * PLACE[0])[0]) >> 20) % toxicity.CHAR_BUCKETS
+            total = [a + b for a, b in zip(total, p["char"][row])]
+        return [*p["word"][bucket], *[t / len(word) for t in total]]
+
+    def unit(xs, d):
+        s, out = [0.0] * h, []
+        for x in xs:
+            gate = [sum(x[i] * p[f"w{d}"][i][j] for i in range(2 * width)) + p[f"c{d}"][j] for j in range(3 * h)]
+            u = p[f"u{d}"]
+            z = [sigmoid(gate[j] + sum(s[i] * u[i][j] for i in range(h))) for j in range(h)]
+            g = [sigmoid(gate[h + j] + sum(s[i] * u[i][h + j] for i in range(h))) for j in range(h)]
+            c = [math.tanh(gate[2 * h + j] + sum(g[i] * s[i] * u[i][2 * h + j] for i in range(h))) for j in range(h)]
+            s = [a + b * (e - a) for a, b, e in zip(s, z, c)]
+            out.append(s)
+        return out
+
+    def window(words):
+        xs = [vector(w) for w in words] + [list(p["pad"][0])] * (toxicity.WINDOW - len(words))
+        states = [f + b for f, b in zip(unit(xs, "f"), unit(xs[::-1], "b")[::-1])]
+        e = [[math.tanh(sum(s[i] * p["ua"][i][j] for i in range(2 * h)) + p["a"][j]) for j in range(h)] for s in states]
+        weight = [math.exp(sum(a * b for a, b in zip(row, p["va"]))) for row in e]
+        value = [sum(a * b for a, b in zip(s, p["wo"])) for s in states]
+        return sum(a * b for a, b in zip(weight, value)) / sum(weight) + p["bo"][0]
+
+    r = random.Random(4)
+    sentence = lambda n: " ".join("".join(r.choice("abcdeéx") for _ in range(r.randint(1, 9))) for _ in range(n))
+    texts = [None, "", "One", sentence(16), sentence(17), sentence(33), sentence(70), "ab\tCD\n" + sentence(47)]
+    import pyarrow as pa
+
+    for text, got in zip(texts, toxicity.score_texts(model, pa.array(texts))):
+        words = [w.encode() for w in words_of(text)]
+        number = max(1, -(-(len(words) - toxicity.STEP) // toxicity.STEP))
+        logits = [window(words[i * toxicity.STEP : i * toxicity.STEP + toxicity.WINDOW]) for i in range(number)]
+        assert got == pytest.approx(sigmoid(max(logits)), abs=1e-4)
+
+
+def test_training_sample_is_bounded(spark):
+    """One id on very many rows, conflicting labels, two texts under one id."""
+    docs = spark.createDataFrame([(1, "hot")] * 500 + [(1, "cold"), (3, "c"), (4, None), (5, "e"), (6, "f"), (None, "n")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] * 300 + [(3, 0), (3, 1), (4, 0), (5, None), (6, 2), (7, 1), (None, 1)], "doc_id long, toxic int")
+    texts, kinds = toxicity.training_sample(docs, labels)
+    expected = [(t, k) for i, t, k in ((1, "cold", 1), (4, None, 0)) if not toxicity.python_held_out(i)]
+    assert list(zip(texts, kinds)) == expected and expected
+
+
 def test_toxicity_learns_and_generalises(spark):
     r = random.Random(1)
     plain = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(200)]

@@ -5,11 +5,15 @@ a forward recursion in log space sums them to the word's marginal probability. T
 those of the file; as a byte-pair file scores a piece by its rank, a rank becomes the Zipf weight 1 / (rank + 10), and
 the weights are normalised over first and over later pieces. From these scores, ``ROUNDS`` steps of expectation
 maximisation over all distinct training words weigh the pieces for the corpus; the scores stay as a prior of
-``PRIOR`` pieces. Characters without a piece are spelled by byte pieces.
-
-**Document.** Its tokens are its words (A-Z lower-cased) and one end. The lattice is the base of an absolute-discounted
-unigram model: P(t) = (max(c - D, 0) + D * V * B(t)) / N, with the counts of the training documents, V distinct
-tokens, D from the tokens seen once and twice, and B the lattice (for the end: ``END``). It sums to one over all token strings. Counts cover all training
+``PRIOR`` pieces. Characters without a piece are spelled by byte pieces. Words of one length pass the recursions side by
+side, in numpy; the few of rare lengths pass a plain recursion with equal results.
+
+**Document.** Its tokens are its words (A-Z lower-cased) and one end. ``score`` is the sum of their log10 probabilities: the lattice's
+marginal for a word, with ``END`` for the end. Words count as drawn one by one, so it ranks texts by how usual the make of their
+words is (junk, odd scripts and broken encodings score low per token); it knows nothing of word order.
+``mixed_score`` has the lattice as the base of an absolute-discounted unigram model: P(t) = (max(c - D, 0) + D * V * B(t)) / N, with
+the counts of the training documents, V distinct tokens, D from the tokens seen once and twice, and B the lattice. Both sum
+to one over all token strings; ``base_score`` gives all unseen words one share and so does not. Counts cover all training
 rows, crc32(doc_id as text) mod 7 other than 2, and are a table that grows with the corpus.
 
 **Joins.** Words are counted per task before the shuffle. Words with more than N / ``HEAVY`` occurrences, ``HEAVY`` at most,
@@ -30,11 +34,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWER, Scratch, record_batch
+from millrace.llm.common import LOWER, Scratch, mix, record_batch, slices
 
 STOP, END, HEAVY = 0.5, 0.002, 1 << 18
 PRIOR, ROUNDS = 1000.0, 2
 FLUSH = 250_000
+CELLS = 1 << 18  # of the arrays in which words of one length pass the recursions
 MARK = "▁"
 
 
@@ -81,8 +86,44 @@ class Weights:
         return Weights(first, later, spelled, (words + PRIOR) / (words + more + PRIOR))
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Pieces:
+    """Pieces by the hash of their characters, with log weights. A bit map answers most lookups of other strings."""
+
+    def __init__(self, weights: dict[str, float]):
+        names = [p for p in weights if p]
+        keys = np.array([self.key(p) for p in names], dtype=np.uint64)
+        order = np.argsort(keys)
+        self.names = [names[i] for i in order.tolist()]
+        self.keys = keys[order]
+        self.weights = np.array([weights[p] for p in self.names])
+        self.longest = max(map(len, names), default=0)
+        self.map = np.zeros(1 << 20, dtype=bool)
+        self.map[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+
+    @staticmethod
+    def key(piece: str) -> int:
+        value = np.uint64(0)
+        with np.errstate(over="ignore"):
+            for c in piece:
+                value = value * _BASE + np.uint64(ord(c))
+            return int(mix(np.array([value + np.uint64(len(piece))]))[0])
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces, -1 for none."""
+        out = np.full(keys.shape, -1, dtype=np.int32)
+        if len(self.keys):
+            maybe = np.nonzero(self.map[(keys >> np.uint64(44)).astype(np.int64)])
+            some = keys[maybe]
+            at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+            out[maybe] = np.where(self.keys[at] == some, at, -1)
+        return out
+
+
 class Lattice:
-    """Log probabilities of pieces; marginal probability of a word, and the expected pieces of its segmentations."""
+    """Log probabilities of pieces; marginal probability of words, and the expected pieces of their segmentations."""
 
     def __init__(self, weights: Weights):
         own = sum(weights.first.values())
@@ -92,33 +133,27 @@ class Lattice:
         self.later = {p: math.log(w / rest) + go for p, w in weights.later.items()}
         self.bytes = {b: math.log(w / rest) + go for b, w in weights.spelled.items()}
         self.stop = math.log(weights.stop)
-        # Pieces with their weights and the beginnings of longer pieces with None; no log weight is 1.
-        self.walk_first, self.walk_later = (
-            {p[:i]: None for p in pieces for i in range(len(p))} | pieces for pieces in (self.first, self.later)
-        )
+        self.longest = max(map(len, [*self.first, *self.later]), default=0)
+        self.first_pieces, self.later_pieces = Pieces(self.first), Pieces(self.later)
 
     def spelled(self, char: str) -> float:
         return sum(self.bytes[b] for b in char.encode("utf-8", "surrogatepass"))
 
     def edges(self, word: str) -> list[list[tuple[int, float]]]:
         """For each end, the (begin, weight) of its pieces; begin -1 is a first piece."""
-        n, walk = len(word), self.walk_later
+        n = len(word)
         out: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        for end in range(n + 1):
-            weight = self.walk_first.get(word[:end], 1.0)
-            if weight == 1.0:
-                break
+        for end in range(min(n, self.longest) + 1):
+            weight = self.first.get(word[:end])
             if weight is not None:
                 out[end].append((-1, weight))
         for begin in range(n):
-            for end in range(begin + 1, n + 1):
-                weight = walk.get(word[begin:end], 1.0)
-                if weight is not None and weight != 1.0:
+            for end in range(begin + 1, min(n, begin + self.longest) + 1):
+                weight = self.later.get(word[begin:end])
+                if weight is not None:
                     out[end].append((begin, weight))
                 elif end == begin + 1:
                     out[end].append((begin, self.spelled(word[begin])))  # no piece for this character
-                if weight == 1.0:
-                    break
         return out
 
     @staticmethod
@@ -135,7 +170,7 @@ class Lattice:
         return alpha
 
     def log_probability(self, word: str) -> float:
-        """Natural log of the sum over all segmentations."""
+        """Natural log of the sum over all segmentations, by the plain recursion."""
         return self.forward(self.edges(word))[-1] + self.stop
 
     def expect(self, word: str, counts: dict[str, float]) -> None:
@@ -156,8 +191,109 @@ class Lattice:
                     if word[begin:end] in self.later:
                         counts[word[begin:end]] += part
                     else:
-                        for b in word[begin].encode("utf-8", "surrogatepass"):
-                            counts[f"{MARK * 2}{b}"] += part
+                        self._spell(word[begin], part, counts)
+
+    @staticmethod
+    def _spell(char: str, part: float, counts: dict[str, float]) -> None:
+        for b in char.encode("utf-8", "surrogatepass"):
+            counts[f"{MARK * 2}{b}"] += part
+
+    def _groups(self, words: list[str]):
+        """(places of words of one length, their characters as rows), or a single word of a length that few have."""
+        lengths = np.array([len(w) for w in words])
+        order = np.argsort(lengths, kind="stable")
+        edges = np.flatnonzero(np.diff(lengths[order])) + 1
+        for group in np.split(order, edges):
+            n = int(lengths[group[0]]) if len(group) else 0
+            if len(group) < 8 or not n:
+                for i in group.tolist():
+                    yield i, None
+                continue
+            step = max(1, CELLS // (n * min(n, self.longest)))
+            for at in range(0, len(group), step):
+                own = group[at : at + step]
+                flat = "".join([words[i] for i in own.tolist()]).encode("utf-32-le", "surrogatepass")
+                yield own, np.frombuffer(flat, dtype=np.uint32).reshape(len(own), n)
+
+    def _numbers(self, codes: np.ndarray):
+        """Numbers of the first pieces by length, of the later ones by length and begin, and the weights of spelled characters."""
+        rows, n = codes.shape
+        codes = codes.astype(np.uint64)
+        first, later, value = [], [], np.zeros((rows, n + 1), dtype=np.uint64)
+        for size in range(1, min(n, self.longest) + 1):
+            value = value[:, : n - size + 1] * _BASE + codes[:, size - 1 :]
+            keys = mix(value + np.uint64(size))
+            first.append(self.first_pieces.find(keys[:, 0]))
+            later.append(self.later_pieces.find(keys))
+        chars, inverse = np.unique(codes, return_inverse=True)
+        spelled = np.array([self.spelled(chr(c)) for c in chars.tolist()])[inverse.reshape(codes.shape)]
+        return first, later, spelled
+
+    def _pass(self, codes: np.ndarray):
+        """Log weights of the edges into each place (longest last, then the first piece) and the forward sums."""
+        rows, n = codes.shape
+        first, later, spelled = self._numbers(codes)
+        none = self.first.get("", -math.inf)
+        weigh = lambda pieces, numbers: np.where(numbers >= 0, pieces.weights[numbers] if len(pieces.weights) else 0.0, -np.inf)
+        own = [np.full(rows, none), *[weigh(self.first_pieces, f) for f in first]]
+        edges = [weigh(self.later_pieces, x) for x in later]
+        if edges:
+            edges[0] = np.where(later[0] >= 0, edges[0], spelled)
+        else:
+            edges, later = [spelled], [np.full(codes.shape, -1, dtype=np.int32)]
+        alpha = np.full((n + 1, rows), -np.inf)
+        alpha[0] = none
+        for end in range(1, n + 1):
+            terms = [alpha[end - size] + edges[size - 1][:, end - size] for size in range(1, min(end, len(edges)) + 1)]
+            if end < len(own):
+                terms.append(own[end])
+            stacked = np.stack(terms)
+            top = stacked.max(axis=0)
+            safe = np.where(np.isfinite(top), top, 0.0)
+            with np.errstate(divide="ignore"):
+                alpha[end] = safe + np.log(np.exp(stacked - safe).sum(axis=0))
+        return first, later, own, edges, alpha
+
+    def log_probabilities(self, words: list[str]) -> np.ndarray:
+        out = np.zeros(len(words))
+        for own, codes in self._groups(words):
+            out[own] = self.log_probability(words[own]) if codes is None else self._pass(codes)[-1][-1] + self.stop
+        return out
+
+    def expect_all(self, words: list[str], counts: dict[str, float]) -> None:
+        """``expect`` for many words."""
+        firsts, laters = np.zeros(len(self.first_pieces.names)), np.zeros(len(self.later_pieces.names))
+        for place, codes in self._groups(words):
+            if codes is None:
+                self.expect(words[place], counts)
+                continue
+            first, later, own, edges, alpha = self._pass(codes)
+            n, rows = codes.shape[1], len(codes)
+            share = np.zeros((n + 1, rows))
+            share[n] = 1.0
+            with np.errstate(invalid="ignore"):
+                for end in range(n, -1, -1):
+                    live = share[end] > 0
+                    if end < len(own):
+                        part = np.where(live, share[end] * np.exp(own[end] - alpha[end]), 0.0)
+                        if end:
+                            hit = (first[end - 1] >= 0) & live
+                            firsts += np.bincount(first[end - 1][hit], part[hit], len(firsts))
+                        else:
+                            counts[MARK] += float(part.sum())
+                    for size in range(1, min(end, len(edges)) + 1):
+                        begin = end - size
+                        part = np.where(live, share[end] * np.exp(alpha[begin] + edges[size - 1][:, begin] - alpha[end]), 0.0)
+                        share[begin] += part
+                        number = later[size - 1][:, begin]
+                        hit = (number >= 0) & live
+                        laters += np.bincount(number[hit], part[hit], len(laters))
+                        if size == 1:
+                            for i in np.flatnonzero((number < 0) & (part > 0)).tolist():
+                                self._spell(chr(codes[i, begin]), float(part[i]), counts)
+        for found, pieces, mark in ((firsts, self.first_pieces, MARK), (laters, self.later_pieces, "")):
+            for i in np.flatnonzero(found).tolist():
+                counts[mark + pieces.names[i]] += float(found[i])
 
 
 _lattices: dict[str, Lattice] = {}
@@ -181,9 +317,8 @@ def reweighed(counted: DataFrame, weights: Weights) -> Weights:
     def run(batches):
         own, counts, words = lattice(shared.value), defaultdict(float), 0
         for batch in batches:
-            for word in batch.column(0).to_pylist():
-                own.expect(word.decode("utf-8", "surrogatepass"), counts)
-                words += 1
+            own.expect_all([word.decode("utf-8", "surrogatepass") for word in batch.column(0).to_pylist()], counts)
+            words += batch.num_rows
         counts["\n"] = float(words)
         yield record_batch(piece=pa.array(list(counts), pa.string()), n=pa.array(list(counts.values()), pa.float64()))
 
@@ -208,7 +343,7 @@ def word_counts(df: DataFrame) -> DataFrame:
             counts.clear()
             return out
 
-        for batch in batches:
+        for batch in slices(batches, 1):
             for text, held in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 words = words_of(text)
                 if held:
@@ -253,7 +388,7 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score). The vocabulary's path is a parameter."""
+    """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, mixed_score). The vocabulary's path is a parameter."""
     vocabulary = vocabulary or public_tokenizers.path("piece_bpe_32k.model")
     scratch, context = Scratch(docs.sparkSession), docs.sparkSession.sparkContext
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(id_col).alias("held"))
@@ -271,28 +406,27 @@ def score(
     def weigh(batches):
         own = lattice(pieces.value)
         for batch in batches:
-            base, model = [], []
-            for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                base.append(totals.base(c))
-                probability = own.log_probability(word.decode("utf-8", "surrogatepass")) + math.log(1 - END)
-                model.append(totals.model(c, probability))
+            counts = batch.column(1).to_pylist()
+            words = [word.decode("utf-8", "surrogatepass") for word in batch.column(0).to_pylist()]
+            marginal = own.log_probabilities(words) + math.log(1 - END)
             yield record_batch(
-                word=batch.column(0), c=batch.column(1), base=pa.array(base, pa.float64()), model=pa.array(model, pa.float64())
+                word=batch.column(0), c=batch.column(1), base=pa.array([totals.base(c) for c in counts], pa.float64()),
+                lattice=pa.array(marginal / math.log(10)),
+                mixed=pa.array([totals.model(c, p) for c, p in zip(counts, marginal.tolist())], pa.float64()),
             )
 
-    table = scratch.keep(counted.mapInArrow(weigh, "word binary, c long, base double, model double"))
+    sums_of = ("base", "lattice", "mixed")
+    table = scratch.keep(counted.mapInArrow(weigh, "word binary, c long, base double, lattice double, mixed double"))
     # No more than ``heavy`` words can have more than this share of all tokens.
     often = F.col("c") > totals.tokens / heavy
     frequent = table.where(often).toArrow()
-    shared = context.broadcast(
-        (uuid.uuid4().hex, frequent.column("word").to_pylist(), frequent.column("base").to_numpy(), frequent.column("model").to_numpy())
-    )
+    shared = context.broadcast((uuid.uuid4().hex, frequent.column("word").to_pylist(), [frequent.column(c).to_numpy() for c in sums_of]))
 
     def look_up(batches):
-        key, words, base, model = shared.value
+        key, words, values = shared.value
         places = _places(key, words)
-        for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("n", "known", "base", "model", "words", "times")}
+        for batch in slices(batches, 1):
+            out: dict[str, list] = {k: [] for k in ("n", "known", *sums_of, "words", "times")}
             for text in batch.column(1).to_pylist():
                 found = Counter(words_of(text))
                 rows, times, rest, rest_times = [], [], [], []
@@ -307,37 +441,38 @@ def score(
                 n = np.array(times, dtype=float)
                 out["n"].append(sum(times) + sum(rest_times))
                 out["known"].append(sum(times))
-                out["base"].append(float(base[rows] @ n) if rows else 0.0)
-                out["model"].append(float(model[rows] @ n) if rows else 0.0)
+                for name, value in zip(sums_of, values):
+                    out[name].append(float(value[rows] @ n) if rows else 0.0)
                 out["words"].append(rest)
                 out["times"].append(rest_times)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()))
+            kinds = (pa.int64(), pa.int64(), *[pa.float64()] * 3, pa.list_(pa.binary()), pa.list_(pa.int32()))
             yield record_batch(
                 doc_id=batch.column(0), held=batch.column(2), **{k: pa.array(v, kind) for (k, v), kind in zip(out.items(), kinds)}
             )
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, held boolean, n long, known long, base double, model double, words array<binary>, times array<int>"
+    doubles = ", ".join(f"{c} double" for c in sums_of)
+    schema = f"doc_id {kind}, held boolean, n long, known long, {doubles}, words array<binary>, times array<int>"
     looked = scratch.keep(df.mapInArrow(look_up, schema).withColumn("row", F.monotonically_increasing_id()))
     rest = looked.where("size(words) > 0").select("row", F.inline(F.arrays_zip("words", "times")))
     rare = table.where(~often)
     met = rest.withColumnRenamed("words", "word").join(rare, "word")
     times = F.col("times")
     tails = met.groupBy("row").agg(
-        F.sum(F.when(F.col("c") > 0, times).otherwise(0)).alias("known_t"),
-        F.sum(F.col("base") * times).alias("base_t"),
-        F.sum(F.col("model") * times).alias("model_t"),
+        F.sum(F.when(F.col("c") > 0, times).otherwise(0)).alias("known_t"), *[F.sum(F.col(c) * times).alias(f"{c}_t") for c in sums_of]
     )
-    end_base, end_model = totals.base(ends), totals.model(ends, math.log(END))
+    ends_of = {"base": totals.base(ends), "lattice": math.log10(END), "mixed": totals.model(ends, math.log(END))}
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    whole = lambda c: F.col(c) + zero(f"{c}_t") + ends_of[c]
     return looked.join(tails, "row", "left").select(
         F.col("doc_id").alias(id_col),
         F.col("held").alias("held_out"),
         (F.col("n") + 1).alias("n_tokens"),
         (F.col("known") + zero("known_t") + (1 if ends else 0)).cast("long").alias("n_known"),
         F.lit(totals.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("base_t") + end_base).alias("base_score"),
-        (F.col("model") + zero("model_t") + end_model).alias("score"),
+        whole("base").alias("base_score"),
+        whole("lattice").alias("score"),
+        whole("mixed").alias("mixed_score"),
     )
 
 

@@ -4,14 +4,17 @@ A line's tokens are its distinct words (A-Z lower-cased); lines of at least ``le
 all that have a word. Two lines match when the Jaccard similarity of their token sets is ``num/den`` or more. A line is removed when any earlier
 line matches it, earlier by document id, then by place; other lines are left as they are.
 
-**Classes.** Lines with equal token sets are one class, and only its first line can stay.
+**Classes.** Lines with equal token sets are one class, collapsed within chunks before a shuffle and then by their digests;
+only its first line, the head, can stay, and only heads take part in what follows.
 **Prefix.** Tokens are ordered by rarity, by counts over all documents in a table of fixed size, and the hash among equals.
-Sets that match share one of their first ``n - ceil(n * num / den) + 1`` tokens. Each is a posting: (token, line, size,
-place, a parity sketch of the set of 176 bits).
-**Candidates.** Postings stream through partitions sorted by token and order of lines. A line is held against the
-earlier ones of its token by size, by what the places leave to share and by the sketch; the first few that
-pass are candidates, and a mark says whether there were more. Exact Jaccard decides. Only lines with a mark and no
-match go on to the second round, where all their remaining candidates are verified.
+Sets that match share one of their first ``n - ceil(n * num / den) + 1`` tokens. Each is a posting: token, line, size,
+place, and a parity sketch of the set of 112 bits.
+**Candidates.** Postings stream through partitions sorted by token and order of lines. A head is held against the ``WINDOW`` postings
+before it by size, by what the places leave to share and by the sketches, whose distance bounds the symmetric difference from
+below. The nearest by sketch goes to verification, and a mark says whether there may be others. Tokens with more than a 4,096th of all words are split over several tasks by the head; their heads are marked.
+**Verify.** Exact Jaccard decides. Heads with a mark and no match go on to the second round, a join of their postings with
+all postings of these tokens, in which every remaining candidate is verified. So near copies by the thousand are each settled
+by one pair, and nothing is capped.
 
 Null and empty texts have no lines that take part. Rows without an id are left as they are; of repeated ids, each row
 loses the same lines, as the lines of equal ids at equal places are one line. Columns besides id and text play no part.
@@ -21,31 +24,37 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    IdFilter, Scratch, bucket_counts, bucket_of, free_name, hash_words, mix, record_batch, signed, text_chunks,
+    BUCKET_BITS, IdFilter, Scratch, bucket_counts, bucket_of, free_name, hash_words, list_array, mix, record_batch, signed, text_chunks,
 )
 
 NUM, DEN, LEAST = 80, 100, 1
 REMOVED = "_removed"
-FIRST = 3  # candidates of a line and token in the first round
-SKETCH_BITS = 48  # in the number that also holds the place; two more of 64 bits follow
+WINDOW = 1024  # postings of a token that one is held against in the first round
+SKETCH_BITS = 48  # in the number that also holds the place; 64 more follow
+PLACES = 1 << 14  # places beyond are kept as the last one, which the positional filter lets pass
+SPLIT_ROWS, SPLIT_SHARE = 1 << 16, 1 << 12
+PAIRS = 1 << 19  # pairs that are compared at once
 
 
 class Lines:
     """The lines of a chunk of texts: distinct tokens sorted by line and hash, and where each line is."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, least: int):
-        breaks = np.flatnonzero(data == 10) + 1
-        starts = np.union1d(bounds[:-1], breaks[breaks < len(data)])
-        self.starts = starts
+        begins = np.zeros(len(data) + 1, dtype=bool)
+        begins[1:] = data == 10
+        begins[-1] = False
+        begins[bounds[:-1]] = True
+        starts = np.flatnonzero(begins)
         self.text = np.searchsorted(bounds, starts, side="right") - 1
         self.line = np.arange(len(starts)) - np.searchsorted(starts, bounds[self.text])
         words = hash_words(data, np.append(starts, len(data)))
         owner = np.repeat(np.arange(len(starts)), words.counts)
-        order = np.lexsort((words.hashes, owner))
+        order = sorted_within(owner, words.hashes, len(starts))
         owner, tokens = owner[order], words.hashes[order]
         new = np.ones(len(tokens), dtype=bool)
         new[1:] = (owner[1:] != owner[:-1]) | (tokens[1:] != tokens[:-1])
@@ -53,7 +62,7 @@ class Lines:
         sizes = np.bincount(owner, minlength=len(starts))
         self.taken = np.flatnonzero(sizes >= least)
         keep = sizes[owner] >= least
-        self.owner, self.tokens, self.sizes = owner[keep], tokens[keep], sizes[self.taken]
+        self.tokens, self.sizes = tokens[keep], sizes[self.taken]
         self.first = np.cumsum(self.sizes) - self.sizes
 
     def digest(self) -> tuple[np.ndarray, np.ndarray]:
@@ -63,210 +72,314 @@ class Lines:
         return np.add.reduceat(mix(self.tokens), self.first), np.add.reduceat(scrambled, self.first)
 
 
+def sorted_within(owner: np.ndarray, values: np.ndarray, owners: int) -> np.ndarray:
+    """The order by owner, then by value; among equals as they come."""
+    order = np.argsort(values, kind="stable")
+    narrow = np.uint16 if owners <= 1 << 16 else np.int64  # narrow numbers are sorted by digits
+    return order[np.argsort(owner[order].astype(narrow), kind="stable")]
+
+
 def chunks(texts: pa.Array, least: int):
     for at, data, bounds in text_chunks(texts):
         if len(data):
             yield at, Lines(data, bounds, least)
 
 
-def classes_of(docs: DataFrame, least: int) -> DataFrame:
-    """A row for each line that takes part."""
-
-    def run(batches):
-        for batch in batches:
-            for at, lines in chunks(batch.column(1), least):
-                h1, h2 = lines.digest()
-                text = lines.text[lines.taken] + at
-                yield record_batch(
-                    doc_id=batch.column(0).take(pa.array(text)), line=pa.array(lines.line[lines.taken].astype(np.int32)),
-                    n=pa.array(lines.sizes.astype(np.int32)), h1=pa.array(signed(h1)), h2=pa.array(signed(h2)),
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, n int, h1 long, h2 long")
+def parities(tokens: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Of each set, the parities of its tokens in 112 buckets, as words of 48 and 64 bits."""
+    place = (tokens >> np.uint64(9)) % np.uint64(SKETCH_BITS + 64)
+    low = place < SKETCH_BITS
+    bit = np.uint64(1) << np.where(low, place, place - np.uint64(SKETCH_BITS))
+    none = np.uint64(0)
+    return [np.bitwise_xor.reduceat(np.where(own, bit, none), first) for own in (low, ~low)]
 
 
-def parities(tokens: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """Of each set, the parities of its tokens in 176 buckets, as words of 48, 64 and 64 bits."""
-    place = (tokens >> np.uint64(9)) % np.uint64(SKETCH_BITS + 128)
-    out = []
-    for begin, size in ((0, SKETCH_BITS), (SKETCH_BITS, 64), (SKETCH_BITS + 64, 64)):
-        inside = (place >= begin) & (place < begin + size)
-        bit = np.where(inside, np.uint64(1) << ((place - np.uint64(begin)) & np.uint64(63)), np.uint64(0))
-        out.append(np.bitwise_xor.reduceat(bit, first))
-    return out
+CLASS = ["h1", "h2", "n"]
+LINES = "h1 long, h2 long, n int, doc_id long, line int, docs array<long>, lines array<int>, prefix array<long>, sketch long, sketch2 long"
 
 
-def postings(docs: DataFrame, counts: np.ndarray, least: int, num: int, den: int) -> DataFrame:
-    """(token, doc_id, line, n, place, sketch) of the prefixes; of equal sets in a chunk the first line only."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+def lines_of(docs: DataFrame, counts: np.ndarray, least: int, num: int, den: int) -> DataFrame:
+    """A row for each class of lines in a chunk: its first line, the others, its prefix by rarity and its sketch."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 24) - 1).astype(np.uint64))
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for at, lines in chunks(batch.column(1), least):
-                if not len(lines.taken):
+            for at, own in chunks(batch.column(1), least):
+                if not len(own.taken):
                     continue
-                h1, h2 = lines.digest()
-                local = np.repeat(np.arange(len(lines.taken)), lines.sizes)
-                order = np.lexsort((lines.tokens, shared.value[bucket_of(lines.tokens)], local))
-                tokens = lines.tokens[order]
-                place = np.arange(len(tokens)) - np.repeat(lines.first, lines.sizes)
-                prefix = lines.sizes - -(-lines.sizes * num // den) + 1
-                sketch, more, rest = parities(lines.tokens, lines.first)
-                text = lines.text[lines.taken] + at
-                new = np.zeros(len(lines.taken), dtype=bool)
-                order = np.lexsort((lines.line[lines.taken], ids[text], h2, h1))
-                same = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
-                new[order[np.concatenate([[True], ~same])]] = True
-                rows = np.flatnonzero((place < prefix[local]) & new[local])
-                own = local[rows]
+                h1, h2 = own.digest()
+                doc, line = ids[own.text[own.taken] + at], own.line[own.taken]
+                order = np.lexsort((line, doc, h2, h1))
+                new = np.ones(len(order), dtype=bool)
+                new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
+                heads = order[new]
+                group = np.cumsum(new) - 1
+                # Rows of one id may repeat a line; that is no copy.
+                other = (doc[order] != doc[heads][group]) | (line[order] != line[heads][group])
+                others = order[other]
+                copies = pa.array(np.append(0, np.cumsum(np.bincount(group[other], minlength=len(heads)))).astype(np.int32))
+                sketch, more = parities(own.tokens, own.first)
+                # The tokens of the heads, each head's by rarity.
+                sizes = own.sizes[heads]
+                local = np.repeat(np.arange(len(heads)), sizes)
+                within = np.arange(len(local)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                tokens = own.tokens[np.repeat(own.first[heads], sizes) + within]
+                rarity = (shared.value[bucket_of(tokens)] << np.uint64(40)) | (tokens >> np.uint64(24))
+                tokens = tokens[sorted_within(local, rarity, len(heads))]
+                prefix = sizes - -(-sizes * num // den) + 1
+                offsets = np.append(0, np.cumsum(prefix)).astype(np.int32)
                 yield record_batch(
-                    token=pa.array(signed(tokens[rows])), doc_id=pa.array(ids[text[own]]),
-                    at=pa.array((lines.line[lines.taken][own].astype(np.int64) << 32) | lines.sizes[own]),
-                    sketch=pa.array((np.minimum(place[rows], 65535).astype(np.int64) << SKETCH_BITS) | signed(sketch)[own]),
-                    sketch2=pa.array(signed(more)[own]), sketch3=pa.array(signed(rest)[own]),
+                    h1=pa.array(signed(h1[heads])), h2=pa.array(signed(h2[heads])), n=pa.array(sizes.astype(np.int32)),
+                    doc_id=pa.array(doc[heads]), line=pa.array(line[heads].astype(np.int32)),
+                    docs=pa.ListArray.from_arrays(copies, pa.array(doc[others])), lines=pa.ListArray.from_arrays(copies, pa.array(line[others].astype(np.int32))),
+                    prefix=pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(tokens[within < prefix[local]]))),
+                    sketch=pa.array(signed(sketch[heads])), sketch2=pa.array(signed(more[heads])),
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "token long, doc_id long, at long, sketch long, sketch2 long, sketch3 long")
-
+    return docs.select("doc_id", "text").mapInArrow(run, LINES)
 
-_MASK = (1 << SKETCH_BITS) - 1
 
+def mark_heads(lines: DataFrame) -> DataFrame:
+    """The rows of ``lines_of`` with ``head``, whether it is the first line of its class, and ``copy``, whether it is a later one.
 
-def candidates(sorted_postings: DataFrame, num: int, den: int, most: int | None) -> DataFrame:
-    """Pairs (later line, earlier line) of a token that pass the filters; rows come sorted by token and line.
+    Only heads keep their prefix. (A row that is neither repeats the head's row.)
+    """
 
-    With ``most``, the first so many of each line and token, and ``more`` if there are others. The earlier lines of a
-    token are kept in blocks, in memory as six numbers each.
+    def run(batches):
+        last = None  # class and place of the open class's head
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h1, h2, n, doc, line = [batch.column(i).to_numpy() for i in range(5)]
+            new = np.ones(batch.num_rows, dtype=bool)
+            new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (n[1:] != n[:-1])
+            goes_on = last is not None and last[:3] == (h1[0], h2[0], n[0])
+            new[0] = not goes_on
+            start = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            head_doc, head_line = doc[start], line[start]
+            if goes_on:
+                until = int(np.argmax(new)) if new.any() else len(new)
+                head_doc[:until], head_line[:until] = last[3:]
+            last = (h1[-1], h2[-1], n[-1], head_doc[-1], head_line[-1])
+            copy = (doc != head_doc) | (line != head_line)
+            prefix = batch.column(7)
+            prefix = pc.if_else(pa.array(new), prefix, pa.scalar(None, prefix.type))
+            yield record_batch(
+                doc_id=batch.column(3), line=batch.column(4), docs=batch.column(5), lines=batch.column(6), prefix=prefix,
+                sketch=batch.column(8), sketch2=batch.column(9), n=batch.column(2), head=pa.array(new), copy=pa.array(copy),
+            )
+
+    schema = "doc_id long, line int, docs array<long>, lines array<int>, prefix array<long>, sketch long, sketch2 long, n int, head boolean, copy boolean"
+    return lines.repartition(*CLASS).sortWithinPartitions(*CLASS, "doc_id", "line").mapInArrow(run, schema)
+
+
+POSTING = ["token", "at", "doc_id", "place", "sketch2"]
+
+
+def postings(heads: DataFrame, *more: str) -> DataFrame:
+    """(token, at: line and size, doc_id, place: place and first part of the sketch, sketch2) of the prefixes."""
+    at = F.shiftleft(F.col("line").cast("long"), 32).bitwiseOR(F.col("n").cast("long")).alias("at")
+    rows = heads.select(at, "doc_id", "sketch", "sketch2", *more, F.posexplode("prefix").alias("p", "token"))
+    place = F.shiftleft(F.least(F.col("p"), F.lit(PLACES - 1)).cast("long"), SKETCH_BITS).bitwiseOR(F.col("sketch"))
+    return rows.select("token", "at", "doc_id", place.alias("place"), "sketch2", *more)
+
+
+def split_tokens(posted: DataFrame, counts: np.ndarray) -> DataFrame:
+    """Postings with keys: of a token that very many words are, several; then the place has the mark PLACES."""
+    most = max(SPLIT_ROWS, int(counts.sum()) // SPLIT_SHARE)
+    often = np.flatnonzero(counts > most)  # fewer than SPLIT_SHARE
+    if not len(often):
+        return posted
+    parts = posted.sparkSession.createDataFrame([(int(b), int(counts[b] // most + 1)) for b in often], "bucket long, parts long")
+    bucket = F.shiftrightunsigned("token", 24).bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))
+    dealt = posted.withColumn("bucket", bucket).join(F.broadcast(parts), "bucket", "left")
+    key = F.xxhash64("token", F.pmod(F.xxhash64("doc_id", "at"), F.col("parts")))
+    place = F.col("place").bitwiseOR(F.lit(PLACES << SKETCH_BITS))
+    split = F.col("parts").isNotNull()
+    return dealt.select(F.when(split, key).otherwise(F.col("token")).alias("token"), "at", "doc_id", F.when(split, place).otherwise(F.col("place")).alias("place"), "sketch2")
+
+
+FOUND = "doc_x long, line_x int, doc_y long, line_y int, apart int, more boolean"
+
+
+def nearest_earlier(posted: DataFrame, num: int, den: int, window: int) -> DataFrame:
+    """For heads that pass the filters with an earlier one: the nearest such of a token, and whether there may be more.
+
+    Rows come sorted by token, document and line. A task holds one batch and the ``window`` rows before it. A head
+    with more rows of its token before it, or whose token was split, has the mark, and may come without a partner.
     """
 
     def run(batches):
-        token, earlier = None, []  # the open token and its postings so far
+        held, seen = None, 0  # the last rows of the open token, and how many it had
         for batch in batches:
-            columns = [batch.column(i).to_numpy() for i in range(6)]
-            edges = np.flatnonzero(np.concatenate([[True], columns[0][1:] != columns[0][:-1]]))
-            ends = np.append(edges[1:], len(columns[0]))
-            if token is not None and columns[0][0] == token:
-                columns = [np.concatenate([e, c]) for e, c in zip(earlier, columns)]
-                grown = len(columns[0]) - batch.num_rows
-                edges, ends, old = edges + grown, ends + grown, grown
-                edges[0] = 0
-            else:
-                old = 0
-            n = columns[2] & 0xFFFFFFFF
-            place, bits = columns[3] >> SKETCH_BITS, columns[3] & _MASK
-            out: list[list[np.ndarray]] = [[], [], []]
-            start_of = np.repeat(edges, ends - edges)
-            count = np.zeros(len(n), dtype=np.int64)
-            # Row i against row i - k of the same token, for all rows at once; the nearest to the token's start comes first.
-            longest = int((ends - edges).max())
-            index = np.arange(len(n))
-            active = index[(index >= old) & (index > start_of)]
-            for k in range(longest - 1):
-                other = start_of[active] + k
-                inside = other < active
-                active, other = active[inside], other[inside]
-                if not len(active):
-                    break
-                a, b = n[active], n[other]
+            if not batch.num_rows:
+                continue
+            columns, old = [batch.column(i).to_numpy() for i in range(5)], 0
+            if held is not None and held[0][-1] == columns[0][0]:
+                old = len(held[0])
+                columns = [np.concatenate([h, c]) for h, c in zip(held, columns)]
+            token, at, doc, place, more_bits = columns
+            rows = len(token)
+            edges = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            start = np.repeat(edges, np.diff(np.append(edges, rows)))
+            n, line = (at & 0xFFFFFFFF).astype(np.int32), at >> 32
+            split = (place >> (SKETCH_BITS + 14)) & 1 == 1
+            spot = ((place >> SKETCH_BITS) & (PLACES - 1)).astype(np.int32)
+            bits = place & ((1 << SKETCH_BITS) - 1)
+            index = np.arange(rows)
+            begin = np.maximum(start, index - window)
+            begin[:old] = index[:old]  # met in an earlier batch
+            before = index - start + np.where(start == 0, seen - old, 0) if old else index - start
+            beyond = split | (before > window)
+            hits, nearest, partner = np.zeros(rows, dtype=np.int64), np.zeros(rows, dtype=np.int64), np.full(rows, -1)
+            lengths = index - begin
+            ends = np.cumsum(lengths)
+            done = old
+            while done < rows:
+                to = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + PAIRS, side="right")))
+                many = lengths[done:to]
+                own = np.repeat(index[done:to], many)
+                other = np.arange(len(own)) + np.repeat(begin[done:to] - (np.cumsum(many) - many), many)
+                a, b = n[own], n[other]
+                fits = np.flatnonzero((a * np.int64(den) >= b * np.int64(num)) & (b * np.int64(den) >= a * np.int64(num)))
+                own, other, a, b = own[fits], other[fits], a[fits].astype(np.int64), b[fits].astype(np.int64)
                 need = -(-(a + b) * num // (num + den))
-                left = 1 + np.minimum(a - place[active] - 1, b - place[other] - 1) + np.minimum(place[active], place[other])
-                near = (a * den >= b * num) & (b * den >= a * num) & (left >= need)
-                late, early, allowed = active[near], other[near], (a + b - 2 * need)[near]
-                apart = np.bitwise_count(bits[late] ^ bits[early]).astype(np.int64)
-                for word in columns[4:]:
-                    apart += np.bitwise_count((word[late] ^ word[early]).view(np.uint64))
-                near = apart <= allowed
-                near &= (columns[1][late] != columns[1][early]) | (columns[2][late] != columns[2][early])
-                hit = late[near]
-                count[hit] += 1
-                if most is None:
-                    taken = near
-                else:
-                    taken = near & (count[late] <= most)
-                out[0].append(late[taken])
-                out[1].append(early[taken])
-                out[2].append(np.zeros(int(taken.sum()), dtype=bool))
-                if most is not None:
-                    over = hit[count[hit] > most]
-                    if len(over):  # one mark is enough
-                        out[0].append(over)
-                        out[1].append(start_of[over])
-                        out[2].append(np.ones(len(over), dtype=bool))
-                        active = np.setdiff1d(active, over, assume_unique=True)
-            if out[0]:
-                x, y, more = (np.concatenate(o) for o in out)
-                yield record_batch(
-                    doc_x=pa.array(columns[1][x]), line_x=pa.array((columns[2][x] >> 32).astype(np.int32)),
-                    doc_y=pa.array(columns[1][y]), line_y=pa.array((columns[2][y] >> 32).astype(np.int32)), more=pa.array(more),
-                )
-            token = columns[0][-1]
-            earlier = [c[edges[-1] :] for c in columns]
-
-    return sorted_postings.mapInArrow(run, "doc_x long, line_x int, doc_y long, line_y int, more boolean")
-
-
-def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, least: int = LEAST) -> DataFrame:
+                p, q = spot[own], spot[other]
+                left = np.minimum(a - p, b - q) + np.minimum(p, q)
+                apart = np.bitwise_count(bits[own] ^ bits[other]).astype(np.int64) + np.bitwise_count((more_bits[own] ^ more_bits[other]).view(np.uint64))
+                near = (apart <= a + b - 2 * need) & ((left >= need) | (p == PLACES - 1) | (q == PLACES - 1))
+                near &= (doc[own] != doc[other]) | (line[own] != line[other])
+                own, other, apart = own[near], other[near], apart[near]
+                if len(own):
+                    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                    x = own[first]
+                    hits[x] = np.diff(np.append(first, len(own)))
+                    best = np.minimum.reduceat((apart << 32) | other, first)
+                    nearest[x], partner[x] = best >> 32, best & 0xFFFFFFFF
+                done = to
+            x = np.flatnonzero((hits > 0) | (beyond & (index >= old)))
+            lacking = pa.array(partner[x] < 0)
+            none = lambda values: pc.if_else(lacking, pa.scalar(None, values.type), values)
+            yield record_batch(
+                doc_x=pa.array(doc[x]), line_x=pa.array(line[x].astype(np.int32)),
+                doc_y=none(pa.array(doc[partner[x]])), line_y=none(pa.array(line[partner[x]].astype(np.int32))),
+                apart=pa.array(nearest[x].astype(np.int32)), more=pa.array((hits[x] > 1) | beyond[x]),
+            )
+            last = int(start[-1])
+            seen = rows - last + (seen - old if old and last == 0 else 0)
+            held = [c[max(last, rows - window) :] for c in columns]
+
+    return posted.repartition("token").sortWithinPartitions("token", "doc_id", "at").mapInArrow(run, FOUND)
+
+
+def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, least: int = LEAST, window: int = WINDOW) -> DataFrame:
     """(doc_id, line) of the lines to remove; ``docs`` has doc_id and text."""
     scratch = Scratch(docs.sparkSession)
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-    lines = scratch.keep(classes_of(docs, least).distinct())
-    first = F.min(F.struct("doc_id", "line")).alias("f")
-    firsts = lines.groupBy("h1", "h2", "n").agg(first, F.count(F.lit(1)).alias("copies"))
-    firsts = scratch.keep(firsts.select("h1", "h2", "n", F.col("f.doc_id").alias("doc_f"), F.col("f.line").alias("line_f"), "copies"))
-    counts = bucket_counts(docs.select("text"), lambda batch: (own.tokens for _, own in chunks(batch.column(0), least)))
-    posted = postings(docs, counts, least, num, den).repartition("token").sortWithinPartitions("token", "doc_id", "at")
-    found = candidates(posted, num, den, FIRST).distinct()
-    heads = firsts.select(F.col("doc_f").alias("doc_x"), F.col("line_f").alias("line_x"))
-    found = scratch.keep(found.join(heads, ["doc_x", "line_x"], "left_semi"))
-    pairs = found.where("NOT more").drop("more")
+    counts = bucket_counts(docs.select("text"), lambda batch: (hash_words(data, bounds).hashes for _, data, bounds in text_chunks(batch.column(0))))
+    marked = scratch.keep(mark_heads(lines_of(docs, counts, least, num, den)))
+    posted = postings(marked.where("head"))
+    found = nearest_earlier(split_tokens(posted, counts), num, den, window)
+    best = F.min(F.when(F.col("doc_y").isNotNull(), F.struct("apart", "doc_y", "line_y"))).alias("y")
+    several = F.max("more") | (F.min(F.struct("doc_y", "line_y")) != F.max(F.struct("doc_y", "line_y")))
+    found = found.groupBy("doc_x", "line_x").agg(best, F.coalesce(several, F.lit(True)).alias("more"))
+    found = scratch.keep(found.select("doc_x", "line_x", F.col("y.doc_y").alias("doc_y"), F.col("y.line_y").alias("line_y"), "more"))
+    pairs = found.where("doc_y IS NOT NULL").drop("more")
     matched = _verified(scratch, docs, pairs, num, den, least)
-    again = found.where("more").select("doc_x", "line_x").distinct().join(matched, ["doc_x", "line_x"], "left_anti")
+    again = found.where("more").join(matched, ["doc_x", "line_x"], "left_anti").select("doc_x", "line_x")
     again = scratch.keep(again)
     if not again.isEmpty():
-        rest = candidates(posted, num, den, None).drop("more").distinct().join(again, ["doc_x", "line_x"], "left_semi")
-        rest = scratch.keep(rest.join(pairs, ["doc_x", "line_x", "doc_y", "line_y"], "left_anti"))
+        rest = scratch.keep(earlier_candidates(again, marked, num, den).join(pairs, ["doc_x", "line_x", "doc_y", "line_y"], "left_anti"))
         matched = scratch.keep(matched.unionByName(_verified(scratch, docs, rest, num, den, least)))
-    later = firsts.where("copies > 1").drop("copies")
-    copies = lines.join(later, ["h1", "h2", "n"]).where("doc_id <> doc_f OR line <> line_f").select("doc_id", "line")
+    copies = marked.where("size(docs) > 0").select(F.inline(F.arrays_zip("docs", "lines"))).toDF("doc_id", "line")
+    copies = copies.unionByName(marked.where("copy").select("doc_id", "line"))
     return copies.unionByName(matched.select(F.col("doc_x").alias("doc_id"), F.col("line_x").alias("line")))
 
 
+def earlier_candidates(again: DataFrame, marked: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs (later head of ``again``, earlier head) that share a prefix token and pass the filters, each once."""
+    heads = marked.where("head").select("doc_id", "line", "n", "prefix", "sketch", "sketch2")
+    wanted = heads.join(again, (F.col("doc_id") == F.col("doc_x")) & (F.col("line") == F.col("line_x")), "left_semi")
+    own = postings(wanted, "prefix")
+    asked = IdFilter(own, "token", hashed=True)
+    table, mask = asked.table, (1 << asked.bits) - 1
+
+    def asked_postings(batches):
+        """The postings whose token may be asked for."""
+        for batch in batches:
+            doc, line, n, prefix, sketch, sketch2 = batch.columns
+            tokens, sizes = prefix.flatten().to_numpy(), pc.list_value_length(prefix).to_numpy()
+            places = tokens & mask
+            hit = np.flatnonzero((table.value[places >> 5] >> (places & 31)) & 1)
+            row = np.repeat(np.arange(len(sizes)), sizes)[hit]
+            spot = np.minimum(hit - (np.cumsum(sizes) - sizes)[row], PLACES - 1)
+            at = (line.to_numpy().astype(np.int64) << 32) | n.to_numpy()
+            yield record_batch(
+                token=pa.array(tokens[hit]), at=pa.array(at[row]), doc_id=doc.take(pa.array(row)),
+                place=pa.array((spot << SKETCH_BITS) | sketch.to_numpy()[row]), sketch2=sketch2.take(pa.array(row)), prefix=prefix.take(pa.array(row)),
+            )
+
+    held = heads.mapInArrow(asked_postings, "token long, at long, doc_id long, place long, sketch2 long, prefix array<long>")
+    x, y = (df.select("token", *[F.col(c).alias(f"{c}_{k}") for c in (*POSTING[1:], "prefix")]) for df, k in ((own, "x"), (held, "y")))
+    a, b = (F.col(f"at_{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in "xy")
+    line_x, line_y = (F.shiftright(f"at_{k}", 32) for k in "xy")
+    need = F.floor(((a + b) * num + (num + den - 1)) / (num + den))
+    p, q = (F.shiftright(f"place_{k}", SKETCH_BITS) for k in "xy")
+    left = F.least(a - p, b - q) + F.least(p, q)
+    mask_bits = F.lit((1 << SKETCH_BITS) - 1)
+    apart = F.bit_count(F.col("place_x").bitwiseXOR(F.col("place_y")).bitwiseAND(mask_bits)) + F.bit_count(F.col("sketch2_x").bitwiseXOR(F.col("sketch2_y")))
+    fits = (a * den >= b * num) & (b * den >= a * num)
+    earlier = (F.col("doc_id_y") < F.col("doc_id_x")) | ((F.col("doc_id_y") == F.col("doc_id_x")) & (line_y < line_x))
+    share = (left >= need) | (p == PLACES - 1) | (q == PLACES - 1)
+    # A pair meets under every token that both prefixes have; the first one counts.
+    again_met = F.arrays_overlap(F.slice("prefix_x", F.lit(1), p.cast("int")), F.slice("prefix_y", F.lit(1), q.cast("int")))
+    pairs = x.join(y, "token").where(earlier & fits & share & (apart <= a + b - 2 * need) & ~again_met)
+    return pairs.select(
+        F.col("doc_id_x").alias("doc_x"), line_x.cast("int").alias("line_x"), F.col("doc_id_y").alias("doc_y"), line_y.cast("int").alias("line_y")
+    )
+
+
+def _spots(docs: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    return signed(mix(mix(docs.view(np.uint64)) + lines.astype(np.uint64)))
+
+
 def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, num: int, den: int, least: int) -> DataFrame:
-    """The later lines of pairs whose token sets match."""
+    """The later lines of kept pairs whose token sets match."""
     ends = [pairs.select(F.col(f"doc_{k}").alias("doc_id"), F.col(f"line_{k}").alias("line")) for k in "xy"]
-    wanted = ends[0].unionByName(ends[1])
-    wanted = scratch.keep(wanted.groupBy("doc_id").agg(F.collect_set("line").alias("wanted")))
-    hit, _ = IdFilter(wanted, "doc_id").parts(docs, "doc_id")
-    own = hit.select("doc_id", "text").join(wanted, "doc_id")
+
+    def with_spot(batches):
+        for batch in batches:
+            spots = _spots(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            yield record_batch(doc_id=batch.column(0), line=batch.column(1), spot=pa.array(spots))
+
+    wanted = scratch.keep(ends[0].unionByName(ends[1]).distinct().mapInArrow(with_spot, "doc_id long, line int, spot long"))
+    # Bit maps leave out documents, and then lines, that surely have none; an exact join follows.
+    bits = min(26, max(20, (16 * wanted.count()).bit_length()))
+    of_docs, of_lines = IdFilter(wanted, "doc_id"), IdFilter(wanted, "spot", bits, hashed=True)
+    doc_table, line_table, hits, mask = of_docs.table, of_lines.table, of_docs.hits, (1 << bits) - 1
 
     def run(batches):
         for batch in batches:
-            want = batch.column(2).to_pylist()
-            for at, lines in chunks(batch.column(1), least):
-                text, line = lines.text[lines.taken] + at, lines.line[lines.taken]
-                rows, sets = [], []
-                ends = lines.first + lines.sizes
-                asked = {t: set(want[t]) for t in set(text.tolist())}
-                for i, (t, k) in enumerate(zip(text.tolist(), line.tolist())):
-                    if k in asked[t]:
-                        rows.append(i)
-                        sets.append(signed(lines.tokens[lines.first[i] : ends[i]]))
-                if rows:
-                    offsets = np.zeros(len(sets) + 1, dtype=np.int32)
-                    np.cumsum([len(s) for s in sets], out=offsets[1:])
-                    yield record_batch(
-                        doc_id=batch.column(0).take(pa.array(text[rows])), line=pa.array(line[rows].astype(np.int32)),
-                        tokens=pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets))),
-                    )
-
-    sets = scratch.keep(own.select("doc_id", "text", "wanted").mapInArrow(run, "doc_id long, line int, tokens array<long>"))
+            batch = batch.filter(hits(doc_table.value, batch.column(2)))
+            ids = batch.column(0).to_numpy()
+            for at, own in chunks(batch.column(1), least):
+                doc, line = ids[own.text[own.taken] + at], own.line[own.taken]
+                asked = np.flatnonzero(hits(line_table.value, pa.array(_spots(doc, line) & mask)).to_numpy(zero_copy_only=False))
+                sets = [signed(own.tokens[b : b + n]) for b, n in zip(own.first[asked].tolist(), own.sizes[asked].tolist())]
+                yield record_batch(doc_id=pa.array(doc[asked]), line=pa.array(line[asked].astype(np.int32)), tokens=list_array(sets, pa.int64()))
+
+    sets = docs.select("doc_id", "text", of_docs.place("doc_id")).mapInArrow(run, "doc_id long, line int, tokens array<long>")
+    sets = scratch.keep(sets.join(wanted, ["doc_id", "line"], "left_semi"))
     x = sets.select(F.col("doc_id").alias("doc_x"), F.col("line").alias("line_x"), F.col("tokens").alias("sx"))
     y = sets.select(F.col("doc_id").alias("doc_y"), F.col("line").alias("line_y"), F.col("tokens").alias("sy"))
     both = F.size(F.array_intersect("sx", "sy"))
     found = pairs.join(x, ["doc_x", "line_x"]).join(y, ["doc_y", "line_y"]).withColumn("both", both)
     found = found.where(F.col("both") * den >= (F.size("sx") + F.size("sy") - F.col("both")) * num)
-    return scratch.keep(found.select("doc_x", "line_x").distinct())
+    found = scratch.keep(found.select("doc_x", "line_x").distinct())
+    for kept in (sets, wanted):
+        scratch.drop(kept)
+    return found
 
 
 def dedup_lines(docs: DataFrame, num: int = NUM, den: int = DEN, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

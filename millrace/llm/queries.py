@@ -136,6 +136,36 @@ FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 """
 
 
+OP6 = rf"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+s AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS line, unnest(ls) AS text FROM d),
+l AS (
+    SELECT *, row_number() OVER (ORDER BY doc_id, line) AS pos
+    FROM (SELECT doc_id, line, list_sort(list_distinct(regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+'))) AS w FROM s) WHERE len(w) > 0
+),
+h AS (SELECT w, min(pos) AS pos, len(w) AS n FROM l GROUP BY w),
+t AS (SELECT pos, n, unnest(w) AS token FROM h),
+m AS (
+    SELECT DISTINCT pos FROM (
+        SELECT x.pos, count(*) AS c, any_value(x.n + y.n) AS n
+        FROM t x JOIN t y ON x.token = y.token AND y.pos < x.pos AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+        GROUP BY x.pos, y.pos
+    ) WHERE 100 * c >= 80 * (n - c)
+),
+g AS (
+    SELECT l.doc_id, list(l.line) AS gone FROM l JOIN h ON l.w = h.w
+    WHERE l.pos <> h.pos OR h.pos IN (SELECT pos FROM m) GROUP BY l.doc_id
+),
+k AS (
+    SELECT d.doc_id, len(coalesce(gone, [])) AS n_removed,
+        array_to_string([x for x, i in ls if NOT list_contains(coalesce(gone, []), i)], chr(10)) AS kept
+    FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+)
+SELECT a.doc_id, coalesce(n_removed, 0) AS n_removed, length(coalesce(kept, '')) AS n_chars_left, sha256(coalesce(kept, '')) AS text_sha256
+FROM documents a LEFT JOIN k ON a.doc_id = k.doc_id
+"""
+
+
 def _escaped_length(column: str, escaped: str) -> str:
     """Each character that is escaped takes one more."""
     bare = column
@@ -186,6 +216,6 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 """
 
 SQL: dict[str, str] = {
-    "op1_ngram_jaccard_join": OP1, "op5_decontamination": OP5, "op10_chat_formatting": OP10, "op12_hard_negative_mining": OP12,
+    "op1_ngram_jaccard_join": OP1, "op5_decontamination": OP5, "op6_line_dedup": OP6, "op10_chat_formatting": OP10, "op12_hard_negative_mining": OP12,
     "op13_minhash_near_dedup": OP13,
 }

@@ -6,15 +6,15 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import delete_path, scratch_dir
 
 # Texts are hashed in chunks of about this many bytes; a longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 18
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _random = np.random.default_rng(20240229)
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -67,12 +67,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        size = max(n, CHUNK_BYTES + (CHUNK_BYTES >> 1))
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            table = np.full(size, base, dtype=np.uint64)
-            table[0] = 1
-            _powers[name] = np.cumprod(table, dtype=np.uint64)
+    """Powers of the base and of its inverse; those for a chunk are kept, those for a longer text are not."""
+
+    def powers(base: int, size: int) -> np.ndarray:
+        table = np.full(size, base, dtype=np.uint64)
+        table[0] = 1
+        return np.cumprod(table, dtype=np.uint64)
+
+    bases = {"up": _BASE, "down": pow(_BASE, -1, 1 << 64)}
+    if n > CHUNK_BYTES + 1:
+        return tuple(powers(base, n) for base in bases.values())
+    for name, base in bases.items():
+        if name not in _powers:
+            _powers[name] = powers(base, CHUNK_BYTES + 1)
     return _powers["up"], _powers["down"]
 
 
@@ -135,6 +142,18 @@ def text_chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         at = to
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut to pieces of about so many bytes of the text column; a longer text is a piece of its own."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def shingle_sets(texts: pa.Array, size: int = 5) -> Iterator[tuple[int, np.ndarray]]:
     """Place and sorted distinct shingle hashes of each text; with fewer words, the whole sequence is one."""
     for at, data, bounds in text_chunks(texts):
@@ -156,6 +175,47 @@ def shingle_sets(texts: pa.Array, size: int = 5) -> Iterator[tuple[int, np.ndarr
             begin += count
 
 
+# Shingles that are held together; a longer document is held alone.
+SET_CHUNK = 1 << 16
+
+
+def set_pieces(texts: pa.Array, size: int):
+    """(place of the first text, sets) for runs of texts with about SET_CHUNK shingles."""
+    begin, sets, total = 0, [], 0
+    for at, shingles in shingle_sets(texts, size):
+        if sets and total + len(shingles) > SET_CHUNK:
+            yield begin, sets
+            begin, sets, total = at, [], 0
+        sets.append(shingles)
+        total += len(shingles)
+    if sets:
+        yield begin, sets
+
+
+CLASS = ["h1", "h2", "n_shingles"]
+
+
+def digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    a = [int(mix(s).sum(dtype=np.uint64)) for s in sets]
+    b = [int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) for s in sets]
+    return np.array(a, dtype=np.uint64).view(np.int64), np.array(b, dtype=np.uint64).view(np.int64)
+
+
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Sketch of 2 to 4 bits for each shingle, a power of two of 64-bit words; halves XOR to the smaller sketch."""
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    place = ((shingles >> np.uint64(7)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
+def apart_sql(u: str, v: str) -> str:
+    """SQL for the Hamming distance of two sketches; of two sizes, the larger is folded."""
+    fold = "zip_with(slice({0}, 1, shiftright(size({0}), 1)), slice({0}, shiftright(size({0}), 1) + 1, shiftright(size({0}), 1)), (a, b) -> a ^ b)"
+    one = lambda x, y: f"IF(size({x}) > size({y}), {fold.format(x)}, {x})"
+    return f"aggregate(zip_with({one(u, v)}, {one(v, u)}, (a, b) -> bit_count(a ^ b)), 0, (s, n) -> s + n)"
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
@@ -201,8 +261,10 @@ class IdFilter:
     12 bytes reach the driver, however many ids there are.
     """
 
-    def __init__(self, ids: DataFrame, column: str, bits: int = 23):
-        place = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << bits))
+    def __init__(self, ids: DataFrame, column: str, bits: int = 23, hashed: bool = False):
+        """``hashed``: the ids are hashes already, whose lower bits are the place."""
+        self.bits, self.hashed = bits, hashed
+        place = self.place(column)
         words = (
             ids.select(place.alias("p"))
             .groupBy(F.shiftright("p", 5).cast("int").alias("w"))
@@ -212,18 +274,27 @@ class IdFilter:
         table = np.zeros(1 << (bits - 5), dtype=np.int64)
         for word in words:
             table[word.w] = word.b
-        self.bits, self.table = bits, ids.sparkSession.sparkContext.broadcast(table)
+        self.table = ids.sparkSession.sparkContext.broadcast(table)
+
+    def place(self, column: str) -> Column:
+        """Where an id's bit is; for ``hits``."""
+        number = F.coalesce(F.col(column).cast("long"), F.lit(0))
+        return F.pmod(number if self.hashed else F.xxhash64(number), F.lit(1 << self.bits))
+
+    @staticmethod
+    def hits(table: np.ndarray, places: pa.Array) -> pa.Array:
+        place = places.to_numpy()
+        return pa.array((table[place >> 5] >> (place & 31)) & 1 == 1)
 
     def parts(self, df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
         """The rows that may have a given id, and those that surely have none."""
-        table = self.table
+        table, hits = self.table, self.hits
 
-        @F.pandas_udf("boolean")
-        def hit(places):
-            place = places.to_numpy()
-            return pd.Series((table.value[place >> 5] >> (place & 31)) & 1 == 1)
+        @F.arrow_udf("boolean")
+        def hit(places: pa.Array) -> pa.Array:
+            return hits(table.value, places)
 
-        place = F.pmod(F.xxhash64(F.coalesce(F.col(column).cast("long"), F.lit(0))), F.lit(1 << self.bits))
+        place = self.place(column)
         return df.where(hit(place)), df.where(~hit(place))
 
 
@@ -252,6 +323,75 @@ def one_of_each(docs: DataFrame, gone: DataFrame, counted: DataFrame, scratch: S
     return rest.unionByName(single).unionByName(double)
 
 
+GROUP = 1 << 20  # shingles of the members that are held against one set in a task
+
+
+class Links:
+    """Confirmed links between classes; ``texts`` are the rows (doc_id, text), ``classes`` has cid, its digests and ``rep``, a document."""
+
+    def __init__(self, texts: DataFrame, classes: DataFrame, scratch: Scratch, size: int, num: int, den: int):
+        self.texts, self.classes, self.scratch, self.size, self.num, self.den = texts, classes, scratch, size, num, den
+
+    def fits(self, a: str, b: str):
+        return (F.col(a) * self.den >= F.col(b) * self.num) & (F.col(b) * self.den >= F.col(a) * self.num)
+
+    def sets_of(self, ids: DataFrame) -> DataFrame:
+        """(cid, n, shingles) of classes, from the texts of their documents."""
+        size = self.size
+        wanted = self.scratch.keep(ids.join(self.classes.select("cid", "rep", *CLASS), "cid"))
+        # Documents that are surely not wanted are left out before they are hashed, in the same pass.
+        maybe = IdFilter(wanted, "rep")
+        table, hits = maybe.table, maybe.hits
+
+        def run(batches):
+            for batch in batches:
+                batch = batch.filter(hits(table.value, batch.column(2)))
+                for at, sets in set_pieces(batch.column(1), size):
+                    h1, h2 = digests(sets)
+                    yield record_batch(
+                        rep=batch.column(0).slice(at, len(sets)), h1=pa.array(h1), h2=pa.array(h2), n_shingles=pa.array([len(s) for s in sets], pa.int64()),
+                        shingles=list_array([signed(s) for s in sets], pa.int64()),
+                    )
+
+        kind = self.texts.schema["doc_id"].dataType.simpleString()
+        sets = self.texts.select("doc_id", "text", maybe.place("doc_id")).mapInArrow(run, f"rep {kind}, h1 long, h2 long, n_shingles long, shingles array<long>")
+        # Of a repeated id's texts each finds its own class; equal sets of one class are one.
+        sets = sets.join(wanted, ["rep", *CLASS]).groupBy("cid").agg(F.first("n_shingles").alias("n"), F.first("shingles").alias("shingles"))
+        kept = self.scratch.keep(sets)
+        self.scratch.drop(wanted)
+        return kept
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The links among kept pairs (pivot, member), by their full sets; a kept table."""
+        ids = pairs.select(F.explode(F.array("pivot", "member")).alias("cid")).distinct()
+        sets = self.sets_of(ids)
+        sized = pairs.join(sets.select(F.col("cid").alias("member"), "n"), "member")
+        groups = sized.groupBy("pivot").agg(F.ceil(F.sum("n") / GROUP).alias("groups"))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("g")
+        left = groups.select(F.col("pivot").alias("p"), every).join(sets.select(F.col("cid").alias("p"), "shingles"), "p")
+        right = pairs.join(groups, "pivot").withColumn("g", F.pmod(F.xxhash64("member"), F.col("groups")))
+        right = right.select("pivot", "g", "member").join(sets.select(F.col("cid").alias("member"), "shingles"), "member")
+        num, den = self.num, self.den
+
+        def test(one, many):
+            taken = []
+            if len(one) and len(many):
+                own = one.column("shingles").combine_chunks().flatten().to_numpy().view(np.uint64)
+                theirs = many.column("shingles").combine_chunks()
+                ends, flat = theirs.offsets.to_numpy(), theirs.flatten().to_numpy().view(np.uint64)
+                hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+                inside = np.concatenate([[0], np.cumsum(hit)])
+                both = inside[ends[1:] - ends[0]] - inside[ends[:-1] - ends[0]]
+                either = len(own) + np.diff(ends) - both
+                taken = np.flatnonzero(both * den >= either * num)
+            picked = many.select(["pivot", "member"]).take(pa.array(taken, pa.int64()))
+            return picked.rename_columns(["u", "v"])
+
+        kept = self.scratch.keep(left.groupBy("p", "g").cogroup(right.groupBy("pivot", "g")).applyInArrow(test, "u long, v long"))
+        self.scratch.drop(sets)
+        return kept
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Connected components of ``edges`` (u, v), a kept table: rows (id, component), the component being its smallest id.
 

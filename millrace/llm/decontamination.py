@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import record_batch
+from millrace.llm.common import record_batch, slices
 
 # Fixed by the definition of a word: A-Z to lower case, other ASCII but digits and a-z to a space.
 _TABLE = bytes(
@@ -133,15 +133,15 @@ def contamination(
     max_pattern_bytes: int = 1 << 26,
 ) -> DataFrame:
     """A row per document: id, ``n_words``, hit word ranges, sorted item ids, character spans (flat pairs)."""
-    slices = list(_slices(benchmark, item_col, item_text_col, window, max_pattern_bytes))
+    parts = list(_slices(benchmark, item_col, item_text_col, window, max_pattern_bytes))
     out = docs.select(F.col(id_col), F.col(text_col).alias("text"))
     kind = out.schema[0].dataType.simpleString()
-    for number, items in enumerate(slices):
-        last = number == len(slices) - 1
+    for number, items in enumerate(parts):
+        last = number == len(parts) - 1
 
         def run(batches, items=items, first=number == 0, last=last):
             automaton, ids = _automaton(items, window)
-            for batch in batches:
+            for batch in slices(batches, 1):
                 texts = batch.column(1).to_pylist()
                 before = [(0, [], [])] * len(texts) if first else list(
                     zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist())
@@ -176,7 +176,7 @@ def drop_contaminated(
 
         def run(batches, items=items):
             automaton, ids = _automaton(items, window)
-            for batch in batches:
+            for batch in slices(batches, place):
                 clean = [not scan(t, automaton, ids)[1] for t in batch.column(place).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 

@@ -19,12 +19,12 @@ blocks. That keeps the bound, as the difference of the smaller sets is no larger
 **Verify.** Sets that are equal are one class first, so copies never meet under a key. Under a key, members are held
 against one pivot, the member that shares most keys with others. A pair whose small parity sketches (2 to 4 bits
 for each shingle) are too far apart is no link; of the others the exact similarity is computed. Found
-links are contracted to components. Keys whose members are all in one component are done; under others,
-7, 56, ... further pivots are held against the members of other components, until none are left. Nothing is
+links are contracted to components. Keys whose members are all in one component are done; under others, pivots
+are drawn by hash, 8, 64, ... of a key's members until all are, and held against members of other components. Nothing is
 capped; pairs within a component already known are never formed.
 
 Defined results: null and empty texts have no shingles and are linked with nothing. Repeated rows (also with equal
-ids) give a row each. A null id gives a null component. Columns besides id and text play no part.
+ids) give a row each; rows of one id with different texts are told apart by their sets. A null id gives a null component. Columns besides id and text play no part.
 """
 
 from __future__ import annotations
@@ -33,11 +33,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    IdFilter, Scratch, bucket_counts, bucket_of, components, free_name, list_array, mix, record_batch, shingle_sets, signed,
+    CLASS, Links, Scratch, apart_sql, bucket_counts, bucket_of, components, digests, list_array, mix, one_of_each, parities, record_batch, set_pieces, shingle_sets, signed,
 )
 
 NUM, DEN = 80, 100
@@ -96,21 +96,6 @@ def set_keys(shingles: np.ndarray, num: int = NUM, den: int = DEN, frequent: np.
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
-def parities(shingles: np.ndarray) -> np.ndarray:
-    """Sketch of 2 to 4 bits for each shingle, a power of two of 64-bit words; halves XOR to the smaller sketch."""
-    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
-    place = ((shingles >> np.uint64(7)) & np.uint64(bits - 1)).astype(np.int64)
-    odd = np.bincount(place, minlength=bits).astype(np.uint8) & 1
-    return np.packbits(odd, bitorder="little").view(np.int64)
-
-
-def _apart(u: str, v: str) -> str:
-    """SQL for the Hamming distance of two sketches; of two sizes, the larger is folded."""
-    fold = "zip_with(slice({0}, 1, shiftright(size({0}), 1)), slice({0}, shiftright(size({0}), 1) + 1, shiftright(size({0}), 1)), (a, b) -> a ^ b)"
-    one = lambda x, y: f"IF(size({x}) > size({y}), {fold.format(x)}, {x})"
-    return f"aggregate(zip_with({one(u, v)}, {one(v, u)}, (a, b) -> bit_count(a ^ b)), 0, (s, n) -> s + n)"
-
-
 SKETCH = "doc_id {id}, n_shingles long, h1 long, h2 long, bits array<long>, keys array<long>"
 
 
@@ -122,25 +107,18 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, d
 
     def run(batches):
         for batch in batches:
-            n, h1, h2, bits, keys, seen = [], [], [], [], [], set()
-            for _, shingles in shingle_sets(batch.column(1), size):
-                a = int(mix(shingles).sum(dtype=np.uint64))
-                b = int(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
-                n.append(len(shingles))
-                bits.append(parities(shingles))
-                h1.append(a)
-                h2.append(b)
-                new = (a, b) not in seen
-                seen.add((a, b))
-                keys.append(set_keys(shingles, num, den, frequent.value) if new else np.zeros(0, np.uint64))
-            yield record_batch(
-                doc_id=batch.column(0),
-                n_shingles=pa.array(n, pa.int64()),
-                h1=pa.array(np.array(h1, dtype=np.uint64).view(np.int64)),
-                h2=pa.array(np.array(h2, dtype=np.uint64).view(np.int64)),
-                bits=list_array(bits, pa.int64()),
-                keys=list_array([signed(k) for k in keys], pa.int64()),
-            )
+            seen = set()
+            for at, sets in set_pieces(batch.column(1), size):
+                h1, h2 = digests(sets)
+                keys = []
+                for own, shingles in zip(zip(h1.tolist(), h2.tolist()), sets):
+                    keys.append(set_keys(shingles, num, den, frequent.value) if own not in seen else np.zeros(0, np.uint64))
+                    seen.add(own)
+                yield record_batch(
+                    doc_id=batch.column(0).slice(at, len(sets)), n_shingles=pa.array([len(s) for s in sets], pa.int64()),
+                    h1=pa.array(h1), h2=pa.array(h2),
+                    bits=list_array([parities(s) for s in sets], pa.int64()), keys=list_array([signed(k) for k in keys], pa.int64()),
+                )
 
     return df.mapInArrow(run, SKETCH.format(id=df.schema["doc_id"].dataType.simpleString()))
 
@@ -180,99 +158,87 @@ def ngram_components(
     """Rows (doc_id, n_shingles, component_id): sets are linked when den * |A & B| >= num * |A | B|."""
     scratch = Scratch(docs.sparkSession)
     sketched = scratch.keep(sketches(docs, id_col, text_col, size, num, den))
-    digests = scratch.keep(sketched.select("doc_id", "n_shingles", "h1", "h2"))
+    rows = scratch.keep(sketched.select("doc_id", "n_shingles", "h1", "h2"))
     owners = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = owners.groupBy("h1", "h2", "n_shingles").agg(F.min_by("bits", "doc_id").alias("bits"), F.min("doc_id").alias("rep"))
-    classes = scratch.keep(classes)
+    # Equal sets are a class; rows of one id with different texts are in different ones.
+    classes = owners.groupBy(*CLASS).agg(F.max("bits").alias("bits"), F.min("doc_id").alias("rep"))
+    classes = scratch.keep(classes.withColumn("cid", F.monotonically_increasing_id()))
     shared = scratch.keep(shared_keys(sketched.where("size(keys) > 0").select(F.explode("keys").alias("key"), "h1")))
     scratch.drop(sketched)
-    links = class_links(docs, scratch, classes, shared, size, num, den, id_col, text_col)
-    found = digests.join(classes.drop("bits").join(links, F.col("rep") == F.col("id"), "left"), ["h1", "h2", "n_shingles"], "left")
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "rep", "doc_id"))
-    return found.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"))
-
-
-def class_links(docs, scratch, classes, shared, size, num, den, id_col, text_col) -> DataFrame:
-    """Components (id, component) over the classes' first documents."""
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    linked = class_links(Links(texts, classes, scratch, size, num, den), shared)
+    groups = classes.join(linked.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    least = groups.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = groups.join(least, "component").select(*CLASS, "component_id")
+    found = rows.join(named, CLASS, "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
+    found = scratch.keep(found.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id")))
+    for kept in (rows, classes, shared):
+        scratch.drop(kept)
+    return found
+
+
+def class_links(links: Links, shared: DataFrame) -> DataFrame:
+    """Components (id, component) of the classes."""
+    scratch, classes, num, den = links.scratch, links.classes, links.num, links.den
     # Two classes with one h1 only make more candidates; the sets decide.
-    members = scratch.keep(shared.join(classes.select("h1", "rep", "n_shingles"), "h1").select("key", "rep", "n_shingles").distinct())
+    members = scratch.keep(shared.join(classes.select("h1", "cid", F.col("n_shingles").alias("size")), "h1").select("key", "cid", "size").distinct())
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    weights = members.join(sizes, "key").groupBy("rep").agg(F.sum("n").alias("weight"))
-    members = scratch.keep(members.join(weights, "rep"))
-    bits_of = classes.select("rep", F.col("n_shingles").alias("n"), "bits")
+    members = scratch.keep(members.join(sizes, "key"))
+    weighted = members.join(members.groupBy("cid").agg(F.sum("n").alias("weight")), "cid")
+    bits_of = classes.select("cid", F.col("n_shingles").alias("size"), "bits")
 
     def near(pairs: DataFrame) -> DataFrame:
-        """The pairs whose sketches are near enough."""
-        left, right = (bits_of.select(*[F.col(c).alias(f"{c}_{s}") for c in bits_of.columns]) for s in "uv")
-        found = pairs.join(left, F.col("u") == F.col("rep_u")).join(right, F.col("v") == F.col("rep_v"))
-        most = (F.col("n_u") + F.col("n_v")) * (den - num)
-        return found.where(F.expr(_apart("bits_u", "bits_v")) * (den + num) <= most).select("u", "v")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("u", "v")).alias("rep")).distinct()
-        texts, _ = IdFilter(ids, "rep").parts(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id")
-        texts = texts.join(ids, F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
-
-        def sets(batches):
-            for batch in batches:
-                found = [signed(s) for _, s in shingle_sets(batch.column(1), size)]
-                yield record_batch(rep=batch.column(0), shingles=list_array(found, pa.int64()))
-
-        kind = texts.schema["doc_id"].dataType.simpleString()
-        sets_of = scratch.keep(texts.select("doc_id", "text").mapInArrow(sets, f"rep {kind}, shingles array<long>"))
-        left = sets_of.select(F.col("rep").alias("u"), F.col("shingles").alias("su"))
-        right = sets_of.select(F.col("rep").alias("v"), F.col("shingles").alias("sv"))
-        both = F.size(F.array_intersect("su", "sv"))
-        either = F.size("su") + F.size("sv") - F.col("both")
-        found = pairs.join(left, "u").join(right, "v").withColumn("both", both)
-        found = scratch.keep(found.where(F.col("both") * den >= either * num).select("u", "v"))
-        scratch.drop(sets_of)
-        return found
-
-    fits = (F.col("a") * den >= F.col("b") * num) & (F.col("b") * den >= F.col("a") * num)
-    pivots = members.groupBy("key").agg(F.max(F.struct("weight", -F.col("rep"), "n_shingles")).alias("p"))
-    pivots = pivots.select("key", (-F.col("p")["col2"]).alias("pivot"), F.col("p.n_shingles").alias("a"))
-    star = members.join(pivots, "key").where("rep <> pivot").withColumn("b", F.col("n_shingles")).where(fits)
-    pairs = scratch.keep(star.select(F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v")).distinct())
-    links = verified(scratch.keep(near(pairs)))
-    linked = components(links, scratch)
-    tested = pairs
-    per_key = Window.partitionBy("key").orderBy(F.desc("weight"), "rep")
-    open_members, done = members, 1  # members before ``done`` in weight order have been pivots
+        """The pairs (pivot, member) whose sketches are near enough."""
+        left, right = (bits_of.toDF(name, f"size_{k}", f"bits_{k}") for name, k in (("pivot", "u"), ("member", "v")))
+        found = pairs.join(left, "pivot").join(right, "member")
+        most = (F.col("size_u") + F.col("size_v")) * (den - num)
+        return found.where(F.expr(apart_sql("bits_u", "bits_v")) * (den + num) <= most).select("pivot", "member")
+
+    def canonical(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("pivot", "member").alias("pivot"), F.greatest("pivot", "member").alias("member")).distinct()
+
+    pivots = weighted.groupBy("key").agg(F.max(F.struct("weight", "cid", "size")).alias("p"))
+    pivots = pivots.select("key", F.col("p.cid").alias("pivot"), F.col("p.size").alias("a"))
+    star = members.select("key", F.col("cid").alias("member"), F.col("size").alias("b")).join(pivots, "key")
+    star = scratch.keep(star.where("member <> pivot").where(links.fits("a", "b")).select("pivot", "member").distinct())
+    tested = scratch.keep(canonical(star))
+    found = links.confirmed(scratch.keep(near(star)))
+    linked = components(found, scratch)
+    open_members, share = members, 1
     while True:
-        labelled = open_members.select("key", "rep", "n_shingles", "weight").join(linked.withColumnRenamed("id", "rep"), "rep", "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
-        mixed = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        mixed = mixed.where(F.col("lo") < F.col("hi")).where(F.col("n") > done + 1).select("key")
-        open_members = scratch.keep(labelled.join(mixed, "key"))
+        labelled = open_members.join(linked.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+        # In other keys all members have been pivots, or both have met.
+        open_members = scratch.keep(labelled.join(mixed, "key").where(F.col("n") > max(share, 2)))
         if open_members.isEmpty():
             return linked
-        ranked = open_members.withColumn("rank", F.row_number().over(per_key)).join(bits_of.select("rep", "bits"), "rep")
-        pivots = ranked.where((F.col("rank") > done) & (F.col("rank") <= GROWTH * done)).select(
-            "key", F.col("rep").alias("pivot"), F.col("rank").alias("at"), F.col("n_shingles").alias("a"), F.col("component").alias("c"),
-            F.col("bits").alias("bits_p"),
+        # Drawn by hash: about ``share`` of a key's members, all of them in the last round.
+        share *= GROWTH
+        held = open_members.join(bits_of.select("cid", "bits"), "cid")
+        lot = F.pmod(F.xxhash64("key", "cid"), F.lit(1 << 30)) * F.col("n")
+        pivots = held.where(lot < F.lit((1 << 30) * share)).select(
+            "key", F.col("cid").alias("pivot"), F.col("size").alias("a"), F.col("component").alias("c"), F.col("bits").alias("bits_p")
         )
-        held = ranked.withColumn("b", F.col("n_shingles")).join(pivots, "key")
-        other = (F.col("rank") > F.col("at")) & (F.col("component") != F.col("c"))
-        far = F.expr(_apart("bits", "bits_p")) * (den + num) > (F.col("a") + F.col("b")) * (den - num)
-        held = held.where(other & fits & ~far)
-        pairs = held.select(F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v")).distinct()
-        pairs = scratch.keep(pairs.join(tested, ["u", "v"], "left_anti"))
-        done *= GROWTH
+        held = held.withColumnsRenamed({"cid": "member", "size": "b"}).join(pivots, "key")
+        far = F.expr(apart_sql("bits", "bits_p")) * (den + num) > (F.col("a") + F.col("b")) * (den - num)
+        pairs = canonical(held.where((F.col("component") != F.col("c")) & links.fits("a", "b") & ~far))
+        pairs = scratch.keep(pairs.join(tested, ["pivot", "member"], "left_anti"))
+        open_members = open_members.drop("component")
         if not pairs.isEmpty():
-            found = verified(pairs)
-            if not found.isEmpty():
-                links = scratch.keep(links.unionByName(found))
-                linked = components(links, scratch)
+            new = links.confirmed(pairs)
             tested = scratch.keep(tested.unionByName(pairs))
+            if not new.isEmpty():
+                found = scratch.keep(found.unionByName(new))
+                linked = components(found, scratch)
 
 
 def drop_near_copies(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id. Columns as they are."""
+    """One document of each group of near copies stays, the one with the smallest id; of exact repeats of its row (id and text) one.
+
+    Rows without an id and documents without shingles all stay. Columns as they are.
+    """
     scratch = Scratch(docs.sparkSession)
     found = ngram_components(docs, size, id_col=id_col, text_col=text_col)
-    name = free_name("_id", docs)
-    later = found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias(name)).distinct()
-    later = scratch.keep(later)
-    maybe, rest = IdFilter(later, name).parts(docs, id_col)
-    return rest.unionByName(maybe.join(later, F.col(id_col) == F.col(name), "left_anti"))
+    later = found.where(F.col("component_id") < F.col(id_col))
+    return one_of_each(docs, later, found.where("n_shingles > 0"), scratch, id_col, text_col)

@@ -22,12 +22,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Scratch, record_batch
+from millrace.llm.common import Scratch, record_batch, slices
 
 CAPACITY, END_ID = 1024, 2
 # Rows that a task packs at once; it holds about 100 bytes for each.
 GROUP_ROWS = 50_000
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 1 << 16
 _OTHER_SPACE = re.compile(r" \s|\s ")
 
 
@@ -64,21 +64,31 @@ class Encoder:
             return b""
         if _OTHER_SPACE.search(text) or any(s in text for s in self.special):
             return self.exact(text)
-        if len(self.cache) > _CACHE_WORDS:
-            self.cache.clear()
         first, *rest = text.split(" ")
         return self.word(first) + b"".join(map(self.cache.__getitem__, rest))
 
 
 class _Cache(dict):
+    """Ids of words met lately: of at most twice ``_CACHE_WORDS`` words, the older half goes at once."""
+
     def __init__(self, encoder: Encoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.encoder.word(" " + word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encoder.word(" " + word)
+        if len(self) >= _CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
         return ids
 
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
 
 _encoders: dict[tuple, Encoder] = {}
 
@@ -116,23 +126,29 @@ def pieces(
 
     def run(batches):
         encode = encoder(tokenizer, ranks)
-        for batch in batches:
-            row, piece, starts, lengths, sums = [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = encode(text or "") + end
-                for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                    row.append(i)
-                    piece.append(k)
-                    starts.append(start)
-                    lengths.append(length)
-                    sums.append(zlib.crc32(ids[4 * start : 4 * (start + length)]))
-            yield record_batch(
-                doc_id=batch.column(0).take(pa.array(row, pa.int64())),
-                piece=pa.array(piece, pa.int32()),
-                start=pa.array(starts, pa.int64()),
-                length=pa.array(lengths, pa.int64()),
-                ids_crc32=pa.array(sums, pa.int64()),
-            )
+        try:
+            for batch in slices(batches, 1):
+                yield cut_batch(encode, batch)
+        finally:
+            encode.cache.forget()  # workers are used again, by other operators too
+
+    def cut_batch(encode, batch):
+        row, piece, starts, lengths, sums = [], [], [], [], []
+        for i, text in enumerate(batch.column(1).to_pylist()):
+            ids = encode(text or "") + end
+            for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
+                row.append(i)
+                piece.append(k)
+                starts.append(start)
+                lengths.append(length)
+                sums.append(zlib.crc32(ids[4 * start : 4 * (start + length)]))
+        return record_batch(
+            doc_id=batch.column(0).take(pa.array(row, pa.int64())),
+            piece=pa.array(piece, pa.int32()),
+            start=pa.array(starts, pa.int64()),
+            length=pa.array(lengths, pa.int64()),
+            ids_crc32=pa.array(sums, pa.int64()),
+        )
 
     return df.mapInArrow(run, PIECES.format(id=df.schema["doc_id"].dataType.simpleString()))
 

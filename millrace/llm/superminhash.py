@@ -10,7 +10,8 @@ which all its slots are filled: after one level for long documents. Permutations
 **Verification.** Under a key, members are held against one pivot first, the class that shares most keys with others. Links that
 the full sets confirm are contracted. Then keys whose members are not all in one component go on: pivots are drawn by hash, ``GROWTH``
 times as many each round until all members are, and held against members of other components. Two bits of each slot rule out pairs
-far below the threshold (six standard deviations). Sets meet in groups of bounded size: a pivot's members are dealt
+far below the threshold (six standard deviations), and small parity sketches of the sets, whose distance bounds the symmetric
+difference from below, rule out most others, so near misses by the thousand are not paired. Sets meet in groups of bounded size: a pivot's members are dealt
 to groups by the total size of their sets. **Union-find.** Confirmed links are grouped by hooking and pointer jumping.
 
 Every candidate pair that is not ruled out and not in one component is verified, however full its key. Defined results: null
@@ -26,13 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import IdFilter, Scratch, components, list_array, mix, one_of_each, record_batch, shingle_sets, signed
+from millrace.llm.common import (
+    CLASS, Links, Scratch, apart_sql, components, digests, list_array, mix, one_of_each, parities, record_batch, set_pieces, signed,
+)
 
 NUM, DEN, SIZE = 85, 100, 5
 BANDS, ROWS = 25, 5
 GROWTH = 8
-GROUP = 1 << 20  # shingles of the members in a group of verification
-CHUNK = 1 << 16  # shingles that are held together; a longer document is held alone
 _LEVEL = np.uint64(56)
 
 
@@ -105,117 +106,35 @@ def _apart(words: int) -> str:
     return " + ".join(f"bit_count((bits_u[{i}] ^ bits_v[{i}]) | (bits_u[{words + i}] ^ bits_v[{words + i}]))" for i in range(words))
 
 
-def digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    a = [int(mix(s).sum(dtype=np.uint64)) for s in sets]
-    b = [int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) for s in sets]
-    return np.array(a, dtype=np.uint64).view(np.int64), np.array(b, dtype=np.uint64).view(np.int64)
-
-
-def _pieces(texts: pa.Array, size: int):
-    """(place of the first text, sets) for runs of texts with about CHUNK shingles."""
-    begin, sets, total = 0, [], 0
-    for at, shingles in shingle_sets(texts, size):
-        if sets and total + len(shingles) > CHUNK:
-            yield begin, sets
-            begin, sets, total = at, [], 0
-        sets.append(shingles)
-        total += len(shingles)
-    if sets:
-        yield begin, sets
-
-
-SIGNED = "doc_id {id}, n_shingles long, h1 long, h2 long, bits array<long>, keys array<long>"
-CLASS = ["h1", "h2", "n_shingles"]
+SIGNED = "doc_id {id}, n_shingles long, h1 long, h2 long, bits array<long>, keys array<long>, sketch array<long>"
 
 
 def signatures(docs: DataFrame, size: int = SIZE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Of each row of (doc_id, text): set size, digests of the set, two bits of each slot and the band keys.
+    """Of each row of (doc_id, text): set size, digests of the set, two bits of each slot, the band keys and a parity sketch.
 
     Rows without an id and sets met shortly before have their digests only.
     """
 
     def run(batches):
         for batch in batches:
-            for at, sets in _pieces(batch.column(1), size):
+            for at, sets in set_pieces(batch.column(1), size):
                 ids = batch.column(0).slice(at, len(sets))
                 h1, h2 = digests(sets)
                 valid = np.flatnonzero(ids.is_valid().to_numpy(zero_copy_only=False) & (np.array([len(s) for s in sets]) > 0))
                 full = valid[np.unique(np.stack([h1, h2])[:, valid], axis=1, return_index=True)[1]].tolist()
                 found = superminhash([sets[i] for i in full], bands * rows)
                 none = np.zeros(0, np.int64)
-                bits, keys = [none] * len(sets), [none] * len(sets)
+                bits, keys, sketch = [none] * len(sets), [none] * len(sets), [none] * len(sets)
                 for i, own_bits, own_keys in zip(full, planes(found), signed(band_keys(found, bands, rows))):
-                    bits[i], keys[i] = own_bits, own_keys
+                    bits[i], keys[i], sketch[i] = own_bits, own_keys, parities(sets[i])
                 yield record_batch(
                     doc_id=ids, n_shingles=pa.array([len(s) for s in sets], pa.int64()), h1=pa.array(h1), h2=pa.array(h2),
-                    bits=list_array(bits, pa.int64()), keys=list_array(keys, pa.int64()),
+                    bits=list_array(bits, pa.int64()), keys=list_array(keys, pa.int64()), sketch=list_array(sketch, pa.int64()),
                 )
 
     return docs.select("doc_id", "text").mapInArrow(run, SIGNED.format(id=docs.schema["doc_id"].dataType.simpleString()))
 
 
-class Links:
-    """Confirmed links between classes; ``texts`` are the rows (doc_id, text), ``classes`` has cid, its digests and ``rep``, a document."""
-
-    def __init__(self, texts: DataFrame, classes: DataFrame, scratch: Scratch, size: int, num: int, den: int):
-        self.texts, self.classes, self.scratch, self.size, self.num, self.den = texts, classes, scratch, size, num, den
-
-    def fits(self, a: str, b: str):
-        return (F.col(a) * self.den >= F.col(b) * self.num) & (F.col(b) * self.den >= F.col(a) * self.num)
-
-    def sets_of(self, ids: DataFrame) -> DataFrame:
-        """(cid, n, shingles) of classes, from the texts of their documents."""
-        size = self.size
-        wanted = self.scratch.keep(ids.join(self.classes.select("cid", "rep", *CLASS), "cid"))
-        reps = wanted.select("rep").distinct()
-        texts, _ = IdFilter(reps, "rep").parts(self.texts, "doc_id")
-        texts = texts.join(reps, F.col("doc_id") == F.col("rep"), "left_semi").select("text")
-
-        def run(batches):
-            for batch in batches:
-                for _, sets in _pieces(batch.column(0), size):
-                    h1, h2 = digests(sets)
-                    sizes = pa.array([len(s) for s in sets], pa.int64())
-                    yield record_batch(h1=pa.array(h1), h2=pa.array(h2), n_shingles=sizes, shingles=list_array([signed(s) for s in sets], pa.int64()))
-
-        sets = texts.mapInArrow(run, "h1 long, h2 long, n_shingles long, shingles array<long>")
-        # Of a repeated id's texts each finds its own class; equal sets of one class are one.
-        sets = sets.join(wanted.drop("rep"), CLASS).groupBy("cid").agg(F.first("n_shingles").alias("n"), F.first("shingles").alias("shingles"))
-        kept = self.scratch.keep(sets)
-        self.scratch.drop(wanted)
-        return kept
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The links among kept pairs (pivot, member), by their full sets; a kept table."""
-        ids = pairs.select(F.explode(F.array("pivot", "member")).alias("cid")).distinct()
-        sets = self.sets_of(ids)
-        sized = pairs.join(sets.select(F.col("cid").alias("member"), "n"), "member")
-        groups = sized.groupBy("pivot").agg(F.ceil(F.sum("n") / GROUP).alias("groups"))
-        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("g")
-        left = groups.select(F.col("pivot").alias("p"), every).join(sets.select(F.col("cid").alias("p"), "shingles"), "p")
-        right = pairs.join(groups, "pivot").withColumn("g", F.pmod(F.xxhash64("member"), F.col("groups")))
-        right = right.select("pivot", "g", "member").join(sets.select(F.col("cid").alias("member"), "shingles"), "member")
-        num, den = self.num, self.den
-
-        def test(one, many):
-            taken = []
-            if len(one) and len(many):
-                own = one.column("shingles").combine_chunks().flatten().to_numpy().view(np.uint64)
-                theirs = many.column("shingles").combine_chunks()
-                ends, flat = theirs.offsets.to_numpy(), theirs.flatten().to_numpy().view(np.uint64)
-                hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
-                inside = np.concatenate([[0], np.cumsum(hit)])
-                both = inside[ends[1:] - ends[0]] - inside[ends[:-1] - ends[0]]
-                either = len(own) + np.diff(ends) - both
-                taken = np.flatnonzero(both * den >= either * num)
-            picked = many.select(["pivot", "member"]).take(pa.array(taken, pa.int64()))
-            return picked.rename_columns(["u", "v"])
-
-        kept = self.scratch.keep(left.groupBy("p", "g").cogroup(right.groupBy("pivot", "g")).applyInArrow(test, "u long, v long"))
-        self.scratch.drop(sets)
-        return kept
-
-
 def near_duplicates(
     docs: DataFrame,
     size: int = SIZE,
@@ -231,7 +150,7 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed_rows = scratch.keep(signatures(texts, size, bands, rows))
     owners = signed_rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = owners.groupBy(*CLASS).agg(F.min("doc_id").alias("rep"), F.max("bits").alias("bits"), F.max("keys").alias("keys"))
+    classes = owners.groupBy(*CLASS).agg(F.min("doc_id").alias("rep"), *[F.max(c).alias(c) for c in ("bits", "keys", "sketch")])
     classes = scratch.keep(classes.withColumn("cid", F.monotonically_increasing_id()))
     keyed = classes.select("cid", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -274,10 +193,13 @@ def grouped(links: Links, members: DataFrame, slots: int) -> DataFrame:
         # Drawn by hash: about ``share`` of a key's members, all of them in the last round.
         share *= GROWTH
         lot = F.pmod(F.xxhash64("key", "cid"), F.lit(1 << 30)) * F.col("n")
-        drawn = open_members.where(lot < F.lit((1 << 30) * share))
-        pivots = drawn.select("key", F.col("cid").alias("pivot"), F.col("bits").alias("bits_u"), F.col("size").alias("a"), F.col("component").alias("c"))
-        pairs = open_members.withColumnsRenamed({"cid": "member", "bits": "bits_v", "size": "b"}).join(pivots, "key")
-        pairs = pairs.where((F.col("component") != F.col("c")) & links.fits("a", "b") & near)
+        sketched = open_members.join(links.classes.select("cid", "sketch"), "cid")
+        names = {"cid": "pivot", "bits": "bits_u", "size": "a", "component": "c", "sketch": "sketch_u"}
+        pivots = sketched.where(lot < F.lit((1 << 30) * share)).withColumnsRenamed(names).select("key", *names.values())
+        pairs = sketched.withColumnsRenamed({"cid": "member", "bits": "bits_v", "size": "b", "sketch": "sketch_v"}).join(pivots, "key")
+        most = (F.col("a") + F.col("b")) * (links.den - links.num)
+        differ = F.expr(apart_sql("sketch_u", "sketch_v")) * (links.den + links.num) <= most
+        pairs = pairs.where((F.col("component") != F.col("c")) & links.fits("a", "b") & near & differ)
         pairs = pairs.select(F.least("pivot", "member").alias("pivot"), F.greatest("pivot", "member").alias("member")).distinct()
         old = tested.select(F.least("pivot", "member").alias("pivot"), F.greatest("pivot", "member").alias("member"))
         pairs = scratch.keep(pairs.join(old, ["pivot", "member"], "left_anti"))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from test_text_operators import SCHEMA, corpus, shingles
 
-from millrace.llm import superminhash
+from millrace.llm import common, superminhash
 
 
 def groups_by_force(rows, num=85):
@@ -58,7 +58,7 @@ def test_against_force(spark):
 
 def test_hot_group_of_near_copies(spark, monkeypatch):
     """A chain of drifting copies, many copies around one text, and unlinked texts that share a band now and then."""
-    monkeypatch.setattr(superminhash, "GROUP", 2000)
+    monkeypatch.setattr(common, "GROUP", 2000)
     r = random.Random(3)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(4))
     base = [word() for _ in range(120)]

@@ -298,7 +298,7 @@ def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, least: int =
 
 
 def earlier_candidates(again: DataFrame, marked: DataFrame, num: int, den: int) -> DataFrame:
-    """All pairs (later head of ``again``, earlier head) that share a prefix token and pass the filters, each once."""
+    """All pairs (later head of ``again``, earlier head) that share a prefix token and pass the filters."""
     heads = marked.where("head").select("doc_id", "line", "n", "prefix", "sketch", "sketch2")
     wanted = heads.join(again, (F.col("doc_id") == F.col("doc_x")) & (F.col("line") == F.col("line_x")), "left_semi")
     own = postings(wanted, "prefix")
@@ -313,15 +313,18 @@ def earlier_candidates(again: DataFrame, marked: DataFrame, num: int, den: int)
             places = tokens & mask
             hit = np.flatnonzero((table.value[places >> 5] >> (places & 31)) & 1)
             row = np.repeat(np.arange(len(sizes)), sizes)[hit]
-            spot = np.minimum(hit - (np.cumsum(sizes) - sizes)[row], PLACES - 1)
+            first = (np.cumsum(sizes) - sizes)[row]
+            spot = np.minimum(hit - first, PLACES - 1)
+            before = {f"before{k}": pa.array(tokens[np.maximum(hit - k, 0)], mask=hit - k < first) for k in (1, 2)}
             at = (line.to_numpy().astype(np.int64) << 32) | n.to_numpy()
             yield record_batch(
                 token=pa.array(tokens[hit]), at=pa.array(at[row]), doc_id=doc.take(pa.array(row)),
-                place=pa.array((spot << SKETCH_BITS) | sketch.to_numpy()[row]), sketch2=sketch2.take(pa.array(row)), prefix=prefix.take(pa.array(row)),
+                place=pa.array((spot << SKETCH_BITS) | sketch.to_numpy()[row]), sketch2=sketch2.take(pa.array(row)), **before,
             )
 
-    held = heads.mapInArrow(asked_postings, "token long, at long, doc_id long, place long, sketch2 long, prefix array<long>")
-    x, y = (df.select("token", *[F.col(c).alias(f"{c}_{k}") for c in (*POSTING[1:], "prefix")]) for df, k in ((own, "x"), (held, "y")))
+    held = heads.mapInArrow(asked_postings, "token long, at long, doc_id long, place long, sketch2 long, before1 long, before2 long")
+    x = own.select("token", "prefix", *[F.col(c).alias(f"{c}_x") for c in POSTING[1:]])
+    y = held.select("token", "before1", "before2", *[F.col(c).alias(f"{c}_y") for c in POSTING[1:]])
     a, b = (F.col(f"at_{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in "xy")
     line_x, line_y = (F.shiftright(f"at_{k}", 32) for k in "xy")
     need = F.floor(((a + b) * num + (num + den - 1)) / (num + den))
@@ -332,12 +335,12 @@ def earlier_candidates(again: DataFrame, marked: DataFrame, num: int, den: int)
     fits = (a * den >= b * num) & (b * den >= a * num)
     earlier = (F.col("doc_id_y") < F.col("doc_id_x")) | ((F.col("doc_id_y") == F.col("doc_id_x")) & (line_y < line_x))
     share = (left >= need) | (p == PLACES - 1) | (q == PLACES - 1)
-    # A pair meets under every token that both prefixes have; the first one counts.
-    again_met = F.arrays_overlap(F.slice("prefix_x", F.lit(1), p.cast("int")), F.slice("prefix_y", F.lit(1), q.cast("int")))
-    pairs = x.join(y, "token").where(earlier & fits & share & (apart <= a + b - 2 * need) & ~again_met)
+    # A pair meets under every token that both prefixes have. One whose last or last but one token is shared too has met before.
+    met = [F.coalesce(F.array_contains("prefix", F.col(f"before{k}")), F.lit(False)) for k in (1, 2)]
+    pairs = x.join(y, "token").where(earlier & fits & share & (apart <= a + b - 2 * need) & ~(met[0] | met[1]))
     return pairs.select(
         F.col("doc_id_x").alias("doc_x"), line_x.cast("int").alias("line_x"), F.col("doc_id_y").alias("doc_y"), line_y.cast("int").alias("line_y")
-    )
+    ).distinct()
 
 
 def _spots(docs: np.ndarray, lines: np.ndarray) -> np.ndarray:

@@ -8,6 +8,8 @@ forms: a cheap condition that good records pass, and the list of errors for thos
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from millrace.functions.jsonschema import is_array, is_object, raw_key, type_lis
 
 ERROR_TYPE = "struct<path:string,rule:string,message:string>"
 NO_ERRORS = f"cast(array() AS array<{ERROR_TYPE}>)"
+WIDE = 32  # of more fields, those alike share one expression
+NOTES = {"title", "description", "default", "examples"}  # say nothing about types
 
 
 def type_check(column: str, schema: dict) -> Column:
@@ -36,9 +40,11 @@ def type_ok(value: str, schema: dict, depth: int = 0) -> str:
     """Whether a value and everything below it has the types of the JSON Schema."""
     conditions = [type_condition(value, schema)]
     if is_object(schema):
-        for key, node in schema.get("properties", {}).items():
-            if type_list(node):
-                conditions.append(type_ok(V.child(value, key), node, depth))
+        fields = _typed_fields(schema)
+        if len(fields) > WIDE:
+            conditions.append(_all_fields(value, fields, lambda v, _, node, d: type_ok(v, node, d), depth))
+        else:
+            conditions += [type_ok(V.child(value, key), node, depth) for key, node in fields]
     if is_array(schema) and type_list(schema.get("items", {})):
         x = f"x{depth}"
         inner = type_ok(x, schema["items"], depth + 1)
@@ -67,6 +73,8 @@ def value_ok(value: str, data_type: T.DataType, nullable: bool, depth: int = 0)
 
 
 def object_ok(value: str, struct: T.StructType, depth: int = 0) -> str:
+    if len(struct) > WIDE:
+        return _all_fields(value, _columns(struct), lambda v, _, column, d: value_ok(v, *column, d), depth)
     return all_of(
         [value_ok(V.child(value, raw_key(f)), f.dataType, f.nullable, depth) for f in struct]
     )
@@ -105,9 +113,12 @@ def type_errors(value: str, schema: dict, path: str = "'$'", depth: int = 0) ->
     found = [_error(f"NOT {type_condition(value, schema)}", path, "type", message)]
     nested = []
     if is_object(schema):
-        for key, node in schema.get("properties", {}).items():
-            if type_list(node):
-                nested.append(type_errors(V.child(value, key), node, _below(path, key), depth))
+        fields = _typed_fields(schema)
+        if len(fields) > WIDE:
+            each = _each_field(value, fields, lambda v, below, node, d: type_errors(v, node, f"concat({path}, {below})", d), depth)
+            nested.append(f"flatten({each})")
+        else:
+            nested += [type_errors(V.child(value, key), node, _below(path, key), depth) for key, node in fields]
     if is_array(schema) and type_list(schema.get("items", {})):
         inner = type_errors(f"x{depth}", schema["items"], _element(path, depth), depth + 1)
         nested.append(_each(value, inner, depth))
@@ -116,6 +127,11 @@ def type_errors(value: str, schema: dict, path: str = "'$'", depth: int = 0) ->
 
 def decode_errors(value: str, struct: T.StructType, path: str = "'$'", depth: int = 0) -> str:
     """Array of reasons why an object cannot be decoded to the columns of ``struct``."""
+    if len(struct) > WIDE:
+        each = _each_field(
+            value, _columns(struct), lambda v, below, column, d: value_errors(v, *column, f"concat({path}, {below})", d), depth
+        )
+        return f"flatten({each})"
     return _join(
         [],
         [
@@ -219,6 +235,37 @@ def _each(value: str, inner: str, depth: int) -> str:
     return f"coalesce(flatten({each}), {NO_ERRORS})"
 
 
+def _typed_fields(schema: dict) -> list[tuple[str, dict]]:
+    return [(key, node) for key, node in schema.get("properties", {}).items() if type_list(node)]
+
+
+def _columns(struct: T.StructType) -> list[tuple[str, tuple]]:
+    return [(raw_key(f), (f.dataType, f.nullable)) for f in struct]
+
+
+def _each_field(value: str, fields: list[tuple[str, Any]], body: Callable[[str, str, Any, int], str], depth: int) -> str:
+    """Array of ``body`` of each field of a wide object, in order.
+
+    The fields are a table of constants and ``body`` stands there once for all fields alike: the time to plan a check
+    grows with the kinds of columns and not with their number.
+    """
+    kinds, table = [], []
+    for key, like in fields:
+        like = {k: v for k, v in like.items() if k not in NOTES} if isinstance(like, dict) else like
+        if like not in kinds:
+            kinds.append(like)
+        table.append({"below": f".{key}", "path": V.child_path(key), "kind": kinds.index(like)})
+    k, v = f"k{depth}", f"v{depth}"
+    child = f"try_variant_get({value}, {k}.path, 'variant')"
+    cases = " ".join(f"WHEN {i} THEN {V.bind(child, v, body(v, f'{k}.below', like, depth + 1))}" for i, like in enumerate(kinds))
+    rows = f"from_json({V.literal(json.dumps(table))}, 'array<struct<below:string,path:string,kind:int>>')"
+    return f"transform({rows}, {k} -> CASE {k}.kind {cases} END)"
+
+
+def _all_fields(value: str, fields: list[tuple[str, Any]], body: Callable[[str, str, Any, int], str], depth: int) -> str:
+    return f"coalesce(forall({_each_field(value, fields, body, depth)}, ok{depth} -> coalesce(ok{depth}, false)), false)"
+
+
 def _below(path: str, key: str) -> str:
     return f"concat({path}, {V.literal('.' + key)})"
 

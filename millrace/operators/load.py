@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import variants as V
-from millrace.functions.checks import all_of, is_plain, object_ok, record_errors, type_ok, value_ok
+from millrace.functions.checks import WIDE, all_of, is_plain, object_ok, record_errors, type_ok, value_ok
 from millrace.functions.decoding import decode_object, decode_value
 from millrace.functions.jsonschema import RAW_KEY, raw_key, type_list
 from millrace.functions.keywords import NONE, compile_keywords
@@ -50,14 +50,12 @@ def all_good(payload: T.StructType, schema: dict, struct: T.StructType) -> str:
     nodes = schema.get("properties", {})
     fields = {raw_key(field): field for field in struct}
     conditions = []
+    numbers: dict[tuple[bool, bool], list[str]] = {}  # values by whether they are integers, and may be missing
     for carrier in payload:
         value = _parsed(carrier.name)
         field, node = fields.get(carrier.name), nodes.get(carrier.name)
         if isinstance(carrier.dataType, T.DoubleType):
-            good = V.is_finite(value)
-            if isinstance(field.dataType, T.IntegerType):
-                good = f"coalesce({value} BETWEEN -2147483648 AND 2147483647 AND rint({value}) = {value}, false)"
-            conditions.append(f"({value} IS NULL OR {good})" if field.nullable else good)
+            numbers.setdefault((isinstance(field.dataType, T.IntegerType), field.nullable), []).append(value)
         elif isinstance(carrier.dataType, T.VariantType):
             if field is not None:
                 conditions.append(value_ok(value, field.dataType, field.nullable))
@@ -65,9 +63,21 @@ def all_good(payload: T.StructType, schema: dict, struct: T.StructType) -> str:
                 conditions.append(type_ok(value, node))
         elif not field.nullable:
             conditions.append(f"({value} IS NOT NULL)")
+    for like, values in numbers.items():
+        if len(values) > WIDE:
+            conditions.append(f"forall(array({', '.join(values)}), x -> {_number_ok('x', *like)})")
+        else:
+            conditions += [_number_ok(value, *like) for value in values]
     return all_of(conditions)
 
 
+def _number_ok(value: str, integer: bool, nullable: bool) -> str:
+    good = V.is_finite(value)
+    if integer:
+        good = f"coalesce({value} BETWEEN -2147483648 AND 2147483647 AND rint({value}) = {value}, false)"
+    return f"({value} IS NULL OR {good})" if nullable else good
+
+
 def parse_payload(schema: dict, struct: T.StructType) -> Column:
     """The one parse of a stream's lines."""
     return once(parse_json(payload_type(schema, struct)))

@@ -6,8 +6,8 @@ alphabet, Wald-Wolfowitz runs about the median and serial correlation of neighbo
 combined (Fisher). Short strings of prose pass such tests by chance, and the more so the shorter they are, so
 the false discoveries are controlled per length. The null are pieces of running prose: the letters outside of long
 runs, put together, cut to the least length of each class and read in each encoding. The share of them that reaches a score
-is the p-value of that score, so no words of that length are needed. A text gives a piece for every ``EVERY`` letters,
-from a place its letters set; short of ``FLOOR`` pieces, common English words in random order stand in.
+is the p-value of that score, so no words of that length are needed. All letters of all texts are cut into such pieces;
+short of ``FLOOR`` pieces in all, common English words in random order stand in.
 Benjamini-Hochberg over all candidates of a class sets the p-value up to which they are taken. The counts cover all texts;
 they are a table of fixed size.
 
@@ -20,7 +20,7 @@ import hashlib
 import math
 import random
 import re
-import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ KINDS = ("assign", "access", "hex", "random")
 
 LENGTHS = (16, 20, 24, 32, 40, 64, 128)  # least of each class
 SHORTEST, BINS, BUCKETS = LENGTHS[0], 64, len(LENGTHS)
-EVERY, FLOOR = 4096, 2000
+FLOOR = 2000
 _HEX = np.zeros(256, dtype=bool)
 _HEX[[*b"0123456789abcdef"]] = True
 _RUN = np.zeros(256, dtype=bool)
@@ -92,29 +92,51 @@ def _tails(z: np.ndarray) -> np.ndarray:
     return np.array([math.erfc(x / math.sqrt(2)) for x in np.abs(z).tolist()])
 
 
+def _uniform(squares: np.ndarray, n: int, k: int) -> np.ndarray:
+    """p-values of chi-squared by the Wilson-Hilferty approximation, from the sums of the squared counts; the upper side only, as too even is no prose."""
+    chi = np.maximum(squares * (k / n) - n, 0)
+    z = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    return np.array([0.5 * math.erfc(v / math.sqrt(2)) for v in z.tolist()])
+
+
+def _alternation(a: np.ndarray, changes: np.ndarray, n: int) -> np.ndarray:
+    """p-values of the runs test, from the letters above the median and the changes of side."""
+    b = n - a
+    mean = 2 * a * b / n + 1
+    var = np.maximum((mean - 1) * (mean - 2) / max(n - 1, 1), 1e-9)
+    return np.where((a > 0) & (b > 0), _tails((1 + changes - mean) / np.sqrt(var)), 2.0 ** (1 - n))
+
+
+def _serial(products: np.ndarray, spread: np.ndarray, n: int) -> np.ndarray:
+    """p-values of the correlation of neighbours."""
+    flat = spread == 0
+    p = _tails((products / np.where(flat, 1, spread) + 1 / n) * math.sqrt(n))
+    p[flat] = 0
+    return p
+
+
+def _log(p: np.ndarray) -> np.ndarray:
+    return np.log(np.maximum(p, 1e-300))
+
+
+def _fisher(logs: np.ndarray) -> np.ndarray:
+    """Upper tail of chi-squared with six degrees of freedom, from the sums of three logarithms."""
+    s = -2 * logs
+    return np.exp(-s / 2) * (1 + s / 2 + s * s / 8)
+
+
 def randomness_of(x: np.ndarray, k: int) -> np.ndarray:
     """Fisher's combination of the three p-values of rows of places among ``k`` letters, 0 (surely not random) to 1."""
     rows, n = x.shape
-    # Chi-squared by the Wilson-Hilferty approximation; the upper side only, as too even is no prose.
     cells = np.bincount((x + k * np.arange(rows)[:, None]).ravel(), minlength=rows * k).reshape(rows, k)
-    chi = ((cells - n / k) ** 2).sum(axis=1) * k / n
-    z = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
-    uniform = np.array([0.5 * math.erfc(v / math.sqrt(2)) for v in z.tolist()])
     high = x > (k - 1) / 2
-    a = high.sum(axis=1)
-    b = n - a
-    mean = 2 * a * b / n + 1
-    var = np.maximum((mean - 1) * (mean - 2) / max(n - 1, 1), 1e-9)
     changes = (high[:, 1:] != high[:, :-1]).sum(axis=1)
-    alternation = np.where((a > 0) & (b > 0), _tails((1 + changes - mean) / np.sqrt(var)), 2.0 ** (1 - n))
     d = x - x.mean(axis=1)[:, None]
-    spread = (d * d).sum(axis=1)
-    flat = spread == 0
-    serial = _tails(((d[:, 1:] * d[:, :-1]).sum(axis=1) / np.where(flat, 1, spread) + 1 / n) * math.sqrt(n))
-    serial[flat] = 0
-    s = -2 * sum(np.log(np.maximum(p, 1e-300)) for p in (uniform, alternation, serial))
-    # Upper tail of chi-squared with six degrees of freedom.
-    return np.exp(-s / 2) * (1 + s / 2 + s * s / 8)
+    tests = (
+        _uniform((cells * cells).sum(axis=1), n, k), _alternation(high.sum(axis=1), changes, n),
+        _serial((d[:, 1:] * d[:, :-1]).sum(axis=1), (d * d).sum(axis=1), n),
+    )
+    return _fisher(sum(_log(p) for p in tests))
 
 
 def randomness(token: str) -> float:
@@ -128,44 +150,76 @@ def binned(p):
     return np.minimum(BINS - 1, (p * BINS)).astype(np.int64)
 
 
-def _readings() -> list[tuple[np.ndarray, int]]:
-    """For each number of an encoding, the places of the letters of prose (255: it has no such letter) and their count."""
-    out = []
+def _readings() -> list[tuple[np.ndarray, int, list[tuple[int, int, int]]]]:
+    """The ways to read prose: places of its letters from 0, their count, and (number, first place, letters) of the encodings that read so.
+
+    Encodings that differ in where the letters begin only share the counts of letters and the correlation of neighbours.
+    """
+    out: dict[bytes, tuple] = {}
     for number in range(KINDS_OF):
         # Hex has few of the letters of prose, so hex is held against prose in base 36.
         letters = next(x for x, n in ENCODINGS if n == (number or 2))
-        place = np.full(256, 255, dtype=np.uint8)
+        place = np.zeros(256, dtype=np.uint8)
         for c in _LOWER + _UPPER:
-            for own in (c, c.upper(), c.lower()):
-                if own in letters:
-                    place[ord(c)] = letters.index(own)
-                    break
-        out.append((place, len(letters)))
-    return out
+            place[ord(c)] = next(letters.index(own) for own in (c, c.upper(), c.lower()) if own in letters)
+        first = int(place[_LETTER].min())
+        place[_LETTER] -= first
+        out.setdefault(place.tobytes(), (place, int(place.max()) + 1, []))[2].append((number, first, len(letters)))
+    return list(out.values())
 
 
 READINGS = _readings()
 
 
+@cache
+def _uniform_logs(n: int, k: int) -> np.ndarray:
+    """Logarithms by the sum of the squared counts."""
+    return _log(_uniform(np.arange(n * n + 1), n, k))
+
+
+@cache
+def _alternation_logs(n: int) -> np.ndarray:
+    """Logarithms by letters above the median, then changes of side."""
+    a, changes = np.divmod(np.arange((n + 1) * n), n)
+    return _log(_alternation(a, changes, n))
+
+
+def pieces(read: np.ndarray, bounds: np.ndarray, length: int) -> np.ndarray:
+    """All texts cut into pieces, a column each: one after the other, and where letters are left, the last of the text once more."""
+    parts = []
+    for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if end - begin >= length:
+            whole = begin + (end - begin) // length * length
+            parts.append(read[begin:whole])
+            if whole < end:
+                parts.append(read[end - length : end])
+    return np.ascontiguousarray(np.concatenate([read[:0], *parts]).reshape(-1, length).T)
+
+
 def prose_counts(letters: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Scores of pieces of texts' letters by encoding and class."""
+    """Scores of all pieces of texts' letters by encoding and class: every letter of a text that is long enough is in a piece."""
     counts = np.zeros((KINDS_OF, BUCKETS, BINS), dtype=np.int64)
-    raw = letters.tobytes()
-    marks = np.array([zlib.crc32(raw[b:e]) for b, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())], dtype=np.int64)
-    for number, (place, k) in enumerate(READINGS):
+    for place, distinct, encodings in READINGS:
         read = place[letters]
-        has = read != 255
-        read, ends = read[has], np.concatenate([[0], np.cumsum(has)])[bounds]
         for size, length in enumerate(LENGTHS):
-            room = np.diff(ends) - length + 1
-            own = np.flatnonzero(room > 0)
-            first = marks[own] % np.minimum(room[own], EVERY)
-            times = (room[own] - 1 - first) // EVERY + 1
-            within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            at = np.repeat(ends[own] + first, times) + within * EVERY
-            if len(at):
-                pieces = read[at[:, None] + np.arange(length)].astype(np.int64)
-                counts[number, size] += np.bincount(binned(randomness_of(pieces, k)), minlength=BINS)
+            x = pieces(read, bounds, length)
+            rows = x.shape[1]
+            if not rows:
+                continue
+            wide = x.astype(np.int32)
+            cells = np.bincount((wide + distinct * np.arange(rows, dtype=np.int32)).ravel(), minlength=rows * distinct).reshape(rows, distinct)
+            squares = np.einsum("ij,ij->i", cells, cells)
+            total = wide.sum(axis=0, dtype=np.int64)
+            spread = np.einsum("ij,ij->j", wide, wide) - total * total / length
+            ends = total / length * (2 * total - wide[0] - wide[-1])
+            products = np.einsum("ij,ij->j", wide[1:], wide[:-1]) - ends + (length - 1) * (total / length) ** 2
+            serial = _log(_serial(products, np.where(spread < 1e-6, 0, spread), length))
+            for number, first, k in encodings:
+                high = (x > (k - 1) / 2 - first).view(np.uint8)
+                a = high.sum(axis=0, dtype=np.uint8).astype(np.int64)
+                changes = (high[1:] ^ high[:-1]).sum(axis=0, dtype=np.uint8)
+                logs = serial + _uniform_logs(length, k)[squares] + _alternation_logs(length)[a * length + changes]
+                counts[number, size] += np.bincount(binned(_fisher(logs)), minlength=BINS)
     return counts
 
 

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from millrace.llm import decontamination, line_dedup, lm_scoring, ngram_join, packing, pii, secret_scan, toxicity
@@ -273,6 +274,26 @@ def test_secrets_false_discoveries(spark):
     assert len(hits & odd) >= 120 and len(hits - odd) <= 5
 
 
+def test_all_letters_of_prose_are_judged():
+    """Every piece of every text counts, in each class and encoding, with the score that its letters have alone."""
+    r = random.Random(8)
+    texts = ["".join(r.choice("abcdefghijklmnoprstuwyABCDE") for _ in range(n)) for n in (0, 3, 16, 17, 50, 128, 300, 9000)] + ["a" * 200]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = secret_scan.prose_counts(np.frombuffer("".join(texts).encode(), dtype=np.uint8), bounds)
+    want = np.zeros_like(got)
+    for number in range(secret_scan.KINDS_OF):
+        letters = next(x for x, n in secret_scan.ENCODINGS if n == (number or 2))
+        place = {c: next(letters.index(own) for own in (c, c.upper(), c.lower()) if own in letters) for c in "abcdefghijklmnoprstuwyABCDE"}
+        for size, length in enumerate(secret_scan.LENGTHS):
+            for text in texts:
+                cut = [text[i : i + length] for i in range(0, len(text) - length + 1, length)]
+                cut += [text[-length:]] if cut and len(text) % length else []
+                for piece in cut:
+                    score = secret_scan.randomness_of(np.array([[place[c] for c in piece]]), len(letters))
+                    want[number, size, secret_scan.binned(score)[0]] += 1
+    assert (got == want).all() and got[0, 0].sum() == sum(-(-len(t) // 16) for t in texts if len(t) >= 16)
+
+
 def test_secrets_among_prose_without_long_words(spark):
     """Keys of every class from 24 characters are found though no word is that long, in a large table and in a single text."""
     r = random.Random(5)

@@ -318,4 +318,4 @@ def compile_keywords(schema: dict, ignored: tuple[str, ...] = (), value: str = "
     """
     good = Compiler(schema, ignored).good(value, schema, with_type=False)
     errors = Compiler(schema, ignored).errors(value, schema, "'$'", with_type=False)
-    return good, errors
+    return V.share(value, good), V.share(value, errors)

@@ -9,6 +9,8 @@ checks each; as text they reach Spark as one expression instead of thousands of
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
 # Accepted spellings of dates, date-times and times.
@@ -40,6 +42,34 @@ def bind(value: str, variable: str, body: str) -> str:
     return f"get(transform(array({value}), {variable} -> {body}), 0)"
 
 
+_TEXT = r"'(?:[^'\\]|\\.)*'"
+_READ = r"(?:schema_of_variant\({0}\)|map_entries\(try_variant_get\({0}, '\$', 'map<string,variant>'\)\)|try_variant_get\({0}, {1}, '(?!double)[^']*'\))"
+
+
+def share(variable: str, body: str) -> str:
+    """``body`` with what it reads more than once out of ``variable``, or out of what was so read, bound to variables.
+
+    A lambda is interpreted, and reads a value each time that it is named. Numbers as doubles stay as they are: few values get that far.
+    """
+    atoms, wraps = re.escape(variable), []
+    while True:
+        pattern = re.compile(f"({_READ.format(f'(?:{atoms})', _TEXT)})|{_TEXT}")
+        times: dict[str, int] = {}
+        for found in pattern.finditer(body):
+            if found[1]:
+                times[found[1]] = times.get(found[1], 0) + 1
+        scope = f"{variable}_{len(wraps)}"
+        names = {text: f"{scope}.x{i}" for i, text in enumerate(t for t, n in times.items() if n > 1)}
+        if not names:
+            break
+        body = pattern.sub(lambda found: names.get(found[1], found[0]), body)
+        wraps.append((f"named_struct({', '.join(f"'x{i}', {text}" for i, text in enumerate(names))})", scope))
+        atoms = rf"{re.escape(scope)}\.x\d+"
+    for value, scope in reversed(wraps):
+        body = bind(value, scope, body)
+    return body
+
+
 def child_path(key: str) -> str:
     """Variant path of one key, whatever characters it has."""
     if "'" not in key:

@@ -70,13 +70,12 @@ def keyword_report(df: DataFrame, schema: dict, ignored: tuple[str, ...] = ()) -
 
     Keywords that are not known, and those not in ``ignored``, are an error before any job.
     """
-    good, errors = compile_keywords(schema, ignored)
-    # In a lambda: hundreds of checks in the generated code would keep it from being compiled.
-    passes = once(V.bind("data", "d", compile_keywords(schema, ignored, "d")[0])) if good != "true" else F.lit(True)
+    errors = compile_keywords(schema, ignored, "d")[1]
+    # In a lambda: hundreds of checks in the generated code would keep it from being compiled. A record without errors has no row.
+    found = once(f"if(data IS NULL, NULL, {V.bind('data', 'd', errors)})")
     return (
-        df.withColumn("_passes", passes)
-        .where("NOT _passes")
-        .withColumn("_error", F.explode(F.expr(errors)))
+        df.withColumn("_errors", found)
+        .withColumn("_error", F.explode("_errors"))
         .select(*df.columns, "_error.path", "_error.rule", "_error.message")
     )
 

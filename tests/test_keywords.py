@@ -168,3 +168,15 @@ def test_undeclared_fields(spark, write_lines):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert m.undeclared_fields(parsed.limit(0), schema).count() == 0
+
+
+def test_values_are_read_once():
+    """However many checks a value has, it is read, and its kind told, once; texts of the schema stay as they are."""
+    for compiled in compile_keywords({**STRICT, "properties": {**STRICT["properties"], "n": {
+        "type": "integer", "minimum": 1, "maximum": 9, "multipleOf": 2, "not": {"const": 4}, "allOf": [{"exclusiveMaximum": 8}],
+        "enum": [2, 6, "schema_of_variant(d)", "schema_of_variant(d)"],
+    }}}, (), "d"):
+        assert compiled.count("try_variant_get(d, '$[\\'n\\']', 'variant')") == 1
+        read = next(x for x in compiled.split("'variant')") if "[\\'n\\']" in x).split("'x")[-1].split("'")[0]
+        assert compiled.count(f"schema_of_variant(d_0.x{read})") == 1
+        assert compiled.count("= 'schema_of_variant(d)'") == 2

@@ -28,15 +28,21 @@ CAPACITY, END_ID = 1024, 2
 # Rows that a task packs at once; it holds about 100 bytes for each.
 GROUP_ROWS = 50_000
 _CACHE_WORDS = 1 << 16
-_OTHER_SPACE = re.compile(r" \s|\s ")
+_OTHER_SPACE = re.compile(r" (?:\s|(?<=\s ))")
+
+
+def _plain(text: str) -> bool:
+    """Whether all characters are ASCII or letters."""
+    return text.isascii() or "".join(c for c in set(text) if not c.isascii()).isalpha()
 
 
 class Encoder:
     """Ids of a text, as little-endian unsigned 32-bit bytes.
 
-    Byte-level BPE never joins across the start of a word, so a text whose spaces are all single and
-    between other characters is cut at them, and each " word" is looked up or encoded once per worker. Plain
-    words are encoded by the faster library of the same vocabulary; all else by the tokenizer itself.
+    Texts whose spaces are all single and between other characters, and whose other characters are ASCII or letters, are
+    encoded by the faster library of the same vocabulary. If other characters are among them, they are cut at the spaces, as
+    byte-level BPE never joins across the start of a word, and each " word" is looked up or encoded once per worker, plain
+    words by the faster library. All else goes to the tokenizer itself.
     """
 
     def __init__(self, tokenizer: str, ranks: str):
@@ -54,16 +60,18 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def word(self, word: str) -> bytes:
-        bare = word.lstrip(" ")
-        if word.isascii() or bare.isalpha():
-            return np.array(self.plain.encode_ordinary(word), dtype="<u4").tobytes()
-        return self.exact(word)
+        return self.faster(word) if _plain(word) else self.exact(word)
+
+    def faster(self, text: str) -> bytes:
+        return self.plain.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
         if _OTHER_SPACE.search(text) or any(s in text for s in self.special):
             return self.exact(text)
+        if _plain(text):
+            return self.faster(text)
         first, *rest = text.split(" ")
         return self.word(first) + b"".join(map(self.cache.__getitem__, rest))
 

@@ -621,6 +621,20 @@ def test_encoder_agrees_with_the_tokenizer(text):
     assert own(text) == own.exact(text)
 
 
+def test_texts_of_letters_and_ascii_are_encoded_at_once(monkeypatch):
+    import public_tokenizers
+
+    own = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    texts = ["Il a vi\u00e9, o\u00f9; na\u00efve-ish\nTrois \u4e2d\u6587. 12", "plain words, \tand\n\nlines", " \u00c7a!"]
+    expected = [own.exact(text) for text in texts]
+    monkeypatch.setattr(own, "exact", None)
+    own.cache.forget()
+    assert [own(text) for text in texts[::2]] == expected[::2]
+    assert not own.cache
+    monkeypatch.undo()
+    assert [own(text) for text in texts] == expected
+
+
 def test_lower_bound_is_reached_or_below():
     import numpy as np
     import pyarrow as pa

@@ -8,12 +8,14 @@ line matches it, earlier by document id, then by place; other lines are left as
 only its first line, the head, can stay, and only heads take part in what follows.
 **Prefix.** Tokens are ordered by rarity, by counts over all documents in a table of fixed size, and the hash among equals.
 Sets that match share one of their first ``n - ceil(n * num / den) + 1`` tokens. Each is a posting: token, line, size,
-place, and a parity sketch of the set of 112 bits.
+place, and a parity sketch of the set of 112 bits. Sets of more than ``WIDE_FROM`` tokens, whose difference from any other would fill
+it, have a second one with a bit or more for each token, up to 512; beyond 1,000 tokens that fills up too, and exact verification decides alone.
 **Candidates.** Postings stream through partitions sorted by token and order of lines. A head is held against the ``WINDOW`` postings
 before it by size, by what the places leave to share and by the sketches, whose distance bounds the symmetric difference from
-below. The nearest by sketch goes to verification, and a mark says whether there may be others. Tokens with more than a 4,096th of all words are split over several tasks by the head; their heads are marked.
-**Verify.** Exact Jaccard decides. Heads with a mark and no match go on to the second round, a join of their postings with
-all postings of these tokens, in which every remaining candidate is verified. So near copies by the thousand are each settled
+below. The nearest by sketch goes to verification. Unless its distance is well below the limit, up to ``OTHERS`` candidates are listed beside it; if
+there may be more that are not listed, the posting has a mark. Tokens with more than a 4,096th of all words are split over several tasks by the head; their heads are marked.
+**Verify.** Exact Jaccard decides. For heads with no match, a second round verifies every remaining candidate: those listed, and
+those from a join of their marked postings with all postings of these tokens. So near copies by the thousand are each settled
 by one pair, and nothing is capped.
 
 Null and empty texts have no lines that take part. Rows without an id are left as they are; of repeated ids, each row
@@ -38,7 +40,9 @@ WINDOW = 1024  # postings of a token that one is held against in the first round
 SKETCH_BITS = 48  # in the number that also holds the place; 64 more follow
 PLACES = 1 << 14  # places beyond are kept as the last one, which the positional filter lets pass
 SPLIT_ROWS, SPLIT_SHARE = 1 << 16, 1 << 12
-PAIRS = 1 << 19  # pairs that are compared at once
+PAIRS = 1 << 16  # pairs that are compared at once
+WIDE_FROM, WIDE_WORDS = 100, 8  # sets of more tokens have a second sketch, of a power of two of 64-bit words
+OTHERS = 64  # candidates of a posting that are listed
 
 
 class Lines:
@@ -94,8 +98,41 @@ def parities(tokens: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     return [np.bitwise_xor.reduceat(np.where(own, bit, none), first) for own in (low, ~low)]
 
 
+def wide_parities(tokens: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Of each set of more than WIDE_FROM tokens, the parities of its tokens in as many buckets or more, 512 at most; null for others."""
+    long = sizes > WIDE_FROM
+    words = np.where(long, np.minimum(WIDE_WORDS, 1 << np.ceil(np.log2(np.maximum(sizes, 64) / 64)).astype(np.int64)), 0)
+    offsets = np.append(0, np.cumsum(words))
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    taken = long[owner]
+    owner, tokens = owner[taken], tokens[taken]
+    place = offsets[owner] * 64 + ((tokens >> np.uint64(40)).astype(np.int64) & (words[owner] * 64 - 1))
+    odd = np.bincount(place, minlength=int(offsets[-1]) * 64).astype(np.uint8) & 1
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.packbits(odd, bitorder="little").view(np.int64)), mask=pa.array(~long))
+
+
+def wide_apart(wide: pa.Array, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hamming distances of the wide sketches of rows x and y, 0 where one has none; of two sizes, the larger is folded."""
+    apart = np.zeros(len(x), dtype=np.int64)
+    words = pc.fill_null(pc.list_value_length(wide), 0).to_numpy().astype(np.int64)
+    flat, first = wide.flatten().to_numpy(), np.cumsum(words) - words
+    both = np.flatnonzero((words[x] > 0) & (words[y] > 0))
+    kinds = words[x[both]] * (WIDE_WORDS + 1) + words[y[both]]
+    for kind in np.unique(kinds).tolist():
+        own = both[kinds == kind]
+        sketches = []
+        for rows, width in zip((x[own], y[own]), divmod(kind, WIDE_WORDS + 1)):
+            bits = flat[first[rows][:, None] + np.arange(width)]
+            while bits.shape[1] > min(divmod(kind, WIDE_WORDS + 1)):
+                half = bits.shape[1] // 2
+                bits = bits[:, :half] ^ bits[:, half:]
+            sketches.append(bits)
+        apart[own] = np.bitwise_count((sketches[0] ^ sketches[1]).view(np.uint64)).sum(axis=1)
+    return apart
+
+
 CLASS = ["h1", "h2", "n"]
-LINES = "h1 long, h2 long, n int, doc_id long, line int, docs array<long>, lines array<int>, prefix array<long>, sketch long, sketch2 long"
+LINES = "h1 long, h2 long, n int, doc_id long, line int, docs array<long>, lines array<int>, prefix array<long>, sketch long, sketch2 long, wide array<long>"
 
 
 def lines_of(docs: DataFrame, counts: np.ndarray, least: int, num: int, den: int) -> DataFrame:
@@ -125,6 +162,7 @@ def lines_of(docs: DataFrame, counts: np.ndarray, least: int, num: int, den: int
                 local = np.repeat(np.arange(len(heads)), sizes)
                 within = np.arange(len(local)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 tokens = own.tokens[np.repeat(own.first[heads], sizes) + within]
+                wide = wide_parities(tokens, sizes)
                 rarity = (shared.value[bucket_of(tokens)] << np.uint64(40)) | (tokens >> np.uint64(24))
                 tokens = tokens[sorted_within(local, rarity, len(heads))]
                 prefix = sizes - -(-sizes * num // den) + 1
@@ -134,7 +172,7 @@ def lines_of(docs: DataFrame, counts: np.ndarray, least: int, num: int, den: int
                     doc_id=pa.array(doc[heads]), line=pa.array(line[heads].astype(np.int32)),
                     docs=pa.ListArray.from_arrays(copies, pa.array(doc[others])), lines=pa.ListArray.from_arrays(copies, pa.array(line[others].astype(np.int32))),
                     prefix=pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(tokens[within < prefix[local]]))),
-                    sketch=pa.array(signed(sketch[heads])), sketch2=pa.array(signed(more[heads])),
+                    sketch=pa.array(signed(sketch[heads])), sketch2=pa.array(signed(more[heads])), wide=wide,
                 )
 
     return docs.select("doc_id", "text").mapInArrow(run, LINES)
@@ -165,24 +203,25 @@ def mark_heads(lines: DataFrame) -> DataFrame:
             copy = (doc != head_doc) | (line != head_line)
             prefix = batch.column(7)
             prefix = pc.if_else(pa.array(new), prefix, pa.scalar(None, prefix.type))
+            wide = pc.if_else(pa.array(new), batch.column(10), pa.scalar(None, batch.column(10).type))
             yield record_batch(
                 doc_id=batch.column(3), line=batch.column(4), docs=batch.column(5), lines=batch.column(6), prefix=prefix,
-                sketch=batch.column(8), sketch2=batch.column(9), n=batch.column(2), head=pa.array(new), copy=pa.array(copy),
+                sketch=batch.column(8), sketch2=batch.column(9), wide=wide, n=batch.column(2), head=pa.array(new), copy=pa.array(copy),
             )
 
-    schema = "doc_id long, line int, docs array<long>, lines array<int>, prefix array<long>, sketch long, sketch2 long, n int, head boolean, copy boolean"
+    schema = "doc_id long, line int, docs array<long>, lines array<int>, prefix array<long>, sketch long, sketch2 long, wide array<long>, n int, head boolean, copy boolean"
     return lines.repartition(*CLASS).sortWithinPartitions(*CLASS, "doc_id", "line").mapInArrow(run, schema)
 
 
-POSTING = ["token", "at", "doc_id", "place", "sketch2"]
+POSTING = ["token", "at", "doc_id", "place", "sketch2", "wide"]
 
 
 def postings(heads: DataFrame, *more: str) -> DataFrame:
-    """(token, at: line and size, doc_id, place: place and first part of the sketch, sketch2) of the prefixes."""
+    """(token, at: line and size, doc_id, place: place and first part of the sketch, sketch2, wide) of the prefixes."""
     at = F.shiftleft(F.col("line").cast("long"), 32).bitwiseOR(F.col("n").cast("long")).alias("at")
-    rows = heads.select(at, "doc_id", "sketch", "sketch2", *more, F.posexplode("prefix").alias("p", "token"))
+    rows = heads.select(at, "doc_id", "sketch", "sketch2", "wide", *more, F.posexplode("prefix").alias("p", "token"))
     place = F.shiftleft(F.least(F.col("p"), F.lit(PLACES - 1)).cast("long"), SKETCH_BITS).bitwiseOR(F.col("sketch"))
-    return rows.select("token", "at", "doc_id", place.alias("place"), "sketch2", *more)
+    return rows.select("token", "at", "doc_id", place.alias("place"), "sketch2", "wide", *more)
 
 
 def split_tokens(posted: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -197,28 +236,29 @@ def split_tokens(posted: DataFrame, counts: np.ndarray) -> DataFrame:
     key = F.xxhash64("token", F.pmod(F.xxhash64("doc_id", "at"), F.col("parts")))
     place = F.col("place").bitwiseOR(F.lit(PLACES << SKETCH_BITS))
     split = F.col("parts").isNotNull()
-    return dealt.select(F.when(split, key).otherwise(F.col("token")).alias("token"), "at", "doc_id", F.when(split, place).otherwise(F.col("place")).alias("place"), "sketch2")
+    return dealt.select(F.when(split, key).otherwise(F.col("token")).alias("token"), "at", "doc_id", F.when(split, place).otherwise(F.col("place")).alias("place"), "sketch2", "wide")
 
 
-FOUND = "doc_x long, line_x int, doc_y long, line_y int, apart int, more boolean"
+FOUND = "doc_x long, line_x int, token long, doc_y long, line_y int, apart int, docs array<long>, lines array<int>, more boolean"
 
 
 def nearest_earlier(posted: DataFrame, num: int, den: int, window: int) -> DataFrame:
-    """For heads that pass the filters with an earlier one: the nearest such of a token, and whether there may be more.
+    """For heads that pass the filters with an earlier one: the nearest such of a token, others listed, and whether there may be more.
 
     Rows come sorted by token, document and line. A task holds one batch and the ``window`` rows before it. A head
-    with more rows of its token before it, or whose token was split, has the mark, and may come without a partner.
+    with more rows of its token before it, or whose token was split (then null), has the mark, and may come without a partner.
+    Candidates are listed where the nearest is nearer to the limit than to 0; elsewhere they are seldom needed.
     """
 
     def run(batches):
-        held, seen = None, 0  # the last rows of the open token, and how many it had
+        held, held_wide, seen = None, None, 0  # the last rows of the open token, and how many it had
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns, old = [batch.column(i).to_numpy() for i in range(5)], 0
+            columns, wide, old = [batch.column(i).to_numpy() for i in range(5)], batch.column(5), 0
             if held is not None and held[0][-1] == columns[0][0]:
                 old = len(held[0])
-                columns = [np.concatenate([h, c]) for h, c in zip(held, columns)]
+                columns, wide = [np.concatenate([h, c]) for h, c in zip(held, columns)], pa.concat_arrays([held_wide, wide])
             token, at, doc, place, more_bits = columns
             rows = len(token)
             edges = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
@@ -233,6 +273,7 @@ def nearest_earlier(posted: DataFrame, num: int, den: int, window: int) -> DataF
             before = index - start + np.where(start == 0, seen - old, 0) if old else index - start
             beyond = split | (before > window)
             hits, nearest, partner = np.zeros(rows, dtype=np.int64), np.zeros(rows, dtype=np.int64), np.full(rows, -1)
+            listed, others = np.zeros(rows, dtype=np.int64), [np.zeros(0, dtype=np.int64)]
             lengths = index - begin
             ends = np.cumsum(lengths)
             done = old
@@ -250,25 +291,33 @@ def nearest_earlier(posted: DataFrame, num: int, den: int, window: int) -> DataF
                 apart = np.bitwise_count(bits[own] ^ bits[other]).astype(np.int64) + np.bitwise_count((more_bits[own] ^ more_bits[other]).view(np.uint64))
                 near = (apart <= a + b - 2 * need) & ((left >= need) | (p == PLACES - 1) | (q == PLACES - 1))
                 near &= (doc[own] != doc[other]) | (line[own] != line[other])
-                own, other, apart = own[near], other[near], apart[near]
+                own, other, apart, most = own[near], other[near], apart[near], (a + b - 2 * need)[near]
+                apart = np.maximum(apart, wide_apart(wide, own, other))
+                near = apart <= most
+                own, other, apart, most = own[near], other[near], apart[near], most[near]
                 if len(own):
                     first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
                     x = own[first]
                     hits[x] = np.diff(np.append(first, len(own)))
                     best = np.minimum.reduceat((apart << 32) | other, first)
                     nearest[x], partner[x] = best >> 32, best & 0xFFFFFFFF
+                    few = (hits[x] > 1) & (hits[x] <= OTHERS) & (2 * nearest[x] > most[first])
+                    listed[x] = np.where(few, hits[x], 0)
+                    others.append(other[np.repeat(few, hits[x])])
                 done = to
             x = np.flatnonzero((hits > 0) | (beyond & (index >= old)))
             lacking = pa.array(partner[x] < 0)
             none = lambda values: pc.if_else(lacking, pa.scalar(None, values.type), values)
+            offsets, every = pa.array(np.append(0, np.cumsum(listed[x])).astype(np.int32)), np.concatenate(others)
             yield record_batch(
-                doc_x=pa.array(doc[x]), line_x=pa.array(line[x].astype(np.int32)),
+                doc_x=pa.array(doc[x]), line_x=pa.array(line[x].astype(np.int32)), token=pa.array(token[x], mask=split[x]),
                 doc_y=none(pa.array(doc[partner[x]])), line_y=none(pa.array(line[partner[x]].astype(np.int32))),
-                apart=pa.array(nearest[x].astype(np.int32)), more=pa.array((hits[x] > 1) | beyond[x]),
+                apart=pa.array(nearest[x].astype(np.int32)), docs=pa.ListArray.from_arrays(offsets, pa.array(doc[every])),
+                lines=pa.ListArray.from_arrays(offsets, pa.array(line[every].astype(np.int32))), more=pa.array((hits[x] > np.maximum(listed[x], 1)) | beyond[x]),
             )
             last = int(start[-1])
             seen = rows - last + (seen - old if old and last == 0 else 0)
-            held = [c[max(last, rows - window) :] for c in columns]
+            held, held_wide = [c[max(last, rows - window) :] for c in columns], wide.slice(max(last, rows - window))
 
     return posted.repartition("token").sortWithinPartitions("token", "doc_id", "at").mapInArrow(run, FOUND)
 
@@ -280,17 +329,18 @@ def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, least: int =
     counts = bucket_counts(docs.select("text"), lambda batch: (hash_words(data, bounds).hashes for _, data, bounds in text_chunks(batch.column(0))))
     marked = scratch.keep(mark_heads(lines_of(docs, counts, least, num, den)))
     posted = postings(marked.where("head"))
-    found = nearest_earlier(split_tokens(posted, counts), num, den, window)
-    best = F.min(F.when(F.col("doc_y").isNotNull(), F.struct("apart", "doc_y", "line_y"))).alias("y")
-    several = F.max("more") | (F.min(F.struct("doc_y", "line_y")) != F.max(F.struct("doc_y", "line_y")))
-    found = found.groupBy("doc_x", "line_x").agg(best, F.coalesce(several, F.lit(True)).alias("more"))
-    found = scratch.keep(found.select("doc_x", "line_x", F.col("y.doc_y").alias("doc_y"), F.col("y.line_y").alias("line_y"), "more"))
-    pairs = found.where("doc_y IS NOT NULL").drop("more")
+    found = scratch.keep(nearest_earlier(split_tokens(posted, counts), num, den, window))
+    spot_x, pair = ["doc_x", "line_x"], ["doc_x", "line_x", "doc_y", "line_y"]
+    best = F.min(F.struct("apart", "doc_y", "line_y")).alias("y")
+    pairs = scratch.keep(found.where("doc_y IS NOT NULL").groupBy(*spot_x).agg(best).select(*spot_x, F.col("y.doc_y").alias("doc_y"), F.col("y.line_y").alias("line_y")))
     matched = _verified(scratch, docs, pairs, num, den, least)
-    again = found.where("more").join(matched, ["doc_x", "line_x"], "left_anti").select("doc_x", "line_x")
-    again = scratch.keep(again)
+    left = found.join(matched, spot_x, "left_anti")
+    rest = left.where("doc_y IS NOT NULL").select(pair).unionByName(left.select(*spot_x, F.inline(F.arrays_zip("docs", "lines")).alias("doc_y", "line_y")))
+    again = scratch.keep(left.where("more").select(*spot_x, "token"))
     if not again.isEmpty():
-        rest = scratch.keep(earlier_candidates(again, marked, num, den).join(pairs, ["doc_x", "line_x", "doc_y", "line_y"], "left_anti"))
+        rest = rest.unionByName(earlier_candidates(again, marked, num, den))
+    rest = scratch.keep(rest.distinct().join(pairs, pair, "left_anti"))
+    if not rest.isEmpty():
         matched = scratch.keep(matched.unionByName(_verified(scratch, docs, rest, num, den, least)))
     copies = marked.where("size(docs) > 0").select(F.inline(F.arrays_zip("docs", "lines"))).toDF("doc_id", "line")
     copies = copies.unionByName(marked.where("copy").select("doc_id", "line"))
@@ -298,17 +348,21 @@ def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, least: int =
 
 
 def earlier_candidates(again: DataFrame, marked: DataFrame, num: int, den: int) -> DataFrame:
-    """All pairs (later head of ``again``, earlier head) that share a prefix token and pass the filters."""
-    heads = marked.where("head").select("doc_id", "line", "n", "prefix", "sketch", "sketch2")
-    wanted = heads.join(again, (F.col("doc_id") == F.col("doc_x")) & (F.col("line") == F.col("line_x")), "left_semi")
-    own = postings(wanted, "prefix")
+    """All pairs (later head, earlier head) that share a token of the later one in ``again`` and pass the filters; a null stands for its prefix.
+
+    Tokens of its prefix that are not there have had all their pairs listed.
+    """
+    heads = marked.where("head").select("doc_id", "line", "n", "prefix", "sketch", "sketch2", "wide")
+    again = again.groupBy("doc_x", "line_x").agg(F.collect_set("token").alias("asked"), F.max(F.col("token").isNull()).alias("whole"))
+    wanted = heads.join(again, (F.col("doc_id") == F.col("doc_x")) & (F.col("line") == F.col("line_x")))
+    own = postings(wanted, "prefix", "asked", "whole").where(F.col("whole") | F.array_contains("asked", F.col("token"))).drop("asked", "whole")
     asked = IdFilter(own, "token", hashed=True)
     table, mask = asked.table, (1 << asked.bits) - 1
 
     def asked_postings(batches):
         """The postings whose token may be asked for."""
         for batch in batches:
-            doc, line, n, prefix, sketch, sketch2 = batch.columns
+            doc, line, n, prefix, sketch, sketch2 = batch.columns[:6]
             tokens, sizes = prefix.flatten().to_numpy(), pc.list_value_length(prefix).to_numpy()
             places = tokens & mask
             hit = np.flatnonzero((table.value[places >> 5] >> (places & 31)) & 1)
@@ -322,9 +376,9 @@ def earlier_candidates(again: DataFrame, marked: DataFrame, num: int, den: int)
                 place=pa.array((spot << SKETCH_BITS) | sketch.to_numpy()[row]), sketch2=sketch2.take(pa.array(row)), **before,
             )
 
-    held = heads.mapInArrow(asked_postings, "token long, at long, doc_id long, place long, sketch2 long, before1 long, before2 long")
-    x = own.select("token", "prefix", *[F.col(c).alias(f"{c}_x") for c in POSTING[1:]])
-    y = held.select("token", "before1", "before2", *[F.col(c).alias(f"{c}_y") for c in POSTING[1:]])
+    held = heads.drop("wide").mapInArrow(asked_postings, "token long, at long, doc_id long, place long, sketch2 long, before1 long, before2 long")
+    x = own.select("token", "prefix", *[F.col(c).alias(f"{c}_x") for c in POSTING[1:5]])
+    y = held.select("token", "before1", "before2", *[F.col(c).alias(f"{c}_y") for c in POSTING[1:5]])
     a, b = (F.col(f"at_{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in "xy")
     line_x, line_y = (F.shiftright(f"at_{k}", 32) for k in "xy")
     need = F.floor(((a + b) * num + (num + den - 1)) / (num + den))

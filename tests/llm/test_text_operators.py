@@ -191,6 +191,38 @@ def test_line_dedup_of_hot_lines(spark, monkeypatch):
             assert expected[i] == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in got.get(i, ()))
 
 
+def test_line_dedup_lists_few_candidates(spark, monkeypatch):
+    """Near misses are verified as listed, with no join of postings; where more than may be listed are met, the join finds them."""
+    base = [f"b{i}" for i in range(30)]
+    near = [" ".join(base[:26] + [f"x{k}_{i}" for i in range(4)]) for k in range(9)]
+    rows = list(enumerate([*near, " ".join(base[:25] + [f"y{i}" for i in range(5)]), " ".join(base[:26] + [f"x4_{i}" for i in range(3)])]))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = lines_left_by_force(rows)
+    assert [i for i, text in expected.items() if not text] == [10]
+    with monkeypatch.context() as patch:
+        patch.setattr(line_dedup, "earlier_candidates", None)
+        assert {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()} == expected
+    monkeypatch.setattr(line_dedup, "OTHERS", 2)
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()} == expected
+    test_line_dedup_of_hot_lines(spark, monkeypatch)
+
+
+def test_line_dedup_tells_long_lines_apart(spark):
+    """Long lines that share little more than a rare word are no candidates; those that match are found, also across sketch sizes."""
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(4000)]
+    lines = [" ".join(["rare", *r.sample(words, r.choice([110, 250, 255, 400, 700]))]) for _ in range(50)]
+    for k, n in ((1, 120), (2, 135), (3, 262), (4, 90)):
+        lines += [" ".join(["rare", *words[k * 600 : k * 600 + n]]), " ".join(["rare", *words[k * 600 + n // 12 : k * 600 + n + n // 40]])]
+    rows = list(enumerate(lines))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.doc_id: x.text for x in line_dedup.dedup_lines(frame).collect()} == lines_left_by_force(rows)
+    counts = line_dedup.bucket_counts(frame.select("text"), lambda batch: (line_dedup.hash_words(d, b).hashes for _, d, b in line_dedup.text_chunks(batch.column(0))))
+    heads = line_dedup.mark_heads(line_dedup.lines_of(frame, counts, 1, 80, 100)).where("head")
+    found = line_dedup.nearest_earlier(line_dedup.postings(heads), 80, 100, 1024).select("doc_x", "doc_y").distinct().collect()
+    assert all(x.doc_x >= 50 and x.doc_y >= 50 for x in found) and len(found) >= 4
+
+
 def test_line_dedup_of_short_lines(spark):
     """Lines of one to seven distinct words are judged too, also those that repeat their words."""
     lines = ["MIT", "see the menu", "a b c d", "a b c d e", "Nicht aulich fur sch eruver enau sch der.", "", " ", "one two three four five six seven"]

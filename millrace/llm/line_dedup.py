@@ -41,7 +41,7 @@ SKETCH_BITS = 48  # in the number that also holds the place; 64 more follow
 PLACES = 1 << 14  # places beyond are kept as the last one, which the positional filter lets pass
 SPLIT_ROWS, SPLIT_SHARE = 1 << 16, 1 << 12
 PAIRS = 1 << 16  # pairs that are compared at once
-WIDE_FROM, WIDE_WORDS = 100, 8  # sets of more tokens have a second sketch, of a power of two of 64-bit words
+WIDE_FROM, WIDE_WORDS = 144, 8  # sets of more tokens have a second sketch, of a power of two of 64-bit words
 OTHERS = 64  # candidates of a posting that are listed
 
 
@@ -411,7 +411,7 @@ def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, num: int, den
             yield record_batch(doc_id=batch.column(0), line=batch.column(1), spot=pa.array(spots))
 
     wanted = scratch.keep(ends[0].unionByName(ends[1]).distinct().mapInArrow(with_spot, "doc_id long, line int, spot long"))
-    # Bit maps leave out documents, and then lines, that surely have none; an exact join follows.
+    # Bit maps leave out documents, and then lines, that surely have none; exact joins follow.
     bits = min(26, max(20, (16 * wanted.count()).bit_length()))
     of_docs, of_lines = IdFilter(wanted, "doc_id"), IdFilter(wanted, "spot", bits, hashed=True)
     doc_table, line_table, hits, mask = of_docs.table, of_lines.table, of_docs.hits, (1 << bits) - 1
@@ -427,7 +427,7 @@ def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, num: int, den
                 yield record_batch(doc_id=pa.array(doc[asked]), line=pa.array(line[asked].astype(np.int32)), tokens=list_array(sets, pa.int64()))
 
     sets = docs.select("doc_id", "text", of_docs.place("doc_id")).mapInArrow(run, "doc_id long, line int, tokens array<long>")
-    sets = scratch.keep(sets.join(wanted, ["doc_id", "line"], "left_semi"))
+    sets = scratch.keep(sets)  # the joins with pairs leave out the few that are not wanted
     x = sets.select(F.col("doc_id").alias("doc_x"), F.col("line").alias("line_x"), F.col("tokens").alias("sx"))
     y = sets.select(F.col("doc_id").alias("doc_y"), F.col("line").alias("line_y"), F.col("tokens").alias("sy"))
     both = F.size(F.array_intersect("sx", "sy"))

@@ -8,7 +8,8 @@ line matches it, earlier by document id, then by place; other lines are left as
 only its first line, the head, can stay, and only heads take part in what follows.
 **Prefix.** Tokens are ordered by rarity, by counts over all documents in a table of fixed size, and the hash among equals.
 Sets that match share one of their first ``n - ceil(n * num / den) + 1`` tokens. Each is a posting: token, line, size,
-place, and a parity sketch of the set of 112 bits. Sets of more than ``WIDE_FROM`` tokens, whose difference from any other would fill
+place, and a parity sketch of the set of 112 bits. Tokens stand there with 32 bits of their hash, which their order follows;
+others of the same 32 bits are further candidates only, as a set is then one of numbers that may repeat, and its overlap is no smaller. Sets of more than ``WIDE_FROM`` tokens, whose difference from any other would fill
 it, have a second one with a bit or more for each token, up to 512; beyond 1,000 tokens that fills up too, and exact verification decides alone.
 **Candidates.** Postings stream through partitions sorted by token and order of lines. A head is held against the ``WINDOW`` postings
 before it by size, by what the places leave to share and by the sketches, whose distance bounds the symmetric difference from
@@ -131,8 +132,19 @@ def wide_apart(wide: pa.Array, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return apart
 
 
+def prefixes(tokens: np.ndarray, owner: np.ndarray, sizes: np.ndarray, counts: np.ndarray, num: int, den: int) -> pa.Array:
+    """Of each set, 32 bits of the tokens of its prefix. The order by rarity is an order of these 32 bits too."""
+    short = (tokens >> np.uint64(24)).astype(np.uint32)
+    rarity = (counts[bucket_of(tokens)] << np.uint64(40)) | short.astype(np.uint64)
+    short = short[sorted_within(owner, rarity, len(sizes))]
+    length = sizes - -(-sizes * num // den) + 1
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    offsets = np.append(0, np.cumsum(length)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(short[within < length[owner]].view(np.int32)))
+
+
 CLASS = ["h1", "h2", "n"]
-LINES = "h1 long, h2 long, n int, doc_id long, line int, docs array<long>, lines array<int>, prefix array<long>, sketch long, sketch2 long, wide array<long>"
+LINES = "h1 long, h2 long, n int, doc_id long, line int, docs array<long>, lines array<int>, prefix array<int>, sketch long, sketch2 long, wide array<long>"
 
 
 def lines_of(docs: DataFrame, counts: np.ndarray, least: int, num: int, den: int) -> DataFrame:
@@ -163,15 +175,12 @@ def lines_of(docs: DataFrame, counts: np.ndarray, least: int, num: int, den: int
                 within = np.arange(len(local)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 tokens = own.tokens[np.repeat(own.first[heads], sizes) + within]
                 wide = wide_parities(tokens, sizes)
-                rarity = (shared.value[bucket_of(tokens)] << np.uint64(40)) | (tokens >> np.uint64(24))
-                tokens = tokens[sorted_within(local, rarity, len(heads))]
-                prefix = sizes - -(-sizes * num // den) + 1
-                offsets = np.append(0, np.cumsum(prefix)).astype(np.int32)
+                prefix = prefixes(tokens, local, sizes, shared.value, num, den)
                 yield record_batch(
                     h1=pa.array(signed(h1[heads])), h2=pa.array(signed(h2[heads])), n=pa.array(sizes.astype(np.int32)),
                     doc_id=pa.array(doc[heads]), line=pa.array(line[heads].astype(np.int32)),
                     docs=pa.ListArray.from_arrays(copies, pa.array(doc[others])), lines=pa.ListArray.from_arrays(copies, pa.array(line[others].astype(np.int32))),
-                    prefix=pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(tokens[within < prefix[local]]))),
+                    prefix=prefix,
                     sketch=pa.array(signed(sketch[heads])), sketch2=pa.array(signed(more[heads])), wide=wide,
                 )
 
@@ -209,19 +218,20 @@ def mark_heads(lines: DataFrame) -> DataFrame:
                 sketch=batch.column(8), sketch2=batch.column(9), wide=wide, n=batch.column(2), head=pa.array(new), copy=pa.array(copy),
             )
 
-    schema = "doc_id long, line int, docs array<long>, lines array<int>, prefix array<long>, sketch long, sketch2 long, wide array<long>, n int, head boolean, copy boolean"
+    schema = "doc_id long, line int, docs array<long>, lines array<int>, prefix array<int>, sketch long, sketch2 long, wide array<long>, n int, head boolean, copy boolean"
     return lines.repartition(*CLASS).sortWithinPartitions(*CLASS, "doc_id", "line").mapInArrow(run, schema)
 
 
-POSTING = ["token", "at", "doc_id", "place", "sketch2", "wide"]
+# In this order the zeros of short numbers lie together, and a shuffle's compression takes them out.
+POSTING = ["place", "sketch2", "at", "doc_id", "token", "wide"]
 
 
 def postings(heads: DataFrame, *more: str) -> DataFrame:
-    """(token, at: line and size, doc_id, place: place and first part of the sketch, sketch2, wide) of the prefixes."""
+    """(place: place and first part of the sketch, sketch2, at: line and size, doc_id, token, wide) of the prefixes."""
     at = F.shiftleft(F.col("line").cast("long"), 32).bitwiseOR(F.col("n").cast("long")).alias("at")
     rows = heads.select(at, "doc_id", "sketch", "sketch2", "wide", *more, F.posexplode("prefix").alias("p", "token"))
     place = F.shiftleft(F.least(F.col("p"), F.lit(PLACES - 1)).cast("long"), SKETCH_BITS).bitwiseOR(F.col("sketch"))
-    return rows.select("token", "at", "doc_id", place.alias("place"), "sketch2", "wide", *more)
+    return rows.withColumn("place", place).select(*POSTING, *more)
 
 
 def split_tokens(posted: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -230,16 +240,17 @@ def split_tokens(posted: DataFrame, counts: np.ndarray) -> DataFrame:
     often = np.flatnonzero(counts > most)  # fewer than SPLIT_SHARE
     if not len(often):
         return posted
-    parts = posted.sparkSession.createDataFrame([(int(b), int(counts[b] // most + 1)) for b in often], "bucket long, parts long")
-    bucket = F.shiftrightunsigned("token", 24).bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))
+    parts = posted.sparkSession.createDataFrame([(int(b), int(counts[b] // most + 1)) for b in often], "bucket int, parts long")
+    bucket = F.col("token").bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))
     dealt = posted.withColumn("bucket", bucket).join(F.broadcast(parts), "bucket", "left")
-    key = F.xxhash64("token", F.pmod(F.xxhash64("doc_id", "at"), F.col("parts")))
+    key = F.hash("token", F.pmod(F.xxhash64("doc_id", "at"), F.col("parts")))
     place = F.col("place").bitwiseOR(F.lit(PLACES << SKETCH_BITS))
     split = F.col("parts").isNotNull()
-    return dealt.select(F.when(split, key).otherwise(F.col("token")).alias("token"), "at", "doc_id", F.when(split, place).otherwise(F.col("place")).alias("place"), "sketch2", "wide")
+    dealt = dealt.withColumns({"token": F.when(split, key).otherwise(F.col("token")), "place": F.when(split, place).otherwise(F.col("place"))})
+    return dealt.select(POSTING)
 
 
-FOUND = "doc_x long, line_x int, token long, doc_y long, line_y int, apart int, docs array<long>, lines array<int>, more boolean"
+FOUND = "doc_x long, line_x int, token int, doc_y long, line_y int, apart int, docs array<long>, lines array<int>, more boolean"
 
 
 def nearest_earlier(posted: DataFrame, num: int, den: int, window: int) -> DataFrame:
@@ -255,7 +266,7 @@ def nearest_earlier(posted: DataFrame, num: int, den: int, window: int) -> DataF
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns, wide, old = [batch.column(i).to_numpy() for i in range(5)], batch.column(5), 0
+            columns, wide, old = [batch.column(c).to_numpy() for c in ("token", "at", "doc_id", "place", "sketch2")], batch.column("wide"), 0
             if held is not None and held[0][-1] == columns[0][0]:
                 old = len(held[0])
                 columns, wide = [np.concatenate([h, c]) for h, c in zip(held, columns)], pa.concat_arrays([held_wide, wide])
@@ -376,9 +387,9 @@ def earlier_candidates(again: DataFrame, marked: DataFrame, num: int, den: int)
                 place=pa.array((spot << SKETCH_BITS) | sketch.to_numpy()[row]), sketch2=sketch2.take(pa.array(row)), **before,
             )
 
-    held = heads.drop("wide").mapInArrow(asked_postings, "token long, at long, doc_id long, place long, sketch2 long, before1 long, before2 long")
-    x = own.select("token", "prefix", *[F.col(c).alias(f"{c}_x") for c in POSTING[1:5]])
-    y = held.select("token", "before1", "before2", *[F.col(c).alias(f"{c}_y") for c in POSTING[1:5]])
+    held = heads.drop("wide").mapInArrow(asked_postings, "token int, at long, doc_id long, place long, sketch2 long, before1 int, before2 int")
+    x = own.select("token", "prefix", *[F.col(c).alias(f"{c}_x") for c in POSTING[:4]])
+    y = held.select("token", "before1", "before2", *[F.col(c).alias(f"{c}_y") for c in POSTING[:4]])
     a, b = (F.col(f"at_{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in "xy")
     line_x, line_y = (F.shiftright(f"at_{k}", 32) for k in "xy")
     need = F.floor(((a + b) * num + (num + den - 1)) / (num + den))

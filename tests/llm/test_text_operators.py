@@ -223,6 +223,30 @@ def test_line_dedup_tells_long_lines_apart(spark):
     assert all(x.doc_x >= 50 and x.doc_y >= 50 for x in found) and len(found) >= 4
 
 
+def test_line_dedup_prefixes_of_short_tokens(spark):
+    """Postings have 32 bits of a token; where other tokens have the same, sets that match still meet under one, and pass by its places there."""
+    frame = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e g")], "doc_id long, text string")
+    posted = line_dedup.postings(line_dedup.mark_heads(line_dedup.lines_of(frame, np.zeros(1 << 18, np.int64), 1, 80, 100)).where("head"))
+    assert dict(posted.dtypes)["token"] == "int"
+    r = np.random.default_rng(1)
+    counts = r.integers(0, 3, 1 << 18).astype(np.uint64)
+    # 16 tokens for each of 12 numbers of 32 bits, which differ in the other bits.
+    tokens = (r.integers(0, 1 << 32, 12, dtype=np.uint64)[:, None] << np.uint64(24)) | np.arange(16, dtype=np.uint64) | (np.arange(16, dtype=np.uint64) << np.uint64(56))
+    for _ in range(300):
+        whole = r.permutation(tokens.ravel())
+        n, out = int(r.integers(1, 60)), int(r.integers(0, 4))
+        sets = [np.sort(whole[:n]), np.sort(np.append(whole[min(out, n - 1) : n], whole[n : n + r.integers(0, 3)]))]
+        both = len(np.intersect1d(*sets))
+        a, b = map(len, sets)
+        if 100 * both < 80 * (a + b - both):
+            continue
+        need = -(-(a + b) * 80 // 180)
+        x, y = line_dedup.prefixes(np.concatenate(sets), np.repeat([0, 1], [a, b]), np.array([a, b]), counts, 80, 100).to_pylist()
+        first = next(q for q, t in enumerate(y) if t in x)  # the first that is shared is never left out as met before
+        p = x.index(y[first])
+        assert min(a - p, b - first) + min(p, first) >= need
+
+
 def test_line_dedup_of_short_lines(spark):
     """Lines of one to seven distinct words are judged too, also those that repeat their words."""
     lines = ["MIT", "see the menu", "a b c d", "a b c d e", "Nicht aulich fur sch eruver enau sch der.", "", " ", "one two three four five six seven"]

@@ -79,9 +79,14 @@ def child_path(key: str) -> str:
     raise ValueError(f"The property name {key} mixes both kinds of quotes.")
 
 
+def read(value: str, path: str, data_type: str) -> str:
+    """What lies at a variant path, as a type; SQL NULL when nothing does or it is of another kind."""
+    return f"try_variant_get({value}, {literal(path)}, '{data_type}')"
+
+
 def child(value: str, key: str) -> str:
     """The value under a key as a variant; SQL NULL when the key is missing or value is no object."""
-    return f"try_variant_get({value}, {literal(child_path(key))}, 'variant')"
+    return read(value, child_path(key), "variant")
 
 
 def elements(value: str) -> str:

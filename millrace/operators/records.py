@@ -100,8 +100,10 @@ def undeclared_fields(df: DataFrame, schema: dict) -> DataFrame:
     objects and of objects in declared arrays are told one by one. Counts are added up before the one shuffle, whose
     size is that of the list of paths.
     """
-    nodes = ", ".join(_object_nodes("data", schema, "'$'", 0))
-    objects = df.select(F.expr(f"explode(concat({nodes}))").alias("o")).select("o.path", "o.known", "o.value")
+    nodes = ", ".join(_object_nodes("data", "$", schema, "'$'", 0))
+    # Once: the optimizer puts a filter on the list's size before an explode, and would make the list a second time for it.
+    listed = df.select(once(f"concat({nodes})").alias("_nodes"))
+    objects = listed.select(F.explode("_nodes").alias("o")).select("o.path", "o.known", "o.value")
     fields = objects.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("value").outer()))
     found = fields.where(F.col("key").isNotNull() & ~F.array_contains("known", F.col("key")))
     # variant_explode names its columns pos, key and value; the object's own value is the first of that name.
@@ -112,26 +114,30 @@ def undeclared_fields(df: DataFrame, schema: dict) -> DataFrame:
     )
 
 
-def _object_nodes(value: str, schema: dict, path: str, depth: int) -> list[str]:
-    """SQL arrays of (path, known keys, value) of the declared objects of a record."""
+def _object_nodes(root: str, steps: str, schema: dict, path: str, depth: int) -> list[str]:
+    """SQL arrays of (path, known keys, value) of the declared objects below ``root`` at the variant path ``steps``.
+
+    Everything is read by its whole path: a value that is taken out of another as a variant is copied first.
+    """
     properties = schema.get("properties", {})
     known = ", ".join(V.literal(key) for key in properties)
     keys = f"array({known})" if known else "cast(array() AS array<string>)"
+    value = root if steps == "$" else V.read(root, steps, "variant")
     own = f"array(named_struct('path', {path}, 'known', {keys}, 'value', {value}))"
-    found = [f"if(coalesce({V.is_kind(value, 'object')}, false), {own}, array())"]
+    found = [f"if({V.read(root, steps, 'struct<>')} IS NOT NULL, {own}, array())"]
     for key, node in properties.items():
-        found += _nodes_below(V.child(value, key), node, f"concat({path}, {V.literal('.' + key)})", depth)
+        found += _nodes_below(root, steps + V.child_path(key)[1:], node, f"concat({path}, {V.literal('.' + key)})", depth)
     return found
 
 
-def _nodes_below(value: str, node: dict, path: str, depth: int) -> list[str]:
+def _nodes_below(root: str, steps: str, node: dict, path: str, depth: int) -> list[str]:
     if "properties" in node:
-        return _object_nodes(value, node, path, depth)
+        return _object_nodes(root, steps, node, path, depth)
     if isinstance(node.get("items"), dict):
         x = f"x{depth}"
-        inner = _nodes_below(x, node["items"], f"concat({path}, '[]')", depth + 1)
+        inner = _nodes_below(x, "$", node["items"], f"concat({path}, '[]')", depth + 1)
         if inner:
-            return [f"coalesce(flatten(transform({V.elements(value)}, {x} -> concat({', '.join(inner)}))), array())"]
+            return [f"coalesce(flatten(transform({V.read(root, steps, 'array<variant>')}, {x} -> concat({', '.join(inner)}))), array())"]
     return []
 
 

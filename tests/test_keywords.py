@@ -168,6 +168,10 @@ def test_undeclared_fields(spark, write_lines):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert m.undeclared_fields(parsed.limit(0), schema).count() == 0
+    # Each list of objects is made once, not again for a filter on its size, and nothing is read out of a value that was taken out.
+    optimized = got._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("array<variant>") + optimized.count("ArrayType(VariantType") == 2
+    assert "try_variant_get(try_variant_get(" not in optimized
 
 
 def test_values_are_read_once():

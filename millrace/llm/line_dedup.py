@@ -18,6 +18,8 @@ there may be more that are not listed, the posting has a mark. Tokens with more
 **Verify.** Exact Jaccard decides. For heads with no match, a second round verifies every remaining candidate: those listed, and
 those from a join of their marked postings with all postings of these tokens. So near copies by the thousand are each settled
 by one pair, and nothing is capped.
+**Texts** stay where they are: the lists of lines to take out, about a hundredth of their size, go to the tasks, dealt by id to pieces of
+``PIECE`` bytes, each looked up in a pass over the documents it is for. Only where they are more than ``PIECES`` pieces, texts are shuffled to them.
 
 Null and empty texts have no lines that take part. Rows without an id are left as they are; of repeated ids, each row
 loses the same lines, as the lines of equal ids at equal places are one line. Columns besides id and text play no part.
@@ -44,6 +46,7 @@ SPLIT_ROWS, SPLIT_SHARE = 1 << 16, 1 << 12
 PAIRS = 1 << 16  # pairs that are compared at once
 WIDE_FROM, WIDE_WORDS = 144, 8  # sets of more tokens have a second sketch, of a power of two of 64-bit words
 OTHERS = 64  # candidates of a posting that are listed
+PIECE, PIECES = 1 << 26, 4  # bytes of lists of removed lines that are looked up at once, and how many such pieces at most
 
 
 class Lines:
@@ -458,13 +461,52 @@ def dedup_lines(docs: DataFrame, num: int = NUM, den: int = DEN, least: int = LE
     gone = removed_lines(named, num, den, least).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"))
     name, lines, removed = (free_name(n, docs) for n in ("_id", "_lines", REMOVED))
     gone = scratch.keep(gone.select(F.col("doc_id").alias(name), F.col("lines").alias(lines)))
-    maybe, rest = IdFilter(gone, name).parts(docs, id_col)
+    pieces = max(1, -(-(gone.agg(F.sum(F.size(lines) * 4 + 12)).first()[0] or 0) // PIECE))
+    if pieces <= PIECES:
+        whole = F.col(id_col).cast("long")
+        key = F.when(whole == F.col(id_col), whole)
+        parts = []
+        for k in range(pieces):
+            piece = lambda id: F.pmod(F.xxhash64(id), F.lit(pieces)) == k  # noqa: B023, E731
+            lookup = looked_up(gone.where(piece(F.col(name))))
+            parts.append((docs.where(piece(key)) if pieces > 1 else docs).withColumn(lines, lookup(key)))
+    else:
+        maybe, rest = IdFilter(gone, name).parts(docs, id_col)
+        parts = [rest.withColumn(lines, F.lit(None).cast("array<int>")), maybe.join(gone, F.col(id_col) == F.col(name), "left")]
     kept = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.array_contains(lines, i))
     text = F.when(F.col(lines).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    hit = maybe.join(gone, F.col(id_col) == F.col(name), "left")
     count = F.when(F.col(lines).isNull(), 0).otherwise(F.size(F.col(lines))).cast("long")
-    hit = hit.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], count.alias(removed))
-    return rest.withColumn(removed, F.lit(0).cast("long")).unionByName(hit)
+    columns = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    first, *others = [part.select(*columns, count.alias(removed)) for part in parts]
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
+def looked_up(lists: DataFrame):
+    """A function from an id to its list of lines, null for other ids; ``lists`` has an id, once, and its list, and goes to the tasks."""
+    held = lists.toArrow()
+    ids, own = (held.column(c).combine_chunks() for c in range(2))
+    order = np.argsort(ids.to_numpy())
+    own = own.take(pa.array(order))
+    ends = np.append(0, np.cumsum(pc.list_value_length(own).to_numpy())).astype(np.int32)
+    flat = own.flatten().to_numpy()
+    if len(flat) and flat.max() < 1 << 16:
+        flat = flat.astype(np.uint16)
+    # The last id stands for all beyond; its list is empty.
+    table = lists.sparkSession.sparkContext.broadcast((np.append(ids.to_numpy()[order], np.iinfo(np.int64).max), np.append(ends, ends[-1]), flat))
+
+    @F.arrow_udf("array<int>")
+    def lookup(keys: pa.Array) -> pa.Array:
+        ids, ends, flat = table.value
+        key = pc.fill_null(keys, 0).to_numpy()
+        spot = np.searchsorted(ids, key)
+        sizes = np.where((ids[spot] == key) & keys.is_valid().to_numpy(zero_copy_only=False), ends[spot + 1] - ends[spot], 0)
+        offsets = np.append(0, np.cumsum(sizes))
+        values = flat[np.arange(offsets[-1]) + np.repeat(ends[spot] - offsets[:-1], sizes)]
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int32)), mask=pa.array(sizes == 0))
+
+    return lookup
 
 
 def digest(deduped: DataFrame) -> DataFrame:

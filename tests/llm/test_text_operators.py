@@ -165,6 +165,30 @@ def test_line_dedup_second_round(spark):
     assert {r.doc_id: r.text for r in got.collect()} == lines_left_by_force(rows)
 
 
+def test_line_dedup_leaves_texts_in_place(spark, monkeypatch):
+    rows = [(i, "\n".join([f"head of number {i} alone w{i} x{i}", "a line that every text has", f"common {i % 3} of three lines"])) for i in range(60)]
+    rows += [(None, "a line that every text has"), (2**63 - 1, "a line that every text has\nlast"), (-5, None), (7, "twice\na line that every text has")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        outs, plans = [], []
+        for piece, pieces in ((1 << 26, 4), (400, 4), (400, 0)):
+            monkeypatch.setattr(line_dedup, "PIECE", piece)
+            monkeypatch.setattr(line_dedup, "PIECES", pieces)
+            got = line_dedup.dedup_lines(frame)
+            plans.append(got._jdf.queryExecution().executedPlan().toString())
+            outs.append(sorted(map(tuple, got.collect()), key=repr))
+        assert outs[0] == outs[1] == outs[2]
+        assert sum(r[2] for r in outs[0]) > 100
+        assert ["Exchange" in p for p in plans] == [False, False, True]
+        assert [p.count("ArrowEvalPython") for p in plans[:2]] == [1, 3]
+        strings = line_dedup.dedup_lines(frame.selectExpr("CAST(doc_id AS STRING) AS doc_id", "text"))
+        assert sorted((r.text or "", r._removed) for r in strings.collect()) == sorted((r[1] or "", r[2]) for r in outs[0])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_line_dedup_of_hot_lines(spark, monkeypatch):
     """Groups of near copies and frequent tokens far beyond the window and over the split, against force."""
     monkeypatch.setattr(line_dedup, "SPLIT_ROWS", 150)
